@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilspark.llm import bpe, exact_dedup, packing, token_counts, url_filters
+from vigilspark.llm import bpe, exact_dedup, jaccard_join, line_dedup, packing, token_counts, url_filters
 from vigilspark.llm.common import read
 
 
@@ -26,6 +26,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("deduped").cast("binary"), 256).alias("text_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -43,5 +48,9 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters)}
-SQL = {"op3_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL}
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard)}
+SQL = {"op2_line_dedup": line_dedup.SQL, "op3_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL}
