@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilspark.llm import bpe, exact_dedup, jaccard_join, line_dedup, packing, token_counts, url_filters
+from vigilspark.llm import bpe, exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, packing, quality, token_counts, url_filters
 from vigilspark.llm.common import read
 
 
@@ -52,5 +52,26 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard)}
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(read(spark, sf_dir, "documents"))
+
+
+def fold(n: int) -> Column:
+    """crc32 of doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.learn(docs, read(spark, sf_dir, "labels").filter(fold(5) != 0))
+    return quality.score(docs, model).select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    filters = language_id.learn(docs.filter(fold(3) != 1))
+    return language_id.identify(docs, filters).select("doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard, op8_fingerprints, op9_quality, op10_language_id)}
 SQL = {"op2_line_dedup": line_dedup.SQL, "op3_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL}
