@@ -139,3 +139,18 @@ def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     return rows.mapInArrow(step, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
+
+
+def tagged(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFrame:
+    """docs with lang_pred and score added to each row (replacing columns of these names), in the same pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+    names = [c for c in docs.columns if c not in ("lang_pred", "score", "_text")]
+    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
+    out = rows.drop("_text").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text"):
+            found, score = shared.value.decide(batch.column("_text"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
+
+    return rows.mapInArrow(step, out.schema)

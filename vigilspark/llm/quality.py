@@ -239,3 +239,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return rows.mapInArrow(step, f"doc_id {dict(rows.dtypes)['doc_id']}, score double, predicted int")
+
+
+def tagged(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """docs with score and predicted added to each row (replacing columns of these names), in the same pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [c for c in docs.columns if c not in ("score", "predicted", "_text")]
+    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
+    out = rows.drop("_text").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text"):
+            s = shared.value.scores(batch.column("_text"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(s), pa.array((s >= threshold).astype(np.int32))], [*names, "score", "predicted"])
+
+    return rows.mapInArrow(step, out.schema)
