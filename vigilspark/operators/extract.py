@@ -185,7 +185,7 @@ def _cell(k: int, field: str = "text") -> Column:
 
 def letters(rows: DataFrame, id_col: str = "page_id") -> DataFrame:
     """First table: rows with a link that has a target and a text; dates, office and subject by place."""
-    link = F.element_at(F.filter("cells", lambda c: c["href"].isNotNull()), 1)
+    link = F.get(F.filter("cells", lambda c: c["href"].isNotNull()), F.lit(0))
     held = rows.filter((F.col("table_no") == 0) & (F.size(F.filter("cells", lambda c: c["href"].isNotNull())) > 0)).withColumn("link", link)
     href = F.col("link.href")
     return held.filter((href != "") & (F.col("link.text") != "")).select(
@@ -206,9 +206,9 @@ def approvals(rows: DataFrame, id_col: str = "page_id", number: str = r"(H\d{6})
 
 def classed_rows(rows: DataFrame, base: str, id_col: str = "page_id", cls: str = "ecl-table") -> DataFrame:
     """Rows of tables of a class, by header attribute, with the heading before the table and the first link of any cell."""
-    by = lambda name: F.nullif(F.element_at(F.filter("cells", lambda c: c["header"] == name), -1)["text"], F.lit(""))
+    by = lambda name: F.nullif(F.try_element_at(F.filter("cells", lambda c: c["header"] == name), F.lit(-1))["text"], F.lit(""))
     linked = F.filter("cells", lambda c: c["href"].isNotNull())
-    held = rows.filter(F.array_contains(F.split("classes", r"\s+"), cls) & (F.col("row_no") > 0) & (F.size(linked) > 0)).withColumn("href", F.element_at(linked, 1)["href"]).filter("href <> ''")
+    held = rows.filter(F.array_contains(F.split("classes", r"\s+"), cls) & (F.col("row_no") > 0) & (F.size(linked) > 0)).withColumn("href", F.get(linked, F.lit(0))["href"]).filter("href <> ''")
     url = F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat(F.lit(base), F.col("href")))
     return held.select(id_col, "table_no", "row_no", url.alias("url"), by("Reference").alias("reference"), by("Title").alias("title"), by("Publication").alias("publication"), "category")
 

@@ -26,9 +26,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def read_json(spark: SparkSession, root: str, schema: str, glob: str = "*.json", multiline: bool = True) -> DataFrame:
-    """A tree of JSON files. Files that do not parse keep their text in _corrupt."""
-    reader = spark.read.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.option("multiLine", multiline).option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(root).withColumn("path", F.col("_metadata.file_path"))
+    """A tree of JSON files: one record a file, or one a line. Records that do not parse keep their text in _corrupt."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=multiline)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return files.select(F.from_json("value", f"{schema}, {CORRUPT} string", options).alias("r"), F.col("_metadata.file_path").alias("path")).select("r.*", "path")
 
 
 def lenient(read: DataFrame) -> tuple[DataFrame, DataFrame]:
