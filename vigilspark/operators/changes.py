@@ -30,13 +30,16 @@ def current_path(ext: Column) -> Column:
 
 
 def version_path(changed_at: Column, old_hash: Column, ext: Column) -> Column:
-    """Path of an archived version: the time of its change without : and -, its hash's first 8 characters and the new extension."""
-    stamp = F.date_format(changed_at, "yyyyMMdd'T'HHmmss'Z'")
-    return F.concat_ws("/", "regulation", "source", F.lit("documents"), "document_id", F.lit("versions"), F.concat(stamp, F.lit("_"), F.substring(old_hash, 1, 8), F.lit("."), ext))
+    """Path of an archived version: the ISO time (UTC) of its change without : and -, its hash's first 8 characters and the new extension."""
+    micros = F.regexp_replace(F.date_format(changed_at, ".SSSSSS"), "^[.]000000$", "")
+    stamp = F.concat(F.date_format(changed_at, "yyyyMMdd'T'HHmmss"), micros, F.lit("+0000"))
+    return F.concat_ws("/", "regulation", "source", F.lit("documents"), "document_id", F.lit("versions"), F.concat(stamp, F.lit("__"), F.substring(old_hash, 1, 8), F.lit("."), ext))
 
 
-def event_path(ts: Column, run_id: Column, seq: Column) -> Column:
-    return F.concat_ws("/", "regulation", "source", F.lit("events"), F.date_format(ts, "yyyy/MM/dd"), F.concat(run_id, F.lit("-"), F.lpad(seq.cast("string"), 6, "0"), F.lit(".json")))
+def event_path(ts: Column, run_id: Column, seq: Column, event: Column) -> Column:
+    """Day folder, then run, number within the run, document and event; slashes in the id as _."""
+    name = F.concat_ws("__", run_id, F.lpad(seq.cast("string"), 5, "0"), F.replace(F.col("document_id"), F.lit("/"), F.lit("_")), event)
+    return F.concat_ws("/", "regulation", "source", F.lit("_manifest/events"), F.date_format(ts, "yyyy/MM/dd"), F.concat(name, F.lit(".json")))
 
 
 def empty_state(captures: DataFrame) -> DataFrame:

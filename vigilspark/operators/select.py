@@ -25,8 +25,8 @@ def bare_root(url: Column) -> Column:
 
 
 def clean_id(raw: Column) -> Column:
-    """A document id without blanks and slashes at its ends; null if empty or with a .. segment."""
-    text = F.regexp_replace(raw, r"^[\s/]+|[\s/]+$", "")
+    """A document id without blanks, then slashes, at its ends; null if empty or with a .. segment."""
+    text = F.regexp_replace(F.regexp_replace(raw, r"^\s+|\s+$", ""), "^/+|/+$", "")
     return F.when((text == "") | text.rlike(r"(^|/)\.\.(/|$)"), None).otherwise(text)
 
 

@@ -131,7 +131,7 @@ def cdc_09_events(spark, sf):
     return out.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query(f"WITH {A}, {B} SELECT regulation, source, document_id, A.content_hash AS current_hash, concat_ws('/', regulation, source, 'documents', document_id, 'current.' || A.ext) AS current_storage_path, concat_ws('/', regulation, source, 'documents', document_id, 'versions', strftime(A.ts, '%Y%m%dT%H%M%SZ') || '_' || A.content_hash[1:8] || '.' || B.ext) AS archive_path FROM A JOIN B {ON} WHERE A.content_hash <> B.content_hash")
+@query(f"WITH {A}, {B} SELECT regulation, source, document_id, A.content_hash AS current_hash, concat_ws('/', regulation, source, 'documents', document_id, 'current.' || A.ext) AS current_storage_path, concat_ws('/', regulation, source, 'documents', document_id, 'versions', strftime(A.ts, '%Y%m%dT%H%M%S+0000') || '__' || A.content_hash[1:8] || '.' || B.ext) AS archive_path FROM A JOIN B {ON} WHERE A.content_hash <> B.content_hash")
 def snk_04_archive_paths(spark, sf):
     return changes.replaced(snapshot(spark, sf, "B"), state(spark, sf))
 
@@ -220,15 +220,15 @@ def fn_01_slug(spark, sf):
     return read(spark, sf, "documents").select("doc_id", fn.slug(F.col("text")).alias("slug"))
 
 
-@query(f"WITH {B}, n AS (SELECT *, row_number() OVER (PARTITION BY regulation, source ORDER BY pos) AS seq FROM B) SELECT document_id, concat_ws('/', regulation, source, 'documents', document_id, 'current.' || ext) AS current_path, concat_ws('/', regulation, source, 'documents', document_id, 'versions', strftime(ts, '%Y%m%dT%H%M%SZ') || '_' || content_hash[1:8] || '.' || ext) AS version_path, concat_ws('/', regulation, source, 'events', strftime(ts, '%Y/%m/%d'), source || '-b-' || lpad(CAST(seq AS VARCHAR), 6, '0') || '.json') AS event_path FROM n")
+@query(f"WITH {B}, n AS (SELECT *, row_number() OVER (PARTITION BY regulation, source ORDER BY pos) AS seq FROM B) SELECT document_id, concat_ws('/', regulation, source, 'documents', document_id, 'current.' || ext) AS current_path, concat_ws('/', regulation, source, 'documents', document_id, 'versions', strftime(ts, '%Y%m%dT%H%M%S+0000') || '__' || content_hash[1:8] || '.' || ext) AS version_path, concat_ws('/', regulation, source, '_manifest/events', strftime(ts, '%Y/%m/%d'), concat_ws('__', source || '-b', lpad(CAST(seq AS VARCHAR), 5, '0'), document_id, 'new') || '.json') AS event_path FROM n")
 def fn_14_paths(spark, sf):
     from pyspark.sql import Window
 
     rows = snapshot(spark, sf, "B").withColumn("seq", F.row_number().over(Window.partitionBy("regulation", "source").orderBy("pos")))
-    return rows.select("document_id", changes.current_path(F.col("ext")).alias("current_path"), changes.version_path(F.col("ts"), F.col("content_hash"), F.col("ext")).alias("version_path"), changes.event_path(F.col("ts"), F.concat("source", F.lit("-b")), F.col("seq")).alias("event_path"))
+    return rows.select("document_id", changes.current_path(F.col("ext")).alias("current_path"), changes.version_path(F.col("ts"), F.col("content_hash"), F.col("ext")).alias("version_path"), changes.event_path(F.col("ts"), F.concat("source", F.lit("-b")), F.col("seq"), F.lit("new")).alias("event_path"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '<' || strlen(text) || ' bytes, application/pdf>' WHEN length(text) <= 2000 THEN text ELSE text[1:2000] || '... (' || length(text) || ' chars)' END AS snippet FROM documents")
+@query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '<' || strlen(text) || ' bytes, content-type=''application/pdf'' — not shown>' WHEN length(text) <= 2000 THEN text ELSE text[1:2000] || '... (' || length(text) || ' chars total, truncated)' END AS snippet FROM documents")
 def fn_16_body_snippet(spark, sf):
     kind = F.when(F.col("doc_id") % 4 == 0, "application/pdf").otherwise("text/HTML; charset=utf-8")
     return read(spark, sf, "documents").select("doc_id", fn.body_snippet(F.col("text"), kind).alias("snippet"))

@@ -55,7 +55,7 @@ def flt_06_page_cap(spark, sf):
 _RAW = "CASE o_orderkey % 6 WHEN 0 THEN concat(' /a/', o_orderkey, '/ ') WHEN 1 THEN '' WHEN 2 THEN concat('x/../', o_orderkey) WHEN 3 THEN '//' WHEN 4 THEN concat('b..', o_orderkey) ELSE concat(o_orderkey, '/..') END"
 
 
-@query(f"SELECT o_orderkey, CASE WHEN t = '' OR regexp_matches(t, '(^|/)\\.\\.(/|$)') THEN NULL ELSE t END AS document_id FROM (SELECT o_orderkey, regexp_replace({_RAW}, '^[\\s/]+|[\\s/]+$', '', 'g') AS t FROM orders)")
+@query(f"SELECT o_orderkey, CASE WHEN t = '' OR regexp_matches(t, '(^|/)\\.\\.(/|$)') THEN NULL ELSE t END AS document_id FROM (SELECT o_orderkey, regexp_replace(trim({_RAW}), '^/+|/+$', '', 'g') AS t FROM orders)")
 def flt_07_document_ids(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", select.clean_id(F.expr(_RAW)).alias("document_id"))
 
@@ -203,7 +203,7 @@ def fn_10_decision_ids(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", fn.decision_id(F.concat(F.lit("P"), "o_custkey"), supplement).alias("decision_id"))
 
 
-@query(f"WITH {DEC} SELECT record_id, CASE WHEN record_id % 10 <> 0 THEN 'https://files.example.gov/pdf' || CAST(k_number[2:3] AS INT) || '/' || k_number || '.pdf' END AS url FROM dec")
+@query(f"WITH {DEC} SELECT record_id, CASE WHEN record_id % 10 <> 0 THEN 'https://files.example.gov/pdf' || k_number[2:3] || '/' || k_number || '.pdf' END AS url FROM dec")
 def fn_11_pdf_urls(spark, sf):
     number = F.when(F.col("record_id") % 10 == 0, F.concat(F.lit("KX"), "k_number")).otherwise(F.col("k_number"))
     return decisions(spark, sf).select("record_id", fn.pdf_url("https://files.example.gov", number).alias("url"))

@@ -130,7 +130,7 @@ _UUID = "'0a1b2c3d-0000-4000-8000-' || lpad(CAST(page_id AS {0}), 12, '0')"
 
 @query(f"SELECT page_id, CASE WHEN page_id % 3 = 0 THEN {_UUID.format('VARCHAR')} ELSE sha1(url)[1:16] END AS by_uuid, coalesce(CASE WHEN regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) = '' THEN nullif(regexp_extract(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1), '([^/]*)/*$', 1), '') END, sha1(url)[1:16]) AS by_slug FROM pages")
 def fn_07_fn_08_document_ids(spark, sf):
-    with_uuid = F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit("/"), F.expr(_UUID.format("STRING").replace("||", ",").join(("concat(", ")")))))
+    with_uuid = F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit("/document/download/"), F.expr(_UUID.format("STRING").replace("||", ",").join(("concat(", ")"))), F.lit("_en?x")))
     return pages(spark, sf).select("page_id", fn.uuid_or_hash(F.coalesce(with_uuid, "url")).alias("by_uuid"), fn.slug_or_hash(F.col("url")).alias("by_slug"))
 
 
