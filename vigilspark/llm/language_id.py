@@ -42,7 +42,7 @@ def _lower() -> np.ndarray:
 
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The four-grams of each text as 32-bit numbers, without those of two blanks or more, and their number in each text."""
-    folded = pa.array([t.lower() for t in texts.to_pylist()], pa.string())
+    folded = pa.array([f" {t.lower()} " for t in texts.to_pylist()], pa.string())  # words at the ends have their edges too
     data, ends = raw(folded)
     x = _lower()[data].astype(np.uint32)
     if len(x) < 4:
@@ -63,8 +63,9 @@ def slots(codes: np.ndarray) -> list[np.ndarray]:
 class Filters:
     """The bit-sliced filter and each language's rate of false positives."""
 
-    def __init__(self, found: dict[str, np.ndarray]):
-        self.names = sorted(found)
+    def __init__(self, found: dict[str, np.ndarray], rows: dict[str, int] | None = None):
+        """found: each language's n-grams. rows: how many rows each has; of languages that fit alike, the one with more is taken."""
+        self.names = sorted(found, key=lambda name: (-(rows or {}).get(name, 0), name))
         self.masks = np.zeros((max(1, -(-len(found) // 64)), SLOTS), np.uint64)
         self.false = np.zeros(len(found))
         for k, name in enumerate(self.names):
@@ -120,14 +121,14 @@ def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
 
     counted = picked.mapInArrow(count, "lang string, code bigint, k bigint").groupBy("lang", "code").agg(F.sum("k").alias("k"))
     top = counted.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("k", "code")), asc=False), 1, kept).alias("top"))  # of a bounded sample
-    return Filters({r["lang"]: np.array([x["code"] for x in r["top"]], np.uint32) for r in top.collect()} | {})
+    return Filters({r["lang"]: np.array([x["code"] for x in r["top"]], np.uint32) for r in top.collect()}, shares)
 
 
 def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, lang_pred, score.
 
-    lang_pred is a learned language, or und for null texts and those without a letter; of equals, the first
-    by name. score: the language's share of all languages' corrected counts, 0 for und or when no n-gram is
+    lang_pred is a learned language, or und for null texts and those without a letter; of equals, the one
+    with more learned rows, then the first by name. score: the language's share of all languages' corrected counts, 0 for und or when no n-gram is
     known. Whole texts are read; repeated rows each get a row; an empty table gives an empty result.
     """
     rows = texts_only(docs, id_col, text_col)
