@@ -6,14 +6,16 @@ similarity t share one of these. The classes under one shingle, in order of size
 which sizes differ by the factor 1 / t at most; only within such a tile can pairs link.
 
 Round one links every class of a tile with the band's first class, which joins most copies of a text to
-one group without pairing them all. Round two takes the tiles that still hold more than one group, in
-chunks of bounded size, and keeps the pairs of different groups that pass the bit test. A set's bitmap
+one group without pairing them all. Later rounds take the tiles that still hold more than one group, in
+chunks of bounded size, and keep the pairs of different groups that pass the bit test. Where these are many,
+as in a large group of near copies, a round keeps each class's likeliest partner and the tile comes again
+with the groups that these links have merged; when no more merge, all pairs that are left are tested. A set's bitmap
 holds the parity of its shingles' bits, so popcount(a xor b) is at most the number of unshared shingles and
 (|a| + |b| - popcount) / 2 bounds the overlap from above. Pairs that pass are checked by intersecting the
 sorted arrays. Classes already in one group need no check, as it can't change the groups.
 
 The frequent shingles only set the order, so results don't depend on which are found. No step holds a tile
-whole: round one keeps one row for each size, round two at most two chunks.
+whole: round one keeps one row for each size, the others at most two chunks.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ MAX_FREQUENT = 1 << 18
 FREQUENT = 24
 #: Classes of a tile's chunk.
 CHUNK = 1024
+#: Candidate pairs a row, up to which a tile is settled at once; with more, first each row's likeliest.
+PER_ROW = 4
 #: Bits of the table that tells which documents' arrays are needed.
 NEEDED_BITS = 1 << 22
 NONE = (1 << 63) - 1
@@ -89,7 +93,7 @@ def class_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that come in more than one document of about 16 MB of text, with the count. A lossy count: what is rarer everywhere is left out."""
+    """Shingles that come in more than one document of a few MB of text, with the count. A lossy count: what is rarer everywhere is left out."""
     held, rows = [], 0
 
     def count() -> pa.RecordBatch:
@@ -100,7 +104,7 @@ def frequent_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in slices(batches):
         held.append(sets(batch.column("text"))[0])
         rows += len(held[-1])
-        if rows > 2_500_000:
+        if rows > 1_500_000:
             yield count()
             held, rows = [], 0
     if held:
@@ -172,16 +176,19 @@ def star_rows(percent: int):
     return step
 
 
-def tile_rows(percent: int):
-    """Over rows sorted by tile (s, i, j): pairs of different groups whose sizes, places and bitmaps allow the similarity."""
+def tile_rows(percent: int, most: int | None):
+    """Over rows sorted by tile (s, i, j): pairs (x, y) of different groups whose sizes, places and bitmaps allow the similarity.
 
-    def pairs(rows: list[tuple]) -> np.ndarray:
+    A tile with more than most such pairs a row tells only each row's likeliest partner, and its s once, with no pair.
+    """
+
+    def pairs(rows: list[tuple]) -> tuple[np.ndarray, bool]:
         rows.sort(key=lambda r: r[0])
         n, pos, node, group, side = (np.array(x, np.int64) for x in zip(*(r[:5] for r in rows), strict=True))
         bits: dict[int, np.ndarray] = {}
         of_width = np.array([len(r[5]) * 8 for r in rows])
         both = rows[0][6] != rows[0][7]
-        out = []
+        left, right, likely = [], [], []
         upto = np.searchsorted(n, n * 100 // percent, "right")
         for a in range(len(rows)):
             near = slice(a + 1, upto[a])
@@ -198,28 +205,45 @@ def tile_rows(percent: int):
                 for k in np.flatnonzero((of_width == w) | (of_width == 2 * w)):
                     table[k] = np.packbits(folded(np.unpackbits(np.frombuffer(rows[k][5], np.uint8)), w)).view(np.uint64)
                 bits[w] = table
-            table = bits[w]
-            for b in range(0, len(at), 4096):
-                unshared = np.bitwise_count(table[at[b : b + 4096]] ^ table[a]).sum(1).astype(np.int64)
-                ok = n[a] + n[at[b : b + 4096]] - unshared >= 2 * need[b : b + 4096]
-                for k in at[b : b + 4096][ok]:
-                    out.append((min(node[a], node[k]), max(node[a], node[k])))
-        return np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0)
+            bound = n[a] + n[at] - np.bitwise_count(bits[w][at] ^ bits[w][a]).sum(1).astype(np.int64) - 2 * need
+            ok = bound >= 0
+            if ok.any():
+                left.append(np.full(int(ok.sum()), a)), right.append(at[ok]), likely.append(bound[ok] / (n[a] + n[at[ok]]))
+        if not left:
+            return np.zeros((0, 2), np.int64), False
+        left, right, likely = map(np.concatenate, (left, right, likely))
+        more = most is not None and len(left) > most * len(rows)
+        if more:
+            rank = np.argsort(-likely, kind="stable")
+            rank = np.union1d(rank[np.unique(left[rank], return_index=True)[1]], rank[np.unique(right[rank], return_index=True)[1]])
+            left, right = left[rank], right[rank]
+        return np.column_stack([np.minimum(node[left], node[right]), np.maximum(node[left], node[right])]), more
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, tile, done = [], None, []
+        held, tile, done, more = [], None, [], []
+
+        def close() -> None:
+            if len(held) > 1:
+                found, left = pairs(held)
+                done.append(found)
+                more.extend([tile[0]] * left)
+
+        def tell() -> pa.RecordBatch:
+            links = np.unique(np.concatenate(done), axis=0) if done else np.zeros((0, 2), np.int64)
+            k = len(more)
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(links[:, 0]), pa.nulls(k, pa.int64())]), pa.concat_arrays([pa.array(links[:, 1]), pa.nulls(k, pa.int64())]), pa.concat_arrays([pa.nulls(len(links), pa.int64()), pa.array(more, pa.int64())])], ["x", "y", "s"])
+
         for batch in batches:
             for s, i, j, *row in zip(*(batch.column(k).to_pylist() for k in ("s", "i", "j", "n", "pos", "node", "grp", "side", "bits")), strict=True):
                 if (s, i, j) != tile:
-                    if len(held) > 1:
-                        done.append(pairs(held))
+                    close()
                     held, tile = [], (s, i, j)
                 held.append((*row, i, j))
-            if done:
-                yield _links(np.unique(np.concatenate(done), axis=0))
-                done = []
-        if len(held) > 1:
-            yield _links(pairs(held))
+            if sum(map(len, done)) > 100_000:
+                yield tell()
+                done, more = [], []
+        close()
+        yield tell()
 
     return step
 
@@ -335,19 +359,30 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
     links = written(checked(stars, rows, classes, percent), "stars")
     found = components(links)
 
-    nodes = classes.join(found, "node", "left").select("node", "c", "n", F.coalesce("component", "node").alias("grp"))
-    listed = written(told.filter("s IS NOT NULL").select("s", "c", "n", "pos").join(nodes, ["c", "n"]).select("s", "n", "pos", "node", "grp"), "listed")
-    mixed = listed.groupBy("s").agg(F.min("grp").alias("a"), F.max("grp").alias("b"), F.count("*").alias("m")).filter("a <> b").select("s", F.ceil(F.col("m") / CHUNK).cast("int").alias("k"))
-    side = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
-    chunks = (
-        listed.join(mixed, "s").withColumn("side", side).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select("s", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "n", "pos", "node", "grp", "side")
-        .join(classes.select("node", "bits"), "node")
-    )
-    pairs = chunks.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j").mapInArrow(tile_rows(percent), "x bigint, y bigint").distinct()
-    more = written(checked(pairs, rows, classes, percent), "rest")
-    if not more.isEmpty():
-        found = components(links.union(more))
+    shared_rows = told.filter("s IS NOT NULL").select("s", "c", "n", "pos")
+    open_tiles, most = None, PER_ROW
+    while True:
+        nodes = classes.join(found, "node", "left").select("node", "c", "n", F.coalesce("component", "node").alias("grp"))
+        listed = shared_rows if open_tiles is None else shared_rows.join(open_tiles, "s", "left_semi")
+        listed = written(listed.join(nodes, ["c", "n"]).select("s", "n", "pos", "node", "grp"), "listed")
+        mixed = listed.groupBy("s").agg(F.min("grp").alias("a"), F.max("grp").alias("b"), F.count("*").alias("m")).filter("a <> b").select("s", F.ceil(F.col("m") / CHUNK).cast("int").alias("k"))
+        side = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+        chunks = (
+            listed.join(mixed, "s").withColumn("side", side).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+            .select("s", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "n", "pos", "node", "grp", "side")
+            .join(classes.select("node", "bits"), "node")
+        )
+        tested = written(chunks.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j").mapInArrow(tile_rows(percent, most), "x bigint, y bigint, s bigint"), "tested")
+        more = written(checked(tested.filter("x IS NOT NULL").select("x", "y").distinct(), rows, classes, percent), "more")
+        grown = not more.isEmpty()
+        if grown:
+            links = links.union(more)
+            found = components(links)
+        open_tiles = tested.filter("x IS NULL").select("s").distinct()
+        if open_tiles.isEmpty():
+            break
+        if not grown:
+            most = None  # all that is left is tested in full
 
     label = key.join(found, "node", "left").select("c", "n", F.coalesce("component", "node").alias("component_id"))
     out = each.select("doc_id", "n", "c").join(label, ["c", "n"], "left")
