@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step holds at most, unless a single text is longer.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,8 +46,19 @@ def texts_only(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFra
     )
 
 
+def trim() -> None:
+    """Hands memory that an earlier task of this Python worker has left back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that each holds at most so many bytes of text, or one row."""
+    trim()
     for batch in batches:
         column = batch.column(text)
         n = len(column)
