@@ -108,16 +108,16 @@ def test_packing(docs, nothing):
     library = Tokenizer.from_file(path)
     pieces = packing.pack(docs, path, 64).collect()
     of, spans = defaultdict(list), defaultdict(list)
+    encoded = [library.encode(t or "", add_special_tokens=False).ids + [0] for t in TEXTS]
     for p in pieces:
-        ids = np.frombuffer(p.ids, "<u4").tolist()
-        whole = library.encode(TEXTS[p.doc_id] or "", add_special_tokens=False).ids + [0]
+        ids, whole = np.frombuffer(p.ids, "<u4").tolist(), encoded[p.doc_id]
         assert p.length == len(ids) > 0 and p.doc_tokens == len(whole) and ids == whole[p.start : p.start + p.length]
         spans[p.sequence_id].append((p.offset, p.length))
         of[p.doc_id].append(p.length)
     rows = defaultdict(int)
     for r in docs.collect():
         rows[r.doc_id] += 1
-    assert all(sum(n) == rows[i] * (len(library.encode(TEXTS[i] or "", add_special_tokens=False).ids) + 1) for i, n in of.items()) and len(of) == len(TEXTS)
+    assert all(sum(n) == rows[i] * len(encoded[i]) for i, n in of.items()) and len(of) == len(TEXTS)
     full = []
     for s in sorted(spans):
         at = 0
