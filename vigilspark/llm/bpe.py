@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 from vigilspark.llm.common import lists, slices, texts_only
 from vigilspark.llm.pretokens import split
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 #: Shares of a block's word list, each of which goes to one place.
 SHARES = 96
 #: Entries of a worker's word table; beyond, it starts anew. Only speed depends on it.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 400_000
 
 
 @functools.cache
@@ -67,40 +68,61 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel() if len(planes) else np.zeros(0, np.uint32)
 
 
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start[k] .. start[k] + size[k] - 1 for each k, in order."""
+    ends = np.cumsum(size, dtype=np.int32)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+
+
 class Block:
-    """Word list and positions of some documents."""
+    """Some documents, cut into parts, and the list of their distinct words in a fixed order: by share, then by word."""
 
     def __init__(self):
-        self.words: dict[str, int] = {}
-        self.parts: dict[str, np.ndarray] = {}
+        self.parts: dict[str, int] = {}
+        self.heads: dict[str, int] = {}
         self.rows: list[tuple] = []
         self.bytes = 0
 
-    def positions(self, text: str) -> np.ndarray:
-        words = self.words
-        return np.array([words.setdefault(w, len(words)) for w in finder()(text)], np.uint32)
-
-    def add(self, ids: pa.Array, texts: list[str]) -> None:
+    def add(self, ids: list, texts: list[str]) -> None:
         cut, distinct = split(texts)
-        for part in distinct:
-            if part not in self.parts:
-                self.parts[part] = self.positions(f" {part}")
-        for id_, text, parts in zip(ids, texts, cut, strict=True):
-            self.rows.append((id_, np.concatenate([self.positions(parts[0]), *map(self.parts.__getitem__, parts[1:])])))
-            self.bytes += len(text)
-
-    def shares(self) -> Iterator[tuple[int, bytes, np.ndarray]]:
-        """The word list dealt out by a hash of the word: share, words, their places in the list."""
+        known, heads = self.parts, self.heads
+        for part in distinct.difference(known):
+            known[part] = len(known)
+        for id_, parts in zip(ids, cut, strict=True):
+            self.rows.append((id_, heads.setdefault(parts[0], len(heads)), array("I", map(known.__getitem__, parts[1:]))))
+        self.bytes += sum(map(len, texts))
+
+    def found(self) -> tuple[list[list[str]], list[list[str]]]:
+        """The words of each part, and of each text's first part, which has no blank in front."""
+        find = finder()
+        return [find(f" {p}") for p in self.parts], [find(p) for p in self.heads]
+
+    def shares(self, words: set[str]) -> list[list[bytes]]:
+        """The words dealt out by a hash, in order."""
         import xxhash
 
-        dealt: list[tuple[list, list]] = [([], []) for _ in range(SHARES)]
-        for word, at in self.words.items():
-            data = word.encode()
-            words, places = dealt[xxhash.xxh32_intdigest(data) % SHARES]
-            words.append(data), places.append(at)
-        for share, (words, places) in enumerate(dealt):
-            if words:
-                yield share, words, np.array(places, np.uint32)
+        dealt: list[list[bytes]] = [[] for _ in range(SHARES)]
+        of = xxhash.xxh32_intdigest
+        for word in [w.encode() for w in words]:
+            dealt[of(word) % SHARES].append(word)
+        for some in dealt:
+            some.sort()
+        return dealt
+
+    def words(self) -> list[list[bytes]]:
+        parts, heads = self.found()
+        return self.shares(set().union(*parts, *heads))
+
+    def positions(self) -> Iterator[tuple[object, np.ndarray]]:
+        """Each document's id and its words' places in the list."""
+        parts, heads = self.found()
+        place = {w.decode(): k for k, w in enumerate(itertools.chain.from_iterable(self.shares(set().union(*parts, *heads))))}
+        at = place.__getitem__
+        coded = [array("I", map(at, ws)).tobytes() for ws in parts]
+        first = [array("I", map(at, ws)).tobytes() for ws in heads]
+        del parts, heads, place
+        for id_, head, row in self.rows:
+            yield id_, np.frombuffer(first[head] + b"".join(map(coded.__getitem__, row)), np.uint32)
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
@@ -128,21 +150,19 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in blocks(batches):
-            dealt = list(block.shares())
-            squeeze = zstandard.ZstdCompressor(level=1).compress
+            dealt, squeeze = block.words(), zstandard.ZstdCompressor(level=1).compress
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([number] * len(dealt), pa.int64()),
-                    pa.array([s for s, _, _ in dealt], pa.int32()),
-                    pa.array([squeeze(b"".join(w)) for _, w, _ in dealt], pa.binary()),
-                    pa.array([packed(np.array([len(x) for x in w], np.uint32)) for _, w, _ in dealt], pa.binary()),
-                    pa.array([packed(p) for _, _, p in dealt], pa.binary()),
+                    pa.array([number] * SHARES, pa.int64()),
+                    pa.array(range(SHARES), pa.int32()),
+                    pa.array([squeeze(b"".join(w)) for w in dealt], pa.binary()),
+                    pa.array([packed(np.array(list(map(len, w)), np.uint32)) for w in dealt], pa.binary()),
                 ],
-                ["block", "share", "words", "sizes", "places"],
+                ["block", "share", "words", "sizes"],
             )
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, np.ndarray] = {}
+        known: dict[bytes, list[int]] = {}
         one = word_encoder(path)
         for batch in batches:
             sizes_out, ids_out = [], []
@@ -156,14 +176,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     found.append(ids)
                 if len(known) > MAX_WORDS:
                     known.clear()
-                sizes_out.append(packed(np.array([len(i) for i in found], np.uint32)))
+                sizes_out.append(packed(np.array(list(map(len, found)), np.uint32)))
                 ids_out.append(packed(np.array(list(itertools.chain.from_iterable(found)), np.uint32)))
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("places"), pa.array(sizes_out, pa.binary()), pa.array(ids_out, pa.binary())], ["block", "places", "sizes", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("share"), pa.array(sizes_out, pa.binary()), pa.array(ids_out, pa.binary())], ["block", "share", "sizes", "ids"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in blocks(batches):
-            for at in range(0, len(block.rows), 512):
-                some = block.rows[at : at + 512]
+            for some in iter(lambda rows=block.positions(): list(itertools.islice(rows, 512)), []):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number], pa.int64()),
@@ -175,28 +194,26 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 )
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        places, sizes, ids, out = [], [], [], []
+        shares, out = {}, []
         for batch in right.to_batches():
-            for p, s, i in zip(*(batch.column(c).to_pylist() for c in ("places", "sizes", "ids")), strict=True):
-                places.append(unpacked(p)), sizes.append(unpacked(s)), ids.append(unpacked(i))
-        join = lambda x: np.concatenate(x) if x else np.zeros(0, np.uint32)
-        places, sizes, ids = join(places), join(sizes).astype(np.int64), join(ids).astype(np.int32)
-        length, start = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
-        length[places], start[places] = sizes, np.cumsum(sizes) - sizes
+            for share, s, i in zip(*(batch.column(c).to_pylist() for c in ("share", "sizes", "ids")), strict=True):
+                shares[share] = unpacked(s), unpacked(i)
+        sizes, ids = (np.concatenate([shares[k][n] for k in sorted(shares)]) for n in (0, 1))
+        length, ids = sizes.astype(np.int32), ids.astype(np.int32)
+        start = np.cumsum(length, dtype=np.int32) - length
         for batch in left.to_batches():
             for doc_ids, n, at in zip(*(batch.column(c).to_pylist() for c in ("doc_ids", "sizes", "positions")), strict=True):
                 n, at = unpacked(n).astype(np.int64), unpacked(at)
                 each = length[at]
-                ends = np.cumsum(each)
-                flat = ids[np.repeat(start[at] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
-                ends = np.concatenate([[0], ends])
+                ends = np.concatenate([[0], np.cumsum(each)])
+                flat = ids[spread(start[at], each)]
                 of = np.concatenate([[0], np.cumsum(n)])
                 out.append(pa.RecordBatch.from_arrays([pa.array(doc_ids, arrow_id), lists(flat, np.diff(ends[of]), pa.int32())], ["doc_id", "ids"]))
         return pa.Table.from_batches(out)
 
     # a block's rows come together by its number; a few blocks' sizes bound what a task holds
-    words = rows.mapInArrow(deal, "block bigint, share int, words binary, sizes binary, places binary")
-    ids = words.repartition("share").mapInArrow(encode_words, "block bigint, places binary, sizes binary, ids binary")
+    words = rows.mapInArrow(deal, "block bigint, share int, words binary, sizes binary")
+    ids = words.repartition("share").mapInArrow(encode_words, "block bigint, share int, sizes binary, ids binary")
     documents = rows.mapInArrow(place, f"block bigint, doc_ids array<{kind}>, sizes binary, positions binary")
     return documents.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(reassemble, f"doc_id {kind}, ids array<int>")
 
@@ -212,10 +229,17 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     names = out.columns
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {i: b for b, i in ranks(path).items()}
+        table = [b for _, b in sorted((i, b) for b, i in ranks(path).items())]
+        size = np.array(list(map(len, table)), np.int32)
+        start, data = np.cumsum(size, dtype=np.int32) - size, np.frombuffer(b"".join(table), np.uint8)
         for batch in batches:
-            ids = batch.column(ids_col)
-            done = [None if x is None else b"".join(map(table.__getitem__, x)) for x in (ids.slice(k, 1).to_pylist()[0] for k in range(len(ids)))]
+            ids, done = batch.column(ids_col), []
+            for row in ids:
+                if not row.is_valid:
+                    done.append(None)
+                    continue
+                some = np.asarray(row.values)
+                done.append(data[spread(start[some], size[some])].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.binary()) if c == "decoded" else batch.column(c) for c in names], names)
 
     return out.mapInArrow(bytes_of, out.schema)
