@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 #: Entries of a worker's part cache; beyond, it starts anew. Only speed depends on it.
-MAX_CACHED = 600_000
+MAX_CACHED = 300_000
 
 
 def _odd(part: str) -> bool:
@@ -42,19 +42,22 @@ def split(texts: Sequence[str]) -> tuple[list[list[str]], set[str]]:
 
 
 class PartCache:
-    """What each part encodes to, kept while there is room."""
+    """What each part encodes to, kept in two generations of bounded size, so that frequent parts stay."""
 
     def __init__(self, encode: Callable[[list[str]], Sequence], most: int = MAX_CACHED):
         """encode: from a list of texts to what each encodes to, in order."""
-        self.encode, self.most, self.known = encode, most, {}
+        self.encode, self.most, self.known, self.before = encode, most, {}, {}
 
     def texts(self, texts: Sequence[str]) -> Iterator[list]:
         """For each text, what its parts encode to, in order; an empty text is one empty part."""
         if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
         cut, distinct = split(texts)
-        fresh = list(distinct.difference(known))
+        new = distinct.difference(known)
+        old = new.intersection(before)
+        known.update((p, before[p]) for p in old)
+        fresh = list(new.difference(old))
         known.update(zip(fresh, self.encode([f" {p}" for p in fresh]), strict=True))
         for head, parts in zip(self.encode([parts[0] for parts in cut]), cut, strict=True):
             out = [known[p] for p in parts]

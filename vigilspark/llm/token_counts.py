@@ -22,7 +22,7 @@ from vigilspark.llm.pretokens import PartCache
 
 LIMIT = 512
 #: Entries of a worker's word cache; beyond, it starts anew. Only speed depends on it.
-MAX_WORDS = 400_000
+MAX_WORDS = 300_000
 SCHEMA = "n_bytes bigint, n_tokens bigint, over_limit boolean, fit_bytes bigint"
 
 
@@ -78,7 +78,7 @@ class PrefixCounter:
         """Whether encoding left + right gives these two: no merge across the seam comes before those that build them."""
         found = self.pairs.get((left, right))
         if found is None:
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > 300_000:
                 self.pairs.clear()
             found = self.pairs[left, right] = self._fits(left, right)
         return found
@@ -162,11 +162,6 @@ def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-@functools.cache
-def cache(path: str) -> PartCache:
-    return PartCache(counter(path).parts)
-
-
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_tokens, over_limit, fit_bytes.
 
@@ -178,7 +173,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "
     kind = dict(rows.dtypes)["doc_id"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cache(path)
+        known = PartCache(counter(path).parts)
         for batch in slices(batches):
             out = []
             for parts in known.texts(batch.column("text").to_pylist()):
@@ -198,7 +193,7 @@ def prefix_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     kind = dict(rows.dtypes)["doc_id"]
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cache(path)
+        known = PartCache(counter(path).parts)
         for batch in slices(batches):
             both = [np.cumsum(np.array(parts, np.int64), axis=0) for parts in known.texts(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([b[:, 0] for b in both], pa.list_(pa.int32())), pa.array([b[:, 1] for b in both], pa.list_(pa.int32()))], ["doc_id", "ends", "counts"])
