@@ -157,8 +157,8 @@ def fn_13_titles(spark, sf):
 
 @query()
 def udf_04_tables(spark, sf):
-    """The first anchors of each page as a listing table, read back by the HTML table reader."""
-    rows = F.array_join(F.transform(F.slice(extract.links(extract.region(F.col("html"), "nav")), 1, 5), lambda a: F.concat(F.lit('<tr><td>01/02/2024</td><td>d</td><td><a href="'), F.coalesce(a["href"], F.lit("")), F.lit('">'), a["text"], F.lit("</a></td><td>office</td><td>subject</td></tr>"))), "")
+    """All anchors of each page's nav as a listing table, read back by the HTML table reader."""
+    rows = F.array_join(F.transform(extract.links(extract.region(F.col("html"), "nav")), lambda a: F.concat(F.lit('<tr><td>01/02/2024</td><td>d</td><td><a href="'), F.coalesce(a["href"], F.lit("")), F.lit('">'), a["text"], F.lit("</a></td><td>office</td><td>subject</td></tr>"))), "")
     listing = pages(spark, sf).select("page_id", F.concat(F.lit("<h2>List</h2><table class='ecl-table'><tbody>"), rows, F.lit("</tbody></table>")).alias("html"))
     return extract.letters(extract.read_tables(listing))
 
