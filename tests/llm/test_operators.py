@@ -101,6 +101,28 @@ def test_prefix_table(docs):
         assert (r.ends[-1], r.counts[-1]) == totals[r.doc_id]
 
 
+def test_prefixes_within_words(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    counter, library = token_counts.counter(path), Tokenizer.from_file(path)
+    n = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    odd = ["漢字かな交じり文" * 9, "a\tb\tc\n\nd \n  e", "internationalization" * 5, "we've  they'll\n\n  you're''re", "x!!<|endoftext|>  <|endoftext|><|endoftext|> y ", "\x1c \u3000 z  ", "日本 don't\u00a0 end😀 "]
+    for text in [*odd, *(t for t in ODD if t)]:
+        want = [n(text[:k]) for k in range(len(text) + 1)]
+        ends = [len(text[:k].encode()) for k in range(len(text) + 1)]
+        got = counter.prefix_counts(text)
+        assert (list(got[0]), list(got[1])) == (ends, want)
+        for limit in range(max(want) + 1):
+            assert counter.fit(text, limit) == max(e for e, w in zip(ends, want, strict=True) if w <= limit)
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id bigint, text string")
+    for r in token_counts.count_tokens(rows, path, 7).collect():
+        text = odd[r.doc_id]
+        assert r.fit_bytes == max(len(text[:k].encode()) for k in range(len(text) + 1) if n(text[:k]) <= 7)
+    for r in token_counts.prefix_table(rows, path).collect():
+        assert r.counts == [n(odd[r.doc_id][:k]) for k in range(len(odd[r.doc_id]) + 1)]
+
+
 def test_packing(docs, nothing):
     from tokenizers import Tokenizer
 

@@ -2,15 +2,18 @@
 
 For a pretoken, the last token of each prefix's encoding is the one vocabulary entry t that ends there
 and that stays next to the last token before it: encoding those two strings together gives the two
-tokens again. With that, count[i] = count[i - len(t)] + 1 at every byte i, in one pass. A text's prefix
-counts are those of its parts (see pretokens) added up, so one stored table answers how many tokens any
-prefix has, and how long the longest prefix within a budget is, and nothing is encoded twice.
+tokens again. With that, count[i] = count[i - len(t)] + 1 at every byte i, in one pass, and a word's counts are
+kept as a whole. A prefix of a text has the tokens of the pretokens before its end and the last one's count
+up to there, so the kept counts answer how many tokens any prefix has, and how long the longest prefix
+within a budget is. Only where a prefix of its own would be grouped differently, other words are looked up:
+white space at its end, two letters of a contraction, and a special token that is cut.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +26,10 @@ from vigilspark.llm.pretokens import PartCache
 LIMIT = 512
 #: Entries of a worker's word cache; beyond, it starts anew. Only speed depends on it.
 MAX_WORDS = 300_000
+#: Bytes of words in that cache, at most, beside those of one slice.
+MAX_WORD_BYTES = 64 << 20
+#: Pretokens whose first two characters are two pretokens.
+CONTRACTIONS = {"'re", "'ve", "'ll"}
 SCHEMA = "n_bytes bigint, n_tokens bigint, over_limit boolean, fit_bytes bigint"
 
 
@@ -51,10 +58,12 @@ class PrefixCounter:
         self.tails = {t[k:] for t in self.vocab for k in range(len(t))}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.edges: tuple[dict, dict] = ({}, {})
-        self.words: dict[str, int] = {}
+        self.words: dict[str, bytes | array] = {}
+        self.held = 0
         import public_tokenizers
 
         self.find = regex.compile(public_tokenizers.PATTERN).findall
+        self.blank = regex.compile(r"\s").match
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
 
     def edge(self, token: bytes, right: bool) -> tuple[list[bytes], list[float]] | None:
@@ -117,8 +126,9 @@ class PrefixCounter:
 
     def learn(self, words: set[str]) -> None:
         """Counts new words in sorted order, so that what one shares with the next at its start is counted once."""
-        if len(self.words) > MAX_WORDS:
+        if len(self.words) > MAX_WORDS or self.held > MAX_WORD_BYTES:
             self.words.clear()
+            self.held = 0
         before, count, last = b"", [0], [b""]
         for word in sorted(w.encode() for w in words if w not in self.words):
             same = 0
@@ -128,9 +138,16 @@ class PrefixCounter:
                 same += 1
             del count[same + 1 :], last[same + 1 :]
             self.prefixes(word, count, last)
-            self.words[word.decode()] = count[-1]
+            self.words[word.decode()] = bytes(count) if len(word) < 256 else array("i", count)
+            self.held += len(word) if len(word) < 256 else 4 * len(word)
             before = word
 
+    def counts(self, word: str) -> bytes | array:
+        """Tokens of the first bytes of a word, from none on."""
+        if word not in self.words:
+            self.learn({word})
+        return self.words[word]
+
     def pretokens(self, text: str) -> tuple[int, list[str]]:
         """Number of special tokens, and pretokens. A special token's string counts as that token, as the library's default has it."""
         if self.cut and any(s in text for s in self.special):
@@ -143,18 +160,64 @@ class PrefixCounter:
         found = [self.pretokens(t) for t in texts]
         self.learn({w for _, words in found for w in words})
         known = self.words
-        return [(len(t.encode()), n + sum([known[w] for w in words])) for t, (n, words) in zip(texts, found, strict=True)]
+        return [(len(t.encode()), n + sum([known[w][-1] for w in words])) for t, (n, words) in zip(texts, found, strict=True)]
+
+    def prefix_counts(self, text: str, budget: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of each prefix of whole characters, from the empty one on, and its tokens as a text of its own.
+
+        With a budget, it may end where all longer prefixes have more tokens. White space is one word from its
+        start on where a prefix ends in it. A cut special token is no special token, and goes with the word before it.
+        """
+        ends, totals = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        cut = self.cut(text) if self.cut and any(s in text for s in self.special) else [text]
+        at = base = 0
+        if budget is None:
+            self.learn({w for p in cut[::2] for w in self.find(p)})
+        for k, piece in enumerate(cut):
+            if k % 2:
+                for j in range(1, len(piece)):
+                    special, words = self.pretokens(last + piece[:j])
+                    totals.append(np.array([safe + special + sum(self.counts(w)[-1] for w in words)]))
+                base += 1
+                totals.append(np.array([base]))
+                ends.append(at + _char_ends(piece))
+                at = int(ends[-1][-1])
+                continue
+            run, last, safe = "", "", base
+            for last in self.find(piece):
+                own, to = np.array(list(self.counts(last))), _char_ends(last)
+                found = base + own[to]
+                if not run:
+                    safe = base
+                if last in CONTRACTIONS:
+                    found[1] = base + 2
+                if self.blank(last[-1]):
+                    kept = len(run.encode())
+                    run += last
+                    found = safe + np.array(list(self.counts(run)))[kept + to]
+                elif run:
+                    if self.blank(last[0]):
+                        found[0] = safe + self.counts(run + last[0])[-1]
+                    run, safe = "", base
+                ends.append(at + to)
+                totals.append(found)
+                at += int(to[-1])
+                base += int(own[-1])
+                if budget is not None and safe >= budget:
+                    return np.concatenate(ends), np.concatenate(totals)
+        return np.concatenate(ends), np.concatenate(totals)
 
     def fit(self, text: str, budget: int) -> int:
-        """Bytes of the longest prefix of whole characters with at most so many tokens. Each prefix is encoded as a text of its own."""
-        ends = [0]
-        for c in text:
-            ends.append(ends[-1] + len(c.encode()))
-        best = 0
-        for k in range(len(text) + 1):  # white space at the end may group differently, so counts can also fall
-            if self.parts([text[:k]])[0][1] <= budget:
-                best = ends[k]
-        return best
+        """Bytes of the longest prefix of whole characters with at most so many tokens, each taken as a text of its own."""
+        ends, totals = self.prefix_counts(text, budget)
+        within = np.flatnonzero(totals <= budget)  # white space at the end may group differently, so counts can also fall
+        return int(ends[within[-1]]) if len(within) else 0
+
+
+def _char_ends(text: str) -> np.ndarray:
+    """Bytes up to the end of each character."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    return np.append(np.flatnonzero((data & 0xC0) != 0x80)[1:], len(data))
 
 
 @functools.cache
@@ -165,22 +228,27 @@ def counter(path: str) -> PrefixCounter:
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_tokens, over_limit, fit_bytes.
 
-    fit_bytes: bytes of the longest run of parts from the start (parts end before single blanks) whose tokens
-    number at most limit, so the text can be cut there. Null texts count as empty: 0 bytes, 0 tokens. Repeated
+    fit_bytes: bytes of the longest prefix of whole characters whose tokens, as a text of its own, number at
+    most limit, so the text can be cut there. All prefixes that end in later parts (see pretokens) have more
+    tokens than the part that crosses the limit leaves, so only that part's prefixes are looked up. Null texts count as empty: 0 bytes, 0 tokens. Repeated
     rows each get a row. Texts are never cut before counting. path: a tokenizers file with a byte-level BPE.
     """
     rows = texts_only(docs, id_col, text_col)
     kind = dict(rows.dtypes)["doc_id"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = PartCache(counter(path).parts)
+        own = counter(path)
+        known = PartCache(own.parts)
         for batch in slices(batches):
-            out = []
-            for parts in known.texts(batch.column("text").to_pylist()):
+            out, texts = [], batch.column("text").to_pylist()
+            for text, parts in zip(texts, known.texts(texts), strict=True):
                 table = np.array(parts, np.int64)
                 ends = np.cumsum(table, axis=0)
                 within = int(np.searchsorted(ends[:, 1], limit, "right"))
-                out.append((int(ends[-1, 0]), int(ends[-1, 1]), int(ends[-1, 1]) > limit, int(ends[within - 1, 0]) if within else 0))
+                fit, used = map(int, ends[within - 1]) if within else (0, 0)
+                if within < len(ends):
+                    fit += own.fit(text.encode()[fit : int(ends[within, 0])].decode(), limit - used)
+                out.append((int(ends[-1, 0]), int(ends[-1, 1]), int(ends[-1, 1]) > limit, fit))
             n_bytes, n_tokens, over, fit = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(over, pa.bool_()), pa.array(fit, pa.int64())], ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_bytes"])
 
@@ -188,14 +256,14 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "
 
 
 def prefix_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The stored table: doc_id, ends array<int> (bytes) and counts array<int> (tokens up to there), at the end of every part."""
+    """The stored table: doc_id, ends array<int> (bytes) and counts array<int> (tokens up to there), of every prefix of whole characters, from the empty one on."""
     rows = texts_only(docs, id_col, text_col)
     kind = dict(rows.dtypes)["doc_id"]
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = PartCache(counter(path).parts)
+        own = counter(path)
         for batch in slices(batches):
-            both = [np.cumsum(np.array(parts, np.int64), axis=0) for parts in known.texts(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([b[:, 0] for b in both], pa.list_(pa.int32())), pa.array([b[:, 1] for b in both], pa.list_(pa.int32()))], ["doc_id", "ends", "counts"])
+            ends, counts = zip(*map(own.prefix_counts, batch.column("text").to_pylist()), strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ends, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], ["doc_id", "ends", "counts"])
 
     return rows.mapInArrow(table, f"doc_id {kind}, ends array<int>, counts array<int>")
