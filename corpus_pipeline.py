@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilspark.llm import jaccard_join, language_id, line_dedup, packing, quality
-from vigilspark.llm.common import read, shared_dir
+from vigilspark.llm.common import read, shared_dir, written
 from vigilspark.llm.queries import tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -44,10 +44,17 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays; documents without words link with nothing."""
-    groups = jaccard_join.jaccard_groups(docs)
-    stays = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(stays, docs["doc_id"].eqNullSafe(stays["doc_id"]), "left_semi").select(*COLUMNS)
+    """Of each group of linked documents one row stays, of the smallest id; documents without words link with nothing.
+
+    Rows that share an id are one document, of which the least row stays. A null id is a document of its own text, and comes last.
+    """
+    own = F.col("doc_id").cast("bigint")
+    rows = docs.withColumn("_key", F.coalesce(own, F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2) + F.lit((1 << 62) - 1)))
+    groups = jaccard_join.jaccard_groups(rows, id_col="_key").filter("doc_id = component_id")
+    stays = written(groups.groupBy(F.col("doc_id").alias("_key")).agg(F.count("*").alias("n")), "stays")
+    single = rows.join(stays.filter("n = 1"), "_key", "left_semi").select(*COLUMNS)
+    least = F.min(F.struct("text", *(c for c in COLUMNS if c != "text"))).alias("r")
+    return single.union(rows.join(stays.filter("n > 1"), "_key", "left_semi").groupBy("_key").agg(least).select(*(F.col(f"r.{c}") for c in COLUMNS)))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

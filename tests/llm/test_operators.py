@@ -281,6 +281,13 @@ def test_jaccard_groups_of_near_copies(spark, monkeypatch, per_row):
     assert sorted(map(tuple, got.collect())) == brute_groups(rows)
 
 
+def test_jaccard_rows_of_one_id(spark):
+    a, b, c = (prose(k, 40) for k in (21, 22, 23))
+    rows = [(1, a), (5, a), (5, b), (7, b), (7, None), (8, c), (9, ""), (None, b), (None, prose(24, 40))]
+    got = jaccard_join.jaccard_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 99, r.component_id or 99) for r in got) == [(1, 1), (5, 1), (5, 1), (7, 1), (7, 1), (8, 8), (9, 9), (99, 1), (99, 99)]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "x bigint, y bigint")).collect()}

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tests.llm.test_operators import brute_groups, brute_lines
+from tests.llm.test_operators import brute_groups, brute_lines, prose
 from vigilspark.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -57,3 +57,11 @@ def test_run(spark, kept):
 def test_registered():
     assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
     assert set(SQL) <= set(QUERIES)
+
+
+def test_one_row_of_each_group(spark):
+    a, b, c, d = (prose(k, 40) for k in (21, 22, 23, 24))
+    rows = [(3, a), (3, a), (3, b), (7, b), (None, c), (None, c), (None, d), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [(r.doc_id or 99, r.text) for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()]
+    assert sorted(got) == sorted([(3, min(a, b)), (8, ""), (99, c), (99, d)])

@@ -317,8 +317,8 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
 
     Sets with 100 * intersection >= percent * union link; component_id is the smallest doc_id that links
     reach. Texts without words (null, empty, white space) have 0 shingles and link with nothing, not even
-    with one another. Rows that share a doc_id count as one document: a link of either is a link of both. A
-    null doc_id sorts last, and a group of null ids alone has a null component. doc_id is read as bigint. An
+    with one another. Rows that share a doc_id count as one document: a link of either is a link of both,
+    and all of them have one component. Null ids are no shared id. A null doc_id sorts last, and a group of null ids alone has a null component. doc_id is read as bigint. An
     empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
@@ -356,7 +356,13 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
         .join(key, ["c", "n"]).select(F.col("node").alias("b"), F.col("lead_c").alias("c"), F.col("lead_n").alias("n"))
         .join(key, ["c", "n"]).select(F.least("b", "node").alias("x"), F.greatest("b", "node").alias("y")).filter("x <> y").distinct()
     )
-    links = written(checked(stars, rows, classes, percent), "stars")
+    # rows of one id are one document, so its classes link whatever their likeness
+    name = F.struct("c", "n")
+    several = each.filter(F.col("doc_id") != NONE).groupBy("doc_id").agg(F.min(name).alias("a"), F.max(name).alias("b")).filter("a <> b").select("doc_id")
+    several = written(each.select("doc_id", "c", "n").join(several, "doc_id", "left_semi").filter("n > 0").distinct(), "several")
+    same = several.join(key, ["c", "n"]).select("node", "doc_id")
+    same = same.join(same.groupBy("doc_id").agg(F.min("node").alias("x")), "doc_id").select("x", F.col("node").alias("y")).filter("x <> y").distinct()
+    links = written(checked(stars, rows, classes, percent).union(same), "stars")
     found = components(links)
 
     shared_rows = told.filter("s IS NOT NULL").select("s", "c", "n", "pos")
@@ -385,9 +391,10 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
             most = None  # all that is left is tested in full
 
     label = key.join(found, "node", "left").select("c", "n", F.coalesce("component", "node").alias("component_id"))
-    out = each.select("doc_id", "n", "c").join(label, ["c", "n"], "left")
+    own = written(several.join(label, ["c", "n"]).groupBy("doc_id").agg(F.min("component_id").alias("own")), "own")  # for rows without words
+    out = each.select("doc_id", "n", "c").join(label, ["c", "n"], "left").join(own, "doc_id", "left")
     return out.select(
         F.nullif("doc_id", F.lit(NONE)).alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.nullif(F.coalesce("component_id", "doc_id"), F.lit(NONE)).alias("component_id"),
+        F.nullif(F.coalesce("component_id", "own", "doc_id"), F.lit(NONE)).alias("component_id"),
     )
