@@ -315,6 +315,18 @@ def test_fingerprints(docs, nothing):
     assert fingerprints.compare_neighbours(docs).count() == docs.count()
 
 
+def test_fingerprints_of_short_texts():
+    texts = [prose(100 + k, n) for k, n in enumerate([1, 2, 3, 5, 5, 6, 7, 9] * 8)]
+    rows = fingerprints.sketches(pa.array(texts))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            if not shingle_set(a) & shingle_set(b):
+                assert fingerprints.likeness(rows[i], rows[j]) < 0.12
+    ten = prose(5, 14)
+    a, b = fingerprints.sketches(pa.array([ten, f"{ten} behind"]))
+    assert 0.6 < fingerprints.likeness(a, b) <= 1 and fingerprints.likeness(a, a) == 1
+
+
 def labelled(spark, n=400):
     rng, rows, labels = np.random.default_rng(11), [], []
     for i in range(n):

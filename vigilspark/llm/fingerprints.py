@@ -2,7 +2,7 @@
 
 A text's five-word shingles are hashed once; a hash's high bits name its bin and each bin keeps its least
 hash. An empty bin takes the value of the first filled bin in its own random order of bins (optimal
-densification). The low-order BITS of each bin are packed into the fingerprint. Two fingerprints' share of
+densification), mixed with its own number, so that values agree by chance in each bin anew. The low-order BITS of each bin are packed into the fingerprint. Two fingerprints' share of
 equal bins, less the share that agrees by chance, estimates the Jaccard similarity.
 """
 
@@ -36,15 +36,22 @@ def sketches(texts: pa.Array) -> np.ndarray:
     out = np.full(len(sizes) * BINS, 255, np.uint8)
     filled[key[first]] = True
     out[key[first]] = (flat[first] & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+    held, value = key[first], flat[first]
+
+    def copied(row: np.ndarray, at: np.ndarray, bin_: np.ndarray) -> np.ndarray:
+        found = value[np.searchsorted(held, row * BINS + at)]
+        return (mix(found ^ mix(bin_.astype(np.uint64) + np.uint64(1 << 40))) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+
     filled, out = filled.reshape(-1, BINS), out.reshape(-1, BINS)
-    one = np.flatnonzero(filled.sum(1) == 1)
-    out[one] = out[one].min(1)[:, None]  # its only value is every bin's
+    one = filled.sum(1) == 1
+    row, bin_ = np.nonzero(~filled & one[:, None])
+    out[row, bin_] = copied(row, filled.argmax(1)[row], bin_)  # its only value is every bin's
     row, bin_ = np.nonzero(~filled & (filled.sum(1) > 1)[:, None])
     attempt = 0
     while len(row):
         at = (mix(bin_.astype(np.uint64) + np.uint64((attempt + 1) << 20)) % np.uint64(BINS)).astype(np.int64)
         hit = filled[row, at]
-        out[row[hit], bin_[hit]] = out[row[hit], at[hit]]
+        out[row[hit], bin_[hit]] = copied(row[hit], at[hit], bin_[hit])
         row, bin_, attempt = row[~hit], bin_[~hit], attempt + 1
     return out
 
