@@ -53,3 +53,14 @@ def test_every_anchor_is_a_table_row(spark):
     want = sorted((r.page_id, r.href, r.text) for r in links.collect())
     assert max(n for _, n in links.groupBy("page_id").count().collect()) > 5
     assert sorted((r.page_id, r.href, r.title) for r in QUERIES["udf_04_tables"](spark, SF).collect()) == want
+
+
+def test_snapshots_keep_their_partitions(spark, monkeypatch):
+    from vigilspark.plans import storage
+
+    whole, roots = storage.documents.snapshot, set()
+    source = storage.streaming.source
+    monkeypatch.setattr(storage.documents, "snapshot", lambda *a: whole(*a).repartition(3))
+    monkeypatch.setattr(storage.streaming, "source", lambda spark, root, *a: roots.add(root) or source(spark, root, *a))
+    assert QUERIES["str_03_streaming_changes"](spark, SF).count() > 0
+    assert len(spark.read.parquet(roots.pop()).inputFiles()) == 9

@@ -91,16 +91,15 @@ def str_02_live_counters(spark, sf):
 
 @query(f"WITH {A}, {B}, {C}, {ALL} SELECT regulation, source, document_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN b IS NULL THEN 'new' WHEN b = content_hash THEN 'unchanged' ELSE 'updated' END AS event FROM (SELECT *, lag(content_hash) OVER (PARTITION BY regulation, source, document_id ORDER BY ts) AS b FROM al)")
 def str_03_streaming_changes(spark, sf):
-    """Snapshots A, B and C arrive one after the other."""
-    root, first = tables.scratch(spark, "captures"), None
-    for name in "ABC":
-        rows = _timed(documents.snapshot(spark, sf, name)).select(*KEY, "ts", "content_hash")
-        rows.coalesce(1).write.mode("append").parquet(root)
-        first = first or rows.schema
+    """Snapshots A, B and C arrive one after the other; the stream goes on to its end behind each."""
+    root, out, checkpoint = tables.scratch(spark, "captures"), tables.scratch(spark, "changes"), tables.scratch(spark, "changes-checkpoint")
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", streaming.ROCKSDB)
     try:
-        told = streaming.run_to_end(streaming.changes(streaming.source(spark, root, first, 1)), tables.scratch(spark, "changes"), tables.scratch(spark, "changes-checkpoint"))
+        for name in "ABC":
+            rows = _timed(documents.snapshot(spark, sf, name)).select(*KEY, "ts", "content_hash")
+            rows.write.mode("append").parquet(root)
+            told = streaming.run_to_end(streaming.changes(streaming.source(spark, root, rows.schema)), out, checkpoint)
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return told.select(*KEY, F.date_format("ts", "yyyy-MM-dd").alias("day"), "event")
