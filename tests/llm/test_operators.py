@@ -65,7 +65,29 @@ def test_bpe_decodes_null_and_keeps_columns(spark):
 
 def test_parts_join_to_text():
     texts = [t for t in TEXTS if t] + ["a  b", " a", "a ", "a \n b", "\x1c a", ""]
-    assert [" ".join(parts) for parts in pretokens.split(texts)[0]] == texts
+    parts = pretokens.Parts(pa.array(texts))
+    names, of = pretokens.distinct([parts])
+    edge = np.concatenate([[0], np.cumsum(parts.of_text)])
+    assert ["".join(names[k] for k in of[a:b]) for a, b in zip(edge, edge[1:])] == texts
+    assert len(set(names)) == len(names)
+
+
+def test_parts_with_one_hash_stay_apart():
+    parts = pretokens.Parts(pa.array(["one two two", "six"]))
+    parts.key[:] = 7
+    names, of = pretokens.distinct([parts])
+    assert [names[k] for k in of] == ["one", " two", " two", "six"]
+
+
+def test_words_of_parts():
+    import public_tokenizers
+    import regex
+
+    parts = ["one", " two,", "a\tb", " ", "\n\n x", " I'll", "\x1c q", "\u3000z", " <|endoftext|>", "\n"]
+    names, size, flat = bpe.words_of(parts)
+    ends = np.cumsum(size)
+    assert [[names[k] for k in flat[e - n : e]] for e, n in zip(ends, size)] == [regex.findall(public_tokenizers.PATTERN, p) for p in parts]
+    assert len(set(names)) == len(names)
 
 
 def test_token_counts_equal_library(docs, nothing):

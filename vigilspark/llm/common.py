@@ -37,6 +37,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """As written, but in buckets of a key, so that a later join or grouping by it leaves these rows where they are."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def texts_only(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """The columns that an operator needs, under its own names, so that other columns can't clash. Null text: empty."""
     return df.select(

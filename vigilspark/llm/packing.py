@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilspark.llm.common import slices, texts_only, written
-from vigilspark.llm.pretokens import PartCache
+from vigilspark.llm.pretokens import PART_SLICE, PartCache, spread
 from vigilspark.llm.token_counts import byte_letters
 
 LENGTH, END_ID = 1024, 0
@@ -82,12 +82,19 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts, dtype = encoder(path)
         known = PartCache(encode_texts)
-        part, before, end = TaskContext.get().partitionId(), 0, np.array([end_id], dtype).tobytes()
-        for batch in slices(batches):
-            ids = [b"".join(parts) + end for parts in known.texts(batch.column("text").to_pylist())]
-            n = np.array([len(i) for i in ids], np.int64) // dtype().itemsize
+        part, before, width = TaskContext.get().partitionId(), 0, dtype().itemsize
+        for batch in slices(batches, most=PART_SLICE):
+            parts, _, coded, of = known.texts(batch.column("text"))
+            size = np.fromiter(map(len, coded), np.int64, len(coded)) // width
+            flat, first = np.frombuffer(b"".join(coded), dtype), np.cumsum(size) - size
+            tokens = np.concatenate([[0], np.cumsum(size[of])])[np.concatenate([[0], np.cumsum(parts.of_text)])]  # before each text
+            n = np.diff(tokens) + 1
+            out = np.full(int(n.sum()), end_id, dtype)
+            out[spread(np.cumsum(n) - n, n - 1)] = flat[spread(first[of], size[of])]
             ends = before + np.cumsum(n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(ends - n), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "part", "before", "n", "ids"])
+            offsets = pa.py_buffer((np.concatenate([[0], np.cumsum(n)]) * width).astype(np.int32))
+            ids = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, offsets, pa.py_buffer(out)])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(ends - n), pa.array(n), ids], ["doc_id", "part", "before", "n", "ids"])
             before = int(ends[-1])
 
     return rows.mapInArrow(encode, f"doc_id {kind}, part int, before bigint, n bigint, ids binary")
@@ -105,7 +112,7 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID,
     totals = whole.groupBy("part").agg(F.sum("n").alias("total"))
     # one row for each partition that was read; its running sum is the only step in one task
     offsets = totals.select("part", (F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("base"))
-    placed = whole.join(offsets, "part").select("doc_id", "n", "ids", (F.col("base") + F.col("before")).alias("at"))
+    placed = whole.join(F.broadcast(offsets), "part").select("doc_id", "n", "ids", (F.col("base") + F.col("before")).alias("at"))
     kind = dict(whole.dtypes)["doc_id"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

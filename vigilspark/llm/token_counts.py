@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from vigilspark.llm.common import slices, texts_only
-from vigilspark.llm.pretokens import PartCache
+from vigilspark.llm.pretokens import PART_SLICE, PartCache
 
 LIMIT = 512
 #: Entries of a worker's word cache; beyond, it starts anew. Only speed depends on it.
@@ -239,18 +239,18 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(path)
         known = PartCache(own.parts)
-        for batch in slices(batches):
-            out, texts = [], batch.column("text").to_pylist()
-            for text, parts in zip(texts, known.texts(texts), strict=True):
-                table = np.array(parts, np.int64)
-                ends = np.cumsum(table, axis=0)
-                within = int(np.searchsorted(ends[:, 1], limit, "right"))
-                fit, used = map(int, ends[within - 1]) if within else (0, 0)
-                if within < len(ends):
-                    fit += own.fit(text.encode()[fit : int(ends[within, 0])].decode(), limit - used)
-                out.append((int(ends[-1, 0]), int(ends[-1, 1]), int(ends[-1, 1]) > limit, fit))
-            n_bytes, n_tokens, over, fit = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(over, pa.bool_()), pa.array(fit, pa.int64())], ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_bytes"])
+        for batch in slices(batches, most=PART_SLICE):
+            parts, names, coded, of = known.texts(batch.column("text"))
+            table = np.array(coded, np.int64).reshape(-1, 2)
+            upto = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(table[of], axis=0)])  # bytes and tokens before each part
+            edge = np.concatenate([[0], np.cumsum(parts.of_text)])
+            n_bytes, n_tokens = np.diff(upto[edge], axis=0).T
+            fit = n_bytes.copy()
+            for k in np.flatnonzero(n_tokens > limit).tolist():  # the part that crosses the limit, and its own prefixes
+                a, b = edge[k], edge[k + 1]
+                at = a + int(np.searchsorted(upto[a + 1 : b + 1, 1], upto[a, 1] + limit, "right"))
+                fit[k] = upto[at, 0] - upto[a, 0] + own.fit(names[of[at]], limit - int(upto[at, 1] - upto[a, 1]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes), pa.array(n_tokens), pa.array(n_tokens > limit), pa.array(fit)], ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_bytes"])
 
     return rows.mapInArrow(count, f"doc_id {kind}, {SCHEMA}")
 
