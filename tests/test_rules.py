@@ -162,7 +162,7 @@ def test_last_policy_modes(spark):
     ],
 )
 def test_disposition(spark, header, want):
-    assert one(spark, header, lambda c: fn.disposition_filename(c, any_charset=True)) == want
+    assert one(spark, header, lambda c: fn.disposition_filename(c)) == want
 
 
 def test_expressions(spark):
@@ -196,7 +196,7 @@ def test_listing_tables(spark):
 def test_region_links(spark):
     html = '<nav><a href="/n">N</a></nav><article><a class="k" href="/a">A <b>x</b></a><a href="">E</a></article>'
     got = extract.region_links(spark.createDataFrame([(1, html), (2, "<p>")], "page_id int, html string")).orderBy("page_id", "pos").collect()
-    assert [(r.page_id, r.region_missing, r.href, r.text) for r in got] == [(1, False, "/a", "A x"), (1, False, None, "E"), (2, True, None, None)]
+    assert [(r.page_id, r.region_missing, r.href, r.text) for r in got] == [(1, False, "/a", "Ax"), (1, False, "", "E"), (2, True, None, None)]
 
 
 def test_block_and_response_classes(spark):
@@ -205,8 +205,13 @@ def test_block_and_response_classes(spark):
 
 
 def test_versions(spark):
-    rows = spark.createDataFrame([("m", 1, "0x-20240101", "t"), ("m", 2, "0x-20230101", "Access current version (1)"), ("n", 1, "0y-20200101", "t"), ("n", 2, "0y-20210101", "t"), ("k", 1, None, "t")], "act string, pos int, v string, text string")
-    assert {r.act: r.v for r in extract.latest_version(rows, "act", "v", "text", "pos").collect()} == {"m": "0x-20230101", "n": "0y-20210101"}
+    href = "/legal-content/EN/ALL/?uri=CELEX:{}"
+    anchors = [("m", 1, href.format("02017R0745-20240101"), "t"), ("m", 2, href.format("02017R0745-20230101"), "Access current version (1)"), ("m", 3, "/x", "Access current version"),
+               ("n", 1, href.format("02017R0746-20200101"), "t"), ("n", 2, href.format("02017R0746-20210101"), "t"), ("k", 1, href.format("02099R0001-20210101"), "t")]
+    acts = [("m", "32017R0745"), ("n", "32017R0746"), ("k", "32017R0747"), ("none", "32017R0748")]
+    found = extract.consolidated(spark.createDataFrame(acts, "act string, celex string"), spark.createDataFrame(anchors, "act string, pos int, href string, text string"))
+    got = {r.act: (r.consolidated_celex, r.error is None) for r in found.collect()}
+    assert got == {"m": ("02017R0745-20230101", True), "n": ("02017R0746-20210101", True), "k": (None, False), "none": (None, False)}
 
 
 def test_allowed_paths(spark):
@@ -215,13 +220,17 @@ def test_allowed_paths(spark):
     assert {r.url: r.allowed for r in extract.allowed_paths(cands, robots, "bot").collect()} == {"https://o/private/a": False, "https://o/b": True, "https://q/private": True}
 
 
-def test_specs(spark):
-    assert len([s for s in specs.SPECS if not s.startswith("demo")]) == 17
-    rec = spark.createDataFrame([("K1", "Dev", "Co", "20240101", "SE", "ABC", "T", "Summary"), ("K2", "", None, None, None, None, None, None)], "k_number string, device_name string, applicant string, decision_date string, decision_code string, product_code string, clearance_type string, statement_or_summary string")
-    got = specs.SPECS["fda:clearances_510k"].captures(rec, "to_json(struct(*))").orderBy("document_id").collect()
-    assert [r.document_id for r in got] == ["K1/metadata", "K1/summary", "K2/metadata", "K2/summary"] and got[2].title == "K2" and got[0].source_metadata["applicant"] == "Co"
-    settings = spark.createDataFrame([(0.2, None, -1, 90), (None, 7, None, 10), (None, None, None, None)], "rps double, override_max int, max_new int, remaining bigint")
-    assert [(r.max_new, r.this_run, r.eta_s) for r in specs.preview(specs.effective(settings)).collect()] == [(None, 90, 450.0), (7, 7, 7.0), (1000, None, None)]
+def test_settings(spark):
+    """Command, then own, then global, then default; -1 is no limit only once it has won."""
+    sources = spark.createDataFrame([("r", x) for x in "abcd"], "regulation string, source string")
+    own = spark.createDataFrame([("r", "a", 0.2, -1, 14), ("r", "b", None, 40, None)], "regulation string, source string, rps double, max_new int, recheck_after_days int")
+    over = spark.createDataFrame([("r", "b", -1, 3), ("r", "c", 7, None)], "regulation string, source string, max_new int, lookback_days int")
+    got = {r.source: (r.enabled, r.rps, r.max_new, r.recheck_after_days, r.lookback_days, r.time_budget_minutes) for r in specs.effective(sources, own, over, {"max_new": 25}).collect()}
+    assert got == {"a": (True, 0.2, None, 14, None, None), "b": (True, 1.0, None, None, 3, None), "c": (True, 1.0, 7, None, None, None), "d": (True, 1.0, 25, None, None, None)}
+    plain = {r.max_new for r in specs.effective(sources, own.limit(0)).collect()}
+    assert plain == {1000}
+    left = spark.createDataFrame([(0.2, None, 90), (1.0, 7, 10), (1.0, 1000, None)], "rps double, max_new int, remaining bigint")
+    assert [(r.this_run, r.eta_s) for r in specs.preview(left).collect()] == [(90, 450.0), (7, 7.0), (None, None)]
 
 
 def test_lenient_files(spark, tmp_path):

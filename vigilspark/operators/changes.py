@@ -1,7 +1,7 @@
 """Change detection by content hash, current state, versions and events.
 
-Tables: captures (regulation, source, document_id, content, ts, title, url, ext, filename) and current state
-(STATE). All joins are on the three-part key, so one shuffle of hashes and metadata serves a whole batch;
+Tables: captures (regulation, source, document_id, content, ts, title, url, ext, filename; content_type,
+http_status and source_metadata where there are any) and current state (STATE). All joins are on the three-part key, so one shuffle of hashes and metadata serves a whole batch;
 content is hashed where it is read and does not move.
 """
 
@@ -15,8 +15,9 @@ VERSION = "struct<ts:timestamp_ntz,hash:string,size_bytes:bigint>"
 STATE = {
     "title": "string", "original_filename": "string", "canonical_url": "string", "first_seen_at": "timestamp_ntz", "last_scraped_at": "timestamp_ntz",
     "last_checked_at": "timestamp_ntz", "last_changed_at": "timestamp_ntz", "current_hash": "string", "current_storage_path": "string",
-    "size_bytes": "bigint", "version_history": f"array<{VERSION}>",
+    "size_bytes": "bigint", "version_history": f"array<{VERSION}>", "content_type": "string", "source_metadata": "map<string,string>",
 }
+#: Fixed value: the content that marks an item known to have no file.
 SENTINEL = '{"not_applicable": true}'
 
 
@@ -46,13 +47,22 @@ def empty_state(captures: DataFrame) -> DataFrame:
     return captures.select(*KEY).limit(0).select(*KEY, *(F.lit(None).cast(t).alias(c) for c, t in STATE.items()))
 
 
+def _own(captures: DataFrame, name: str, kind: str, alias: str = "") -> Column:
+    """A column that captures may lack."""
+    return F.col(f"{alias}{name}") if name in captures.columns else F.lit(None).cast(kind)
+
+
 def classify(captures: DataFrame, state: DataFrame) -> DataFrame:
-    """Adds event to hashed captures: new, unchanged or updated. One capture per document."""
-    known = state.select(*KEY, F.col("current_hash").alias("old_hash"), F.lit(True).alias("held"))
+    """Adds event to hashed captures (new, unchanged or updated), old_hash and held_path, where the held content is. One capture per document."""
+    known = state.select(*KEY, F.col("current_hash").alias("old_hash"), F.col("current_storage_path").alias("held_path"), F.lit(True).alias("held"))
     event = F.when(F.col("held").isNull(), "new").when(F.col("old_hash") == F.col("content_hash"), "unchanged").otherwise("updated")
     return captures.join(known, KEY, "left").withColumn("event", event).drop("held")
 
 
+def no_metadata() -> Column:
+    return F.create_map().cast("map<string,string>")
+
+
 def merge(captures: DataFrame, state: DataFrame) -> DataFrame:
     """The state after a batch of hashed captures, one per document. An unchanged capture touches only last_checked_at and a missing file name."""
     old, new = state.alias("o"), captures.alias("n")
@@ -74,6 +84,8 @@ def merge(captures: DataFrame, state: DataFrame) -> DataFrame:
         take(F.col("n.content_hash"), F.col("o.current_hash")).alias("current_hash"),
         take(current_path(F.col("n.ext")), F.col("o.current_storage_path")).alias("current_storage_path"),
         take(F.col("n.size_bytes"), F.col("o.size_bytes")).alias("size_bytes"),
+        take(_own(captures, "content_type", "string", "n."), F.col("o.content_type")).alias("content_type"),
+        take(F.coalesce(_own(captures, "source_metadata", "map<string,string>", "n."), no_metadata()), F.col("o.source_metadata")).alias("source_metadata"),
         take(F.concat(F.coalesce("o.version_history", F.array().cast(f"array<{VERSION}>")), version), F.col("o.version_history")).alias("version_history"),
     )
 
@@ -85,6 +97,17 @@ def replaced(captures: DataFrame, state: DataFrame) -> DataFrame:
     return both.select(*KEY, "current_hash", "current_storage_path", version_path(F.col("last_changed_at"), F.col("current_hash"), F.col("ext")).alias("archive_path"))
 
 
+def archived(replaced: DataFrame, files: DataFrame) -> DataFrame:
+    """The bytes of replaced versions under their archive path: archive_path, content_hash, size_bytes, content.
+
+    files: path and content, as a reader of raw files gives them. A version whose file is gone is left out.
+    """
+    held = files.select(F.col("path").alias("current_storage_path"), "content")
+    return replaced.join(held, "current_storage_path").select(
+        *KEY, "archive_path", F.sha2("content", 256).alias("content_hash"), F.octet_length("content").cast("bigint").alias("size_bytes"), "content"
+    )
+
+
 def replay(captures: DataFrame) -> DataFrame:
     """Versions of every document from any number of hashed captures: those whose hash differs from the one before. A return to an old hash is a new version."""
     before = F.lag("content_hash").over(Window.partitionBy(*KEY).orderBy("ts"))
@@ -102,20 +125,48 @@ def version_count(history: Column) -> Column:
 
 
 def events(classified: DataFrame, run_id: Column) -> DataFrame:
-    """One fetch event per classified capture."""
-    return classified.select(run_id.alias("run_id"), *KEY, "event", "ts", "url", "content_hash", F.when(F.col("event") == "error", None).otherwise(current_path(F.col("ext"))).alias("storage_path"))
+    """One fetch event per classified capture. An unchanged one tells the path of what is held, the others that of the new content."""
+    path = F.when(F.col("event") == "unchanged", F.col("held_path")).otherwise(current_path(F.col("ext")))
+    return classified.select(
+        run_id.alias("run_id"), *KEY, "event", "ts", "url", _own(classified, "http_status", "int").alias("http_status"),
+        "content_hash", path.alias("storage_path"), F.lit(None).cast("string").alias("error"),
+    )
+
+
+def error_events(failed: DataFrame, run_id: Column) -> DataFrame:
+    """Fetch events of outcomes without content: error and its text, no hash and no path."""
+    none = lambda kind: F.lit(None).cast(kind)
+    return failed.select(
+        run_id.alias("run_id"), *KEY, F.lit("error").alias("event"), "ts", "url", none("int").alias("http_status"),
+        none("string").alias("content_hash"), none("string").alias("storage_path"), "error",
+    )
 
 
 def canonical(columns: list[str]) -> Column:
-    """JSON of columns in name order, nulls included, so that the order of keys never looks like a change."""
+    """JSON of columns in name order, nulls included, so that the order of keys never looks like a change. Maps among them should come sorted (sorted_map)."""
     return F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
 
 
+def sorted_map(column: Column) -> Column:
+    """A map with its keys in order."""
+    return F.map_from_entries(F.array_sort(F.map_entries(column)))
+
+
 def settled_miss(row_ok: Column, content: Column) -> Column:
     """Content of a capture: the file, or the sentinel that marks an item known to have none."""
     return F.when(row_ok, content).otherwise(F.lit(SENTINEL))
 
 
+def not_applicable(rows: DataFrame, title: Column, reason: Column, *keys: str) -> DataFrame:
+    """Captures of items known to have no file, so that later runs skip them: the sentinel, a title, and metadata of the keys, not_applicable and reason."""
+    pairs = [x for k in keys for x in (F.lit(k), F.col(k).cast("string"))]
+    metadata = F.create_map(*pairs, F.lit("not_applicable"), F.lit("true"), F.lit("reason"), reason)
+    return rows.withColumns({
+        "title": title, "content": F.lit(SENTINEL), "ext": F.lit("json"), "content_type": F.lit("application/json"),
+        "http_status": F.lit(200), "source_metadata": metadata,
+    })
+
+
 def registry_diff(old: DataFrame, new: DataFrame, key: list[str], values: list[str]) -> DataFrame:
     """insert, update, unchanged or delete for each key of two registries."""
     a, b = old.select(*key, *(F.col(v).alias(f"old_{v}") for v in values), F.lit(1).alias("in_old")), new.select(*key, *values, F.lit(1).alias("in_new"))

@@ -1,19 +1,21 @@
 """Rows and links from pages, and classes of responses.
 
-Regular markup is read by built-in expressions. Nested tables need an HTML parser: a generator over Arrow
-batches runs it where the page is read, so there is no shuffle and one page at a time is in memory.
+Links and tables need an HTML parser: a generator over Arrow batches runs it where the page is read, so there is
+no shuffle and one page at a time is in memory. Classes and rules are built-in expressions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from urllib.robotparser import RobotFileParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilspark.functions import policy
+from vigilspark.operators.requests import RETRYABLE
+
 #: Phrases of block pages, the size up to which a page can be one, and how far it is read.
 BLOCK_PHRASES = (
     "fda apology",
@@ -27,32 +29,90 @@ BLOCK_PHRASES = (
 )
 BLOCK_BYTES, BLOCK_CHARS = 20_000, 4000
 
-CELLS = "table_no int, row_no int, category string, classes string, cells array<struct<text:string,spaced:string,header:string,href:string>>"
+#: Elements without an end.
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+CELLS = (
+    "table_no int, row_no int, body int, category string, classes string, "
+    "cells array<struct<text:string,spaced:string,header:string,href:string,link:string>>"
+)
 
 
-def links(html: Column) -> Column:
-    """Array of (href, text) of the anchors, with tags inside the text left out."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)(<a\s[^>]*href=\"[^\"]*\"[^>]*>.*?</a>)"), F.lit(1))
-    return F.transform(found, lambda a: F.struct(anchor_href(a).alias("href"), anchor_text(a).alias("text")))
+class _Links(HTMLParser):
+    """Anchors with a target inside the first element that has an attribute's value (or is of a tag); all of the page's without either."""
 
+    def __init__(self, tag: str | None = None, attribute: tuple[str, str] | None = None):
+        super().__init__(convert_charrefs=True)
+        self.tag, self.attribute, self.found, self.open = tag, attribute, [], None
+        self.depth, self.name, self.seen = 0, None, tag is None and attribute is None
+        self.inside = self.seen
 
-def anchor_href(snippet: Column) -> Column:
-    return F.nullif(F.regexp_extract(snippet, r"(?is)<a\s[^>]*href=\"([^\"]*)\"", 1), F.lit(""))
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if not self.seen and (tag == self.tag or (self.attribute and a.get(self.attribute[0]) == self.attribute[1])):
+            self.seen = self.inside = True
+            self.name, self.depth = tag, 1
+        elif self.inside and tag == self.name and tag not in VOID:
+            self.depth += 1
+        if self.inside and tag == "a":
+            self.open = None  # anchors do not nest
+            if a.get("href") is not None:
+                self.open = [a["href"], []]
+                self.found.append(self.open)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
 
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.open = None
+        if self.inside and tag == self.name:
+            self.depth -= 1
+            if not self.depth:
+                self.inside, self.open = False, None
+
+    def handle_data(self, data):
+        if self.open is not None and data.strip():
+            self.open[1].append(data.strip())
 
-def anchor_text(snippet: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_extract(snippet, r"(?is)<a\s[^>]*>(.*?)</a>", 1), "<[^>]*>", ""))
 
+def page_links(html: str | None, tag: str | None = None, attribute: tuple[str, str] | None = None) -> list[tuple[str, str]] | None:
+    """Target and text (nodes stripped, joined by nothing) of each anchor of the region; None without the region."""
+    parser = _Links(tag, attribute)
+    parser.feed(html or "")
+    parser.close()
+    return [(href, "".join(nodes)) for href, nodes in parser.found] if parser.seen else None
+
+
+def region_links(pages: DataFrame, html: str = "html", tag: str | None = "article", attribute: tuple[str, str] | None = None, keep: list[str] | None = None) -> DataFrame:
+    """One row per link inside the region: kept columns, region_missing, pos, href, text. A page without the region, or without links, gives one row without pos.
+
+    The region is the first element with an attribute's value, else the first of the tag; with neither, the page.
+    """
+    names = keep or ["page_id"]
+    kinds = dict(pages.dtypes)
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for kept, text in zip(frame[names].itertuples(index=False, name=None), frame[html], strict=True):
+                found = page_links(text, None if attribute else tag, attribute)
+                out += [(*kept, False, k, *link) for k, link in enumerate(found or [])] or [(*kept, found is None, None, None, None)]
+            yield pd.DataFrame(out, columns=[*names, "region_missing", "pos", "href", "text"]).astype({"pos": "Int32"})
 
-def region(html: Column, tag: str = "article") -> Column:
-    """What a page's main region holds; null without one."""
-    return F.nullif(F.regexp_extract(html, rf"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1), F.lit(""))
+    kept = ", ".join(f"`{n}` {kinds[n]}" for n in names)
+    return pages.select(*names, html).mapInPandas(rows, f"{kept}, region_missing boolean, pos int, href string, text string")
 
 
-def region_links(pages: DataFrame, html: str = "html", tag: str = "article", keep: list[str] | None = None) -> DataFrame:
-    """One row per link inside the region: kept columns, pos, href, text. Pages without the region give one row with region_missing."""
-    main = pages.withColumn("_main", region(F.col(html), tag))
-    return main.select(*(keep or ["page_id"]), F.col("_main").isNull().alias("region_missing"), F.posexplode_outer(links(F.col("_main"))).alias("pos", "link")).select(*(keep or ["page_id"]), "region_missing", "pos", "link.href", "link.text")
+def anchor(snippet: Column) -> Column:
+    """href and text of a snippet's first anchor with a target; nulls without one."""
+
+    @F.pandas_udf("href string, text string")
+    def first(snippets: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(page_links(s) or [(None, None)])[0] for s in snippets], columns=["href", "text"], dtype=object)
+
+    return first(snippet)
 
 
 def is_block_page(content_type: Column, size: Column, body: Column) -> Column:
@@ -64,14 +124,15 @@ def is_block_page(content_type: Column, size: Column, body: Column) -> Column:
 
 
 def response_class(disallowed: Column, failed: Column, block: Column, status: Column) -> Column:
-    """hard_stop, bot_block (both stop a run), error (this row only) or ok, in that order."""
-    return F.when(disallowed | failed, "hard_stop").when(block, "bot_block").when(status >= 400, "error").otherwise("ok")
+    """hard_stop, bot_block (both stop a run), error (this row only) or ok, in that order. A status that was tried again until the end is a failure, whatever the page."""
+    return F.when(disallowed | failed | status.isin(*RETRYABLE), "hard_stop").when(block, "bot_block").when(status >= 400, "error").otherwise("ok")
 
 
-def pdf_class(block: Column, status: Column, content_type: Column, settles: Column) -> Column:
-    """bot_block, miss (settled: the item has no file), error or ok, for items that should be a PDF."""
+def pdf_class(disallowed: Column, failed: Column, block: Column, status: Column, content_type: Column, settles: Column) -> Column:
+    """hard_stop, bot_block, ok, miss (settled: the item has no file) or error, for items that should be a PDF."""
     good = (status == 200) & F.lower(content_type).contains("pdf")
-    return F.when(block, "bot_block").when(good, "ok").when(settles, "miss").otherwise("error")
+    stop = disallowed | failed | status.isin(*RETRYABLE)
+    return F.when(stop, "hard_stop").when(block, "bot_block").when(good, "ok").when(settles, "miss").otherwise("error")
 
 
 def demoted(outcome: Column, host: Column, listing_host: str) -> Column:
@@ -84,16 +145,29 @@ def robots_state(status: Column, block: Column, unreachable: Column) -> Column:
     return F.when(unreachable | block, "blocked").when(status.isin(401, 403), "disallow_all").when(status >= 400, "absent").otherwise("loaded")
 
 
-def latest_version(anchors: DataFrame, act: str, version: str, text: str, pos: str) -> DataFrame:
-    """Per act the first version labelled current, else the one with the greatest date suffix."""
-    current = F.col(text).rlike("(?i)^Access current version")
-    return anchors.filter(F.col(version).isNotNull()).groupBy(act).agg(
-        F.coalesce(F.min_by(F.when(current, F.col(version)), F.when(current, F.col(pos))), F.max_by(version, F.regexp_extract(F.col(version), r"-(\d{8})$", 1))).alias(version)
-    )
+#: The label of an act's current version, and what its id looks like in a link.
+CURRENT, CELEX = "(?i)^access current version", r"CELEX:(0[0-9A-Za-z]*-\d{8})"
+
+
+def consolidated(acts: DataFrame, anchors: DataFrame, text_url: str = "https://eur-lex.europa.eu/legal-content/EN/TXT/?uri=CELEX:") -> DataFrame:
+    """The current consolidated version of each act: act, celex, consolidated_celex, url, error.
+
+    acts: act, celex (its own id). anchors: act, pos, href, text of its page. The first link labelled current
+    counts, else the one with the greatest date; an act without any has an error.
+    """
+    both = acts.join(anchors, "act", "left")
+    own = F.concat(F.lit("0"), F.expr("substring(celex, 2)"), F.lit("-"))
+    version = F.get(F.filter(F.regexp_extract_all("href", F.lit(CELEX), F.lit(1)), lambda v: v.startswith(own)), F.lit(0))
+    rows = both.withColumn("v", version).withColumn("current", F.coalesce(F.col("text").rlike(CURRENT) & F.col("v").isNotNull(), F.lit(False)))
+    first = F.min_by(F.when(F.col("current"), F.col("v")), F.when(F.col("current"), F.col("pos")))
+    last = F.max_by("v", F.regexp_extract("v", r"-(\d{8})$", 1))
+    out = rows.groupBy("act", "celex").agg(F.coalesce(first, last).alias("consolidated_celex"))
+    none = F.concat(F.lit("no consolidated version found for CELEX:"), F.col("celex"))
+    return out.withColumn("url", F.concat(F.lit(text_url), "consolidated_celex")).withColumn("error", F.when(F.col("consolidated_celex").isNull(), none))
 
 
 class _Tables(HTMLParser):
-    """Rows of a page's tables: cells with text (nodes stripped, joined by nothing and by blanks), header attribute and first link; the heading before the table."""
+    """Rows of a page's tables: cells with text (nodes stripped, joined by nothing and by blanks), header attribute, first link and its own text; the heading before the table."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -104,32 +178,43 @@ class _Tables(HTMLParser):
         if tag in ("h2", "h3", "h4"):
             self.in_heading = []
         elif tag == "table":
-            self.stack.append({"no": self.count, "classes": a.get("class") or "", "category": self.heading, "row": None, "n": 0, "cell": None})
+            self.stack.append({"no": self.count, "classes": a.get("class") or "", "category": self.heading, "row": None, "n": 0, "cell": None, "bodies": 0, "body": None})
             self.count += 1
         elif self.stack:
             t = self.stack[-1]
-            if tag == "tr":
+            if tag in ("tbody", "thead", "tfoot"):
+                self._close_row(t)
+                t["body"] = t["bodies"] if tag == "tbody" else None
+                t["bodies"] += tag == "tbody"
+            elif tag == "tr":
                 self._close_row(t)
                 t["row"] = []
             elif tag == "td" and t["row"] is not None:
                 self._close_cell(t)
-                t["cell"] = {"nodes": [], "header": (a.get("data-ecl-table-header") or "").strip(), "href": None}
+                t["cell"] = {"nodes": [], "header": (a.get("data-ecl-table-header") or "").strip(), "href": None, "link": None, "open": False}
             elif tag == "th":
                 self._close_cell(t)
-            elif tag == "a" and a.get("href") is not None:
-                for outer in self.stack:
-                    if outer["cell"] is not None and outer["cell"]["href"] is None:
-                        outer["cell"]["href"] = a["href"]
+            elif tag == "a":
+                for cell in self._cells():
+                    cell["open"] = False
+                    if a.get("href") is not None and cell["href"] is None:
+                        cell.update(href=a["href"], link=[], open=True)
 
     def handle_endtag(self, tag):
         if tag in ("h2", "h3", "h4") and self.in_heading is not None:
             self.heading, self.in_heading = "".join(self.in_heading), None
         elif self.stack:
             t = self.stack[-1]
-            if tag in ("td", "th"):
+            if tag == "a":
+                for cell in self._cells():
+                    cell["open"] = False
+            elif tag in ("td", "th"):
                 self._close_cell(t)
             elif tag == "tr":
                 self._close_row(t)
+            elif tag in ("tbody", "thead", "tfoot"):
+                self._close_row(t)
+                t["body"] = None
             elif tag == "table":
                 self._close_row(t)
                 self.stack.pop()
@@ -140,31 +225,38 @@ class _Tables(HTMLParser):
             return
         if self.in_heading is not None:
             self.in_heading.append(text)
-        for t in self.stack:
-            if t["cell"] is not None:
-                t["cell"]["nodes"].append(text)
+        for cell in self._cells():
+            cell["nodes"].append(text)
+            if cell["open"]:
+                cell["link"].append(text)
+
+    def _cells(self):
+        return [t["cell"] for t in self.stack if t["cell"] is not None]
 
     def _close_cell(self, t):
         if t["cell"] is not None:
             c = t["cell"]
-            t["row"].append({"text": "".join(c["nodes"]), "spaced": " ".join(c["nodes"]), "header": c["header"], "href": c["href"]})
+            link = None if c["link"] is None else "".join(c["link"])
+            t["row"].append({"text": "".join(c["nodes"]), "spaced": " ".join(c["nodes"]), "header": c["header"], "href": c["href"], "link": link})
             t["cell"] = None
 
     def _close_row(self, t):
         self._close_cell(t)
         if t["row"] is not None:
-            self.rows.append((t["no"], t["n"], t["category"], t["classes"], t["row"]))
+            self.rows.append((t["no"], t["n"], t["body"], t["category"], t["classes"], t["row"]))
             t["n"] += 1
             t["row"] = None
 
 
 def table_rows(html: str) -> list[tuple]:
+    """Rows as CELLS has them. body: the number of the row's tbody, null outside of one; 0 in a table without any."""
     parser = _Tables()
     parser.feed(html or "")
     parser.close()
     while parser.stack:
         parser._close_row(parser.stack.pop())
-    return parser.rows
+    parted = {no for no, _, body, *_ in parser.rows if body is not None}
+    return [(no, n, body if no in parted else 0, *rest) for no, n, body, *rest in parser.rows]
 
 
 def read_tables(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
@@ -174,7 +266,7 @@ def read_tables(pages: DataFrame, id_col: str = "page_id", html: str = "html") -
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = [(i, *row) for i, text in zip(frame[id_col], frame[html], strict=True) for row in table_rows(text)]
-            yield pd.DataFrame(out, columns=[id_col, "table_no", "row_no", "category", "classes", "cells"])
+            yield pd.DataFrame(out, columns=[id_col, "table_no", "row_no", "body", "category", "classes", "cells"]).astype({"body": "Int32"})
 
     return pages.select(id_col, html).mapInPandas(rows, f"{id_col} {kind}, {CELLS}")
 
@@ -183,24 +275,29 @@ def _cell(k: int, field: str = "text") -> Column:
     return F.get("cells", F.lit(k))[field]
 
 
+def first_table(rows: DataFrame) -> DataFrame:
+    """Rows of each page's first table that lie in its first body."""
+    return rows.filter("table_no = 0 AND body = 0")
+
+
 def letters(rows: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """First table: rows with a link that has a target and a text; dates, office and subject by place."""
+    """First table: rows whose first link has a target and a text of its own, which is the title; dates, office and subject by place."""
     link = F.get(F.filter("cells", lambda c: c["href"].isNotNull()), F.lit(0))
-    held = rows.filter((F.col("table_no") == 0) & (F.size(F.filter("cells", lambda c: c["href"].isNotNull())) > 0)).withColumn("link", link)
+    held = first_table(rows).withColumn("link", link).filter("link.href <> '' AND link.link <> ''")
     href = F.col("link.href")
-    return held.filter((href != "") & (F.col("link.text") != "")).select(
-        id_col, F.regexp_extract(href, "([^/]*)/*$", 1).alias("document_id"), F.col("link.text").alias("title"), href.alias("href"),
-        _cell(0).alias("posted_date"), _cell(1).alias("letter_issue_date"), _cell(3).alias("issuing_office"), _cell(4).alias("subject"),
+    return held.select(
+        id_col, F.regexp_extract(href, "([^/]*)/*$", 1).alias("document_id"), F.col("link.link").alias("title"), href.alias("href"),
+        _cell(0).alias("posted_date"), _cell(1).alias("letter_issue_date"), _cell(3).alias("issuing_office"), _cell(4).alias("subject"), "row_no",
     )
 
 
 def approvals(rows: DataFrame, id_col: str = "page_id", number: str = r"(H\d{6})") -> DataFrame:
     """First table: rows of five cells or more with a number in the second cell, else in the first."""
     found = F.coalesce(F.nullif(F.regexp_extract(_cell(1, "spaced"), number, 1), F.lit("")), F.nullif(F.regexp_extract(_cell(0, "spaced"), number, 1), F.lit("")))
-    held = rows.filter((F.col("table_no") == 0) & (F.size("cells") >= 5)).withColumn("number", found).filter("number IS NOT NULL")
+    held = first_table(rows).filter(F.size("cells") >= 5).withColumn("number", found).filter("number IS NOT NULL")
     return held.select(
         id_col, "number", _cell(0, "spaced").alias("approval_date"), _cell(2, "spaced").alias("device_name"), _cell(3, "spaced").alias("company"),
-        _cell(4, "spaced").alias("description"), _cell(1, "href").isNotNull().alias("has_detail_page"),
+        _cell(4, "spaced").alias("description"), _cell(1, "href").isNotNull().alias("has_detail_page"), "row_no",
     )
 
 
@@ -213,21 +310,29 @@ def classed_rows(rows: DataFrame, base: str, id_col: str = "page_id", cls: str =
     return held.select(id_col, "table_no", "row_no", url.alias("url"), by("Reference").alias("reference"), by("Title").alias("title"), by("Publication").alias("publication"), "category")
 
 
-def allowed_paths(candidates: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
-    """Adds allowed to candidates (origin, url) by their origin's robots file (origin, body): one row per origin, joined by origin.
+def fetch_decisions(candidates: DataFrame, robots: DataFrame, now: Column, agent: str = policy.AGENT) -> DataFrame:
+    """Adds decision, min_interval and opens_at to candidates (origin, url).
 
-    Without a file everything is allowed. Each Arrow batch parses a file once, however many URLs its origin has.
+    robots: one row per origin with state (loaded, absent, disallow_all, blocked), body, and policy_in_force, a
+    policy that is remembered. A loaded file tells rules and policy; under the other states the policy is the one
+    in force (none if absent), and only disallow_all forbids paths. decision: disallowed (by a path rule or
+    altogether), outside_hours (then opens_at tells when the host opens), or allowed. An origin without a row is
+    allowed. Each different file is parsed once; only the rules meet the URLs.
     """
-    both = candidates.join(robots.select("origin", F.col("body").alias("_robots")), "origin", "left")
-
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parsed = {}
-            for body in frame["_robots"].dropna().unique():
-                parsed[body] = RobotFileParser()
-                parsed[body].parse(body.splitlines())
-            ok = [b is None or b != b or parsed[b].can_fetch(agent, u) for b, u in zip(frame["_robots"], frame["url"], strict=True)]
-            yield frame.drop(columns="_robots").assign(allowed=ok)
-
-    fields = ", ".join(f"`{n}` {t}" for n, t in both.drop("_robots").dtypes)
-    return both.mapInPandas(judge, f"{fields}, allowed boolean")
+    fields = ["min_interval", "start_min", "end_min", "zone"]
+    read = robots.withColumn("_r", policy.robots(F.when(F.col("state") == "loaded", F.col("body")), agent))
+    own, held = (F.struct(*(F.col(f"{c}.{f}").alias(f) for f in fields)) for c in ("_r", "policy_in_force"))
+    force = F.when(F.col("state") == "loaded", own).when(F.col("state").isin("blocked", "disallow_all"), held)
+    known = read.select("origin", F.col("state").alias("_state"), force.alias("_policy"), F.col("_r.rules").alias("_rules"))
+    both = candidates.join(known, "origin", "left")
+    barred = (F.col("_state") == "disallow_all") | ((F.col("_state") == "loaded") & ~policy.allowed(F.col("_rules"), F.col("url")))
+    closed = F.col("_policy").isNotNull() & ~policy.open_now(F.col("_policy"), now)
+    decision = F.when(barred, "disallowed").when(closed, "outside_hours").otherwise("allowed")
+    out = both.withColumn("decision", decision).withColumn("min_interval", F.col("_policy.min_interval"))
+    return out.withColumn("opens_at", F.when(closed, policy.next_open(F.col("_policy"), now))).drop("_state", "_policy", "_rules")
+
+
+def allowed_paths(candidates: DataFrame, robots: DataFrame, agent: str = policy.AGENT) -> DataFrame:
+    """Adds allowed to candidates by their origin's robots file (origin, body, one row each) alone. Without a file everything is allowed."""
+    known = robots.select("origin", policy.robots(F.col("body"), agent)["rules"].alias("_rules"))
+    return candidates.join(known, "origin", "left").withColumn("allowed", policy.allowed(F.col("_rules"), F.col("url"))).drop("_rules")

@@ -14,8 +14,8 @@ def seconds_between(earlier: Column, later: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(1_000_000.0)
 
 
-def outcomes(log: DataFrame) -> DataFrame:
-    """Per origin: requests, status classes, throttled, latency."""
+def outcomes(log: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """Per origin: requests, status classes, throttled, latency. The median is off by 1 / accuracy of the ranks at most."""
     s, ms = F.col("status"), F.col("elapsed_ms")
     return log.filter(F.col("message") == "http_request").groupBy("origin").agg(
         F.count("*").alias("requests"),
@@ -24,7 +24,7 @@ def outcomes(log: DataFrame) -> DataFrame:
         F.count_if(s >= 500).alias("server_errors"),
         F.count_if(s == 429).alias("throttled"),
         F.round(F.avg(ms), 4).alias("avg_ms"),
-        F.round(F.percentile(ms, F.lit(0.5)), 4).alias("p50_ms"),
+        F.round(F.percentile_approx(ms, 0.5, accuracy), 4).alias("p50_ms"),
     )
 
 
@@ -39,35 +39,70 @@ def retry_chains(log: DataFrame) -> DataFrame:
 def expected_wait(attempt: Column, retry_after: Column | None = None) -> Column:
     """Seconds before the next attempt: a numeric Retry-After up to the limit, else 2 to the attempt; without jitter."""
     backoff = F.least(F.lit(MAX_WAIT), F.pow(F.lit(2.0), attempt))
-    return backoff if retry_after is None else F.coalesce(F.least(F.lit(MAX_WAIT), retry_after.try_cast("double")), backoff)
+    if retry_after is None:
+        return backoff
+    asked = retry_after.try_cast("double")  # a date is none
+    return F.when(asked.isNotNull(), F.least(F.lit(MAX_WAIT), asked)).otherwise(backoff)
+
+
+def _carried(df: DataFrame, by: list[str], bucket: str, last: dict[str, Column]) -> DataFrame:
+    """Adds to each row what the earlier buckets of its group leave: last's aggregates over each bucket, one row a bucket, of the bucket before (_prev)."""
+    each = df.groupBy(*by, bucket).agg(F.struct(*(c.alias(n) for n, c in last.items())).alias("_own"))
+    return each.withColumn("_prev", F.lag("_own").over(Window.partitionBy(*by).orderBy(bucket))).drop("_own")
 
 
 def gaps(log: DataFrame, by: list[str], name: str = "gap_s") -> DataFrame:
-    """Adds the seconds since the row before of the same group."""
-    return log.withColumn(name, seconds_between(F.lag("ts").over(Window.partitionBy(*by).orderBy("ts", "event_id")), F.col("ts")))
+    """Adds the seconds since the row before of the same group.
+
+    Rows meet by group and day, so a busy group is many tasks; a day's first row takes its predecessor from the
+    day before, of which one row is kept.
+    """
+    days = log.withColumn("_day", F.to_date("ts"))
+    before = _carried(days, by, "_day", {"ts": F.max("ts")}).select(*by, "_day", F.col("_prev.ts").alias("_before"))
+    inner = F.lag("ts").over(Window.partitionBy(*by, "_day").orderBy("ts", "event_id"))
+    return days.withColumn("_lag", inner).join(before, [*by, "_day"]).withColumn(name, seconds_between(F.coalesce("_lag", "_before"), F.col("ts"))).drop("_day", "_lag", "_before")
+
 
+def slots(log: DataFrame, at: str, interval: float, by: str = "origin", bucket: float | None = None) -> DataFrame:
+    """Adds slot: start_k = max(t_k, start_(k-1) + interval) per host, as the running max of t - k * interval, plus k * interval.
 
-def slots(log: DataFrame, at: str, interval: float, by: str = "origin") -> DataFrame:
-    """Adds slot: start_k = max(t_k, start_(k-1) + interval) per host, as the running max of t - k * interval, plus k * interval."""
-    order = Window.partitionBy(by).orderBy(at, "event_id")
-    k = F.row_number().over(order).cast("bigint")
-    numbered = log.withColumn("_k", k)
+    Rows meet by host and a span of time (bucket, in units of at; 2000 intervals if not given); the counts and
+    maxima of a host's spans, one row each, carry on from one to the next.
+    """
+    span = bucket or 2000 * interval
+    cut = log.withColumn("_b", F.floor(F.col(at) / span))
+    order = Window.partitionBy(by, "_b").orderBy(at, "event_id")
+    cut = cut.withColumn("_k", F.row_number().over(order).cast("bigint")).withColumn("_lead", F.col(at) - F.col("_k") * interval)
+    each = cut.groupBy(by, "_b").agg(F.count("*").alias("_n"), F.max("_lead").alias("_most"))
+    earlier = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumn("_reach", F.max(F.col("_most") - F.col("_base") * interval).over(earlier))
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    return numbered.withColumn("slot", F.max(F.col(at) - F.col("_k") * interval).over(upto) + F.col("_k") * interval).drop("_k")
+    cut = cut.withColumn("_run", F.max("_lead").over(upto)).join(each.select(by, "_b", "_base", "_reach"), [by, "_b"])
+    slot = F.greatest(F.col("_run") - F.col("_base") * interval, F.col("_reach")) + (F.col("_base") + F.col("_k")) * interval
+    return cut.withColumn("slot", slot).drop("_b", "_k", "_lead", "_run", "_base", "_reach")
 
 
-def last_policy(observations: DataFrame, mode: str = "store") -> DataFrame:
+def last_policy(observations: DataFrame, mode: str = "store", bucket: Column | None = None) -> DataFrame:
     """Adds policy_in_force: the policy that holds after each robots observation of an origin.
 
-    observations: origin, ts, state (loaded, absent, blocked) and policy (null without restrictions). A load with
-    restrictions is remembered; one without keeps what is remembered but applies nothing now. absent applies
-    nothing; under store it keeps what is remembered, under clear it forgets. blocked applies the remembered one.
+    observations: origin, ts, state (loaded, absent, blocked, disallow_all) and policy (null without
+    restrictions). A load with restrictions is remembered; one without keeps what is remembered but applies
+    nothing now. absent applies nothing; under store it keeps what is remembered, under clear it forgets.
+    blocked and disallow_all apply the remembered one. bucket: an expression that does not fall as ts grows;
+    with it rows meet by origin and bucket, and one row a bucket carries the memory on.
     """
     if mode not in ("store", "clear"):
         raise ValueError("mode is store or clear")
-    order = Window.partitionBy("origin").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    kind = dict(observations.dtypes)["policy"]
     told = F.when((F.col("state") == "loaded") & F.col("policy").isNotNull(), F.struct(F.col("policy").alias("p")))
     if mode == "clear":
-        told = F.coalesce(told, F.when(F.col("state") == "absent", F.struct(F.lit(None).cast("string").alias("p"))))
-    remembered = F.last(told, ignorenulls=True).over(order)["p"]
-    return observations.withColumn("policy_in_force", F.when(F.col("state") == "loaded", F.col("policy")).when(F.col("state") == "blocked", remembered))
+        told = F.coalesce(told, F.when(F.col("state") == "absent", F.struct(F.lit(None).cast(kind).alias("p"))))
+    rows = observations.withColumn("_b", F.lit(0) if bucket is None else bucket).withColumn("_told", told)
+    order = Window.partitionBy("origin", "_b").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_known", F.last("_told", ignorenulls=True).over(order))
+    each = rows.groupBy("origin", "_b").agg(F.max_by("_told", F.when(F.col("_told").isNotNull(), F.col("ts"))).alias("_last"))
+    earlier = Window.partitionBy("origin").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("_before", F.last("_last", ignorenulls=True).over(earlier)).select("origin", "_b", "_before")
+    remembered = F.coalesce("_known", "_before")["p"]
+    force = F.when(F.col("state") == "loaded", F.col("policy")).when(F.col("state").isin("blocked", "disallow_all"), remembered)
+    return rows.join(each, ["origin", "_b"]).withColumn("policy_in_force", force).drop("_b", "_told", "_known", "_before")

@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigilspark.operators.changes import no_metadata, version_count
+
 RUN = ["regulation", "source", "run_id"]
 ERRORS = ("error", "skipped_disallowed")
+#: Fixed value: the pseudo document on which a run's own crash is recorded.
+CRASHED = "__run__"
+#: Errors in one array of a run; a run with more has further arrays.
+ERROR_PART = 1000
 
 
 def counters(events: DataFrame, key: list[str] = RUN) -> DataFrame:
-    """Per run: checked, new, updated, unchanged, errors, started and finished time, status."""
+    """Per run: checked, new, updated, unchanged, errors, started and finished time, status.
+
+    Status: failed if the run itself crashed (an error on CRASHED), else partial_failure if anything failed, else success.
+    """
     kind = F.col("event")
     out = events.groupBy(*key).agg(
         F.count("*").alias("checked"),
@@ -18,37 +27,113 @@ def counters(events: DataFrame, key: list[str] = RUN) -> DataFrame:
         F.count_if(kind.isin(*ERRORS)).alias("errors"),
         F.min("ts").alias("started_at"),
         F.max("ts").alias("finished_at"),
+        F.count_if((kind == "error") & (F.col("document_id") == CRASHED)).alias("_crashes"),
     )
-    return out.withColumn("status", F.when(F.col("errors") > 0, "partial_failure").otherwise("success"))
+    status = F.when(F.col("_crashes") > 0, "failed").when(F.col("errors") > 0, "partial_failure").otherwise("success")
+    return out.withColumn("status", status).drop("_crashes")
+
+
+def summaries(events: DataFrame, cuts: DataFrame | None = None, key: list[str] = RUN) -> DataFrame:
+    """Run summaries: counters, error_details (the first ERROR_PART; error_list has all), skipped_already_known and stop_reason.
 
+    cuts: candidates with run_cut's label and stop_reason, and the key. A crashed run's stop_reason is hard_stop.
+    """
+    first = error_list(events, key).filter("part = 0").drop("part")
+    out = counters(events, key).join(first, key, "left")
+    zero, whole = F.lit(0).cast("bigint"), F.lit("completed")
+    if cuts is None:
+        out = out.withColumns({"skipped_already_known": zero, "_reason": whole})
+    else:
+        told = cuts.groupBy(*key).agg(F.count_if(F.col("label") == "skipped_known").alias("_skipped"), F.first("stop_reason").alias("_reason"))
+        out = out.join(told, key, "left").withColumn("skipped_already_known", F.coalesce("_skipped", zero)).drop("_skipped")
+    reason = F.when(F.col("status") == "failed", "hard_stop").otherwise(F.coalesce("_reason", whole))
+    none = F.array().cast("array<struct<document_id:string,error:string>>")
+    return out.withColumns({"stop_reason": reason, "error_details": F.coalesce("error_details", none)}).drop("_reason")
 
-def error_details(events: DataFrame, key: list[str] = RUN, most: int | None = None, width: int = 160) -> DataFrame:
+
+def error_details(events: DataFrame, key: list[str] = RUN, most: int | None = None, width: int | None = 160) -> DataFrame:
     """Error rows of each run in order of time, numbered from 1, with the text cut; with most, the first so many."""
     order = Window.partitionBy(*key).orderBy("ts", "event_id")
-    out = events.filter(F.col("event").isin(*ERRORS)).withColumn("n", F.row_number().over(order)).withColumn("error", F.substring("error", 1, width))
+    out = events.filter(F.col("event").isin(*ERRORS)).withColumn("n", F.row_number().over(order))
+    if width is not None:
+        out = out.withColumn("error", F.substring("error", 1, width))
     return out if most is None else out.filter(F.col("n") <= most)
 
 
-def error_list(events: DataFrame, key: list[str] = RUN) -> DataFrame:
-    """Error details as one array per run, in order of time. An array holds one run's errors."""
-    row = F.when(F.col("event").isin(*ERRORS), F.struct("ts", "event_id", "document_id", "error"))
-    return events.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: F.struct(x["document_id"].alias("document_id"), x["error"].alias("error"))).alias("error_details"))
+def error_list(events: DataFrame, key: list[str] = RUN, most: int = ERROR_PART) -> DataFrame:
+    """Error details as arrays in order of time: key, part (from 0), error_details of at most so many. Runs without errors have no row."""
+    rows = error_details(events, key, width=None).withColumn("part", F.floor((F.col("n") - 1) / most).cast("int"))
+    listed = F.array_sort(F.collect_list(F.struct("n", "document_id", F.coalesce("error", F.lit("")).alias("error"))))
+    out = rows.groupBy(*key, "part").agg(listed.alias("l"))
+    return out.select(*key, "part", F.transform("l", lambda x: F.struct(x["document_id"].alias("document_id"), x["error"].alias("error"))).alias("error_details"))
+
 
+def latest_run(runs: DataFrame, fields: list[str], by: str = "started_at") -> DataFrame:
+    """Per source the run that started last (of equals, the least run_id), or with by="run_id", when recovering, the one whose name is greatest."""
+    row = F.struct(*fields)
+    if by == "run_id":
+        last = F.max_by(row, F.col("run_id"))
+    else:
+        micros = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(by).cast("timestamp_ntz"))
+        last = F.min_by(row, F.struct((-F.coalesce(micros, F.lit(-(1 << 60)))).alias("ago"), F.col("run_id").alias("run")))
+    return runs.groupBy("regulation", "source").agg(last.alias("r")).select("regulation", "source", *(F.col(f"r.{f}").alias(f) for f in fields))
 
-def latest_run(runs: DataFrame, by: str, fields: list[str]) -> DataFrame:
-    """Per source the run with the greatest value of a column (started_at, or run_id when recovering); ties go to the greater run_id."""
-    return runs.groupBy("regulation", "source").agg(F.max_by(F.struct(*fields), F.struct(by, "run_id")).alias("r")).select("regulation", "source", *(F.col(f"r.{f}").alias(f) for f in fields))
+
+#: Names of a source summary for the latest run's fields.
+LAST = {
+    "last_run_id": "run_id", "last_started_at": "started_at", "last_finished_at": "finished_at", "last_status": "status", "last_stop_reason": "stop_reason",
+    "last_checked": "checked", "last_new": "new", "last_updated": "updated", "last_unchanged": "unchanged",
+    "last_skipped_already_known": "skipped_already_known", "last_errors": "errors",
+}
+COUNTS = ("last_checked", "last_new", "last_updated", "last_unchanged", "last_skipped_already_known", "last_errors")
 
 
 def source_summary(registry: DataFrame, documents: DataFrame, runs: DataFrame, estimates: DataFrame) -> DataFrame:
     """Every source of the registry with its documents, latest run and estimate; untouched ones show zero."""
     key = ["regulation", "source"]
     counts = documents.groupBy(*key).agg(F.count("*").alias("documents"))
-    last = latest_run(runs, "started_at", ["run_id", "status", "checked", "errors"])
-    return (
-        registry.select(*key).join(counts, key, "left").join(last, key, "left").join(estimates.select(*key, "total_available", "already_known", "remaining"), key, "left")
-        .withColumn("documents", F.coalesce("documents", F.lit(0).cast("bigint")))
-    )
+    last = latest_run(runs, list(LAST.values())).select(*key, *(F.col(old).alias(new) for new, old in LAST.items()))
+    told = estimates.select(*key, "total_available", "already_known", "remaining", F.col("note").alias("estimate_note"), F.col("computed_at").alias("estimate_computed_at"))
+    zero = F.lit(0).cast("bigint")
+    out = registry.select(*key).join(counts, key, "left").join(last, key, "left").join(told, key, "left")
+    return out.withColumns({c: F.coalesce(c, zero) for c in ("documents", *COUNTS)})
+
+
+#: Names on the wire of a document, a run and an estimate.
+DOCUMENT_NAMES = {
+    "regulation": "regulation", "source": "source", "document_id": "documentId", "title": "title", "original_filename": "originalFilename",
+    "canonical_url": "canonicalUrl", "current_storage_path": "storagePath", "current_hash": "contentHash", "content_type": "contentType",
+    "size_bytes": "sizeBytes", "version_count": "versionCount", "first_seen_at": "firstSeenAt", "last_scraped_at": "lastScrapedAt",
+    "last_checked_at": "lastCheckedAt", "last_changed_at": "lastChangedAt", "source_metadata": "sourceMetadata",
+}
+RUN_NAMES = {
+    "run_id": "runId", "regulation": "regulation", "source": "source", "started_at": "startedAt", "finished_at": "finishedAt", "status": "status",
+    "checked": "checked", "new": "new", "updated": "updated", "unchanged": "unchanged", "errors": "errors", "error_details": "errorDetails",
+}
+ESTIMATE_NAMES = {
+    "regulation": "regulation", "source": "source", "computed_at": "computedAt", "total_available": "totalAvailable",
+    "already_known": "alreadyKnown", "remaining": "remaining", "note": "note",
+}
+
+
+def document_report(state: DataFrame) -> DataFrame:
+    """Current documents under their names on the wire; a document without history counts one version."""
+    full = state.withColumn("version_count", version_count(F.col("version_history"))).withColumn("source_metadata", F.coalesce("source_metadata", no_metadata()))
+    return full.select(*(F.col(a).alias(b) for a, b in DOCUMENT_NAMES.items()))
+
+
+def run_report(runs: DataFrame, live: bool = False) -> DataFrame:
+    """Runs under their names on the wire. Live reports tell stopReason too, recovered ones don't; missing counts are 0, a missing status is unknown."""
+    counts = ("checked", "new", "updated", "unchanged", "errors")
+    none = F.array().cast("array<struct<document_id:string,error:string>>")
+    full = runs.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in counts} | {"status": F.coalesce("status", F.lit("unknown")), "error_details": F.coalesce("error_details", none)})
+    return full.select(*(F.col(a).alias(b) for a, b in (RUN_NAMES | ({"stop_reason": "stopReason"} if live else {})).items()))
+
+
+def estimate_report(estimates: DataFrame, live: bool = False) -> DataFrame:
+    """Estimates under their names on the wire. Live reports tell when the host opens next, recovered ones don't."""
+    more = {"next_available_at": "nextAvailableAt", "next_available_note": "nextAvailableNote"} if live else {}
+    return estimates.select(*(F.col(a).alias(b) for a, b in (ESTIMATE_NAMES | more).items()))
 
 
 def shown(column: str, blank: str = "?"):

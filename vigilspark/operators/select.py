@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,14 @@ def contains(df: DataFrame, column: str, text: str) -> DataFrame:
     return df.filter(F.coalesce(F.col(column), F.lit("")).contains(text))
 
 
+def complete(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows in which none of the columns is null or empty."""
+    kept = F.lit(True)
+    for c in columns:
+        kept &= F.col(c).isNotNull() & (F.col(c) != "")
+    return df.filter(kept)
+
+
 def bare_root(url: Column) -> Column:
     """Whether a link leads to a whole site: no path but /, and no query."""
     return F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")).isin("", "/") & F.coalesce(F.try_parse_url(url, F.lit("QUERY")), F.lit("")).eqNullSafe(F.lit(""))
@@ -35,11 +45,32 @@ def age_days(now: Column, then: Column) -> Column:
     return F.floor(F.timestamp_diff("MICROSECOND", then, now) / F.lit(_DAY))
 
 
+def instant(df: DataFrame, column: str) -> Column:
+    """Microseconds since 1970 of a time: a timestamp, one without zone (as UTC), or ISO text (in its own zone, else UTC); null if malformed."""
+    kind = dict(df.dtypes).get(column)
+    if kind is None:
+        return F.lit(None).cast("bigint")
+    if kind == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(column))
+    if kind == "timestamp":
+        return F.unix_micros(column)
+    zoned = F.when(F.col(column).rlike(r"(Z|[+-]\d\d:?\d\d)$"), F.col(column)).otherwise(F.concat(column, F.lit("Z")))
+    return F.unix_micros(zoned.try_cast("timestamp"))
+
+
 def due(candidates: DataFrame, state: DataFrame, now: Column, recheck_days: int | None) -> DataFrame:
-    """Candidates that are not held, or held and due again. None: never again; an unknown time of the last check: due."""
-    held = state.select(*KEY, F.lit(True).alias("held"), F.col("last_checked_at").cast("timestamp_ntz").alias("checked"))
+    """Candidates that are not held, or held and due again. None: never again.
+
+    What counts is the time of the last check, else of the last scrape; where both are missing, or the one that
+    counts is malformed, the document is due. now is a UTC time.
+    """
+    told = lambda c: F.col(c).cast("string") if c in state.columns else F.lit(None).cast("string")
+    checked = F.nullif(told("last_checked_at"), F.lit("")).isNotNull()
+    then = F.when(checked, instant(state, "last_checked_at")).otherwise(instant(state, "last_scraped_at"))
+    held = state.select(*KEY, F.lit(True).alias("held"), then.alias("checked"))
     both = candidates.join(held, KEY, "left")
-    again = F.lit(False) if recheck_days is None else F.col("checked").isNull() | (age_days(now, F.col("checked")) >= recheck_days)
+    at = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), now.cast("timestamp_ntz"))
+    again = F.lit(False) if recheck_days is None else F.col("checked").isNull() | (F.floor((at - F.col("checked")) / F.lit(_DAY)) >= recheck_days)
     return both.filter(F.col("held").isNull() | again).drop("held", "checked")
 
 
@@ -63,33 +94,58 @@ def run_cut(candidates: DataFrame, run: list[str], order: str, budget: int | Non
 
     candidates: known (boolean) and outcome (ok, error, hard_stop, bot_block). A run stops on the saved document
     that fills the budget, on a stop outcome, or before the first unknown candidate when the budget is 0.
-    Only ok outcomes use budget. Within a run one window finds the first stop, another spreads it.
+    Only ok outcomes use budget. What ends a run is found as the least place of a stop and as the place of the
+    budget's last document; both leave one row a run (of a budget's candidates, at most the budget's first rows
+    leave a task), which is joined back, so no run has to fit in one task.
     """
-    ahead = Window.partitionBy(*run).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*run)
-    tried = ~F.col("known")
-    saved = F.when(tried & (F.col("outcome") == "ok"), 1).otherwise(0)
-    reason = F.when(tried & F.col("outcome").isin("hard_stop", "bot_block"), F.col("outcome"))
-    if budget is not None:
-        reason = F.when(tried & F.lit(budget == 0), "budget_reached").otherwise(F.coalesce(reason, F.when(tried & (F.col("outcome") == "ok") & (F.sum(saved).over(ahead) >= budget), F.lit("budget_reached"))))
-    marked = candidates.withColumn("stop", reason)
-    stop = F.min(F.when(F.col("stop").isNotNull(), F.struct(F.col(order).alias("at"), F.col("stop").alias("why")))).over(whole)
-    at = F.col("cut.at")
-    beyond = F.col(order) >= at if budget == 0 else F.col(order) > at
-    label = F.when(at.isNotNull() & beyond, "not_reached").when(F.col("known"), "skipped_known").otherwise("executed")
-    return marked.withColumn("cut", stop).withColumn("label", label).withColumn("stop_reason", F.coalesce("cut.why", F.lit("completed"))).drop("cut", "stop")
+    tried = candidates.filter(~F.col("known"))
+    at, why = F.col(order).alias("at"), F.col("outcome").alias("why")
+    stops = tried.filter(F.col("outcome").isin("hard_stop", "bot_block")).select(*run, at, why)
+    if budget == 0:
+        stops = tried.select(*run, at, F.lit("budget_reached").alias("why"))
+    elif budget is not None:
+        place = F.row_number().over(Window.partitionBy(*run).orderBy(order))
+        saved = tried.filter(F.col("outcome") == "ok").select(*run, order, place.alias("_n")).filter(F.col("_n") <= budget)
+        stops = stops.unionByName(saved.filter(F.col("_n") == budget).select(*run, at, F.lit("budget_reached").alias("why")))
+    cut = stops.groupBy(*run).agg(F.min(F.struct("at", "why")).alias("cut"))
+    both = candidates.join(cut, run, "left")
+    end = F.col("cut.at")
+    beyond = F.col(order) >= end if budget == 0 else F.col(order) > end
+    label = F.when(end.isNotNull() & beyond, "not_reached").when(F.col("known"), "skipped_known").otherwise("executed")
+    return both.withColumn("label", label).withColumn("stop_reason", F.coalesce("cut.why", F.lit("completed"))).drop("cut")
+
+
+def process(candidates: DataFrame, state: DataFrame, fetch: Callable[[DataFrame], DataFrame], run: list[str], order: str, budget: int | None = None) -> DataFrame:
+    """A run over candidates with a callback: fetch adds outcome to those not held, and run_cut tells how far the run gets."""
+    held = state.select(*KEY).distinct().withColumn("_held", F.lit(True))
+    both = candidates.join(held, KEY, "left").withColumn("known", F.col("_held").isNotNull()).drop("_held")
+    tried = both.filter(~F.col("known")).transform(fetch)
+    kept = both.filter("known").withColumn("outcome", F.lit(None).cast("string"))
+    return run_cut(tried.unionByName(kept), run, order, budget)
 
 
 def time_cut(df: DataFrame, run: list[str], order: str, ts: str, minutes: float) -> DataFrame:
     """Adds reached: whether a row starts before the run's first row is minutes old."""
-    start = F.min(ts).over(Window.partitionBy(*run))
-    return df.withColumn("reached", F.timestamp_diff("MICROSECOND", start, F.col(ts)) < int(minutes * 60_000_000))
+    start = df.groupBy(*run).agg(F.min(ts).alias("_start"))
+    return df.join(start, run).withColumn("reached", F.timestamp_diff("MICROSECOND", F.col("_start"), F.col(ts)) < int(minutes * 60_000_000)).drop("_start")
+
+
+def numbered(df: DataFrame, by: list[str], step: str, order: list[Column], name: str) -> DataFrame:
+    """Adds each row's number, from 0, within its group in the order of step (descending) and then order.
+
+    Rows are numbered within each value of step; the counts of these, one row each, give the numbers before it.
+    """
+    steps = df.groupBy(*by, step).agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy(*by).orderBy(F.desc(step)).rowsBetween(Window.unboundedPreceding, -1))
+    steps = steps.select(*by, step, F.coalesce(before, F.lit(0)).alias("_before"))
+    inner = F.row_number().over(Window.partitionBy(*by, step).orderBy(*order)) - 1
+    return df.withColumn("_inner", inner).join(steps, [*by, step]).withColumn(name, F.col("_before") + F.col("_inner")).drop("_inner", "_before")
 
 
 def until_empty(pages: DataFrame, by: list[str], page: str, rows: str) -> DataFrame:
-    """Pages before the first one without rows."""
-    first = F.min(F.when(F.col(rows) == 0, F.col(page))).over(Window.partitionBy(*by))
-    return pages.withColumn("_first", first).filter(F.col("_first").isNull() | (F.col(page) < F.col("_first"))).drop("_first")
+    """Pages before the first one without rows (an empty or missing page ends a listing)."""
+    first = pages.filter(F.coalesce(F.col(rows), F.lit(0)) == 0).groupBy(*by).agg(F.min(page).alias("_first"))
+    return pages.join(first, by, "left").filter(F.col("_first").isNull() | (F.col(page) < F.col("_first"))).drop("_first")
 
 
 def first_place_last_value(df: DataFrame, key: list[str], pos: str, values: list[str]) -> DataFrame:
@@ -101,13 +157,79 @@ def latest(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
+def selector_items(requests: DataFrame, request: str = "request_id", expr: str = "expr") -> DataFrame:
+    """The items of comma lists in order: request, at, item. Empty items are left out."""
+    items = requests.select(request, F.posexplode(F.split(F.col(expr), ",")).alias("at", "item"))
+    return items.withColumn("item", F.trim("item")).filter("item <> ''")
+
+
+def item_sources(registry: DataFrame) -> DataFrame:
+    """What each item that is no plain name stands for, and each plain name: item, regulation, source.
+
+    all and reg:all give the enabled sources (a row with a null source where none is), reg:name that source whatever its state.
+    """
+    name = F.concat_ws(":", "regulation", "source")
+    every = F.array(F.struct(F.lit("all").alias("item"), "enabled"), F.struct(F.concat("regulation", F.lit(":all")).alias("item"), "enabled"), F.struct(name.alias("item"), F.lit(True).alias("enabled")))
+    rows = registry.select("regulation", "source", F.explode(every).alias("i"))
+    held = rows.filter("i.enabled").select("i.item", "regulation", "source")
+    empty = rows.select("i.item").distinct().join(held.select("item").distinct(), "item", "left_anti")
+    return held.unionByName(empty.select("item", F.lit(None).cast("string").alias("regulation"), F.lit(None).cast("string").alias("source")))
+
+
+def unknown_items(items: DataFrame, registry: DataFrame) -> DataFrame:
+    """Items whose regulation or source is not registered: request, item."""
+    known = registry.select(F.explode(F.array(F.concat("regulation", F.lit(":all")), F.concat_ws(":", "regulation", "source"))).alias("item")).distinct()
+    return items.filter("item <> 'all'").join(known, "item", "left_anti")
+
+
 def choose_sources(requests: DataFrame, registry: DataFrame, request: str = "request_id", expr: str = "expr") -> DataFrame:
-    """Source selectors to sources, in order of first mention.
+    """Source selectors to sources, in order of first mention: request, unknown, regulation, source, at.
 
     A selector is a comma list of: all, reg:all (enabled sources only), reg:name (enabled or not). An item that
-    matches nothing gives a row with a null source. registry: regulation, source, enabled.
+    names no registered regulation or source gives a row with unknown. registry: regulation, source, enabled.
+    The result has a row for each request and source; to count or to join facts, meet item_sources by item instead.
+    """
+    items = selector_items(requests, request, expr)
+    found = items.join(item_sources(registry), "item").filter("source IS NOT NULL").select(request, F.lit(None).cast("string").alias("unknown"), "regulation", "source", "at")
+    bad = unknown_items(items, registry).select(request, F.col("item").alias("unknown"), F.lit(None).cast("string").alias("regulation"), F.lit(None).cast("string").alias("source"), "at")
+    return found.unionByName(bad).groupBy(request, "unknown", "regulation", "source").agg(F.min("at").alias("at"))
+
+
+def requests_per_source(items: DataFrame, registry: DataFrame, request: str = "request_id") -> DataFrame:
+    """How many requests choose each source: regulation, source, requests; sources that none chooses are left out.
+
+    A request's plain names count only for sources that its all and reg:all items don't bring, so the counts of
+    the three kinds add up, and no row of request and source is made.
+    """
+    asked = items.select(request, "item").distinct()
+    every = asked.filter("item = 'all'").select(request).withColumn("_all", F.lit(True))
+    part = asked.filter("item LIKE '%:all'").select(request, F.substring_index("item", ":", 1).alias("regulation"))
+    named = asked.filter("item <> 'all' AND item NOT LIKE '%:all' AND item LIKE '%:%'")
+    named = named.select(request, F.substring_index("item", ":", 1).alias("regulation"), F.regexp_replace("item", "^[^:]*:", "").alias("source"))
+    by_part = part.join(every, request, "left_anti").groupBy("regulation").agg(F.count("*").alias("_part"))
+    flags = named.join(every, request, "left").join(part.withColumn("_in", F.lit(True)), [request, "regulation"], "left")
+    covered = F.col("_all").isNotNull() | F.col("_in").isNotNull()
+    by_name = flags.groupBy("regulation", "source").agg(F.count("*").alias("_named"), F.count_if(~covered).alias("_more"))
+    total = every.agg(F.count("*").alias("_every"))
+    out = registry.join(by_part, "regulation", "left").join(by_name, ["regulation", "source"], "left").crossJoin(F.broadcast(total))  # one row
+    zero = F.lit(0).cast("bigint")
+    wide = F.col("_every") + F.coalesce("_part", zero) + F.coalesce("_more", zero)
+    return out.select("regulation", "source", F.when(F.col("enabled"), wide).otherwise(F.coalesce("_named", zero)).alias("requests")).filter("requests > 0")
+
+
+def unnest_pages(pages: DataFrame, by: list[str], page: str, body: str, record: str, max_records: int | None = None) -> DataFrame:
+    """The records of a paged listing: by, page, at (place in the page) and the record's fields.
+
+    body: an envelope {"results": [...]}; the first page that is empty or missing (null, as after a 404) ends a
+    listing. record: the schema of one result. max_records: where each listing ends at the latest; pages, one row
+    each, are numbered for it, not records.
     """
-    items = requests.select(request, F.posexplode(F.split(F.col(expr), ",")).alias("at", "item")).withColumn("item", F.trim("item"))
-    names = registry.select("regulation", "source", F.explode(F.when(F.col("enabled"), F.array(F.lit("all"), F.concat("regulation", F.lit(":all")), F.concat_ws(":", "regulation", "source"))).otherwise(F.array(F.concat_ws(":", "regulation", "source")))).alias("item"))
-    found = items.join(names, "item", "left")
-    return found.groupBy(request, F.when(F.col("source").isNull(), F.col("item")).alias("unknown"), "regulation", "source").agg(F.min("at").alias("at"))
+    parsed = pages.withColumn("_r", F.from_json(body, f"results array<struct<{record}>>")["results"])
+    parsed = parsed.withColumn("_n", F.greatest(F.coalesce(F.size("_r"), F.lit(0)), F.lit(0)))
+    whole = until_empty(parsed, by, page, "_n")
+    if max_records is not None:
+        upto = F.sum("_n").over(Window.partitionBy(*by).orderBy(page).rowsBetween(Window.unboundedPreceding, -1))
+        left = F.lit(max_records) - F.coalesce(upto, F.lit(0))
+        sizes = whole.select(*by, page, "_n").withColumn("_left", left).filter("_left > 0").select(*by, page, "_left")
+        whole = whole.join(sizes, [*by, page]).withColumn("_r", F.slice("_r", 1, F.col("_left").cast("int")))
+    return whole.select(*by, page, F.posexplode("_r").alias("at", "r")).select(*by, page, "at", "r.*")

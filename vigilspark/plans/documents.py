@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilspark.functions import columns as fn
-from vigilspark.operators import changes, select
+from vigilspark.operators import changes, runs, select
 from vigilspark.operators.changes import KEY
 from vigilspark.plans.registry import query, read
+from vigilspark.sources import tables
 
 TIMES = {"A": "2024-01-01 00:00:00", "B": "2024-01-15 12:30:00", "C": "2024-02-01 00:00:00"}
 _CONTENT = {"A": "text", "B": "CASE WHEN doc_id % 7 = 0 THEN concat(text, ' v2') ELSE text END", "C": "text"}
@@ -21,6 +22,9 @@ _TITLE = {"A": "concat('Document ', doc_id)", "B": "concat('Document ', doc_id,
 _FILE = {"A": "CASE WHEN doc_id % 3 = 0 THEN concat(doc_id, '.txt') END", "B": "CASE WHEN doc_id % 2 = 0 THEN concat(doc_id, '-b.txt') END", "C": "CAST(NULL AS {s})"}
 
 
+_OUTCOME = "CASE WHEN pos % 29 = 0 THEN 'hard_stop' WHEN pos % 11 = 0 THEN 'error' ELSE 'ok' END"
+
+
 def snapshot(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Captures of a snapshot, hashed."""
     docs = read(spark, sf_dir, "documents").filter(_HELD[name])
@@ -29,6 +33,8 @@ def snapshot(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             F.col("lang").alias("regulation"), "source", F.col("doc_id").cast("string").alias("document_id"), F.col("doc_id").alias("pos"),
             F.expr(_CONTENT[name]).alias("content"), F.expr(f"TIMESTAMP_NTZ'{TIMES[name]}'").alias("ts"), F.expr(_TITLE[name]).alias("title"),
             F.expr("concat('https://example.gov/', source, '/', doc_id)").alias("url"), F.lit("txt" if name == "A" else "html").alias("ext"), F.expr(_FILE[name].format(s="string")).alias("filename"),
+            F.lit("text/plain" if name == "A" else "text/html").alias("content_type"), F.lit(200).alias("http_status"),
+            F.create_map(F.lit("snapshot"), F.lit(name), F.lit("chars"), F.col("n_chars").cast("string")).alias("source_metadata"),
         )
     )
 
@@ -43,7 +49,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in order, with the outcome that fetching each would have."""
     return read(spark, sf_dir, "documents").select(
         F.col("lang").alias("regulation"), "source", F.col("doc_id").cast("string").alias("document_id"), F.col("doc_id").alias("pos"),
-        F.expr("CASE WHEN doc_id % 29 = 0 THEN 'hard_stop' WHEN doc_id % 11 = 0 THEN 'error' ELSE 'ok' END").alias("outcome"),
+        F.expr(_OUTCOME.replace("pos", "doc_id")).alias("outcome"),
     )
 
 
@@ -51,7 +57,7 @@ def _cte(name: str) -> str:
     return (
         f"{name} AS (SELECT lang AS regulation, source, CAST(doc_id AS VARCHAR) AS document_id, doc_id AS pos, sha256({_CONTENT[name]}) AS content_hash, "
         f"CAST(strlen({_CONTENT[name]}) AS BIGINT) AS size_bytes, TIMESTAMP '{TIMES[name]}' AS ts, {_TITLE[name]} AS title, concat('https://example.gov/', source, '/', doc_id) AS url, "
-        f"{_FILE[name].format(s='VARCHAR')} AS filename, '{'txt' if name == 'A' else 'html'}' AS ext FROM documents WHERE {_HELD[name]})"
+        f"{_FILE[name].format(s='VARCHAR')} AS filename, '{'text/plain' if name == 'A' else 'text/html'}' AS content_type, '{name}' AS meta_snapshot, CAST(n_chars AS VARCHAR) AS meta_chars, '{'txt' if name == 'A' else 'html'}' AS ext FROM documents WHERE {_HELD[name]})"
     )
 
 
@@ -65,7 +71,7 @@ def cdc_01_content_hash(spark, sf):
     return snapshot(spark, sf, "B").select(*KEY, "content_hash", "size_bytes")
 
 
-CLASSIFIED = f"cls AS (SELECT B.*, A.content_hash AS old_hash, CASE WHEN A.document_id IS NULL THEN 'new' WHEN A.content_hash = B.content_hash THEN 'unchanged' ELSE 'updated' END AS event FROM B LEFT JOIN A {ON})"
+CLASSIFIED = f"cls AS (SELECT B.*, A.content_hash AS old_hash, concat_ws('/', A.regulation, A.source, 'documents', A.document_id, 'current.' || A.ext) AS held_path, CASE WHEN A.document_id IS NULL THEN 'new' WHEN A.content_hash = B.content_hash THEN 'unchanged' ELSE 'updated' END AS event FROM B LEFT JOIN A {ON})"
 
 
 @query(f"WITH {A}, {B}, {CLASSIFIED} SELECT regulation, source, document_id, content_hash, old_hash, event FROM cls")
@@ -87,12 +93,27 @@ _STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
   {_STAMP.format('CASE WHEN ch THEN B.ts ELSE A.ts END')} AS last_scraped_at, {_STAMP.format('coalesce(B.ts, A.ts)')} AS last_checked_at, {_STAMP.format('CASE WHEN ch THEN B.ts ELSE A.ts END')} AS last_changed_at,
   CASE WHEN ch THEN B.content_hash ELSE A.content_hash END AS current_hash, CASE WHEN ch THEN B.size_bytes ELSE A.size_bytes END AS size_bytes,
   concat_ws('/', regulation, source, 'documents', document_id, 'current.' || CASE WHEN ch THEN B.ext ELSE A.ext END) AS current_storage_path,
+  CASE WHEN ch THEN B.content_type ELSE A.content_type END AS content_type, CASE WHEN ch THEN B.meta_snapshot ELSE A.meta_snapshot END AS meta_snapshot,
+  CASE WHEN ch THEN B.meta_chars ELSE A.meta_chars END AS meta_chars,
   CAST(CASE WHEN A.ts IS NOT NULL AND ch THEN 2 ELSE 1 END AS BIGINT) AS versions
 FROM A FULL OUTER JOIN B {ON}, LATERAL (SELECT B.content_hash IS NOT NULL AND B.content_hash IS DISTINCT FROM A.content_hash AS ch)""")
 def cdc_03_merge(spark, sf):
     merged = changes.merge(snapshot(spark, sf, "B"), state(spark, sf))
     stamps = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("first_seen_at", "last_scraped_at", "last_checked_at", "last_changed_at")}
-    return merged.withColumns(stamps | {"versions": changes.version_count(F.col("version_history"))}).drop("version_history")
+    meta = {f"meta_{k}": F.col("source_metadata")[k] for k in ("snapshot", "chars")}
+    return merged.withColumns(stamps | {"versions": changes.version_count(F.col("version_history"))} | meta).drop("version_history", "source_metadata")
+
+
+@query(f"""WITH {A} SELECT regulation, source, document_id AS documentId, title, filename AS originalFilename, url AS canonicalUrl,
+concat_ws('/', regulation, source, 'documents', document_id, 'current.' || ext) AS storagePath, content_hash AS contentHash, content_type AS contentType, size_bytes AS sizeBytes,
+CAST(1 AS BIGINT) AS versionCount, {_STAMP.format('ts')} AS firstSeenAt, {_STAMP.format('ts')} AS lastScrapedAt, {_STAMP.format('ts')} AS lastCheckedAt, {_STAMP.format('ts')} AS lastChangedAt,
+'chars=' || meta_chars || ';snapshot=A' AS sourceMetadata FROM A""")
+def prj_03_document_report(spark, sf):
+    """Current documents under their names on the wire."""
+    told = runs.document_report(state(spark, sf))
+    stamps = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("firstSeenAt", "lastScrapedAt", "lastCheckedAt", "lastChangedAt")}
+    pairs = F.array_sort(F.transform(F.map_entries("sourceMetadata"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return told.withColumns(stamps | {"sourceMetadata": F.array_join(pairs, ";")})
 
 
 ALL = "al AS (SELECT * FROM A UNION ALL BY NAME SELECT * FROM B UNION ALL BY NAME SELECT * FROM C)"
@@ -125,7 +146,8 @@ def cdc_06_version_counts(spark, sf):
     return changes.histories(all_snapshots(spark, sf)).groupBy("regulation", "source", "version_count").agg(F.count("*").alias("documents"))
 
 
-@query(f"WITH {A}, {B}, {CLASSIFIED} SELECT concat(source, '-b') AS run_id, regulation, source, document_id, event, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, url, content_hash, concat_ws('/', regulation, source, 'documents', document_id, 'current.' || ext) AS storage_path FROM cls")
+@query(f"""WITH {A}, {B}, {CLASSIFIED} SELECT concat(source, '-b') AS run_id, regulation, source, document_id, event, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, url, CAST(200 AS INT) AS http_status, content_hash,
+CASE WHEN event = 'unchanged' THEN held_path ELSE concat_ws('/', regulation, source, 'documents', document_id, 'current.' || ext) END AS storage_path, CAST(NULL AS VARCHAR) AS error FROM cls""")
 def cdc_09_events(spark, sf):
     out = changes.events(changes.classify(snapshot(spark, sf, "B"), state(spark, sf)), F.concat("source", F.lit("-b")))
     return out.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
@@ -136,17 +158,36 @@ def snk_04_archive_paths(spark, sf):
     return changes.replaced(snapshot(spark, sf, "B"), state(spark, sf))
 
 
+@query(f"""WITH {A}, {B} SELECT concat_ws('/', regulation, source, 'documents', document_id, 'versions', strftime(A.ts, '%Y%m%dT%H%M%S+0000') || '__' || A.content_hash[1:8] || '.' || B.ext) AS archive_path,
+A.content_hash AS content_hash, A.size_bytes AS size_bytes FROM A JOIN B {ON} WHERE A.content_hash <> B.content_hash AND A.pos % 31 <> 0""")
+def snk_04_archive_bytes(spark, sf):
+    """The bytes of replaced versions, appended to the archive and read back; every 31st document's file is gone."""
+    root = tables.scratch(spark, "versions")
+    held = read(spark, sf, "documents").filter(f"{_HELD['A']} AND doc_id % 31 <> 0").select(F.col("lang").alias("regulation"), "source", F.col("doc_id").cast("string").alias("document_id"), "text")
+    files = held.select(changes.current_path(F.lit("txt")).alias("path"), F.col("text").cast("binary").alias("content"))
+    tables.append_versions(changes.archived(changes.replaced(snapshot(spark, sf, "B"), state(spark, sf)), files), root)
+    back = spark.read.parquet(root)
+    return back.select("archive_path", F.sha2("content", 256).alias("content_hash"), F.octet_length("content").cast("bigint").alias("size_bytes"))
+
+
 @query(f"WITH {CAND}, {A} SELECT cand.* FROM cand ANTI JOIN A {ON}")
 def join_01_not_held(spark, sf):
     return select.missing(candidates(spark, sf), state(spark, sf))
 
 
-CHECKED = f"chk AS (SELECT A.*, CASE WHEN pos % 17 = 0 THEN NULL ELSE ts + INTERVAL (pos % 40) DAY + INTERVAL (pos % 5) HOUR END AS checked FROM A)"
+# times of the last check as ISO text: some missing, some malformed, some with only a time of the last scrape
+CHECKED = """chk AS (SELECT A.*, ts + INTERVAL (pos % 40) DAY + INTERVAL (pos % 5) HOUR AS t FROM A)"""
 
 
-@query(f"WITH {CAND}, {A}, {CHECKED} SELECT cand.* FROM cand LEFT JOIN chk {ON} WHERE chk.pos IS NULL OR checked IS NULL OR floor(epoch_us(TIMESTAMP '2024-02-10 02:00:00' - checked) / 86400000000) >= 7")
+@query(f"""WITH {CAND}, {A}, {CHECKED} SELECT cand.* FROM cand LEFT JOIN chk {ON} WHERE chk.pos IS NULL OR chk.pos % 17 IN (0, 2)
+OR floor(epoch_us(TIMESTAMP '2024-02-10 02:00:00' - CASE WHEN chk.pos % 17 = 1 THEN t - INTERVAL 3 DAY WHEN chk.pos % 17 = 3 THEN t + INTERVAL 5 HOUR ELSE t END) / 86400000000) >= 7""")
 def join_02_due(spark, sf):
-    held = snapshot(spark, sf, "A").withColumn("last_checked_at", F.expr("CASE WHEN pos % 17 = 0 THEN NULL ELSE ts + make_dt_interval(CAST(pos % 40 AS INT), CAST(pos % 5 AS INT)) END"))
+    at = F.expr("ts + make_dt_interval(CAST(pos % 40 AS INT), CAST(pos % 5 AS INT))")
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    zone = F.when(F.col("pos") % 17 == 3, "-05:00").otherwise("+00:00")
+    checked = F.when(F.col("pos") % 17 < 2, None).when(F.col("pos") % 17 == 2, "soon").otherwise(F.concat(iso(at), zone))
+    scraped = F.when(F.col("pos") % 17 == 1, F.concat(iso(at - F.expr("INTERVAL 3 DAYS")), F.lit("+00:00")))
+    held = snapshot(spark, sf, "A").select(*KEY, checked.alias("last_checked_at"), scraped.alias("last_scraped_at"))
     return select.due(candidates(spark, sf), held, F.expr("TIMESTAMP_NTZ'2024-02-10 02:00:00'"), 7)
 
 
@@ -200,6 +241,14 @@ def agg_13_skip_counts(spark, sf):
     return cut(spark, sf, 5).groupBy("regulation", "source").agg(F.first("stop_reason").alias("stop_reason"), F.count_if(F.col("label") == "skipped_known").alias("skipped_already_known"), F.count_if(F.col("label") == "executed").alias("executed"))
 
 
+@query(f"""{'WITH ' + _cut_sql(5).replace('AND cand.pos % 3 <> 0 ', '')} SELECT regulation, source, document_id, label, stop_reason FROM lab""")
+def udf_02_callback(spark, sf):
+    """A run whose outcomes come from a callback over the candidates that are not held."""
+    listed = candidates(spark, sf).drop("outcome")
+    fetch = lambda df: df.withColumn("outcome", F.expr(_OUTCOME))
+    return select.process(listed, state(spark, sf), fetch, ["regulation", "source"], "pos", 5).select(*KEY, "label", "stop_reason")
+
+
 @query(f"WITH {CAND}, {A} SELECT regulation, source, document_id FROM cand EXCEPT SELECT regulation, source, document_id FROM A")
 def set_02_except(spark, sf):
     return candidates(spark, sf).select(*KEY).exceptAll(state(spark, sf).select(*KEY))

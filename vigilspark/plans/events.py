@@ -12,11 +12,15 @@ from vigilspark.plans.registry import query, read
 _KIND = "CASE event_type WHEN 'signup' THEN 'new' WHEN 'click' THEN 'updated' WHEN 'view' THEN 'unchanged' WHEN 'error' THEN 'error' ELSE 'skipped_disallowed' END"
 
 
+# Retry-After of throttled answers: seconds, seconds beyond the limit, or a date, which counts as none
+_AFTER = "CASE WHEN event_type = 'signup' THEN CASE event_id % 4 WHEN 0 THEN '7' WHEN 1 THEN '300' WHEN 2 THEN 'Wed, 21 Oct 2026 07:28:00 GMT' END END"
+
+
 def fetch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(
         "event_id", "ts", F.lit("fda").alias("regulation"), F.concat(F.lit("s"), F.col("user_id") % 20).alias("source"),
         F.concat(F.lit("s"), F.col("user_id") % 20, F.lit("-"), F.date_format("ts", "yyyy-MM-dd")).alias("run_id"),
-        F.get_json_object("props", "$.k").alias("document_id"), F.expr(_KIND).alias("event"),
+        F.when((F.col("event_type") == "error") & (F.col("event_id") % 29 == 0), "__run__").otherwise(F.get_json_object("props", "$.k")).alias("document_id"), F.expr(_KIND).alias("event"),
         F.concat(F.lit("status of "), F.col("event_id"), F.lit(" "), F.repeat(F.lit("x"), (F.col("event_id") % 300).cast("int"))).alias("error"),
     )
 
@@ -25,15 +29,15 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     origin = F.concat(F.lit("h"), F.col("user_id") % 10)
     return read(spark, sf_dir, "events").select(
         "event_id", "ts", F.lit("http_request").alias("message"), origin.alias("origin"), F.concat(origin, F.lit("/"), F.get_json_object("props", "$.k")).alias("url"),
-        F.expr("CASE event_type WHEN 'error' THEN 503 WHEN 'signup' THEN 429 WHEN 'purchase' THEN 404 ELSE 200 END").alias("status"), F.col("value").alias("elapsed_ms"),
+        F.expr("CASE event_type WHEN 'error' THEN 503 WHEN 'signup' THEN 429 WHEN 'purchase' THEN 404 ELSE 200 END").alias("status"), F.col("value").alias("elapsed_ms"), F.expr(_AFTER).alias("retry_after"),
         F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"), F.col("ts")).alias("us"),
     )
 
 
-EVT = f"evt AS (SELECT event_id, ts, 'fda' AS regulation, 's' || (user_id % 20) AS source, 's' || (user_id % 20) || '-' || strftime(ts, '%Y-%m-%d') AS run_id, json_extract_string(props, '$.k') AS document_id, {_KIND} AS event, concat('status of ', event_id, ' ', repeat('x', event_id % 300)) AS error FROM events)"
-LOG = "log AS (SELECT event_id, ts, 'h' || (user_id % 10) AS origin, 'h' || (user_id % 10) || '/' || json_extract_string(props, '$.k') AS url, CASE event_type WHEN 'error' THEN 503 WHEN 'signup' THEN 429 WHEN 'purchase' THEN 404 ELSE 200 END AS status, value AS elapsed_ms, epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS us FROM events)"
+EVT = f"evt AS (SELECT event_id, ts, 'fda' AS regulation, 's' || (user_id % 20) AS source, 's' || (user_id % 20) || '-' || strftime(ts, '%Y-%m-%d') AS run_id, CASE WHEN event_type = 'error' AND event_id % 29 = 0 THEN '__run__' ELSE json_extract_string(props, '$.k') END AS document_id, {_KIND} AS event, concat('status of ', event_id, ' ', repeat('x', event_id % 300)) AS error FROM events)"
+LOG = f"log AS (SELECT event_id, ts, 'h' || (user_id % 10) AS origin, 'h' || (user_id % 10) || '/' || json_extract_string(props, '$.k') AS url, CASE event_type WHEN 'error' THEN 503 WHEN 'signup' THEN 429 WHEN 'purchase' THEN 404 ELSE 200 END AS status, value AS elapsed_ms, {_AFTER} AS retry_after, epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS us FROM events)"
 BAD = "event IN ('error', 'skipped_disallowed')"
-RUNS = f"runs AS (SELECT regulation, source, run_id, count(*) AS checked, count(*) FILTER (WHERE event = 'new') AS new, count(*) FILTER (WHERE event = 'updated') AS updated, count(*) FILTER (WHERE event = 'unchanged') AS unchanged, count(*) FILTER (WHERE {BAD}) AS errors, min(ts) AS started_at, max(ts) AS finished_at, CASE WHEN count(*) FILTER (WHERE {BAD}) > 0 THEN 'partial_failure' ELSE 'success' END AS status FROM evt GROUP BY ALL)"
+RUNS = f"runs AS (SELECT regulation, source, run_id, count(*) AS checked, count(*) FILTER (WHERE event = 'new') AS new, count(*) FILTER (WHERE event = 'updated') AS updated, count(*) FILTER (WHERE event = 'unchanged') AS unchanged, count(*) FILTER (WHERE {BAD}) AS errors, min(ts) AS started_at, max(ts) AS finished_at, CASE WHEN count(*) FILTER (WHERE event = 'error' AND document_id = '__run__') > 0 THEN 'failed' WHEN count(*) FILTER (WHERE {BAD}) > 0 THEN 'partial_failure' ELSE 'success' END AS status FROM evt GROUP BY ALL)"
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
 
 
@@ -46,9 +50,11 @@ def agg_01_run_counters(spark, sf):
     return runs.counters(fetch_events(spark, sf)).select(*runs.RUN, "checked", "new", "updated", "unchanged", "errors")
 
 
-@query(f"WITH {EVT} SELECT regulation, source, run_id, coalesce(string_agg(document_id || '=' || error[1:160], ';' ORDER BY ts, event_id) FILTER (WHERE {BAD}), '') AS error_details FROM evt GROUP BY ALL")
+@query(f"""WITH {EVT}, n AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) AS n FROM evt WHERE {BAD})
+SELECT regulation, source, run_id, CAST((n - 1) // 5 AS INT) AS part, string_agg(document_id || '=' || error, ';' ORDER BY n) AS error_details FROM n GROUP BY ALL""")
 def agg_02_error_details(spark, sf):
-    found = runs.error_list(fetch_events(spark, sf).withColumn("error", F.substring("error", 1, 160)))
+    """Every error of every run, in arrays of five."""
+    found = runs.error_list(fetch_events(spark, sf), most=5)
     return found.withColumn("error_details", F.array_join(F.transform("error_details", lambda x: F.concat_ws("=", x["document_id"], x["error"])), ";"))
 
 
@@ -57,14 +63,25 @@ def agg_03_run_status(spark, sf):
     return runs.counters(fetch_events(spark, sf)).select("run_id", "status", stamp("started_at"), stamp("finished_at"))
 
 
-@query(f"WITH {EVT}, {RUNS} SELECT regulation, source, arg_max(run_id, (started_at, run_id)) AS run_id, arg_max(checked, (started_at, run_id)) AS checked, arg_max(status, (started_at, run_id)) AS status FROM runs GROUP BY ALL")
+# several runs may start at one time: of these the first name counts
+LATE = "late AS (SELECT *, date_trunc('day', started_at) - INTERVAL (day(started_at) % 3) DAY AS begun FROM runs)"
+
+
+def coarse(runs_):
+    """Runs with start times by day, of which three in a row are the same."""
+    day = F.date_trunc("day", "started_at")
+    return runs_.withColumn("started_at", day - F.make_dt_interval(days=F.dayofmonth("started_at") % 3))
+
+
+@query(f"""WITH {EVT}, {RUNS}, {LATE}, k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY begun DESC, run_id) AS n FROM late)
+SELECT regulation, source, run_id, checked, status FROM k WHERE n = 1""")
 def agg_05_latest_run(spark, sf):
-    return runs.latest_run(runs.counters(fetch_events(spark, sf)), "started_at", ["run_id", "checked", "status"])
+    return runs.latest_run(coarse(runs.counters(fetch_events(spark, sf))), ["run_id", "checked", "status"])
 
 
 @query(f"WITH {EVT}, {RUNS} SELECT regulation, source, max(run_id) AS run_id, arg_max(errors, run_id) AS errors FROM runs GROUP BY ALL")
 def agg_06_latest_run_by_name(spark, sf):
-    return runs.latest_run(runs.counters(fetch_events(spark, sf)), "run_id", ["run_id", "errors"])
+    return runs.latest_run(runs.counters(fetch_events(spark, sf)), ["run_id", "errors"], "run_id")
 
 
 def _registry(spark, sf):
@@ -74,42 +91,76 @@ def _registry(spark, sf):
 REG = "reg AS (SELECT DISTINCT 'fda' AS regulation, 's' || (user_id % 25) AS source FROM events)"
 DOCS = "docs AS (SELECT DISTINCT regulation, source, document_id FROM evt WHERE event IN ('new', 'updated', 'unchanged'))"
 EST = "est AS (SELECT regulation, source, count(DISTINCT document_id) AS total_available, count(DISTINCT CASE WHEN event = 'new' THEN document_id END) AS already_known FROM evt WHERE source <> 's7' GROUP BY ALL)"
+# a run's candidates are its events; it stops at its second hard stop, and every fourth document was known before
+CUTS = """cand AS (SELECT regulation, source, run_id, event_id, event_id % 4 = 0 AS known, CASE WHEN event_id % 13 = 0 THEN 'hard_stop' WHEN event IN ('error', 'skipped_disallowed') THEN 'error' ELSE 'ok' END AS outcome FROM evt),
+cutat AS (SELECT run_id, min(event_id) AS cut FROM cand WHERE NOT known AND outcome = 'hard_stop' GROUP BY run_id),
+cuts AS (SELECT run_id, count(*) FILTER (WHERE known AND (cut IS NULL OR event_id <= cut)) AS skipped_already_known, CASE WHEN any_value(cut) IS NULL THEN 'completed' ELSE 'hard_stop' END AS reason
+FROM cand LEFT JOIN cutat USING (run_id) GROUP BY run_id),
+full_runs AS (SELECT runs.*, skipped_already_known, CASE WHEN status = 'failed' THEN 'hard_stop' ELSE reason END AS stop_reason FROM runs JOIN cuts USING (run_id))"""
 
 
 def held(events):
     return events.filter(F.col("event").isin("new", "updated", "unchanged")).select("regulation", "source", "document_id").distinct()
 
 
+def run_summaries(spark, sf):
+    """Run summaries with what their candidates tell."""
+    events = fetch_events(spark, sf)
+    outcome = F.when(F.col("event_id") % 13 == 0, "hard_stop").when(F.col("event").isin(*runs.ERRORS), "error").otherwise("ok")
+    candidates = events.select(*runs.RUN, "event_id", (F.col("event_id") % 4 == 0).alias("known"), outcome.alias("outcome"))
+    return runs.summaries(events, select.run_cut(candidates, ["run_id"], "event_id", None))
+
+
 def estimates(events):
     out = events.filter("source <> 's7'").groupBy("regulation", "source").agg(F.count_distinct("document_id").alias("total_available"), F.count_distinct(F.when(F.col("event") == "new", F.col("document_id"))).alias("already_known"))
-    return out.withColumn("remaining", select.remaining(F.col("total_available"), F.col("already_known")))
+    noted = F.concat(F.lit("of "), "source").alias("note"), F.lit("2024-02-01T00:00:00+00:00").alias("computed_at")
+    return out.withColumn("remaining", select.remaining(F.col("total_available"), F.col("already_known"))).select("*", *noted)
 
 
-LATEST = "last AS (SELECT regulation, source, arg_max(run_id, (started_at, run_id)) AS run_id, arg_max(status, (started_at, run_id)) AS status, arg_max(checked, (started_at, run_id)) AS checked, arg_max(errors, (started_at, run_id)) AS errors FROM runs GROUP BY ALL)"
-SUMMARY = f"{EVT}, {RUNS}, {REG}, {DOCS}, {EST}, {LATEST}, summ AS (SELECT reg.regulation, reg.source, coalesce(d.n, 0) AS documents, run_id, status, checked, errors, total_available, already_known, greatest(0, total_available - already_known) AS remaining FROM reg LEFT JOIN (SELECT regulation, source, count(*) AS n FROM docs GROUP BY ALL) d USING (regulation, source) LEFT JOIN last USING (regulation, source) LEFT JOIN est USING (regulation, source))"
+LATEST = """last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY started_at DESC, run_id) AS n FROM full_runs) WHERE n = 1)"""
+SUMMARY = f"""{EVT}, {RUNS}, {REG}, {DOCS}, {EST}, {CUTS}, {LATEST}, summ AS (SELECT reg.regulation, reg.source, coalesce(d.n, 0) AS documents, run_id AS last_run_id,
+strftime(started_at, '%Y-%m-%d %H:%M:%S') AS last_started_at, strftime(finished_at, '%Y-%m-%d %H:%M:%S') AS last_finished_at, status AS last_status, stop_reason AS last_stop_reason,
+coalesce(checked, 0) AS last_checked, coalesce(new, 0) AS last_new, coalesce(updated, 0) AS last_updated, coalesce(unchanged, 0) AS last_unchanged,
+coalesce(skipped_already_known, 0) AS last_skipped_already_known, coalesce(errors, 0) AS last_errors, total_available, already_known,
+CASE WHEN total_available IS NOT NULL THEN greatest(0, total_available - already_known) END AS remaining, CASE WHEN est.source IS NOT NULL THEN 'of ' || est.source END AS estimate_note,
+CASE WHEN est.source IS NOT NULL THEN '2024-02-01T00:00:00+00:00' END AS estimate_computed_at
+FROM reg LEFT JOIN (SELECT regulation, source, count(*) AS n FROM docs GROUP BY ALL) d USING (regulation, source) LEFT JOIN last USING (regulation, source) LEFT JOIN est USING (regulation, source))"""
 
 
 def summary(spark, sf):
     events = fetch_events(spark, sf)
-    return runs.source_summary(_registry(spark, sf), held(events), runs.counters(events), estimates(events))
+    out = runs.source_summary(_registry(spark, sf), held(events), run_summaries(spark, sf), estimates(events))
+    return out.withColumns({c: stamp(c) for c in ("last_started_at", "last_finished_at")})
 
 
-@query(f"WITH {SUMMARY} SELECT regulation, source, documents, run_id, status, checked, errors, total_available, already_known, CASE WHEN total_available IS NOT NULL THEN remaining END AS remaining FROM summ")
+@query(f"WITH {SUMMARY} SELECT * FROM summ")
 def join_05_source_summary(spark, sf):
     return summary(spark, sf)
 
 
-@query(f"WITH {SUMMARY} SELECT regulation || ':' || source AS name, CAST(documents AS VARCHAR) AS documents, coalesce(CAST(total_available AS VARCHAR), '?') AS available, coalesce(run_id, '-') AS last_run, coalesce(status, '-') AS last_status FROM summ")
+@query(f"""WITH {SUMMARY} SELECT regulation || ':' || source AS name, CAST(documents AS VARCHAR) AS documents, coalesce(CAST(total_available AS VARCHAR), '?') AS available,
+coalesce(last_run_id, '-') AS last_run, coalesce(last_status, '-') AS last_status FROM summ""")
 def prj_06_display(spark, sf):
-    s = summary(spark, sf)
-    return s.select(F.concat_ws(":", "regulation", "source").alias("name"), runs.shown("documents").alias("documents"), runs.shown("total_available").alias("available"), runs.shown("run_id", "-").alias("last_run"), runs.shown("status", "-").alias("last_status"))
+    shown = {"documents": ("documents", "?"), "available": ("total_available", "?"), "last_run": ("last_run_id", "-"), "last_status": ("last_status", "-")}
+    return summary(spark, sf).select(F.concat_ws(":", "regulation", "source").alias("name"), *(runs.shown(c, blank).alias(n) for n, (c, blank) in shown.items()))
+
 
+_ISO = "'%Y-%m-%dT%H:%M:%S+00:00'"
 
-@query(f"WITH {EVT}, {RUNS} SELECT run_id AS runId, regulation, source, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS startedAt, status, new AS newCount, updated AS updatedCount, unchanged AS unchangedCount, errors AS errorCount, 'completed' AS stopReason FROM runs")
+
+@query(f"""WITH {EVT}, {RUNS}, {CUTS} SELECT run_id AS runId, regulation, source, strftime(started_at, {_ISO}) AS startedAt, strftime(finished_at, {_ISO}) AS finishedAt, status, checked, new, updated,
+unchanged, errors, stop_reason AS stopReason, (SELECT count(*) FROM evt e WHERE e.run_id = full_runs.run_id AND {BAD}) AS details FROM full_runs""")
 def prj_03_run_report(spark, sf):
-    r = runs.counters(fetch_events(spark, sf))
-    camel = {"run_id": "runId", "new": "newCount", "updated": "updatedCount", "unchanged": "unchangedCount", "errors": "errorCount"}
-    return r.withColumn("startedAt", F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")).withColumn("stopReason", F.coalesce(F.lit(None).cast("string"), F.lit("completed"))).select("regulation", "source", "status", "startedAt", "stopReason", *(F.col(a).alias(b) for a, b in camel.items()))
+    """Runs under their names on the wire, live."""
+    iso = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'") for c in ("started_at", "finished_at")}
+    told = runs.run_report(run_summaries(spark, sf).withColumns(iso), live=True)
+    return told.withColumn("details", F.size("errorDetails").cast("bigint")).drop("errorDetails")
+
+
+@query(f"""WITH {EVT}, {EST} SELECT regulation, source, '2024-02-01T00:00:00+00:00' AS computedAt, total_available AS totalAvailable, already_known AS alreadyKnown,
+greatest(0, total_available - already_known) AS remaining, 'of ' || source AS note FROM est""")
+def prj_03_estimate_report(spark, sf):
+    return runs.estimate_report(estimates(fetch_events(spark, sf)))
 
 
 @query(f"WITH {EVT}, {RUNS}, {DOCS}, {EST} SELECT s.regulation, s.source, coalesce(d.n, 0) AS documents, coalesce(r.n, 0) AS runs, est.source IS NOT NULL AS estimate FROM (SELECT DISTINCT regulation, source FROM evt) s LEFT JOIN (SELECT regulation, source, count(*) AS n FROM docs GROUP BY ALL) d USING (regulation, source) LEFT JOIN (SELECT regulation, source, count(*) AS n FROM runs GROUP BY ALL) r USING (regulation, source) LEFT JOIN est USING (regulation, source)")
@@ -132,7 +183,7 @@ def agg_11_requests_per_origin(spark, sf):
     return request_log(spark, sf).filter(F.col("message") == "http_request").groupBy("origin").agg(F.count("*").alias("requests"))
 
 
-@query(f"WITH {LOG} SELECT origin, count(*) AS requests, count(*) FILTER (WHERE status BETWEEN 200 AND 299) AS ok, count(*) FILTER (WHERE status BETWEEN 400 AND 499) AS client_errors, count(*) FILTER (WHERE status >= 500) AS server_errors, count(*) FILTER (WHERE status = 429) AS throttled, round(avg(elapsed_ms), 4) AS avg_ms, round(quantile_cont(elapsed_ms, 0.5), 4) AS p50_ms FROM log GROUP BY ALL")
+@query(f"WITH {LOG} SELECT origin, count(*) AS requests, count(*) FILTER (WHERE status BETWEEN 200 AND 299) AS ok, count(*) FILTER (WHERE status BETWEEN 400 AND 499) AS client_errors, count(*) FILTER (WHERE status >= 500) AS server_errors, count(*) FILTER (WHERE status = 429) AS throttled, round(avg(elapsed_ms), 4) AS avg_ms, round(quantile_disc(elapsed_ms, 0.5), 4) AS p50_ms FROM log GROUP BY ALL")
 def agg_12_outcomes(spark, sf):
     return requests.outcomes(request_log(spark, sf))
 
@@ -172,13 +223,13 @@ def win_10_retry_chains(spark, sf):
     return requests.retry_chains(request_log(spark, sf)).groupBy("url", "chain").agg(F.max("attempt").alias("attempts"), F.count_if(F.col("status") == 200).alias("ok"))
 
 
-@query(f"WITH {LOG}, {CHAIN} SELECT event_id, CAST(attempt AS INT) AS attempt, least(120.0::DOUBLE, pow(2.0, attempt)) AS wait_s, round((lead(us) OVER (PARTITION BY url, chain ORDER BY ts, event_id) - us) / 1e6, 3) AS observed_s FROM att")
+@query(f"WITH {LOG}, {CHAIN} SELECT event_id, CAST(attempt AS INT) AS attempt, CASE WHEN TRY_CAST(retry_after AS DOUBLE) IS NOT NULL THEN least(120.0::DOUBLE, TRY_CAST(retry_after AS DOUBLE)) ELSE least(120.0::DOUBLE, pow(2.0, attempt)) END AS wait_s, round((lead(us) OVER (PARTITION BY url, chain ORDER BY ts, event_id) - us) / 1e6, 3) AS observed_s FROM att")
 def win_11_expected_wait(spark, sf):
     from pyspark.sql import Window
 
     chains = requests.retry_chains(request_log(spark, sf))
     nxt = F.lead("us").over(Window.partitionBy("url", "chain").orderBy("ts", "event_id"))
-    return chains.select("event_id", "attempt", requests.expected_wait(F.col("attempt")).alias("wait_s"), F.round((nxt - F.col("us")) / F.lit(1e6), 3).alias("observed_s"))
+    return chains.select("event_id", "attempt", requests.expected_wait(F.col("attempt"), F.col("retry_after")).alias("wait_s"), F.round((nxt - F.col("us")) / F.lit(1e6), 3).alias("observed_s"))
 
 
 @query(f"WITH {LOG}, g AS (SELECT origin, (us - lag(us) OVER (PARTITION BY origin ORDER BY ts, event_id)) / 1e6 AS gap FROM log) SELECT origin, count(gap) AS gaps, count(*) FILTER (WHERE gap < 30) AS violations, round(min(gap), 4) AS shortest FROM g GROUP BY ALL")

@@ -10,7 +10,7 @@ from vigilspark.operators import changes, select
 from vigilspark.plans import specs
 from vigilspark.plans.registry import query, read
 
-PAGE_ROWS, MAX_PAGES, EMPTY_PAGE = 100, 25, 20
+PAGE_ROWS, MAX_PAGES, MAX_RECORDS = 100, 25, 5000
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +25,20 @@ DEC = "dec AS (SELECT o_orderkey AS record_id, CAST(o_orderdate AS DATE) AS deci
 PAGED = f"{DEC}, pg AS (SELECT *, (row_number() OVER (PARTITION BY listing ORDER BY decision_date DESC, record_id) - 1) // {PAGE_ROWS} AS page FROM dec)"
 
 
+# every other year's listing ends in an empty or missing page after four fifths of its pages
+NUMBERS = f"""{PAGED}, pn AS (SELECT listing, page, count(*) AS n FROM pg GROUP BY ALL),
+ends AS (SELECT listing, CASE WHEN listing % 2 = 0 THEN (max(page) + 1) * 4 // 5 END AS last FROM pn GROUP BY listing)"""
+
+
 def paged(spark, sf) -> DataFrame:
-    order = Window.partitionBy("listing").orderBy(F.desc("decision_date"), "record_id")
-    return decisions(spark, sf).withColumn("page", F.floor((F.row_number().over(order) - 1) / PAGE_ROWS))
+    rows = select.numbered(decisions(spark, sf), ["listing"], "decision_date", [F.col("record_id")], "number")
+    return rows.withColumn("page", F.floor(F.col("number") / PAGE_ROWS)).drop("number")
+
+
+def with_ends(pages: DataFrame) -> DataFrame:
+    """Adds last: the page at which a listing is empty."""
+    last = pages.groupBy("listing").agg(F.when(F.col("listing") % 2 == 0, F.floor((F.max("page") + 1) * 4 / 5)).alias("last"))
+    return pages.join(last, "listing")
 
 
 @query(f"WITH {DEC} SELECT record_id, strftime(decision_date, '%Y-%m-%d') AS day FROM dec, (SELECT max(decision_date) AS today FROM dec) WHERE decision_date BETWEEN today - INTERVAL 30 DAY AND today")
@@ -49,7 +60,9 @@ def flt_03_equality(spark, sf):
 
 @query(f"WITH {PAGED} SELECT record_id, CAST(page AS BIGINT) AS page FROM pg WHERE page < {MAX_PAGES}")
 def flt_06_page_cap(spark, sf):
-    return paged(spark, sf).filter(F.col("page") < MAX_PAGES).select("record_id", "page")
+    order = Window.partitionBy("listing").orderBy(F.desc("decision_date"), "record_id")
+    first = decisions(spark, sf).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= MAX_PAGES * PAGE_ROWS)  # the cap is the feature
+    return first.select("record_id", F.floor((F.col("n") - 1) / PAGE_ROWS).alias("page"))
 
 
 _RAW = "CASE o_orderkey % 6 WHEN 0 THEN concat(' /a/', o_orderkey, '/ ') WHEN 1 THEN '' WHEN 2 THEN concat('x/../', o_orderkey) WHEN 3 THEN '//' WHEN 4 THEN concat('b..', o_orderkey) ELSE concat(o_orderkey, '/..') END"
@@ -60,81 +73,152 @@ def flt_07_document_ids(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", select.clean_id(F.expr(_RAW)).alias("document_id"))
 
 
-_EXPR = "CASE c_custkey % 5 WHEN 0 THEN 'all' WHEN 1 THEN concat('r', c_custkey % 3, ':all') WHEN 2 THEN concat('r', c_custkey % 3, ':s', c_custkey % 50) WHEN 3 THEN concat('r1:s4,r0:all,r1:s', c_custkey % 40, ',r1:s4') ELSE 'r9:nothing' END"
-SELECTORS = f"""reg AS (SELECT 'r' || (s_suppkey % 3) AS regulation, 's' || s_suppkey AS source, s_suppkey % 4 <> 0 AS enabled FROM supplier WHERE s_suppkey < 60),
-rq AS (SELECT c_custkey AS request_id, {_EXPR} AS expr FROM customer), it AS (SELECT request_id, trim(unnest(string_split(expr, ','))) AS item, unnest(range(len(string_split(expr, ',')))) AS at_pos FROM rq),
-nm AS (SELECT regulation, source, unnest(CASE WHEN enabled THEN ['all', regulation || ':all', regulation || ':' || source] ELSE [regulation || ':' || source] END) AS item FROM reg),
-ch AS (SELECT request_id, CASE WHEN source IS NULL THEN it.item END AS unknown, regulation, source, CAST(min(at_pos) AS INT) AS at_pos FROM it LEFT JOIN nm USING (item) GROUP BY ALL)"""
+_EXPR = """CASE c_custkey % 7 WHEN 0 THEN 'all' WHEN 1 THEN concat('r', c_custkey % 3, ':all') WHEN 2 THEN concat('r', c_custkey % 3, ':s', c_custkey % 50)
+WHEN 3 THEN concat('r1:s4,r0:all, ,r1:s', c_custkey % 40, ',r1:s4,') WHEN 4 THEN 'all,' WHEN 5 THEN concat('all,r0:s', c_custkey % 60, ',r5:all') ELSE 'r9:nothing,r2:all,bare' END"""
+SELECTORS = f"""reg AS (SELECT 'r' || (s_suppkey % 3) AS regulation, 's' || s_suppkey AS source, s_suppkey % 4 <> 0 AND s_suppkey % 3 <> 2 AS enabled FROM supplier),
+rq AS (SELECT c_custkey AS request_id, {_EXPR} AS expr FROM customer),
+sp AS (SELECT request_id, trim(unnest(string_split(expr, ','))) AS item, CAST(unnest(range(len(string_split(expr, ',')))) AS INT) AS at_pos FROM rq), it AS (SELECT * FROM sp WHERE item <> ''),
+known AS (SELECT 'all' AS item UNION SELECT regulation || ':all' FROM reg UNION SELECT regulation || ':' || source FROM reg),
+nm AS (SELECT regulation, source, unnest(CASE WHEN enabled THEN ['all', regulation || ':all', regulation || ':' || source] ELSE [regulation || ':' || source] END) AS item FROM reg)"""
 
 
-def chosen(spark, sf) -> DataFrame:
+def selectors(spark, sf) -> tuple[DataFrame, DataFrame]:
     requests = read(spark, sf, "customer").select(F.col("c_custkey").alias("request_id"), F.expr(_EXPR).alias("expr"))
-    registry = read(spark, sf, "supplier").filter("s_suppkey < 60").select(F.concat(F.lit("r"), F.col("s_suppkey") % 3).alias("regulation"), F.concat(F.lit("s"), "s_suppkey").alias("source"), (F.col("s_suppkey") % 4 != 0).alias("enabled"))
-    return select.choose_sources(requests, registry).withColumnRenamed("at", "at_pos")
+    key = F.col("s_suppkey")
+    registry = read(spark, sf, "supplier").select(
+        F.concat(F.lit("r"), key % 3).alias("regulation"), F.concat(F.lit("s"), key).alias("source"), ((key % 4 != 0) & (key % 3 != 2)).alias("enabled")
+    )
+    return select.selector_items(requests), registry
 
 
-@query(f"WITH {SELECTORS} SELECT * FROM ch")
+@query(f"""WITH {SELECTORS}, n AS (SELECT item, count(*) AS sources FROM nm GROUP BY item)
+SELECT request_id, at_pos, it.item, known.item IS NULL AS unknown, coalesce(sources, 0) AS sources FROM it LEFT JOIN known USING (item) LEFT JOIN n ON n.item = it.item""")
 def flt_08_source_selectors(spark, sf):
-    return chosen(spark, sf)
+    """Each item of each request with the number of sources it stands for; the sources themselves are one table by item."""
+    items, registry = selectors(spark, sf)
+    sizes = select.item_sources(registry).groupBy("item").agg(F.count("source").alias("sources"))
+    bad = select.unknown_items(items, registry).select("item").distinct().withColumn("_bad", F.lit(True))
+    out = items.join(sizes, "item", "left").join(bad, "item", "left")
+    return out.select("request_id", F.col("at").alias("at_pos"), "item", F.col("_bad").isNotNull().alias("unknown"), F.coalesce("sources", F.lit(0).cast("bigint")).alias("sources"))
+
 
+@query(f"WITH {SELECTORS} SELECT item, regulation, source FROM nm")
+def flt_08_item_sources(spark, sf):
+    return select.item_sources(selectors(spark, sf)[1]).filter("source IS NOT NULL")
 
-@query(f"WITH {SELECTORS} SELECT regulation, source, count(DISTINCT request_id) AS requests FROM ch WHERE source IS NOT NULL GROUP BY ALL")
+
+@query(f"WITH {SELECTORS} SELECT regulation, source, count(DISTINCT request_id) AS requests FROM it JOIN nm USING (item) GROUP BY ALL")
 def set_01_union_of_lists(spark, sf):
-    return chosen(spark, sf).filter("source IS NOT NULL").groupBy("regulation", "source").agg(F.count_distinct("request_id").alias("requests"))
+    return select.requests_per_source(*selectors(spark, sf))
+
+
+_FIELDS = {
+    "product_code": "p_partkey", "device_name": "p_name", "device_class": "p_brand", "regulation_number": "p_size", "review_panel": None, "medical_specialty": "p_type",
+    "medical_specialty_description": None, "submission_type_id": None, "definition": "p_retailprice",
+}
+
 
+def classifications(spark, sf) -> DataFrame:
+    """The part table as product classification records, read by that source's chain."""
+    raw = read(spark, sf, "part").select(F.col("p_partkey").alias("pos"), *((F.col(c) if c else F.lit(None)).cast("string").alias(n) for n, c in _FIELDS.items()))
+    return specs.SPECS["fda:classification"].candidates(raw)
 
-@query("SELECT p_partkey, p_name FROM part WHERE p_brand = (SELECT min(p_brand) FROM part)")
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS document_id, p_name AS title FROM part WHERE p_brand = (SELECT min(p_brand) FROM part)")
 def flt_10_metadata_key(spark, sf):
-    meta = specs.metadata("catalogue", read(spark, sf, "part"))
-    first = meta.agg(F.min(F.col("source_metadata")["issuing_office"]).alias("office"))
-    return meta.join(F.broadcast(first), F.col("source_metadata")["issuing_office"] == F.col("office"), "left_semi").select("p_partkey", "p_name")
+    rows, office = classifications(spark, sf), F.col("source_metadata")["device_class"]
+    first = rows.agg(F.min(office).alias("office"))
+    return rows.join(F.broadcast(first), office == F.col("office"), "left_semi").select("document_id", "title")  # one row on the other side
 
 
-@query("SELECT p_partkey, p_brand AS issuing_office, p_type AS center, CAST(p_size AS VARCHAR) AS product_size FROM part")
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS document_id, p_name AS title, 'https://api.fda.gov/device/classification.json?search=product_code:' || p_partkey AS url,
+'definition,device_class,device_name,medical_specialty,medical_specialty_description,product_code,regulation_number,review_panel,submission_type_id' AS keys,
+p_brand AS device_class, CAST(p_size AS VARCHAR) AS regulation_number, p_type AS medical_specialty FROM part""")
 def prj_01_metadata(spark, sf):
     m = F.col("source_metadata")
-    return specs.metadata("catalogue", read(spark, sf, "part")).select("p_partkey", m["issuing_office"].alias("issuing_office"), m["center"].alias("center"), m["product_size"].alias("product_size"))
+    keys = F.array_join(F.array_sort(F.map_keys(m)), ",").alias("keys")
+    return classifications(spark, sf).select("document_id", "title", "url", keys, *(m[c].alias(c) for c in ("device_class", "regulation_number", "medical_specialty")))
 
 
-@query(f"WITH {DEC} SELECT record_id, k_number || '/' || k AS document_id FROM dec, (VALUES ('metadata'), ('summary')) v(k) WHERE k = 'metadata' OR kind = 'Summary'")
-def prj_02_fan_out(spark, sf):
-    kinds = F.when(F.col("kind") == "Summary", F.array(F.lit("metadata"), F.lit("summary"))).otherwise(F.array(F.lit("metadata")))
-    return decisions(spark, sf).select("record_id", "k_number", F.explode(kinds).alias("k")).select("record_id", F.concat_ws("/", "k_number", "k").alias("document_id"))
+# clearances: orders as records, of which those with a Summary have a file
+_CLEARANCE = """c AS (SELECT o_orderkey AS pos, CASE WHEN o_orderkey % 13 <> 0 THEN 'K' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') END AS k, 'Device ' || o_custkey AS d,
+o_orderstatus <> 'O' AS s FROM orders), r AS (SELECT *, coalesce(k, d) AS id FROM c)"""
 
 
-# settings: each supplier is a source; some have their own rate and budget, -1 for no limit; commands override some
-_SETTINGS = "set1 AS (SELECT 's' || s_suppkey AS source, CASE WHEN s_suppkey % 2 = 0 THEN 0.2 END AS rps, CASE WHEN s_suppkey % 5 = 0 THEN -1 WHEN s_suppkey % 5 = 1 THEN 40 END AS max_new, CASE WHEN s_suppkey % 11 = 0 THEN 7 WHEN s_suppkey % 13 = 0 THEN -1 END AS override_max FROM supplier WHERE s_suppkey % 7 <> 0)"
+@query(f"""WITH {_CLEARANCE} SELECT pos * 2 AS pos, id || '/metadata' AS document_id, d AS title, 'json' AS ext, NULL AS reason FROM r
+UNION ALL SELECT pos * 2 + 1, id || '/summary', '510(k) Summary — ' || d, 'pdf', NULL FROM r WHERE s AND k IS NOT NULL
+UNION ALL SELECT pos * 2 + 1, id || '/summary', '510(k) Summary — not applicable (' || id || ')', 'json', 'statement_or_summary != ''Summary''' FROM r WHERE NOT s""")
+def udf_01_source_chain(spark, sf):
+    """A source's whole chain, from records to candidates."""
+    none = F.lit(None).cast("string")
+    raw = read(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("pos"), F.when(F.col("o_orderkey") % 13 != 0, F.concat(F.lit("K"), F.lpad((F.col("o_orderkey") % 1000000).cast("string"), 6, "0"))).alias("k_number"),
+        F.concat(F.lit("Device "), "o_custkey").alias("device_name"), F.when(F.col("o_orderstatus") != "O", "Summary").otherwise("Statement").alias("statement_or_summary"),
+        *(none.alias(c) for c in ("applicant", "decision_date", "decision_code", "product_code", "clearance_type")),
+    )
+    return specs.SPECS["fda:clearances_510k"].candidates(raw).select("pos", "document_id", "title", "ext", F.col("source_metadata")["reason"].alias("reason"))
 
 
-def settings(spark, sf) -> DataFrame:
-    return read(spark, sf, "supplier").filter("s_suppkey % 7 <> 0").select(
-        F.concat(F.lit("s"), "s_suppkey").alias("source"), F.expr("CASE WHEN s_suppkey % 2 = 0 THEN 0.2D END").alias("rps"), F.expr("CASE WHEN s_suppkey % 5 = 0 THEN -1 WHEN s_suppkey % 5 = 1 THEN 40 END").alias("max_new"),
-        F.expr("CASE WHEN s_suppkey % 11 = 0 THEN 7 WHEN s_suppkey % 13 = 0 THEN -1 END").alias("override_max"),
-    )
+@query(f"WITH {DEC} SELECT record_id, k_number || '/' || k AS document_id FROM dec, (VALUES ('metadata'), ('summary')) v(k) WHERE k = 'metadata' OR kind = 'Summary'")
+def prj_02_fan_out(spark, sf):
+    kinds = F.when(F.col("kind") == "Summary", F.array(F.lit("metadata"), F.lit("summary"))).otherwise(F.array(F.lit("metadata")))
+    return decisions(spark, sf).select("record_id", "k_number", F.explode(kinds).alias("k")).select("record_id", F.concat_ws("/", "k_number", "k").alias("document_id"))
 
 
-@query(f"WITH {_SETTINGS} SELECT source, CAST(coalesce(rps, 1.0) AS DOUBLE) AS rps, nullif(coalesce(override_max, max_new, 1000), -1) AS max_new FROM set1")
+# settings: each supplier is a source; some have settings of their own, -1 for no limit; a command overrides some
+_OWN = {
+    "enabled": "CASE WHEN s_suppkey % 17 = 0 THEN false END", "rps": "CASE WHEN s_suppkey % 2 = 0 THEN CAST(0.2 AS DOUBLE) END",
+    "max_new": "CASE WHEN s_suppkey % 5 = 0 THEN -1 WHEN s_suppkey % 5 = 1 THEN 40 END", "recheck_after_days": "CASE WHEN s_suppkey % 3 = 0 THEN 14 END",
+    "lookback_days": "CASE WHEN s_suppkey % 4 = 1 THEN 60 END",
+}
+_COMMAND = {
+    "rps": "CASE WHEN s_suppkey % 19 = 0 THEN CAST(2.0 AS DOUBLE) END", "max_new": "CASE WHEN s_suppkey % 11 = 0 THEN 7 WHEN s_suppkey % 13 = 0 THEN -1 END",
+    "recheck_after_days": "CASE WHEN s_suppkey % 9 = 0 THEN 0 END", "lookback_days": "CASE WHEN s_suppkey % 8 = 1 THEN 5 END", "time_budget_minutes": "CASE WHEN s_suppkey % 6 = 0 THEN 30 END",
+}
+_COLUMNS = ", ".join([*(f"{e} AS o_{n}" for n, e in _OWN.items()), *(f"{e} AS c_{n}" for n, e in _COMMAND.items())])
+SET_SQL = f"""raw AS (SELECT 's' || s_suppkey AS source, s_suppkey % 7 = 0 AS bare, {_COLUMNS} FROM supplier),
+eff AS (SELECT source, bare AS defaulted, CASE WHEN bare THEN true ELSE coalesce(o_enabled, true) END AS enabled,
+CAST(coalesce(c_rps, CASE WHEN NOT bare THEN o_rps END, 0.5) AS DOUBLE) AS rps,
+nullif(coalesce(c_max_new, CASE WHEN NOT bare THEN o_max_new END, 250), -1) AS max_new, coalesce(c_recheck_after_days, CASE WHEN NOT bare THEN o_recheck_after_days END) AS recheck_after_days,
+coalesce(c_lookback_days, CASE WHEN NOT bare THEN o_lookback_days END) AS lookback_days, c_time_budget_minutes AS time_budget_minutes FROM raw)"""
+
+
+def settings(spark, sf, commands: bool = True, whole: dict | None = None) -> DataFrame:
+    s = read(spark, sf, "supplier").withColumns({"regulation": F.lit("r"), "source": F.concat(F.lit("s"), "s_suppkey")})
+    own = s.filter("s_suppkey % 7 <> 0").select("regulation", "source", *(F.expr(e).alias(n) for n, e in _OWN.items()))
+    over = s.select("regulation", "source", *(F.expr(e).alias(n) for n, e in _COMMAND.items())) if commands else None
+    return specs.effective(s, own, over, whole)
+
+
+@query(f"WITH {SET_SQL} SELECT source, enabled, rps, max_new, recheck_after_days, lookback_days, time_budget_minutes FROM eff")
 def prj_04_effective_settings(spark, sf):
-    return specs.effective(settings(spark, sf)).select("source", "rps", "max_new")
+    """Command, then own, then global values, of all suppliers as sources."""
+    return settings(spark, sf, whole={"rps": 0.5, "max_new": 250}).drop("regulation")
 
 
-@query(f"WITH {_SETTINGS} SELECT 's' || s_suppkey AS source, CAST(coalesce(rps, 1.0) AS DOUBLE) AS rps, nullif(coalesce(override_max, max_new, 1000), -1) AS max_new, set1.source IS NULL AS defaulted FROM supplier LEFT JOIN set1 ON set1.source = 's' || s_suppkey")
+@query("""SELECT 's' || s_suppkey AS source, true AS enabled, CAST(1.0 AS DOUBLE) AS rps, 1000 AS max_new, CAST(NULL AS INT) AS recheck_after_days, CAST(NULL AS INT) AS lookback_days
+FROM supplier WHERE s_suppkey % 7 = 0""")
 def prj_05_default_settings(spark, sf):
-    every = read(spark, sf, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("source"))
-    both = every.join(settings(spark, sf).withColumn("own", F.lit(True)), "source", "left")
-    return specs.effective(both).select("source", "rps", "max_new", F.col("own").isNull().alias("defaulted"))
+    """Sources that no settings mention."""
+    bare = read(spark, sf, "supplier").filter("s_suppkey % 7 = 0").select(F.concat(F.lit("s"), "s_suppkey").alias("source"))
+    return settings(spark, sf, commands=False).join(bare, "source", "left_semi").select("source", "enabled", "rps", "max_new", "recheck_after_days", "lookback_days")
 
 
-@query(f"WITH {_SETTINGS}, e AS (SELECT 's' || l_suppkey AS source, CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE count(*) END AS remaining FROM lineitem GROUP BY l_suppkey), j AS (SELECT e.source, remaining, coalesce(rps, 1.0) AS rps, nullif(coalesce(override_max, max_new, 1000), -1) AS mx FROM e LEFT JOIN set1 USING (source)) SELECT source, remaining, CASE WHEN remaining IS NULL THEN NULL WHEN mx IS NULL THEN remaining ELSE least(remaining, mx) END AS this_run, round(CASE WHEN remaining IS NOT NULL THEN CASE WHEN mx IS NULL THEN remaining ELSE least(remaining, mx) END / rps END, 3)::DOUBLE AS eta_s FROM j")
+@query(f"""WITH {SET_SQL}, e AS (SELECT 's' || l_suppkey AS source, CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE count(*) END AS remaining FROM lineitem GROUP BY l_suppkey),
+j AS (SELECT e.source, remaining, rps, CASE WHEN remaining IS NULL THEN NULL WHEN max_new IS NULL THEN remaining ELSE least(remaining, max_new) END AS this_run FROM e JOIN eff USING (source))
+SELECT source, remaining, this_run, round(this_run / rps, 3)::DOUBLE AS eta_s FROM j""")
 def agg_08_preview(spark, sf):
-    totals = read(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")).select(F.concat(F.lit("s"), "l_suppkey").alias("source"), F.when(F.col("l_suppkey") % 9 != 0, F.col("n")).alias("remaining"))
-    return specs.preview(specs.effective(totals.join(settings(spark, sf), "source", "left"))).select("source", "remaining", "this_run", F.round("eta_s", 3).alias("eta_s"))
+    totals = read(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"))
+    totals = totals.select(F.concat(F.lit("s"), "l_suppkey").alias("source"), F.when(F.col("l_suppkey") % 9 != 0, F.col("n")).alias("remaining"))
+    both = totals.join(settings(spark, sf, whole={"rps": 0.5, "max_new": 250}), "source")
+    return specs.preview(both).select("source", "remaining", "this_run", F.round("eta_s", 3).alias("eta_s"))
 
 
-@query(f"WITH {PAGED}, n AS (SELECT listing, page, CASE WHEN page = {EMPTY_PAGE} THEN 0 ELSE count(*) END AS n FROM pg GROUP BY listing, page) SELECT listing, CAST(page AS BIGINT) AS page, rows FROM (SELECT listing, page, n AS rows, min(CASE WHEN n = 0 THEN page END) OVER (PARTITION BY listing) AS f FROM n) WHERE f IS NULL OR page < f")
+@query(f"WITH {NUMBERS} SELECT listing, CAST(page AS BIGINT) AS page, n AS rows FROM pn JOIN ends USING (listing) WHERE last IS NULL OR page < last")
 def win_03_until_empty(spark, sf):
-    counts = paged(spark, sf).groupBy("listing", "page").agg(F.count("*").alias("n")).select("listing", "page", F.when(F.col("page") == EMPTY_PAGE, 0).otherwise(F.col("n")).alias("rows"))
-    return select.until_empty(counts, ["listing"], "page", "rows")
+    counts = with_ends(paged(spark, sf).groupBy("listing", "page").agg(F.count("*").alias("n")))
+    rows = counts.select("listing", "page", F.when(F.col("page") == F.col("last"), 0).otherwise(F.col("n")).alias("rows"))
+    return select.until_empty(rows, ["listing"], "page", "rows")
 
 
 @query(f"WITH {DEC} SELECT record_id, k_number, strftime(decision_date, '%Y-%m-%d') AS day FROM dec ORDER BY decision_date DESC, record_id LIMIT 5000")
@@ -148,20 +232,40 @@ def win_08_pages_touched(spark, sf):
     return paged(spark, sf).filter("record_id % 3 = 0").groupBy("listing").agg((F.max("page") + 1).alias("pages_touched"))
 
 
-@query(f"WITH {PAGED} SELECT listing, record_id, priority FROM pg WHERE page < {EMPTY_PAGE}")
+def envelopes(spark, sf) -> DataFrame:
+    """Pages as JSON envelopes of at most 100 records; the page that ends a listing is empty, or missing in years that three divides."""
+    row = F.array_sort(F.collect_list(F.struct("at", "record_id", "priority")))
+    rows = select.numbered(decisions(spark, sf), ["listing"], "decision_date", [F.col("record_id")], "number")
+    rows = rows.withColumn("page", F.floor(F.col("number") / PAGE_ROWS)).withColumn("at", F.col("number") % PAGE_ROWS)
+    pages = with_ends(rows.groupBy("listing", "page").agg(row.alias("results")))
+    last = F.coalesce(F.col("page") == F.col("last"), F.lit(False))
+    results = F.when(last, F.array()).otherwise(F.transform("results", lambda r: F.struct(r["record_id"].alias("record_id"), r["priority"].alias("priority"))))
+    body = F.when(~(last & (F.col("listing") % 3 == 0)), F.to_json(F.struct(results.alias("results"))))
+    return pages.select("listing", "page", body.alias("body"))
+
+
+@query(f"WITH {NUMBERS} SELECT listing, record_id, priority FROM pg JOIN ends USING (listing) WHERE last IS NULL OR page < last")
 def src_07_unnest_pages(spark, sf):
-    """Pages as JSON envelopes, cut at the first empty one and unnested again."""
-    row = F.struct("record_id", "priority")
-    bodies = paged(spark, sf).groupBy("listing", "page").agg(F.collect_list(row).alias("results")).select("listing", "page", F.to_json(F.struct(F.when(F.col("page") == EMPTY_PAGE, F.array()).otherwise(F.col("results")).alias("results"))).alias("body"))
-    parsed = bodies.withColumn("results", F.from_json("body", "results array<struct<record_id:bigint,priority:string>>")["results"]).withColumn("rows", F.size("results"))
-    return select.until_empty(parsed, ["listing"], "page", "rows").select("listing", F.inline("results"))
+    found = select.unnest_pages(envelopes(spark, sf), ["listing"], "page", "body", "record_id:bigint,priority:string")
+    return found.select("listing", "record_id", "priority")
 
 
-@query(f"WITH {DEC} SELECT record_id, k_number || '/summary' AS document_id, sha256(CASE WHEN kind = 'Summary' THEN 'pdf of ' || k_number ELSE '{changes.SENTINEL}' END) AS content_hash, kind IS NULL AS not_applicable FROM dec")
+@query(f"""WITH {NUMBERS}, k AS (SELECT *, row_number() OVER (PARTITION BY listing ORDER BY decision_date DESC, record_id) AS n FROM pg)
+SELECT listing, record_id FROM k JOIN ends USING (listing) WHERE (last IS NULL OR page < last) AND n <= {MAX_RECORDS}""")
+def src_07_max_records(spark, sf):
+    """As a listing's reader asks for it: at most so many records of each listing (the cap is the feature)."""
+    found = select.unnest_pages(envelopes(spark, sf), ["listing"], "page", "body", "record_id:bigint,priority:string", MAX_RECORDS)
+    return found.select("listing", "record_id")
+
+
+@query(f"""WITH {DEC} SELECT record_id, k_number || '/summary' AS document_id, sha256('{changes.SENTINEL}') AS content_hash, 'not applicable (' || k_number || ')' AS title,
+'json' AS ext, 'true' AS not_applicable, 'no summary' AS reason, k_number FROM dec WHERE kind IS NULL""")
 def cdc_08_settled_miss(spark, sf):
-    has = F.col("kind").isNotNull()
-    rows = decisions(spark, sf).select("record_id", F.concat("k_number", F.lit("/summary")).alias("document_id"), changes.settled_miss(has, F.concat(F.lit("pdf of "), "k_number")).alias("content"), (~has).alias("not_applicable"))
-    return changes.hashed(rows).select("record_id", "document_id", "content_hash", "not_applicable")
+    rows = decisions(spark, sf).filter("kind IS NULL").withColumn("document_id", F.concat("k_number", F.lit("/summary")))
+    misses = changes.not_applicable(rows, F.concat(F.lit("not applicable ("), "k_number", F.lit(")")), F.lit("no summary"), "k_number")
+    m = F.col("source_metadata")
+    told = [m[c].alias(c) for c in ("not_applicable", "reason", "k_number")]
+    return changes.hashed(misses).select("record_id", "document_id", "content_hash", "title", "ext", *told)
 
 
 @query("""SELECT p_partkey, sha256('{"p_brand":"' || p_brand || '","p_name":"' || p_name || '","p_type":"' || p_type || '"}') AS content_hash FROM part""")

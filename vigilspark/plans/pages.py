@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilspark.functions import columns as fn
@@ -19,10 +19,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages")
 
 
-# DuckDB reads the same anchors: the region first, then each anchor's target and text
+# DuckDB reads the same anchors by patterns, as the pages' navigation is regular: plain texts in <a href="...">
 NAV = r"""art AS (SELECT page_id, nullif(regexp_extract(html, '(?is)<nav[^>]*>(.*?)</nav>', 1), '') AS m FROM pages),
 an AS (SELECT page_id, unnest(range(len(l))) AS pos, unnest(l) AS a FROM (SELECT page_id, regexp_extract_all(m, '(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>') AS l FROM art WHERE m IS NOT NULL)),
-lk AS (SELECT page_id, CAST(pos AS INT) AS pos, nullif(regexp_extract(a, '(?is)<a\s[^>]*href="([^"]*)"', 1), '') AS href, trim(regexp_replace(regexp_extract(a, '(?is)<a\s[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g')) AS text FROM an)"""
+lk AS (SELECT page_id, CAST(pos AS INT) AS pos, regexp_extract(a, '(?is)<a\s[^>]*href="([^"]*)"', 1) AS href, trim(regexp_extract(a, '(?is)<a\s[^>]*>(.*?)</a>', 1)) AS text FROM an)"""
 
 
 def nav_links(spark, sf) -> DataFrame:
@@ -34,14 +34,35 @@ def ext_04_nav_links(spark, sf):
     return nav_links(spark, sf).select("page_id", "pos", "href", "text")
 
 
-@query(r"""SELECT page_id, nullif(regexp_extract(html, '(?is)<a\s[^>]*href="([^"]*)"', 1), '') AS href, trim(regexp_replace(regexp_extract(html, '(?is)<a\s[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g')) AS text FROM pages""")
+# a listing page: noise, then the main region, marked by an attribute, with nesting, single quotes, entities and an anchor without target; some pages lack it
+_MAIN = """concat('<ul><a href="/noise">n</a></ul><main role="main" ', CASE WHEN page_id % 5 = 4 THEN '' ELSE 'property="mainContentOfPage"' END, '><main><a href=''/in/', page_id, '?a=1&amp;b=2''>Tom &amp; <b> J', page_id,
+'</b> </a></main><a name="x">skip</a>', regexp_extract(html, '(?is)<nav[^>]*>(.*?)</nav>', 1), '</main><a href="/after">a</a>')"""
+
+
+@query(f"""WITH {NAV} SELECT page_id, false AS region_missing, 0 AS pos, '/in/' || page_id || '?a=1&b=2' AS href, 'Tom &J' || page_id AS text FROM pages WHERE page_id % 5 <> 4
+UNION ALL SELECT page_id, false, pos + 1, href, text FROM lk WHERE page_id % 5 <> 4
+UNION ALL SELECT page_id, true, NULL, NULL, NULL FROM pages WHERE page_id % 5 = 4""")
+def ext_04_main_region(spark, sf):
+    listing = pages(spark, sf).select("page_id", F.expr(_MAIN.replace("''/in/", r"\'/in/").replace("b=2''>", r"b=2\'>")).alias("html"))
+    return extract.region_links(listing, attribute=("property", "mainContentOfPage"))
+
+
+_SNIPPET = """concat('<p><a name="', page_id, '">no target</a> <a class=k href="/p/', page_id, '?x&amp;y">Firm <i> ', page_id, '</i> &amp; Co </a><a href="/other">o</a>')"""
+
+
+@query("SELECT page_id, CASE WHEN page_id % 7 <> 6 THEN '/p/' || page_id || '?x&y' END AS href, CASE WHEN page_id % 7 <> 6 THEN 'Firm' || page_id || '& Co' END AS text FROM pages")
 def ext_05_first_anchor(spark, sf):
-    return pages(spark, sf).select("page_id", extract.anchor_href(F.col("html")).alias("href"), extract.anchor_text(F.col("html")).alias("text"))
+    """The first anchor with a target, its target and text, in a snippet; every seventh has none."""
+    snippet = F.when(F.col("page_id") % 7 != 6, F.expr(_SNIPPET)).otherwise("<a>none</a>")
+    return pages(spark, sf).select("page_id", extract.anchor(snippet).alias("a")).select("page_id", "a.*")
 
 
-@query(f"WITH {NAV} SELECT page_id, pos, href, text FROM lk WHERE href <> '' AND text <> '' AND length(text) > 2")
+_BLANKED = "CASE WHEN (page_id + pos) % 4 = 0 THEN '' ELSE {} END"
+
+
+@query(f"WITH {NAV} SELECT page_id, pos, href, text FROM (SELECT page_id, pos, href, {_BLANKED.format('text')} AS text FROM lk) WHERE href <> '' AND text <> ''")
 def flt_05_complete_links(spark, sf):
-    return nav_links(spark, sf).filter("href <> '' AND text <> '' AND length(text) > 2").select("page_id", "pos", "href", "text")
+    return select.complete(nav_links(spark, sf).withColumn("text", F.expr(_BLANKED.format("text"))), "href", "text").select("page_id", "pos", "href", "text")
 
 
 @query(f"SELECT page_id, u AS url FROM (SELECT page_id, {_ROOTED} AS u FROM pages) WHERE NOT (regexp_extract(regexp_replace(u, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1) IN ('', '/') AND regexp_extract(u, '^[^?#]*\\?([^#]*)', 1) = '')")
@@ -74,36 +95,50 @@ def ext_07_block_pages(spark, sf):
     return responses(spark, sf).select("page_id", "block")
 
 
-CLASS = "CASE WHEN disallowed OR failed THEN 'hard_stop' WHEN block THEN 'bot_block' WHEN status >= 400 THEN 'error' ELSE 'ok' END"
+STOP = "disallowed OR failed OR status IN (429, 500, 502, 503, 504)"
+CLASS = f"CASE WHEN {STOP} THEN 'hard_stop' WHEN block THEN 'bot_block' WHEN status >= 400 THEN 'error' ELSE 'ok' END"
+
+
+def outcome() -> Column:
+    return extract.response_class(F.col("disallowed"), F.col("failed"), F.col("block"), F.col("status"))
 
 
 @query(f"WITH {RESPONSES} SELECT page_id, {CLASS} AS outcome FROM r")
 def ext_08_response_class(spark, sf):
-    return responses(spark, sf).select("page_id", extract.response_class(F.col("disallowed"), F.col("failed"), F.col("block"), F.col("status")).alias("outcome"))
+    return responses(spark, sf).select("page_id", outcome().alias("outcome"))
 
 
-@query(f"WITH {RESPONSES} SELECT page_id, CASE WHEN block THEN 'bot_block' WHEN status = 200 AND kind = 'application/PDF' THEN 'ok' WHEN settles THEN 'miss' ELSE 'error' END AS outcome FROM r")
+@query(f"WITH {RESPONSES} SELECT page_id, CASE WHEN {STOP} THEN 'hard_stop' WHEN block THEN 'bot_block' WHEN status = 200 AND kind = 'application/PDF' THEN 'ok' WHEN settles THEN 'miss' ELSE 'error' END AS outcome FROM r")
 def ext_09_pdf_class(spark, sf):
-    return responses(spark, sf).select("page_id", extract.pdf_class(F.col("block"), F.col("status"), F.col("kind"), F.col("settles")).alias("outcome"))
+    found = extract.pdf_class(*(F.col(c) for c in ("disallowed", "failed", "block", "status", "kind", "settles")))
+    return responses(spark, sf).select("page_id", found.alias("outcome"))
+
 
 
-@query(f"WITH {RESPONSES} SELECT page_id, CASE WHEN o IN ('hard_stop', 'bot_block') AND NOT ends_with(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1), '.example.com') THEN 'error' ELSE o END AS outcome FROM (SELECT *, {CLASS} AS o FROM r)")
+
+
+@query(f"WITH {RESPONSES} SELECT page_id, CASE WHEN o IN ('hard_stop', 'bot_block') AND page_id % 2 <> 0 THEN 'error' ELSE o END AS outcome FROM (SELECT *, {CLASS} AS o FROM r)")
 def ext_10_demoted(spark, sf):
-    r = responses(spark, sf).withColumn("o", extract.response_class(F.col("disallowed"), F.col("failed"), F.col("block"), F.col("status")))
-    host = F.when(F.endswith(fn.url_host(F.col("url")), F.lit(".example.com")), "example.com").otherwise(fn.url_host(F.col("url")))
-    return r.select("page_id", extract.demoted(F.col("o"), host, "example.com").alias("outcome"))
+    host = F.when(F.col("page_id") % 2 == 0, "www.listing.example").otherwise(fn.url_host(F.col("url")))
+    return responses(spark, sf).select("page_id", extract.demoted(outcome(), host, "www.listing.example").alias("outcome"))
 
 
-# an act per language; its versions are named after pages, some labelled current
-ACTS = "a AS (SELECT regexp_extract(url, '^[A-Za-z]+://[^/?#]*/([a-z]+)/', 1) AS act, page_id AS pos, CASE WHEN page_id % 4 <> 3 THEN '02017R0745-2' || lpad(CAST(page_id * 7919 % 10000000 AS VARCHAR), 7, '0') END AS version, CASE WHEN page_id % 41 = 40 AND url LIKE '%/en/%' THEN 'access current version (' || page_id || ')' ELSE 'version' END AS text FROM pages)"
+# an act per language; links of its page lead to versions, some labelled current; in French pages to another act's
+_VERSION = "lpad(CAST(page_id * 7919 % 10000000 AS {}), 7, '0')"
+ACTS = f"""a AS (SELECT regexp_extract(url, '^[A-Za-z]+://[^/?#]*/([a-z]+)/', 1) AS act, page_id AS pos, url,
+CASE WHEN page_id % 4 <> 3 THEN '02017R0745-2' || {_VERSION.format('VARCHAR')} END AS v, page_id % 41 = 40 AND url LIKE '%/en/%' AS cur FROM pages),
+f AS (SELECT act, CASE WHEN act <> 'fr' THEN coalesce(arg_min(v, pos) FILTER (WHERE v IS NOT NULL AND cur), arg_max(v, v[12:])) END AS v FROM a WHERE act <> '' GROUP BY act)"""
 
 
-@query(f"WITH {ACTS} SELECT act, coalesce(arg_min(version, pos) FILTER (WHERE version IS NOT NULL AND text LIKE 'access current version%'), arg_max(version, regexp_extract(version, '-(\\d{{8}})$', 1)) FILTER (WHERE version IS NOT NULL)) AS version FROM a WHERE version IS NOT NULL GROUP BY act")
+@query(f"""WITH {ACTS} SELECT act, '32017R0745' AS celex, v AS consolidated_celex, 'https://eur-lex.europa.eu/legal-content/EN/TXT/?uri=CELEX:' || v AS url,
+CASE WHEN v IS NULL THEN 'no consolidated version found for CELEX:32017R0745' END AS error FROM f""")
 def ext_06_latest_version(spark, sf):
-    version = F.expr("CASE WHEN page_id % 4 <> 3 THEN concat('02017R0745-2', lpad(CAST(page_id * 7919 % 10000000 AS STRING), 7, '0')) END")
-    text = F.expr("CASE WHEN page_id % 41 = 40 AND url LIKE '%/en/%' THEN concat('access current version (', page_id, ')') ELSE 'version' END")
-    anchors = pages(spark, sf).select(F.regexp_extract("url", "^[A-Za-z]+://[^/?#]*/([a-z]+)/", 1).alias("act"), F.col("page_id").alias("pos"), version.alias("version"), text.alias("text"))
-    return extract.latest_version(anchors, "act", "version", "text", "pos")
+    act = F.regexp_extract("url", "^[A-Za-z]+://[^/?#]*/([a-z]+)/", 1)
+    href = F.expr(f"CASE WHEN page_id % 4 <> 3 THEN concat('/legal-content/EN/ALL/?uri=CELEX:', CASE WHEN url LIKE '%/fr/%' THEN '02099R0001-2' ELSE '02017R0745-2' END, {_VERSION.format('STRING')}, '&x') ELSE '/home' END")
+    text = F.when((F.col("page_id") % 41 == 40) & F.col("url").contains("/en/"), F.concat(F.lit("access current version ("), "page_id", F.lit(")"))).otherwise("version")
+    anchors = pages(spark, sf).select(act.alias("act"), F.col("page_id").alias("pos"), href.alias("href"), text.alias("text")).filter("act <> ''")
+    acts = anchors.select("act", F.lit("32017R0745").alias("celex")).distinct()
+    return extract.consolidated(acts, anchors)
 
 
 @query("SELECT page_id, CASE WHEN contains(s, '.') THEN s END AS filename FROM (SELECT page_id, regexp_extract(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1), '([^/]*)$', 1) AS s FROM pages)")
@@ -111,10 +146,10 @@ def fn_03_url_filename(spark, sf):
     return pages(spark, sf).select("page_id", fn.url_filename(F.col("url")).alias("filename"))
 
 
-_HEADER = "CASE page_id % 5 WHEN 0 THEN concat('attachment; filename=\"page ', page_id, '.pdf\"') WHEN 1 THEN concat('attachment; filename=plain', page_id, '.doc; x=1') WHEN 2 THEN concat('attachment; filename=\"old.pdf\"; filename*=UTF-8''''caf%C3%A9%20', page_id, '.pdf') WHEN 3 THEN 'inline' END"
+_HEADER = "CASE page_id % 5 WHEN 0 THEN concat('attachment; filename=\"page ', page_id, '.pdf\"') WHEN 1 THEN concat('attachment; filename=plain', page_id, '.doc; x=1') WHEN 2 THEN concat('attachment; filename=\"old.pdf\"; filename*=UTF-8''''caf%C3%A9%20', page_id, '.pdf') WHEN 3 THEN concat('inline; FILENAME*=iso-8859-1\\'en\\'r%E9sum%E9-', page_id, '.pdf;x=\"a;b\"') END"
 
 
-@query(f"SELECT page_id, name AS from_header, coalesce(name, CASE WHEN contains(s, '.') THEN s END) AS filename FROM (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'page ' || page_id || '.pdf' WHEN 1 THEN 'plain' || page_id || '.doc' WHEN 2 THEN 'café ' || page_id || '.pdf' END AS name, regexp_extract(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1), '([^/]*)$', 1) AS s FROM pages)")
+@query(f"SELECT page_id, name AS from_header, coalesce(name, CASE WHEN contains(s, '.') THEN s END) AS filename FROM (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'page ' || page_id || '.pdf' WHEN 1 THEN 'plain' || page_id || '.doc' WHEN 2 THEN 'café ' || page_id || '.pdf' WHEN 3 THEN 'résumé-' || page_id || '.pdf' END AS name, regexp_extract(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1), '([^/]*)$', 1) AS s FROM pages)")
 def fn_02_fn_04_original_filename(spark, sf):
     p = pages(spark, sf).withColumn("header", F.expr(_HEADER.replace("''''", "\\'\\'")))
     return p.select("page_id", fn.disposition_filename(F.col("header")).alias("from_header"), fn.original_filename(F.col("header"), F.col("url")).alias("filename"))
@@ -149,32 +184,97 @@ def fn_15_origin_slug(spark, sf):
     return pages(spark, sf).select("page_id", fn.origin_slug(F.concat(fn.url_origin(F.col("url")), F.lit(":"), (F.col("page_id") % 90).cast("string"))).alias("slug"))
 
 
-@query()
+_TITLE = "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)"
+_COMMON = f"replace(replace({_TITLE}, '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(f"""SELECT page_id, nullif(replace(replace(replace(replace({_TITLE}, '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '') AS title, nullif({_COMMON}, '') AS common FROM pages""")
 def fn_13_titles(spark, sf):
     title = F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1)
     return pages(spark, sf).select("page_id", fn.unescaped(title).alias("title"), fn.blank_to_null(fn.unescaped_common(title)).alias("common"))
 
 
-@query()
+def listing(spark, sf, row: Column, head: str, tail: str) -> DataFrame:
+    """A listing page for each page: a table with a row for each link of its navigation, in order."""
+    rows = nav_links(spark, sf).select("page_id", "pos", row.alias("row")).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", "row"))).alias("r"))
+    body = F.array_join(F.transform("r", lambda r: r["row"]), "")
+    return rows.select("page_id", F.concat(F.lit(head), body, F.lit(tail)).alias("html"))
+
+
+def cells(*parts: str | Column) -> Column:
+    """A table row of cells."""
+    return F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td>"), F.lit(p) if isinstance(p, str) else p, F.lit("</td>")) for p in parts), F.lit("</tr>"))
+
+
+def anchor_of(text: Column | str = "text") -> Column:
+    """A link of the navigation as markup."""
+    return F.concat(F.lit('<a href="'), "href", F.lit('">'), text, F.lit("</a>"))
+
+
+@query(f"""WITH {NAV} SELECT page_id, regexp_extract(href, '([^/]*)/*$', 1) AS document_id, text AS title, href, '01/02/2024' AS posted_date, '0' || (pos % 9) || '/01/2023' AS letter_issue_date,
+'Office & Co' AS issuing_office, 'Subject' || page_id AS subject FROM lk WHERE href <> '' AND text <> ''""")
+def ext_01_letters(spark, sf):
+    """Warning letters: the title is the link's own text, entities are decoded, and only the first table's first body counts."""
+    row = cells(
+        "01/02/2024", F.concat(F.lit("0"), F.col("pos") % 9, F.lit("/01/2023")), F.concat(anchor_of(), F.lit(" (closed out)")), "Office &amp; Co", F.concat(F.lit("Sub<br> ject"), "page_id"), "", ""
+    )
+    head, tail = "<table><thead><tr><td><a href='/h'>head</a></td></tr></thead><tbody>", "<tr><td>no link</td></tr></tbody><tbody><tr><td><a href='/z'>z</a></td></tr></tbody></table><table><tr><td><a href='/y'>y</a></table>"
+    return extract.letters(extract.read_tables(listing(spark, sf, row, head, tail))).drop("row_no")
+
+
+_NUMBER = "'H' || lpad(CAST((page_id * 10 + pos) % 1000000 AS VARCHAR), 6, '0')"
+
+
+@query(f"""WITH {NAV} SELECT page_id, {_NUMBER} AS number, CASE WHEN pos % 3 = 2 THEN {_NUMBER} ELSE '1999' END AS approval_date, 'Dev ice ' || text AS device_name, 'Co' AS company,
+'D' || pos AS description, pos % 3 <> 2 AND href <> '' AS has_detail_page FROM lk WHERE pos % 5 <> 4""")
+def ext_02_approvals(spark, sf):
+    """Approvals: the number with its link, or, in withdrawn rows, in both first cells without one; rows of four cells are none."""
+    number = F.concat(F.lit("H"), F.lpad(((F.col("page_id") * 10 + F.col("pos")) % 1000000).cast("string"), 6, "0"))
+    linked = anchor_of(number)
+    old, short = F.col("pos") % 3 == 2, F.col("pos") % 5 == 4
+    whole = cells(F.when(old, number).otherwise("1999"), F.when(old, number).otherwise(linked), F.concat(F.lit("Dev <i>ice</i> "), "text"), "Co", F.concat(F.lit("D"), F.col("pos")))
+    row = F.when(short, cells("1999", linked, "x", "y")).otherwise(whole)
+    return extract.approvals(extract.read_tables(listing(spark, sf, row, "<table>", "</table>"))).drop("row_no")
+
+
+@query(f"""WITH {NAV} SELECT page_id, 0 AS table_no, pos + 1 AS row_no, CASE WHEN starts_with(href, 'http') THEN href ELSE 'https://base.example.gov' || href END AS url,
+CASE WHEN pos % 2 = 0 THEN 'R' || pos END AS reference, text AS title, NULL AS publication, 'TopicA' AS category FROM lk WHERE href <> ''""")
+def ext_03_classed_rows(spark, sf):
+    """Rows of classed tables by header attribute, under the heading before them."""
+    cell = lambda header, value: F.concat(F.lit(f"<td data-ecl-table-header=' {header} '>"), value, F.lit("</td>"))
+    reference = F.when(F.col("pos") % 2 == 0, F.concat(F.lit("R"), F.col("pos"))).otherwise("")
+    row = F.concat(F.lit("<tr>"), cell("Reference", reference), cell("Title", anchor_of()), F.lit("</tr>"))
+    head, tail = "<h2>Topic <b>A</b></h2><table class='x ecl-table'><tr><th>h</th></tr>", "</table><h3>B</h3><table class='other'><tr></tr><tr><td><a href='/no'>n</a></td></tr></table>"
+    return extract.classed_rows(extract.read_tables(listing(spark, sf, row, head, tail)), BASE)
+
+
+@query(f"""WITH {NAV} SELECT page_id, 0 AS table_no, pos AS row_no, 0 AS body, 'List' AS category, 'ecl-table' AS classes, href, text FROM lk""")
 def udf_04_tables(spark, sf):
-    """All anchors of each page's nav as a listing table, read back by the HTML table reader."""
-    rows = F.array_join(F.transform(extract.links(extract.region(F.col("html"), "nav")), lambda a: F.concat(F.lit('<tr><td>01/02/2024</td><td>d</td><td><a href="'), F.coalesce(a["href"], F.lit("")), F.lit('">'), a["text"], F.lit("</a></td><td>office</td><td>subject</td></tr>"))), "")
-    listing = pages(spark, sf).select("page_id", F.concat(F.lit("<h2>List</h2><table class='ecl-table'><tbody>"), rows, F.lit("</tbody></table>")).alias("html"))
-    return extract.letters(extract.read_tables(listing))
+    """All anchors of each page's navigation as a table, read back by the HTML table reader."""
+    made = listing(spark, sf, cells("x", anchor_of()), "<h2>List</h2><table class='ecl-table'><tbody>", "</tbody></table>")
+    last = F.get("cells", F.lit(1))
+    return extract.read_tables(made).select("page_id", "table_no", "row_no", "body", "category", "classes", last["href"].alias("href"), last["text"].alias("text"))
 
 
-# robots observations: one per page, on the page's origin, at a minute of its own
+# robots observations: one per page, on the page's origin, at a minute of its own. Files have a group for another agent, comments, and rules of their own
 _STATUS = "CASE page_id % 7 WHEN 0 THEN 404 WHEN 1 THEN 503 WHEN 2 THEN 401 ELSE 200 END"
-_BODY = "concat('User-agent: *', chr(10), CASE WHEN page_id % 5 = 0 THEN concat('Hit-rate: ', page_id % 40, chr(10)) ELSE '' END, CASE WHEN page_id % 5 = 1 THEN concat('Crawl-delay: ', page_id % 30, chr(10)) ELSE '' END, CASE WHEN page_id % 3 = 0 THEN concat('Visiting-hours: ', lpad(CAST(page_id % 24 AS {0}), 2, '0'), ':30EDT-05:00EDT', chr(10)) ELSE '' END, 'Disallow: /private')"
+_BODY = """concat(CASE WHEN page_id % 2 = 0 THEN concat('User-agent: other', chr(10), 'Crawl-delay: 99', chr(10), 'Disallow: /', chr(10), chr(10)) ELSE '' END,
+'User-agent: *', chr(10), CASE WHEN page_id % 5 = 0 THEN concat('hit-rate: ', page_id % 40, '.5 # wait', chr(10), 'Crawl-delay: 77', chr(10)) ELSE '' END,
+CASE WHEN page_id % 5 = 1 THEN concat('Crawl-delay: ', page_id % 30, ' # s', chr(10)) WHEN page_id % 5 = 2 THEN concat('# Crawl-delay: 5', chr(10), 'Crawl-delay: soon', chr(10)) ELSE '' END,
+CASE WHEN page_id % 3 = 0 THEN concat('Visiting-hours: ', lpad(CAST(page_id % 24 AS {0}), 2, '0'), ':30EDT-05:00EDT #night', chr(10)) ELSE '' END,
+'Allow: /private/open', chr(10), 'Disallow: /private', page_id % 3)"""
 
 
 def robots(spark, sf) -> DataFrame:
-    p = pages(spark, sf).select("page_id", "url", fn.url_origin(F.col("url")).alias("origin"), F.col("page_id").alias("ts"), F.expr(_STATUS).alias("status"), F.expr(_BODY.format("STRING")).alias("body"), (F.col("page_id") % 11 == 0).alias("unreachable"))
+    p = pages(spark, sf).select(
+        "page_id", "url", fn.url_origin(F.col("url")).alias("origin"), F.col("page_id").alias("ts"), F.expr(_STATUS).alias("status"), F.expr(_BODY.format("STRING")).alias("body"),
+        (F.col("page_id") % 11 == 0).alias("unreachable"),
+    )
     return p.withColumn("state", extract.robots_state(F.col("status"), F.col("page_id") % 13 == 0, F.col("unreachable"))).withColumn("policy", policy.policy(F.col("body")))
 
 
 ROBOTS = f"""rb AS (SELECT page_id, url, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) AS origin, {_STATUS} AS status, page_id % 11 = 0 OR page_id % 13 = 0 AS gone,
-CASE WHEN page_id % 5 = 0 THEN CAST(page_id % 40 AS DOUBLE) WHEN page_id % 5 = 1 THEN CAST(page_id % 30 AS DOUBLE) END AS min_interval,
+CASE WHEN page_id % 5 = 0 THEN page_id % 40 + 0.5::DOUBLE WHEN page_id % 5 = 1 THEN CAST(page_id % 30 AS DOUBLE) END AS min_interval,
 CASE WHEN page_id % 3 = 0 THEN CAST(page_id % 24 * 60 + 30 AS INT) END AS start_min, CASE WHEN page_id % 3 = 0 THEN CAST(300 AS INT) END AS end_min, CASE WHEN page_id % 3 = 0 THEN 'America/New_York' END AS zone FROM pages),
 st AS (SELECT *, CASE WHEN gone THEN 'blocked' WHEN status IN (401, 403) THEN 'disallow_all' WHEN status >= 400 THEN 'absent' ELSE 'loaded' END AS state FROM rb)"""
 
@@ -189,33 +289,27 @@ def ext_13_robots_state(spark, sf):
     return robots(spark, sf).select("page_id", "state")
 
 
-def _policy_sql(mode: str) -> str:
+def _force(mode: str) -> str:
     told = "CASE WHEN state = 'loaded' AND (min_interval IS NOT NULL OR zone IS NOT NULL) THEN page_id" + (" WHEN state = 'absent' THEN -1" if mode == "clear" else "") + " END"
-    return f"WITH {ROBOTS}, t AS (SELECT *, last_value({told} IGNORE NULLS) OVER (PARTITION BY origin ORDER BY page_id ROWS UNBOUNDED PRECEDING) AS known FROM st) SELECT page_id, CASE WHEN state = 'loaded' AND (min_interval IS NOT NULL OR zone IS NOT NULL) THEN page_id WHEN state = 'blocked' AND known >= 0 THEN known END AS policy_of FROM t"
+    return f"""t AS (SELECT *, last_value({told} IGNORE NULLS) OVER (PARTITION BY origin ORDER BY page_id ROWS UNBOUNDED PRECEDING) AS known FROM st),
+pf AS (SELECT *, CASE WHEN state = 'loaded' AND (min_interval IS NOT NULL OR zone IS NOT NULL) THEN page_id WHEN state IN ('blocked', 'disallow_all') AND known >= 0 THEN known END AS policy_of FROM t)"""
 
 
 def _in_force(spark, sf, mode):
     seen = robots(spark, sf).withColumn("policy", F.when(policy.restricts(F.col("policy")), F.col("page_id").cast("string")))
-    return requests.last_policy(seen, mode).select("page_id", F.col("policy_in_force").cast("bigint").alias("policy_of"))
+    return requests.last_policy(seen, mode, F.floor(F.col("ts") / 50)).select("page_id", F.col("policy_in_force").cast("bigint").alias("policy_of"))
 
 
-@query(_policy_sql("store"))
+@query(f"WITH {ROBOTS}, {_force('store')} SELECT page_id, policy_of FROM pf")
 def win_15_last_policy_store(spark, sf):
     return _in_force(spark, sf, "store")
 
 
-@query(_policy_sql("clear"))
+@query(f"WITH {ROBOTS}, {_force('clear')} SELECT page_id, policy_of FROM pf")
 def win_15_last_policy_clear(spark, sf):
     return _in_force(spark, sf, "clear")
 
 
-@query(f"WITH {ROBOTS}, p AS (SELECT origin, arg_max(min_interval, page_id) AS min_interval, max(page_id) AS policy_page FROM st WHERE state = 'loaded' AND min_interval IS NOT NULL GROUP BY origin) SELECT rb.page_id, p.policy_page, p.origin IS NULL AS unrestricted FROM rb LEFT JOIN p USING (origin)")
-def join_07_host_policy(spark, sf):
-    r = robots(spark, sf)
-    held = r.filter((F.col("state") == "loaded") & F.col("policy.min_interval").isNotNull()).groupBy("origin").agg(F.max("page_id").alias("policy_page"))
-    return r.select("page_id", "origin").join(held, "origin", "left").select("page_id", "policy_page", F.col("policy_page").isNull().alias("unrestricted"))
-
-
 def _now():
     return F.expr(f"TIMESTAMP'{NOW} UTC'") + F.make_dt_interval(hours=(F.col("page_id") % 48).cast("int"))
 
@@ -246,14 +340,46 @@ def fn_21_effective_interval(spark, sf):
     return robots(spark, sf).select("page_id", F.round(policy.effective_interval((F.col("page_id") % 4).cast("double"), F.col("policy")), 6).alias("interval_s"))
 
 
-@query(f"WITH {ROBOTS} SELECT page_id, min_interval, start_min, end_min, zone FROM rb")
+_TEXT = """'{"min_interval_seconds":' || coalesce(CAST(min_interval AS VARCHAR), 'null') || ',"visiting_hours":' || CASE WHEN zone IS NULL THEN 'null'
+ELSE '{"start":"' || lpad(CAST(page_id % 24 AS VARCHAR), 2, '0') || ':30:00","end":"05:00:00","zone":"America/New_York"}' END || '}'"""
+
+
+@query(f"WITH {ROBOTS} SELECT page_id, {_TEXT} AS stored, min_interval, start_min, end_min, zone FROM rb")
 def fn_22_policy_json(spark, sf):
-    return robots(spark, sf).select("page_id", policy.from_json(policy.to_json(F.col("policy"))).alias("p")).select("page_id", "p.*")
+    """The stored form of each policy, and what is read back from it."""
+    r = robots(spark, sf).select("page_id", policy.to_json(F.col("policy")).alias("stored"))
+    return r.select("page_id", "stored", policy.from_json(F.col("stored")).alias("p")).select("page_id", "stored", "p.*")
 
 
-@query()
+# candidates: the page's own URL, or a path that rules may forbid; rules and state are those of the origin's last observation
+CANDIDATES = f"""cd AS (SELECT page_id, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) AS origin, CASE page_id % 3 WHEN 0 THEN '/private/open/x' WHEN 1 THEN '/private' || (page_id % 4) || '/a?b=1' ELSE '/pub' END AS path FROM pages),
+lo AS (SELECT origin, max(page_id) AS last FROM cd GROUP BY origin),
+ru AS (SELECT cd.*, last, NOT starts_with(path, '/private/open') AND starts_with(path, '/private' || (last % 3)) AS barred FROM cd JOIN lo USING (origin))"""
+
+
+def fetchable(spark, sf) -> DataFrame:
+    path = F.expr("CASE page_id % 3 WHEN 0 THEN '/private/%6Fpen/x' WHEN 1 THEN concat('/private', page_id % 4, '/a?b=1') ELSE '/pub' END")
+    origin = fn.url_origin(F.col("url"))
+    return pages(spark, sf).select("page_id", origin.alias("origin"), F.concat(origin, path).alias("url"))
+
+
+@query(f"WITH {CANDIDATES} SELECT page_id, NOT barred AS allowed FROM ru")
 def ext_12_allowed_paths(spark, sf):
-    r = robots(spark, sf)
-    files = r.groupBy("origin").agg(F.max_by("body", "page_id").alias("body"))
-    url = F.when(F.col("page_id") % 2 == 0, F.concat("origin", F.lit("/private/x"))).otherwise(F.col("url"))
-    return extract.allowed_paths(r.select("page_id", "origin", url.alias("url")), files, "vigil")
+    files = robots(spark, sf).groupBy("origin").agg(F.max_by("body", "page_id").alias("body"))
+    return extract.allowed_paths(fetchable(spark, sf), files).select("page_id", "allowed")
+
+
+@query(f"""WITH {ROBOTS}, {_force('store')}, {CANDIDATES}, pol AS (SELECT page_id AS of, min_interval, start_min, end_min, zone FROM rb),
+j AS (SELECT ru.page_id, ru.barred, pf.state, pol.*, ((TIMESTAMP '{NOW}') AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS loc
+FROM ru JOIN pf ON pf.page_id = ru.last LEFT JOIN pol ON pol.of = pf.policy_of),
+w AS (SELECT *, hour(loc) * 60 + minute(loc) AS m FROM j), o AS (SELECT *, CASE WHEN zone IS NULL THEN true WHEN start_min <= end_min THEN start_min <= m AND m < end_min ELSE m >= start_min OR m < end_min END AS is_open FROM w)
+SELECT page_id, CASE WHEN state = 'disallow_all' OR (state = 'loaded' AND barred) THEN 'disallowed' WHEN NOT is_open THEN 'outside_hours' ELSE 'allowed' END AS decision, min_interval,
+CASE WHEN NOT is_open THEN strftime((CASE WHEN date_trunc('day', loc) + INTERVAL (start_min) MINUTE <= loc THEN date_trunc('day', loc) + INTERVAL (start_min) MINUTE + INTERVAL 1 DAY
+ELSE date_trunc('day', loc) + INTERVAL (start_min) MINUTE END) AT TIME ZONE 'America/New_York' AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') END AS opens_at FROM o""")
+def join_07_fetch_decisions(spark, sf):
+    """Rules, policy in force and visiting window of each candidate's host together."""
+    seen = robots(spark, sf).withColumn("policy", F.when(policy.restricts(F.col("policy")), F.col("policy")))
+    history = requests.last_policy(seen, "store", F.floor(F.col("ts") / 50))
+    last = history.groupBy("origin").agg(F.max_by(F.struct("state", "body", "policy_in_force"), "page_id").alias("l")).select("origin", "l.*")
+    out = extract.fetch_decisions(fetchable(spark, sf), last, F.expr(f"TIMESTAMP'{NOW} UTC'"))
+    return out.select("page_id", "decision", "min_interval", F.date_format("opens_at", "yyyy-MM-dd HH:mm:ss").alias("opens_at"))

@@ -1,100 +1,334 @@
 """Source specifications and settings.
 
-A specification names a source's shape and how a record of it becomes a capture: its id, title, URL and
-metadata as SQL expressions over the record's columns. New sources are added with register().
+A specification is a chain from a source's raw records or pages to candidates: listing, filter, rows, ids. Its
+steps are the library's operators; its fixed values are the ids, names and keys that consumers read. A candidate
+has regulation, source, document_id, pos, title, url, ext, content_type, source_metadata and content; content is
+null where the document must still be fetched. New sources are added with register().
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: What holds where neither a command nor a source's settings say otherwise; -1 means no limit.
-DEFAULTS = {"rps": 1.0, "max_new": 1000}
+from vigilspark.functions import columns as fn
+from vigilspark.operators import changes, extract, select
+
+#: What holds where neither a command nor a source's settings nor the global ones say otherwise; -1 means no limit.
+DEFAULTS = {"rps": 1.0, "max_new": 1000, "lookback_days": 30}
+#: Hosts of the sources.
+FDA, OPEN_FDA, FILES = "https://www.fda.gov", "https://api.fda.gov/device", "https://www.accessdata.fda.gov/cdrh_docs"
+EU, CANADA, LICENCES = "https://health.ec.europa.eu", "https://www.canada.ca", "https://health-products.canada.ca/api/medical-devices/licence/"
+RECALL_DATA = "https://recalls-rappels.canada.ca/sites/default/files/opendata-donneesouvertes/HCRSAMOpenData.json"
+HDE_LISTING = f"{FDA}/medical-devices/hde-approvals/listing-cdrh-humanitarian-device-exemptions"
+FIELDS = ["regulation", "source", "document_id", "pos", "title", "url", "ext", "content_type", "source_metadata", "content"]
 
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """shape: one, records, listing or fan_out. prepare turns raw records into rows before the expressions apply."""
+    """read: from the source's raw frame to rows of document_id, pos, title, url, ext, content_type, source_metadata, content."""
 
     regulation: str
     name: str
-    shape: str
-    document_id: str
-    title: str
-    url: str
-    ext: str = "json"
-    metadata: dict[str, str] = field(default_factory=dict)
-    prepare: Callable[[DataFrame], DataFrame] | None = None
+    read: Callable[[DataFrame], DataFrame]
 
-    def captures(self, records: DataFrame, content: str | None = None) -> DataFrame:
-        """Captures without hash: the key, title, url, ext and source_metadata of each record; content if its expression is given."""
-        rows = self.prepare(records) if self.prepare else records
-        out = rows.select(
-            F.lit(self.regulation).alias("regulation"), F.lit(self.name).alias("source"), F.expr(self.document_id).alias("document_id"), F.expr(self.title).alias("title"),
-            F.expr(self.url).alias("url"), F.lit(self.ext).alias("ext"), metadata_map(self.metadata).alias("source_metadata"), *([F.expr(content).alias("content")] if content else []),
-        )
-        return out.filter("document_id IS NOT NULL")
+    def candidates(self, raw: DataFrame) -> DataFrame:
+        """Candidates in order of pos; of an id that comes twice, the first place and the last values. Rows without an id are left out."""
+        rows = self.read(raw).filter("document_id IS NOT NULL AND document_id <> ''")
+        return rows.select(F.lit(self.regulation).alias("regulation"), F.lit(self.name).alias("source"), *FIELDS[2:])
 
 
-def metadata_map(pairs: dict[str, str]):
-    if not pairs:
-        return F.create_map().cast("map<string,string>")
-    return F.create_map(*(x for key, expr in pairs.items() for x in (F.lit(key), F.expr(expr).cast("string"))))
+SPECS: dict[str, SourceSpec] = {}
 
 
-def _fan(*kinds: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: df.withColumn("part", F.explode(F.array(*map(F.lit, kinds))))
+def register(spec: SourceSpec) -> SourceSpec:
+    SPECS[f"{spec.regulation}:{spec.name}"] = spec
+    return spec
 
 
-def _each(*names: str) -> dict[str, str]:
-    return {n: n for n in names}
+def source(regulation: str, name: str):
+    """Registers a function as a source's chain."""
 
+    def add(read: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        register(SourceSpec(regulation, name, read))
+        return read
 
-SPECS: dict[str, SourceSpec] = {}
+    return add
 
 
-def register(spec: SourceSpec) -> SourceSpec:
-    SPECS[f"{spec.regulation}:{spec.name}"] = spec
-    return spec
+def metadata(**pairs: Column) -> Column:
+    return F.create_map(*(x for key, value in pairs.items() for x in (F.lit(key), value.cast("string"))))
+
+
+def plucked(*names: str) -> Column:
+    """Metadata of columns under their own names."""
+    return metadata(**{n: F.col(n) for n in names})
+
+
+def rows_of(df: DataFrame, document_id: Column, title: Column, url: Column, ext: Column | str, content_type: Column | str, meta: Column, content: Column | None = None, pos: Column | None = None) -> DataFrame:
+    column = lambda c: F.lit(c) if isinstance(c, str) else c
+    return df.select(
+        document_id.alias("document_id"), (F.lit(0) if pos is None else pos).cast("bigint").alias("pos"), title.alias("title"), url.alias("url"),
+        column(ext).alias("ext"), column(content_type).alias("content_type"), meta.alias("source_metadata"),
+        (F.lit(None) if content is None else content).cast("string").alias("content"),
+    )
+
+
+def once(rows: DataFrame) -> DataFrame:
+    return select.first_place_last_value(rows, ["document_id"], "pos", [c for c in FIELDS[2:] if c not in ("document_id", "pos")])
+
+
+def inline(df: DataFrame) -> Column:
+    """A record's own JSON as content."""
+    return changes.canonical([c for c in df.columns if c != "pos"])
+
+
+def text(column: str) -> Column:
+    return fn.blank_to_null(F.col(column))
+
+
+def unescaped(column: str) -> Column:
+    return fn.unescaped(F.col(column))
+
+
+def _one(regulation: str, name: str, document_id: str, name_of: str, url: str, ext: str, content_type: str, **meta: str) -> None:
+    """A source of one fixed document; its raw frame is any, and gives one row."""
+
+    def read(raw: DataFrame) -> DataFrame:
+        single = raw.sparkSession.range(1)
+        return rows_of(single, F.lit(document_id), F.lit(name_of), F.lit(url), ext, content_type, metadata(**{k: F.lit(v) for k, v in meta.items()}))
+
+    source(regulation, name)(read)
+
+
+_one(
+    "fda", "ecfr", "title-21", "21 CFR (Title 21) — full text", "https://www.govinfo.gov/bulkdata/ECFR/title-21/ECFR-title21.xml",
+    "xml", "application/xml", title="21", source="govinfo_bulkdata",
+)
+_one(
+    "fda", "fdc_act", "fdc-act", "Federal Food, Drug, and Cosmetic Act — full text", "https://www.govinfo.gov/content/pkg/COMPS-973/uslm/COMPS-973.xml",
+    "xml", "application/xml", title="Federal Food, Drug, and Cosmetic Act", source="govinfo_comps", package_id="COMPS-973",
+)
+_one(
+    "ca", "mdr", "mdr", "Medical Devices Regulations (SOR/98-282) — full text", "https://laws-lois.justice.gc.ca/eng/regulations/SOR-98-282/FullText.html",
+    "html", "text/html", instrument_number="SOR/98-282", source="justice_laws",
+)
+_one(
+    "ca", "food_and_drugs_act", "food-and-drugs-act", "Food and Drugs Act (R.S.C., 1985, c. F-27) — full text", "https://laws-lois.justice.gc.ca/eng/acts/f-27/FullText.html",
+    "html", "text/html", citation="R.S.C., 1985, c. F-27", source="justice_laws",
+)
+
+
+def _act(name: str, celex: str, title: str) -> None:
+    """An act whose current consolidated version its page tells; raw: html of that page. Without a version there is no candidate (see extract.consolidated for the error)."""
+
+    def read(raw: DataFrame) -> DataFrame:
+        pages = raw.select(F.lit(celex).alias("act"), "html")
+        anchors = extract.region_links(pages, tag=None, keep=["act"])
+        acts = pages.select("act", F.lit(celex).alias("celex")).distinct()
+        found = extract.consolidated(acts, anchors).filter("error IS NULL")
+        meta = metadata(original_celex=F.col("celex"), consolidated_celex=F.col("consolidated_celex"), source=F.lit("eur_lex"))
+        return rows_of(found, F.lit(name), F.lit(title), F.col("url"), "html", "text/html", meta)
+
+    source("eu", name)(read)
+
+
+_act("mdr", "32017R0745", "Regulation (EU) 2017/745 (MDR) — consolidated text")
+_act("ivdr", "32017R0746", "Regulation (EU) 2017/746 (IVDR) — consolidated text")
+
+
+@source("fda", "guidance")
+def _fda_guidance(raw: DataFrame) -> DataFrame:
+    """raw: the dataset's records, with pos. Records of medical devices whose title is a link with a text."""
+    kept = select.contains(raw, "field_regulated_product_field", "Medical Devices").withColumn("_a", extract.anchor(F.col("title"))).filter("_a.href <> '' AND _a.text <> ''")
+    kept = kept.withColumn("_docket", extract.anchor(F.col("field_docket_number"))["text"])
+    meta = metadata(
+        issue_date=text("field_issue_datetime"), status=text("field_final_guidance_1"), communication_type=text("field_communication_type"),
+        issuing_office=unescaped("field_issuing_office_taxonomy"), center=unescaped("field_center"), regulated_product_field=unescaped("field_regulated_product_field"),
+        docket_number=F.col("_docket"), open_for_comment=fn.blank_to_null(F.trim(F.col("`open-comment`"))),
+    )
+    href = F.col("_a.href")
+    return once(rows_of(kept, fn.last_segment(href), F.col("_a.text"), fn.absolute_url(href, F.lit(FDA)), "html", "text/html", meta, pos=F.col("pos")))
+
+
+def _fanned(records: DataFrame, number: Column, second: str, title: Column, url: Column, meta: Column, file: Column, file_title: Column, file_meta: Column, missing: Column, missing_title: Column, missing_url: Column, reason: str) -> DataFrame:
+    """Two documents a record: its metadata, whose content is the record, and its file, to be fetched, or the sentinel where it is known to have none.
+
+    A record whose file has no URL gives no second candidate (an error, see file_errors).
+    """
+    base = records.withColumns({"_id": number, "_content": inline(records)})
+    first = rows_of(base, F.concat_ws("/", "_id", F.lit("metadata")), title, url, "json", "application/json", meta, F.col("_content"), F.col("pos") * 2)
+    document = F.concat_ws("/", "_id", F.lit(second))
+    held = rows_of(base.filter(~missing & file.isNotNull()), document, file_title, file, "pdf", "application/pdf", file_meta, pos=F.col("pos") * 2 + 1)
+    none_meta = F.map_concat(file_meta, metadata(not_applicable=F.lit("true"), reason=F.lit(reason)))
+    none = rows_of(base.filter(missing), document, missing_title, missing_url, "json", "application/json", none_meta, F.lit(changes.SENTINEL), F.col("pos") * 2 + 1)
+    return first.unionByName(held).unionByName(none)
+
+
+def _no(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
+@source("fda", "clearances_510k")
+def _clearances(raw: DataFrame) -> DataFrame:
+    """raw: clearance records of the window, with pos."""
+    k = fn.first_of(F.col("k_number"), F.col("device_name"), last="unknown")
+    meta = metadata(k_number=k, **{c: F.col(c) for c in ("applicant", "decision_date", "decision_code", "product_code", "clearance_type", "statement_or_summary")})
+    url = F.concat(F.lit(f"{OPEN_FDA}/510k.json?search=k_number:"), k)
+    return _fanned(
+        raw, k, "summary", F.col("device_name"), url, meta,
+        fn.pdf_url(FILES, k), F.concat(F.lit("510(k) Summary — "), F.coalesce("device_name", k)), metadata(k_number=k),
+        ~_no(F.col("statement_or_summary") == "Summary"), F.concat(F.lit("510(k) Summary — not applicable ("), k, F.lit(")")), url, "statement_or_summary != 'Summary'",
+    )
+
+
+@source("fda", "pma")
+def _pma(raw: DataFrame) -> DataFrame:
+    """raw: decision records of the window, with pos. Whether an order exists only its response tells (extract.pdf_class, changes.not_applicable)."""
+    number = F.coalesce("pma_number", F.lit(""))
+    d = fn.decision_id(F.col("pma_number"), F.col("supplement_number"))
+    meta = plucked(
+        "pma_number", "supplement_number", "applicant", "product_code", "decision_date", "decision_code", "supplement_type", "supplement_reason", "advisory_committee"
+    )
+    url = F.concat(F.lit(f"{OPEN_FDA}/pma.json?search=pma_number:"), F.coalesce("pma_number", F.lit("None")))
+    return _fanned(
+        raw, d, "order", fn.first_of(F.col("trade_name"), F.col("generic_name")), url, meta,
+        fn.pdf_url(FILES, number, F.concat(d, F.lit("A"))), F.concat(F.lit("PMA Approval Order — "), F.coalesce("trade_name", d)),
+        metadata(pma_number=number, supplement_number=F.col("supplement_number")), F.lit(False), F.lit(""), F.lit(""), "",
+    )
+
+
+@source("fda", "hde")
+def _hde(raw: DataFrame) -> DataFrame:
+    """raw: page_id and html of the listing."""
+    rows = extract.approvals(extract.read_tables(raw)).withColumnsRenamed({"number": "hde_number", "row_no": "pos"}).drop("page_id")
+    number = F.col("hde_number")
+    return _fanned(
+        rows, number, "order", F.col("device_name"), F.lit(HDE_LISTING), plucked("hde_number", "approval_date", "company"),
+        fn.pdf_url(FILES, number, F.concat(number, F.lit("A"))), F.concat(F.lit("HDE Approval Order — "), "device_name"), plucked("hde_number"),
+        ~F.col("has_detail_page"), F.concat(F.lit("HDE Approval Order — not applicable ("), number, F.lit(")")), F.lit(HDE_LISTING), "no detail page listed",
+    )
+
+
+@source("fda", "recalls")
+def _recalls(raw: DataFrame) -> DataFrame:
+    """raw: enforcement records of the window, with pos."""
+    number = fn.first_of(F.col("recall_number"), F.col("event_id") if "event_id" in raw.columns else F.lit(None).cast("string"), last="unknown")
+    meta = metadata(
+        recall_number=number, classification=F.col("classification"), status=F.col("status"), firm_name=F.col("recalling_firm"),
+        report_date=F.col("report_date"), product_code=F.col("product_code"),
+    )
+    url = F.concat(F.lit(f"{OPEN_FDA}/enforcement.json?search=recall_number:"), number)
+    return rows_of(raw, number, F.col("product_description"), url, "json", "application/json", meta, inline(raw), F.col("pos"))
+
+
+#: Metadata keys of a product classification.
+CLASSIFICATION = (
+    "product_code", "device_name", "device_class", "regulation_number", "review_panel", "medical_specialty",
+    "medical_specialty_description", "submission_type_id", "definition",
+)
+
+
+@source("fda", "classification")
+def _classification(raw: DataFrame) -> DataFrame:
+    """raw: catalogue records, with pos."""
+    code = F.coalesce("product_code", F.lit("unknown"))
+    meta = metadata(product_code=code, **{c: F.col(c) for c in CLASSIFICATION[1:]})
+    url = F.concat(F.lit(f"{OPEN_FDA}/classification.json?search=product_code:"), code)
+    return rows_of(raw, code, F.col("device_name"), url, "json", "application/json", meta, inline(raw), F.col("pos"))
+
+
+#: Fixed value: how many listing pages of warning letters one run reads.
+LETTER_PAGES = 25
+
+
+@source("fda", "warning_letters")
+def _letters(raw: DataFrame) -> DataFrame:
+    """raw: page (from 0) and html of the listing's pages; the first page without rows ends it."""
+    pages = raw.filter(F.col("page") < LETTER_PAGES)
+    found = extract.letters(extract.read_tables(pages, "page"), "page")
+    counts = pages.select("page", F.lit(1).alias("one")).join(found.groupBy("page").agg(F.count("*").alias("rows")), "page", "left")
+    reached = select.until_empty(counts, ["one"], "page", "rows").select("page")
+    rows = found.join(reached, "page", "left_semi")
+    meta = metadata(company_name=F.col("title"), **{c: F.col(c) for c in ("posted_date", "letter_issue_date", "issuing_office", "subject")})
+    pos = F.col("page") * 1_000_000 + F.col("row_no")
+    return rows_of(rows, F.col("document_id"), F.col("title"), fn.absolute_url(F.col("href"), F.lit(FDA)), "html", "text/html", meta, pos=pos)
+
+
+@source("eu", "mdcg_guidance")
+def _mdcg(raw: DataFrame) -> DataFrame:
+    """raw: page_id and html of the listing."""
+    rows = extract.classed_rows(extract.read_tables(raw), EU).withColumn("document_id", fn.uuid_or_hash(F.col("url"))).withColumn("ext", fn.extension(F.col("url")))
+    title = fn.first_of(F.col("title"), F.col("reference"), F.col("document_id"))
+    pos = F.col("table_no").cast("bigint") * 1_000_000 + F.col("row_no")
+    return once(rows_of(rows, F.col("document_id"), title, F.col("url"), F.col("ext"), fn.content_type(F.col("ext")), plucked("reference", "category", "publication"), pos=pos))
+
+
+#: Metadata keys of a licence.
+LICENCE = (
+    "original_licence_no", "licence_status", "appl_risk_class", "licence_name", "first_licence_status_dt", "licence_type_cd", "licence_type_desc", "company_id",
+)
+
+
+@source("ca", "mdall")
+def _mdall(raw: DataFrame) -> DataFrame:
+    """raw: licence records, with pos."""
+    number = F.coalesce(F.col("original_licence_no").cast("string"), F.lit("unknown"))
+    url = F.concat(F.lit(f"{LICENCES}?id="), number, F.lit("&type=json&lang=en"))
+    return rows_of(raw, number, F.col("licence_name"), url, "json", "application/json", plucked(*LICENCE), inline(raw), F.col("pos"))
+
+
+@source("ca", "recalls")
+def _ca_recalls(raw: DataFrame) -> DataFrame:
+    """raw: records of the dataset, with pos; those of medical devices with an id."""
+    kept = raw.filter((F.col("Organization") == "Medical devices") & F.col("NID").isNotNull())
+    meta = metadata(
+        nid=F.col("NID"), issue=F.col("Issue"), category=F.col("Category"), recall_class=F.col("`Recall class`"),
+        last_updated=F.col("`Last updated`"), archived=F.col("Archived"),
+    )
+    url = fn.first_of(F.col("URL"), last=RECALL_DATA)
+    return once(rows_of(kept, F.col("NID").cast("string"), F.col("Title"), url, "json", "application/json", meta, inline(kept), F.col("pos")))
+
 
+@source("ca", "guidance")
+def _ca_guidance(raw: DataFrame) -> DataFrame:
+    """raw: page_id and html of the listing. Links of the main region that lead to a document, not to a whole site."""
+    links = extract.region_links(raw, attribute=("property", "mainContentOfPage")).filter("href <> '' AND text <> ''")
+    rows = links.withColumn("url", fn.absolute_url(F.col("href"), F.lit(CANADA))).filter(~select.bare_root(F.col("url")))
+    return once(rows_of(rows, fn.slug_or_hash(F.col("url")), F.col("text"), F.col("url"), "html", "text/html", metadata(link_text=F.col("text")), pos=F.col("pos")))
 
-def _one(regulation: str, name: str, ext: str, **metadata: str) -> None:
-    register(SourceSpec(regulation, name, "one", f"'{name}'", "title", "url", ext, metadata))
 
+def file_errors(records: DataFrame, number: Column, second: str, wanted: Column | None = None) -> DataFrame:
+    """Records whose number tells no place of a file: document_id and error."""
+    bad = ~_no(F.substring(number, 2, 2).rlike("^[0-9]{2}$"))
+    kept = records.filter(bad if wanted is None else bad & wanted)
+    return kept.select(F.concat_ws("/", number, F.lit(second)).alias("document_id"), F.concat(F.lit("cannot derive PDF path from "), number).alias("error"))
 
-_one("fda", "ecfr", "xml", part="part")
-_one("fda", "fdc_act", "xml", usc_title="usc_title", chapter="chapter")
-_one("eu", "mdr", "html", celex="celex", consolidated_celex="consolidated_celex")
-_one("eu", "ivdr", "html", celex="celex", consolidated_celex="consolidated_celex")
-_one("ca", "mdr", "xml", regulation_number="regulation_number")
-_one("ca", "food_and_drugs_act", "xml", act_number="act_number")
-register(SourceSpec("fda", "guidance", "listing", "regexp_extract(href, '([^/]*)/*$', 1)", "title", "href", "html", _each("issue_date", "status", "communication_type", "issuing_office", "center", "regulated_product_field", "docket_number", "open_for_comment")))
-register(SourceSpec("fda", "clearances_510k", "fan_out", "concat_ws('/', k_number, part)", "coalesce(nullif(device_name, ''), k_number)", "concat('https://api.example.gov/510k/', k_number)", "json", _each("k_number", "applicant", "decision_date", "decision_code", "product_code", "clearance_type", "statement_or_summary"), _fan("metadata", "summary")))
-register(SourceSpec("fda", "pma", "fan_out", "concat_ws('/', concat(pma_number, coalesce(supplement_number, '')), part)", "coalesce(nullif(trade_name, ''), nullif(generic_name, ''), pma_number)", "concat('https://api.example.gov/pma/', pma_number)", "json", _each("pma_number", "supplement_number", "applicant", "trade_name", "generic_name", "product_code", "decision_date", "decision_code", "advisory_committee"), _fan("metadata", "order")))
-register(SourceSpec("fda", "hde", "fan_out", "concat_ws('/', number, part)", "device_name", "concat('https://api.example.gov/hde/', number)", "json", _each("number", "approval_date", "device_name", "company", "description"), _fan("metadata", "order")))
-register(SourceSpec("fda", "recalls", "records", "coalesce(nullif(recall_number, ''), 'unknown')", "product_description", "concat('https://api.example.gov/enforcement/', recall_number)", "json", _each("recall_number", "classification", "status", "recalling_firm", "report_date", "product_code")))
-register(SourceSpec("fda", "classification", "records", "product_code", "device_name", "concat('https://api.example.gov/classification/', product_code)", "json", _each("product_code", "device_class", "regulation_number", "review_panel", "medical_specialty", "medical_specialty_description", "submission_type_id")))
-register(SourceSpec("fda", "warning_letters", "listing", "document_id", "title", "href", "html", {"company_name": "title"} | _each("posted_date", "letter_issue_date", "issuing_office", "subject")))
-register(SourceSpec("eu", "mdcg_guidance", "listing", "document_id", "coalesce(nullif(title, ''), nullif(reference, ''), document_id)", "url", "pdf", _each("reference", "category", "publication")))
-register(SourceSpec("ca", "mdall", "records", "cast(original_licence_no AS string)", "licence_name", "concat('https://api.example.ca/licence/?id=', original_licence_no)", "json", _each("original_licence_no", "licence_status", "appl_risk_class", "first_licence_status_dt", "licence_type_cd", "licence_type_desc", "company_id")))
-register(SourceSpec("ca", "recalls", "records", "NID", "Title", "coalesce(nullif(URL, ''), 'https://recalls.example.ca/all')", "json", {"product": "Product", "issue": "Issue", "category": "Category", "recall_class": "`Recall class`", "last_updated": "`Last updated`", "archived": "Archived"}))
-register(SourceSpec("ca", "guidance", "listing", "document_id", "title", "url", "html", {"link_text": "title"}))
-register(SourceSpec("demo", "catalogue", "records", "cast(p_partkey AS string)", "p_name", "concat('https://data.example.gov/item?code=', p_partkey)", "json", {"issuing_office": "p_brand", "center": "p_type", "product_size": "p_size"}))
 
+SETTINGS = {"enabled": "boolean", "rps": "double", "max_new": "int", "recheck_after_days": "int", "lookback_days": "int", "time_budget_minutes": "int"}
 
-def metadata(name: str, records: DataFrame) -> DataFrame:
-    """Records with source_metadata by the specification of that name."""
-    spec = next(s for s in SPECS.values() if s.name == name)
-    return records.withColumn("source_metadata", metadata_map(spec.metadata))
 
+def effective(sources: DataFrame, own: DataFrame, overrides: DataFrame | None = None, whole: dict | None = None) -> DataFrame:
+    """Every source's settings in force: regulation, source and SETTINGS.
 
-def effective(settings: DataFrame) -> DataFrame:
-    """Command override, else the source's own, else the default; -1 becomes null (no limit) only after that."""
-    return settings.withColumn("rps", F.coalesce("rps", F.lit(DEFAULTS["rps"]))).withColumn("max_new", F.nullif(F.coalesce("override_max", "max_new", F.lit(DEFAULTS["max_new"])), F.lit(-1)))
+    sources: regulation, source. own: their settings, for any part of them. overrides: one row a source of what a
+    command says (null: nothing). whole: the global rps and max_new. Precedence: command, own, global, default;
+    recheck, lookback and time budget have no global value, and null stays null. -1 as max_new becomes null (no
+    limit) only after that. A source without settings is enabled.
+    """
+    key, general = ["regulation", "source"], DEFAULTS | (whole or {})
+    pick = lambda df, name, kind: (F.col(name) if name in df.columns else F.lit(None)).cast(kind)
+    both = sources.select(*key).join(own.select(*key, *(pick(own, n, k).alias(f"o_{n}") for n, k in SETTINGS.items())), key, "left")
+    over = overrides if overrides is not None else sources.select(*key).limit(0)
+    both = both.join(over.select(*key, *(pick(over, n, k).alias(f"c_{n}") for n, k in SETTINGS.items())), key, "left")
+    value = {n: F.coalesce(f"c_{n}", f"o_{n}") for n in SETTINGS}
+    value["enabled"] = F.coalesce("o_enabled", F.lit(True))
+    value["rps"] = F.coalesce(value["rps"], F.lit(float(general["rps"])))
+    value["max_new"] = F.nullif(F.coalesce(value["max_new"], F.lit(general["max_new"])), F.lit(-1))
+    return both.select(*key, *(c.alias(n) for n, c in value.items()))
 
 
 def preview(estimates: DataFrame) -> DataFrame:

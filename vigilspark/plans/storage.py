@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigilspark.operators import changes, runs
+from vigilspark.operators import changes
 from vigilspark.operators.changes import KEY
 from vigilspark.plans import documents, events
 from vigilspark.plans.documents import A, ALL, B, C, ON
-from vigilspark.plans.events import EST, EVT, LOG, RUNS
+from vigilspark.plans.events import BAD, CUTS, EST, EVT, LOG, RUNS
 from vigilspark.plans.orders import DEC, decisions
 from vigilspark.plans.registry import query
 from vigilspark.sources import tables
@@ -23,6 +23,77 @@ def src_01_event_tree(spark, sf):
     return tables.lenient(tables.read_json(spark, root, tables.EVENT, multiline=False))[0].select("run_id", "document_id", "event", events.stamp("ts"), "error")
 
 
+@query(f"""WITH {A} SELECT regulation, source, document_id, title, filename AS original_filename, content_hash AS current_hash, content_type, size_bytes, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS last_checked_at,
+meta_snapshot AS snapshot FROM A""")
+def src_02_document_sidecars(spark, sf):
+    """Current documents written as sidecar records, a line each, and read back."""
+    root, held = tables.scratch(spark, "sidecars"), documents.state(spark, sf)
+    times = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") for c in ("first_seen_at", "last_scraped_at", "last_checked_at", "last_changed_at")}
+    held.withColumns(times).drop("version_history").write.json(root)
+    back = tables.read_documents(spark, root, "*.json", multiline=False)
+    kept = ("title", "original_filename", "current_hash", "content_type", "size_bytes", "last_checked_at")
+    return back.select(*KEY, *kept, F.col("source_metadata")["snapshot"].alias("snapshot"))
+
+
+@query(f"""WITH {EVT}, {RUNS}, {CUTS} SELECT run_id, regulation, source, status, checked, new, updated, unchanged, errors, skipped_already_known, stop_reason,
+(SELECT count(*) FROM evt e WHERE e.run_id = full_runs.run_id AND {BAD}) AS details FROM full_runs""")
+def src_03_run_summaries(spark, sf):
+    """Run summaries written as JSON records and read back."""
+    root = tables.scratch(spark, "run-files")
+    events.run_summaries(spark, sf).write.json(root)
+    back = tables.read_runs(spark, root, multiline=False)
+    return back.withColumn("details", F.size("error_details").cast("bigint")).drop("started_at", "finished_at", "error_details", "path")
+
+
+@query(f"""WITH {EVT}, {EST} SELECT regulation, source, total_available, already_known, greatest(0, total_available - already_known) AS remaining, 'of ' || source AS note,
+'2024-02-01T00:00:00+00:00' AS computed_at FROM est""")
+def src_04_estimates(spark, sf):
+    root = tables.scratch(spark, "estimate-files")
+    events.estimates(events.fetch_events(spark, sf)).write.json(root)
+    return tables.read_estimates(spark, root, "*.json", multiline=False).drop("path", "next_available_at", "next_available_note")
+
+
+@query(f"WITH {EVT} SELECT run_id, event, event_id % 50 = 0 AS corrupt, count(*) AS records FROM (SELECT CASE WHEN event_id % 50 <> 0 THEN run_id END AS run_id, CASE WHEN event_id % 50 <> 0 THEN event END AS event, event_id FROM evt) GROUP BY ALL")
+def src_05_lenient(spark, sf):
+    """Records of which every 50th is cut off: good ones, and the corrupt ones beside them."""
+    root, rows = tables.scratch(spark, "lenient"), events.fetch_events(spark, sf)
+    line = F.to_json(F.struct("run_id", "event", "document_id"))
+    rows.select(F.when(F.col("event_id") % 50 == 0, F.substring(line, 1, 12)).otherwise(line).alias("value")).write.text(root)
+    good, bad = tables.lenient(tables.read_json(spark, root, tables.EVENT, "*.txt", multiline=False))
+    none = F.lit(None).cast("string")
+    both = good.select("run_id", "event", F.lit(False).alias("corrupt")).unionByName(bad.select(none.alias("run_id"), none.alias("event"), F.lit(True).alias("corrupt")))
+    return both.groupBy("run_id", "event", "corrupt").agg(F.count("*").alias("records"))
+
+
+@query("SELECT lang AS regulation, CAST(sum(strlen(text) + 1) AS BIGINT) AS size_bytes, true AS whole FROM documents GROUP BY lang")
+def src_06_raw_bytes(spark, sf):
+    """The texts written as raw files, by language, and read back as bytes with path and size."""
+    root = tables.scratch(spark, "raw")
+    documents.read(spark, sf, "documents").select("lang", "text").write.partitionBy("lang").text(root)
+    files = tables.read_bytes(spark, root, "*.txt").select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("regulation"), "size_bytes", (F.octet_length("content") == F.col("size_bytes")).alias("whole"))
+    return files.groupBy("regulation").agg(F.sum("size_bytes").alias("size_bytes"), F.bool_and("whole").alias("whole"))
+
+
+@query("SELECT p_partkey AS product_code, p_name AS device_name, p_retailprice AS price FROM part")
+def src_08_bulk_arrays(spark, sf):
+    """The catalogue as JSON arrays, one for each brand, in files of their own, and read back as rows."""
+    root = tables.scratch(spark, "arrays")
+    row = F.struct(F.col("p_partkey").alias("product_code"), F.col("p_name").alias("device_name"), F.col("p_retailprice").alias("price"))
+    arrays = documents.read(spark, sf, "part").groupBy("p_brand").agg(F.to_json(F.collect_list(row)).alias("value"))
+    arrays.repartition("p_brand").write.partitionBy("p_brand").text(root)
+    return tables.read_array(spark, f"{root}/*/*.txt", "product_code bigint, device_name string, price double")
+
+
+@query(f"WITH {LOG} SELECT 'session-' || (event_id % 4) AS session_id, count(*) AS lines, count(DISTINCT url) AS urls FROM log GROUP BY ALL")
+def snk_03_session_logs(spark, sf):
+    """Request logs written as JSON lines, a folder for each session."""
+    root = tables.scratch(spark, "session-log")
+    log = events.request_log(spark, sf).withColumn("session_id", F.concat(F.lit("session-"), F.col("event_id") % 4))
+    tables.write_log(log.drop("us"), root)
+    back = tables.read_log(spark, root).select(tables.extra("url", "string").alias("url"), F.regexp_extract(F.input_file_name(), "session_id=([^/]*)/", 1).alias("session_id"))
+    return back.groupBy("session_id").agg(F.count("*").alias("lines"), F.count_distinct("url").alias("urls"))
+
+
 @query(f"WITH {LOG} SELECT CAST(status AS INT) AS status, count(*) AS requests, round(sum(elapsed_ms), 2) AS total_ms FROM log GROUP BY ALL")
 def src_09_log_extras(spark, sf):
     root = tables.scratch(spark, "log")
@@ -57,18 +128,20 @@ def snk_05_estimates(spark, sf):
     return spark.read.parquet(root).select("source", "total_available", "already_known")
 
 
-@query(f"WITH {EVT}, {RUNS} SELECT run_id, checked, errors, status FROM runs")
+@query(f"""WITH {EVT}, {RUNS}, {CUTS} SELECT run_id, checked, errors, status, stop_reason, skipped_already_known,
+(SELECT count(*) FROM evt e WHERE e.run_id = full_runs.run_id AND {BAD}) AS details FROM full_runs""")
 def snk_06_run_summaries(spark, sf):
     root = tables.scratch(spark, "runs")
-    tables.append_runs(runs.counters(events.fetch_events(spark, sf)), root)
-    return spark.read.parquet(root).select("run_id", "checked", "errors", "status")
+    tables.append_runs(events.run_summaries(spark, sf), root)
+    back = spark.read.parquet(root).withColumn("details", F.size("error_details").cast("bigint"))
+    return back.select("run_id", "checked", "errors", "status", "stop_reason", "skipped_already_known", "details")
 
 
-def _stream(spark, rows, name, parts=4):
-    """rows as files to stream from, and new folders for the result and the checkpoint."""
+def _stream(spark, rows, name):
+    """rows as files to stream from, in their own partitions, and new folders for the result and the checkpoint."""
     root = tables.scratch(spark, name)
-    rows.repartition(parts).write.parquet(root)
-    return streaming.source(spark, root, rows.schema, 1), tables.scratch(spark, f"{name}-out"), tables.scratch(spark, f"{name}-checkpoint")
+    rows.write.parquet(root)
+    return streaming.source(spark, root, rows.schema), tables.scratch(spark, f"{name}-out"), tables.scratch(spark, f"{name}-checkpoint")
 
 
 def _timed(df):
@@ -84,11 +157,24 @@ def str_01_ingest(spark, sf):
 
 @query(f"WITH {EVT} SELECT run_id, event, count(*) AS n FROM evt GROUP BY ALL")
 def str_02_live_counters(spark, sf):
-    stream, out, checkpoint = _stream(spark, _timed(events.fetch_events(spark, sf)).drop("error"), "counters")
-    told = streaming.run_to_end(streaming.live_counters(stream), out, checkpoint, "update")
+    """Events arrive in two parts; the counts go on behind each."""
+    root, out, checkpoint = tables.scratch(spark, "counters"), tables.scratch(spark, "counters-out"), tables.scratch(spark, "counters-checkpoint")
+    rows = _timed(events.fetch_events(spark, sf)).drop("error")
+    for part in (0, 1):
+        rows.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(root)
+        told = streaming.run_to_end(streaming.live_counters(streaming.source(spark, root, rows.schema)), out, checkpoint, "update")
     return told.groupBy("run_id", "event").agg(F.max_by("n", "batch").alias("n"))
 
 
+@query(f"WITH {EVT} SELECT event, count(*) AS events, min(event_id) AS first FROM evt GROUP BY ALL")
+def udf_03_event_callback(spark, sf):
+    """A callback gets every batch of events; here it keeps counts of each."""
+    stream, out, checkpoint = _stream(spark, _timed(events.fetch_events(spark, sf)).drop("error"), "callback")
+    kept = lambda df, n: df.groupBy("event").agg(F.count("*").alias("n"), F.min("event_id").alias("first")).write.mode("overwrite").parquet(f"{out}/batch={n}")
+    streaming.on_batch(stream, kept, checkpoint)
+    return spark.read.parquet(out).groupBy("event").agg(F.sum("n").alias("events"), F.min("first").alias("first"))
+
+
 @query(f"WITH {A}, {B}, {C}, {ALL} SELECT regulation, source, document_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN b IS NULL THEN 'new' WHEN b = content_hash THEN 'unchanged' ELSE 'updated' END AS event FROM (SELECT *, lag(content_hash) OVER (PARTITION BY regulation, source, document_id ORDER BY ts) AS b FROM al)")
 def str_03_streaming_changes(spark, sf):
     """Snapshots A, B and C arrive one after the other; the stream goes on to its end behind each."""
@@ -117,7 +203,7 @@ def str_05_daily(spark, sf):
     """Days that the watermark has passed; files are in order of time, so none comes late."""
     root = tables.scratch(spark, "daily")
     rows = _timed(events.fetch_events(spark, sf)).select("ts", "event")
-    rows.repartitionByRange(4, "ts").write.parquet(root)
+    rows.repartitionByRange("ts").write.parquet(root)
     told = streaming.run_to_end(streaming.daily(streaming.source(spark, root, rows.schema)), tables.scratch(spark, "daily-out"), tables.scratch(spark, "daily-checkpoint"))
     return told.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event", "n")
 

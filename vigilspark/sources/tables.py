@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 
 EVENT = "run_id string, regulation string, source string, document_id string, event string, ts timestamp, url string, http_status int, content_hash string, storage_path string, error string"
 DOCUMENT = "regulation string, source string, document_id string, title string, original_filename string, canonical_url string, first_seen_at string, last_scraped_at string, last_checked_at string, last_changed_at string, current_hash string, current_storage_path string, content_type string, size_bytes bigint, version_history array<struct<ts:string,hash:string,size_bytes:bigint>>, source_metadata map<string,string>"
-RUN = "run_id string, regulation string, source string, started_at string, finished_at string, status string, documents_checked bigint, documents_new bigint, documents_updated bigint, documents_unchanged bigint, errors bigint, skipped_already_known bigint, stop_reason string, error_details array<struct<document_id:string,error:string>>"
-ESTIMATE = "regulation string, source string, total_available bigint, already_known bigint, remaining bigint, note string, next_available_at string, next_available_note string"
+RUN = (
+    "run_id string, regulation string, source string, started_at string, finished_at string, status string, checked bigint, new bigint, updated bigint, "
+    "unchanged bigint, errors bigint, error_details array<struct<document_id:string,error:string>>, skipped_already_known bigint, stop_reason string"
+)
+ESTIMATE = (
+    "regulation string, source string, computed_at string, total_available bigint, already_known bigint, remaining bigint, note string, "
+    "next_available_at string, next_available_note string"
+)
 LOG = "ts timestamp, level string, logger string, message string"
 CORRUPT = "_corrupt"
 
@@ -20,11 +26,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one that the cluster shares; a temporary one only where that is unset."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("on a cluster, spark.checkpoint.dir names a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vigilspark-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def manifest(root: str, kind: str = "") -> str:
+    """Where the records of all sources below root lie: kind is events, runs, or empty for the folder of the estimates. Spark passes over folders with a leading underscore unless the path names them."""
+    return f"{root.rstrip('/')}/*/*/_manifest/{kind}".rstrip("/")
+
+
 def read_json(spark: SparkSession, root: str, schema: str, glob: str = "*.json", multiline: bool = True) -> DataFrame:
     """A tree of JSON files: one record a file, or one a line. Records that do not parse keep their text in _corrupt."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=multiline)
@@ -38,21 +51,21 @@ def lenient(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     return read.filter(~bad).drop(CORRUPT), read.filter(bad).select("path", CORRUPT)
 
 
-def read_events(spark: SparkSession, root: str) -> DataFrame:
-    return lenient(read_json(spark, root, EVENT))[0]
+def read_events(spark: SparkSession, root: str, multiline: bool = True) -> DataFrame:
+    return lenient(read_json(spark, root, EVENT, multiline=multiline))[0]
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """Document sidecars only: files named current.meta.json."""
-    return lenient(read_json(spark, root, DOCUMENT, "current.meta.json"))[0]
+def read_documents(spark: SparkSession, root: str, glob: str = "current.meta.json", multiline: bool = True) -> DataFrame:
+    """Document sidecars only: files named current.meta.json, unless another pattern is given."""
+    return lenient(read_json(spark, root, DOCUMENT, glob, multiline))[0]
 
 
-def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    return lenient(read_json(spark, root, RUN))[0]
+def read_runs(spark: SparkSession, root: str, multiline: bool = True) -> DataFrame:
+    return lenient(read_json(spark, root, RUN, multiline=multiline))[0]
 
 
-def read_estimates(spark: SparkSession, root: str) -> DataFrame:
-    return lenient(read_json(spark, root, ESTIMATE, "estimate.json"))[0]
+def read_estimates(spark: SparkSession, root: str, glob: str = "estimate.json", multiline: bool = True) -> DataFrame:
+    return lenient(read_json(spark, root, ESTIMATE, glob, multiline))[0]
 
 
 def read_bytes(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -91,8 +104,9 @@ def write_log(log: DataFrame, root: str, session: str = "session_id") -> None:
     log.write.mode("append").partitionBy(session).json(root)
 
 
-def append_versions(replaced: DataFrame, root: str) -> None:
-    replaced.write.mode("append").partitionBy("regulation", "source").parquet(root)
+def append_versions(archived: DataFrame, root: str) -> None:
+    """Adds replaced versions: their archive path and, where the frame has them, their bytes."""
+    archived.write.mode("append").partitionBy("regulation", "source").parquet(root)
 
 
 def write_estimates(estimates: DataFrame, root: str) -> None:

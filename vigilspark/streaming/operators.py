@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +28,18 @@ def run_to_end(stream: DataFrame, out: str, checkpoint: str, mode: str = "append
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
     if mode == "append":
         query = writer.format("parquet").option("path", out).outputMode("append").start()
+        query.awaitTermination()
     else:
-        query = writer.outputMode(mode).foreachBatch(lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{out}/batch={n}")).start()
-    query.awaitTermination()
+        on_batch(stream, lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{out}/batch={n}"), checkpoint, mode)
     return stream.sparkSession.read.parquet(out)
 
 
+def on_batch(stream: DataFrame, callback: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+    """Calls back with every batch of the stream and its number, to the end of what is there now. After a failure the last batch may come again under its number."""
+    writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).outputMode(mode)
+    writer.foreachBatch(callback).start().awaitTermination()
+
+
 def live_counters(events: DataFrame) -> DataFrame:
     """Running counts per run and event (update mode)."""
     return events.groupBy("run_id", "event").agg(F.count("*").alias("n"))
