@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step holds at most, unless a single text is longer.
 SLICE_BYTES = 512 << 10
+#: Rows of such a step at most.
+SLICE_ROWS = 4096
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("on a cluster, spark.checkpoint.dir names a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vigilspark-"))
         found = spark.sparkContext.getCheckpointDir()
     return found
@@ -34,7 +38,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: df as a Parquet table in the shared folder, read back."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Removes tables that written has made and that nothing will read again."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
@@ -54,6 +68,13 @@ def texts_only(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFra
     )
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """A column name that is not taken."""
+    while name in taken:
+        name += "_"
+    return name
+
+
 def trim() -> None:
     """Hands memory that an earlier task of this Python worker has left back to the machine."""
     gc.collect()
@@ -65,7 +86,7 @@ def trim() -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts batches so that each holds at most so many bytes of text, or one row."""
+    """Cuts batches so that each holds at most so many bytes of text (or one row) and SLICE_ROWS rows."""
     trim()
     for batch in batches:
         column = batch.column(text)
@@ -76,7 +97,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
         ends = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + n + 1]
         at = 0
         while at < n:
-            to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+            to = min(n, at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1))
             yield batch.slice(at, to - at)
             at = to
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilspark.llm.common import written
+from vigilspark.llm.common import drop, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,16 +13,19 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round, a node takes the least label among its own and its neighbours', then its label's label, so
     labels run along chains in steps that double. Rounds end when no label changes. Every round's labels are
-    written to the shared folder. Only one number, the count of changes, comes to the driver.
+    written to the shared folder, and those of the round before are removed. Only one number, the count of changes, comes to the driver.
     """
     both = written(links.select("x", "y").union(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).filter("x <> y").distinct(), "links")
     labels = written(both.groupBy(F.col("x").alias("node")).agg(F.least(F.first("x"), F.min("y")).alias("component")), "labels")
+    before = labels
     while True:
         near = both.join(labels.select(F.col("node").alias("y"), F.col("component").alias("c")), "y").groupBy(F.col("x").alias("node")).agg(F.min("c").alias("c"))
         taken = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "c").alias("mid"))
         jump = labels.select(F.col("node").alias("mid"), F.col("component").alias("c"))
         # a label is itself a node, so its own label is in the table
         new = written(taken.join(jump, "mid", "left").select("node", "old", F.least("mid", F.coalesce("c", "mid")).alias("component")), "labels")
-        labels = new.select("node", "component")
+        drop(before)
+        before, labels = new, new.select("node", "component")
         if new.filter("old <> component").isEmpty():
+            drop(both)
             return labels

@@ -6,8 +6,10 @@ similarity t share one of these. The classes under one shingle, in order of size
 which sizes differ by the factor 1 / t at most; only within such a tile can pairs link.
 
 Round one links every class of a tile with the band's first class, which joins most copies of a text to
-one group without pairing them all. Later rounds take the tiles that still hold more than one group, in
-chunks of bounded size, and keep the pairs of different groups that pass the bit test. Where these are many,
+one group without pairing them all. A shingle known to be very frequent is dealt to several tasks there. Later
+rounds take the tiles that still hold more than one group. Large ones are cut into bands of sizes, and bands into
+chunks of bounded size, those of the tile's largest group apart; only chunks of one band or of neighbouring bands
+meet, and never two of the largest group. They keep the pairs of different groups that pass the bit test. Where these are many,
 as in a large group of near copies, a round keeps each class's likeliest partner and the tile comes again
 with the groups that these links have merged; when no more merge, all pairs that are left are tested. A set's bitmap
 holds the parity of its shingles' bits, so popcount(a xor b) is at most the number of unshared shingles and
@@ -15,7 +17,9 @@ holds the parity of its shingles' bits, so popcount(a xor b) is at most the numb
 sorted arrays. Classes already in one group need no check, as it can't change the groups.
 
 The frequent shingles only set the order, so results don't depend on which are found. No step holds a tile
-whole: round one keeps one row for each size, the others at most two chunks.
+whole: round one keeps one row for each size, the others at most two chunks. Sorted arrays are made again, in the
+rounds, for the documents of pairs that passed the bit test alone: kept for all, they would take more room than
+the texts. What a round has written is removed when the next no longer needs it.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilspark.llm.common import slices, texts_only, written
+from vigilspark.llm.common import drop, slices, texts_only, written
 from vigilspark.llm.components import components
 from vigilspark.llm.shingles import mix, sets
 
@@ -36,8 +40,10 @@ PERCENT = 75
 MAX_FREQUENT = 1 << 18
 #: A shingle counts as frequent from so many documents on.
 FREQUENT = 24
-#: Classes of a tile's chunk.
+#: Classes of a tile's chunk; tiles with more are cut.
 CHUNK = 1024
+#: Documents of a frequent shingle that round one leaves in one task.
+HOT = 200_000
 #: Candidate pairs a row, up to which a tile is settled at once; with more, first each row's likeliest.
 PER_ROW = 4
 #: Bits of the table that tells which documents' arrays are needed.
@@ -130,27 +136,40 @@ class Order:
         return np.concatenate([one[~known], late])[:length]
 
 
+    def parts(self, shingles: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Into which part of its shingle each row goes: 0, or for shingles of more than HOT documents one by the class."""
+        out = np.zeros(len(shingles), np.int32)
+        if len(self.values) and self.counts.max() > HOT:
+            at = np.minimum(np.searchsorted(self.values, shingles), len(self.values) - 1)
+            hot = np.flatnonzero((self.values[at] == shingles) & (self.counts[at] > HOT))
+            out[hot] = 1 + mix(classes[hot].view(np.uint64)) % (1 + self.counts[at[hot]] // HOT).astype(np.uint64)
+        return out
+
+
 def star_rows(percent: int):
-    """Over rows (s, c, n, pos) sorted by s, n, c: each row whose shingle has another class, and the link of a class with its band's first."""
+    """Over rows (s, z, c, n, pos) sorted by s, z, n, c: each row whose shingle has another class, and the link of a class with its band's first.
+
+    z: 0, or from 1 on the part of a shingle that is in several parts, and so has other classes for certain.
+    """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = np.zeros((0, 5), np.int64)  # of the last shingle: one row for each size, and whether it is told already
+        carry = np.zeros((0, 6), np.int64)  # of the last shingle: one row for each size, and whether it is told already
         for batch in batches:
-            rows = np.column_stack([np.asarray(batch.column(k)).astype(np.int64) for k in ("s", "n", "c", "pos")] + [np.zeros(len(batch), np.int64)])
+            rows = np.column_stack([np.asarray(batch.column(k)).astype(np.int64) for k in ("s", "z", "n", "c", "pos")] + [np.zeros(len(batch), np.int64)])
             rows = np.concatenate([carry, rows])
             if not len(rows):
                 continue
-            same = np.concatenate([[False], (rows[1:, :3] == rows[:-1, :3]).all(1)])
+            same = np.concatenate([[False], (rows[1:, :4] == rows[:-1, :4]).all(1)])
             rows = rows[~same]
-            s, n, c, pos, told = rows.T
-            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            group = np.cumsum(np.concatenate([[True], s[1:] != s[:-1]])) - 1
+            s, z, n, c, pos, told = rows.T
+            begins = np.concatenate([[True], (s[1:] != s[:-1]) | (z[1:] != z[:-1])])
+            first, group = np.flatnonzero(begins), np.cumsum(begins) - 1
             size = np.diff(np.append(first, len(rows)))
             wide = np.int64(1) << 33
             key = group * wide + n
             lead = np.searchsorted(key, group * wide + -(-percent * n // 100))
             new = told == 0
-            shared = new & (size[group] > 1)
+            shared = new & ((size[group] > 1) | (z > 0))
             star = shared & (lead < np.arange(len(rows))) & ((c[lead] != c) | (n[lead] != n))
             pairs = np.unique(np.column_stack([c[lead[star]], n[lead[star]], c[star], n[star]]), axis=0) if star.any() else np.zeros((0, 4), np.int64)
             k, p = int(shared.sum()), len(pairs)
@@ -167,10 +186,10 @@ def star_rows(percent: int):
                     ["s", "c", "n", "pos", "lead_c", "lead_n"],
                 )
             last = rows[first[-1] :]
-            alone = len(last) == 1
-            last = last[np.concatenate([[True], last[1:, 1] != last[:-1, 1]])].copy()
+            alone = len(last) == 1 and not last[0, 1]
+            last = last[np.concatenate([[True], last[1:, 2] != last[:-1, 2]])].copy()
             if not alone:
-                last[:, 4] = 1
+                last[:, 5] = 1
             carry = last
 
     return step
@@ -309,7 +328,28 @@ def checked(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int)
 
     held = written(rows.select("doc_id", "text", bucket.alias("b")).mapInArrow(arrays, "doc_id bigint, a binary").join(needed, "doc_id", "left_semi"), "arrays")
     full = may.join(held.select(F.col("doc_id").alias("x"), F.col("a").alias("ax")), "x").join(held.select(F.col("doc_id").alias("y"), F.col("a").alias("ay")), "y")
-    return full.mapInArrow(exact_test(percent), "x bigint, y bigint")
+    found = written(full.mapInArrow(exact_test(percent), "x bigint, y bigint"), "links")
+    drop(may, held)
+    return found
+
+
+def cut_tiles(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows (s, n, pos, node, grp) of large tiles, dealt to the pairs of chunks (i, j) that can hold pairs of different groups and like sizes; side: the row's own chunk.
+
+    Two sizes within the factor lie in one band or in two neighbouring ones. A tile's largest group has chunks of its
+    own, which don't meet one another; so a large group of near copies costs its rows times the chunks of the rest.
+    """
+    most = rows.groupBy("s", "grp").agg(F.count("*").alias("c")).groupBy("s").agg(F.max_by("grp", "c").alias("main"))
+    width = -np.log(percent / 100) if percent < 100 else 1.0
+    placed = rows.join(most, "s").withColumns({"band": F.floor(F.log(F.col("n") + 0.5) / F.lit(float(width))), "own": (F.col("grp") == F.col("main")).cast("int")})
+    sizes = placed.groupBy("s", "band", "own").agg(F.ceil(F.count("*") / CHUNK).alias("k"))
+    theirs = sizes.select("s", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"), F.struct(F.col("band"), F.col("own"), F.col("k")).alias("t"))
+    near = sizes.join(theirs, ["s", "band"]).filter((F.col("own") == 0) | (F.col("t.own") == 0)).groupBy("s", "band", "own", "k").agg(F.collect_list("t").alias("near"))  # six at most
+    number = lambda band, own, chunk: ((band * 2 + own) * F.lit(1 << 40) + chunk).cast("bigint")
+    meets = F.flatten(F.transform("near", lambda t: F.transform(F.sequence(F.lit(0).cast("bigint"), t["k"] - 1), lambda o: number(t["band"], t["own"], o))))
+    side = number(F.col("band"), F.col("own"), F.pmod(F.xxhash64("node"), F.col("k")))
+    dealt = placed.join(near, ["s", "band", "own"]).withColumn("side", side).withColumn("o", F.explode(meets))
+    return dealt.select("s", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "n", "pos", "node", "grp", "side")
 
 
 def jaccard_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -345,9 +385,11 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
                 length = np.array([len(p) for _, p in out])
                 at = np.repeat([i for i, _ in out], length)
                 pos = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p for _, p in out]).view(np.int64)), pa.array(c[at]), pa.array(sizes[at].astype(np.int32)), pa.array(pos.astype(np.int32))], ["s", "c", "n", "pos"])
+                flat = np.concatenate([p for _, p in out])
+                z = order.parts(flat, c[at])
+                yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(z), pa.array(c[at]), pa.array(sizes[at].astype(np.int32)), pa.array(pos.astype(np.int32))], ["s", "z", "c", "n", "pos"])
 
-    tiles = rows.mapInArrow(prefixes, "s bigint, c bigint, n int, pos int").repartition("s").sortWithinPartitions("s", "n", "c")
+    tiles = rows.mapInArrow(prefixes, "s bigint, z int, c bigint, n int, pos int").repartition("s", "z").sortWithinPartitions("s", "z", "n", "c")
     told = written(tiles.mapInArrow(star_rows(percent), "s bigint, c bigint, n bigint, pos bigint, lead_c bigint, lead_n bigint"), "tiles")
 
     key = classes.select("c", "n", "node")
@@ -362,24 +404,28 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
     several = written(each.select("doc_id", "c", "n").join(several, "doc_id", "left_semi").filter("n > 0").distinct(), "several")
     same = several.join(key, ["c", "n"]).select("node", "doc_id")
     same = same.join(same.groupBy("doc_id").agg(F.min("node").alias("x")), "doc_id").select("x", F.col("node").alias("y")).filter("x <> y").distinct()
-    links = written(checked(stars, rows, classes, percent).union(same), "stars")
+    links = checked(stars, rows, classes, percent).union(same)
     found = components(links)
 
     shared_rows = told.filter("s IS NOT NULL").select("s", "c", "n", "pos")
-    open_tiles, most = None, PER_ROW
+    open_tiles, most, last = None, PER_ROW, []
     while True:
         nodes = classes.join(found, "node", "left").select("node", "c", "n", F.coalesce("component", "node").alias("grp"))
         listed = shared_rows if open_tiles is None else shared_rows.join(open_tiles, "s", "left_semi")
         listed = written(listed.join(nodes, ["c", "n"]).select("s", "n", "pos", "node", "grp"), "listed")
-        mixed = listed.groupBy("s").agg(F.min("grp").alias("a"), F.max("grp").alias("b"), F.count("*").alias("m")).filter("a <> b").select("s", F.ceil(F.col("m") / CHUNK).cast("int").alias("k"))
-        side = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
-        chunks = (
-            listed.join(mixed, "s").withColumn("side", side).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-            .select("s", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "n", "pos", "node", "grp", "side")
-            .join(classes.select("node", "bits"), "node")
-        )
+        drop(*last)
+        mixed = listed.groupBy("s").agg(F.min("grp").alias("a"), F.max("grp").alias("b"), F.count("*").alias("m")).filter("a <> b").select("s", "m")
+        large = written(mixed.filter(F.col("m") > CHUNK).select("s"), "large")
+        zero = F.lit(0).cast("bigint")
+        whole = listed.join(mixed.filter(F.col("m") <= CHUNK).select("s"), "s", "left_semi")
+        chunks = whole.select("s", zero.alias("i"), zero.alias("j"), "n", "pos", "node", "grp", zero.alias("side"))
+        if not large.isEmpty():
+            chunks = chunks.union(cut_tiles(listed.join(large, "s", "left_semi"), percent))
+        chunks = chunks.join(classes.select("node", "bits"), "node")
         tested = written(chunks.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j").mapInArrow(tile_rows(percent, most), "x bigint, y bigint, s bigint"), "tested")
-        more = written(checked(tested.filter("x IS NOT NULL").select("x", "y").distinct(), rows, classes, percent), "more")
+        more = checked(tested.filter("x IS NOT NULL").select("x", "y").distinct(), rows, classes, percent)
+        drop(listed, large)
+        last = [tested]
         grown = not more.isEmpty()
         if grown:
             links = links.union(more)
