@@ -1,18 +1,21 @@
 """Exact dedup of whole texts by a heavy-hitter split, with built-in functions only.
 
+Every text is read and hashed once; ids and digests are written as a table, on which all else works.
 Misra-Gries (DataFrame.stat.freqItems, whose counters merge across partitions) names at most
 1 / SUPPORT digests that may be frequent. One aggregation with map-side partial sums verifies
 these: it counts them exactly and finds the row that stays. The winners, whose number is bounded,
 are broadcast, so rows of large groups are decided where they are read and never meet in a task.
-All other digests, whose groups have under SUPPORT of the rows, take the ordinary shuffle. Only
-digests and ids move, never texts.
+All other digests, whose groups have under SUPPORT of the rows, take the ordinary shuffle: a grouping
+with partial sums and a plain join, so no group has to fit in a task. Only digests and ids move, never texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigilspark.llm.common import written
+
 #: Digests with more than this share of all rows count as heavy: at most 1 / SUPPORT of them.
 SUPPORT = 0.001
 
@@ -26,17 +29,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are not read.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    rows = written(rows, "digests")
     candidates = rows.select("text_sha256").stat.freqItems(["text_sha256"], support).select(F.explode("text_sha256_freqItems").alias("text_sha256"))
-    heavy = (
-        rows.join(F.broadcast(candidates), "text_sha256", "left_semi")
-        .groupBy("text_sha256")
-        .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    )
+    verdict = [F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")]
+    heavy = rows.join(F.broadcast(candidates), "text_sha256", "left_semi").groupBy("text_sha256").agg(*verdict)
     split = rows.join(F.broadcast(heavy), "text_sha256", "left")
-    group = Window.partitionBy("text_sha256")
-    light = split.filter(F.col("group_size").isNull()).select(
-        "doc_id", "text_sha256", F.max("doc_id").over(group).alias("keep_id"), F.count("*").over(group).alias("group_size")
-    )
+    rest = split.filter(F.col("group_size").isNull()).select("doc_id", "text_sha256")
+    light = rest.join(rest.groupBy("text_sha256").agg(*verdict), "text_sha256").select("doc_id", "text_sha256", "keep_id", "group_size")
     return (
         split.filter(F.col("group_size").isNotNull())
         .select("doc_id", "text_sha256", "keep_id", "group_size")
