@@ -24,10 +24,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines have no window and stay as they are; null and empty texts count as one empty line, and a null
     text's deduped is empty. A later occurrence that overlaps the first one in the same text covers only the
     lines behind it, so one occurrence is always left whole. Rows that repeat an id and its text are one
-    document, with one result. A null id comes last. A text with all its lines covered is left empty. Columns
-    of docs with these names are replaced; an empty table gives an empty result.
+    document, with one result. Whole numbers as ids are in order of number, others in order of their text; a
+    null id comes last. A text with all its lines covered is left empty. Columns of docs with these names are
+    replaced, other names are free; an empty table gives an empty result.
     """
-    oid = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST))
+    given = F.col(f"`{id_col}`")
+    if dict(docs.dtypes)[id_col] in ("tinyint", "smallint", "int", "bigint"):
+        oid = F.coalesce(given.cast("bigint"), F.lit(_LAST))
+    else:
+        oid = F.when(given.isNull(), "1").otherwise(F.concat(F.lit("0"), given.cast("string")))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(oid.alias("id"), text.alias("t")).select("id", F.xxhash64("t").alias("h"), F.split("t", "\n").alias("lines"))
     hashes = rows.select("id", "h", F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("v"), F.trim(F.regexp_replace(x, r"\s", "")).eqNullSafe(F.lit("")).alias("blank"))).alias("v"))
@@ -48,21 +53,22 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     later = windows.join(repeated, ["p", "q"]).filter(~(here & (F.col("line") == F.col("first.line")))).select("id", "h", start.alias("a"), (F.col("line") + WINDOW - 1).alias("b")).filter("a <= b")
     covered = later.groupBy("id", "h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("a", "b"))))).alias("gone"))
 
-    gone, lines = F.coalesce("_gone", F.array().cast("array<int>")), F.split("_t", "\n")
+    gone = F.col("gone")
     runs = F.transform(
-        F.sequence(F.lit(0), F.size("_gone")),
-        lambda i: F.slice("_lines", F.when(i == 0, 0).otherwise(F.get("_gone", i - 1) + 1) + 1, F.when(i == F.size("_gone"), F.size("_lines")).otherwise(F.get("_gone", i)) - F.when(i == 0, 0).otherwise(F.get("_gone", i - 1) + 1)),
+        F.sequence(F.lit(0), F.size(gone)),
+        lambda i: F.slice("lines", F.when(i == 0, 0).otherwise(F.get(gone, i - 1) + 1) + 1, F.when(i == F.size(gone), F.size("lines")).otherwise(F.get(gone, i)) - F.when(i == 0, 0).otherwise(F.get(gone, i - 1) + 1)),
     )
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "deduped")]
+    own = F.struct(*(F.col(f"`{c}`") for c in names)).alias("own")  # the caller's columns, apart from the names in use here
     return (
-        docs.select(*(F.col(f"`{c}`") for c in names), oid.alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_t"))
-        .join(covered.select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("gone").alias("_gone")), ["_id", "_h"], "left")
-        .withColumn("_gone", gone).withColumn("_lines", lines)
+        docs.select(own, oid.alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
+        .join(covered, ["id", "h"], "left")
+        .withColumn("gone", F.coalesce("gone", F.array().cast("array<int>"))).withColumn("lines", F.split("t", "\n"))
         .select(
-            *(F.col(f"`{c}`") for c in names),
-            F.size("_lines").cast("bigint").alias("n_lines"),
-            F.size("_gone").cast("bigint").alias("n_removed"),
-            F.when(F.size("_gone") == 0, F.col("_t")).otherwise(F.array_join(F.flatten(runs), "\n")).alias("deduped"),
+            "own.*",
+            F.size("lines").cast("bigint").alias("n_lines"),
+            F.size("gone").cast("bigint").alias("n_removed"),
+            F.when(F.size("gone") == 0, F.col("t")).otherwise(F.array_join(F.flatten(runs), "\n")).alias("deduped"),
         )
     )
 
