@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilspark.llm.common import slices, texts_only
@@ -119,17 +119,14 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     follow one another by a hash of their texts. Null texts count as empty, null ids come last, a single
     document is its own next; an empty table gives an empty result. ids are read as bigint.
 
-    Ids are cut into ranges of about equal row counts (from quantiles over all rows). One shuffle brings a
-    range's texts together in order, with the first text of the next range behind them.
+    Ids are cut into ranges of about equal row counts (from quantiles over all rows); an id, or the null ids, of
+    more than a range's rows has several, by the hash of the text. One shuffle brings a range's texts together in
+    order, with the first text of the next range behind them.
     """
     rows = texts_only(docs, id_col, text_col).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NONE)))
     n = min(MAX_RANGES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], F.lit(20 * n)).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    where = F.lit(0)
-    if cuts:
-        where = F.expr(_search([int(c) for c in cuts]))
-    rows = rows.withColumn("r", where.cast("int")).withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("r", range_of(sorted(map(int, cuts))))
     heads = sorted((r["r"], r["first"]["doc_id"], r["first"]["h"]) for r in rows.groupBy("r").agg(F.min(F.struct("doc_id", "h")).alias("first")).collect())  # one row for each range
     before = {(i, h): heads[k - 1][0] for k, (_, i, h) in enumerate(heads)}
     copies = F.array(F.struct(F.col("r").alias("r"), F.lit(0).alias("role")))
@@ -142,9 +139,17 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NONE)))
 
 
-def _search(cuts: list[int], base: int = 0) -> str:
-    """SQL for the number of cuts that are at most doc_id, by halving."""
+def range_of(cuts: list[int]) -> Column:
+    """The number of the range of doc_id and h, growing with both. A cut that comes m > 1 times has m ranges of its own."""
     if not cuts:
-        return str(base)
-    half = len(cuts) // 2
-    return f"IF(doc_id < {cuts[half]}L, {_search(cuts[:half], base)}, {_search(cuts[half + 1 :], base + half + 1)})"
+        return F.lit(0)
+    values, times = (a.tolist() for a in np.unique(np.array(cuts, np.int64), return_counts=True))
+    own = [m if m > 1 else 0 for m in times]
+    base = [1 + k + b for k, b in enumerate(np.cumsum([0, *own[:-1]]).tolist())]
+    upto = lambda found: F.size(F.filter(found, lambda c: c <= F.col("doc_id")))
+    block = F.greatest(upto(F.lit(values[::64])), F.lit(1))
+    at = (block - 1) * 64 + upto(F.slice(F.lit(values), (block - 1) * 64 + 1, F.lit(64))) - 1  # place of the last cut up to the id, -1 if none
+    several = F.get(F.lit(own), at)
+    part = F.least(F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * several), several - 1)
+    inner = F.when((F.col("doc_id") == F.get(F.lit(values), at)) & (several > 0), part).otherwise(several)
+    return F.when(at < 0, 0).otherwise(F.get(F.lit(base), at) + inner).cast("int")
