@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilspark.llm.common import raw, slices, texts_only
+from vigilspark.llm.common import free_name, raw, slices, texts_only
 from vigilspark.llm.shingles import mix
 
 #: Documents of each language that are learned from, in expectation; chosen by a hash of the id.
@@ -145,13 +145,14 @@ def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col
 def tagged(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFrame:
     """docs with lang_pred and score added to each row (replacing columns of these names), in the same pass."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "_text")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
-    out = rows.drop("_text").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0))
+    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    own = free_name("_text", names)
+    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias(own))
+    out = rows.drop(own).withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            found, score = shared.value.decide(batch.column("_text"))
+        for batch in slices(batches, own):
+            found, score = shared.value.decide(batch.column(own))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
 
     return rows.mapInArrow(step, out.schema)

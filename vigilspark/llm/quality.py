@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilspark.llm.common import raw, slices, texts_only
+from vigilspark.llm.common import free_name, raw, slices, texts_only
 from vigilspark.llm.shingles import _tables, mix, word_hashes
 
 #: Labelled rows that are learned from, at most; the first by a hash of the id.
@@ -92,9 +92,11 @@ def features(texts: pa.Array, words: np.ndarray, context: np.ndarray) -> np.ndar
         if len(words):
             at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
             known = words[at] == hashes
-            counts = np.zeros((rows, len(words)), np.float32)
-            np.add.at(counts, (doc[known], at[known]), 1)
-            out.append(counts @ context / each)
+            hits = np.flatnonzero(known)  # sums of the rows' runs of context vectors, so only tokens take memory
+            sums, first = np.zeros((rows, DIM)), np.flatnonzero(np.diff(doc[hits], prepend=-1))
+            if len(hits):
+                sums[doc[hits[first]]] = np.add.reduceat(context[at[hits]], first, axis=0, dtype=np.float64)
+            out.append(sums / each)
         else:
             out.append(np.zeros((rows, DIM)))
         out.append(np.bincount(doc, weights=known, minlength=rows)[:, None] / each)
@@ -141,12 +143,13 @@ class Network:
 
 
 class Model:
-    def __init__(self, words: np.ndarray, context: np.ndarray, network: Network | None):
-        self.words, self.context, self.network = words, context, network
+    def __init__(self, words: np.ndarray, context: np.ndarray, network: Network | None, share: float = 0.5):
+        """Without a network, every score is the share."""
+        self.words, self.context, self.network, self.share = words, context, network, share
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         if self.network is None:
-            return np.full(len(texts), 0.5)
+            return np.full(len(texts), self.share)
         return self.network.scores(features(texts, self.words, self.context))
 
 
@@ -219,6 +222,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         sample.unpersist()
     if not len(rows):
         return Model(words, context, None)
+    kinds = set(rows.column("y").to_pylist())
+    if len(kinds) == 1:
+        return Model(words, context, None, float(kinds.pop()))
     x, y = np.array(rows.column("x").to_pylist()), np.asarray(rows.column("y").combine_chunks()).astype(float)
     order = np.lexsort(x.T)  # rows come in no fixed order
     return Model(words, context.astype(np.float32), Network().fit(x[order], y[order]))
@@ -244,13 +250,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def tagged(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs with score and predicted added to each row (replacing columns of these names), in the same pass."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in docs.columns if c not in ("score", "predicted", "_text")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
-    out = rows.drop("_text").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
+    names = [c for c in docs.columns if c not in ("score", "predicted")]
+    own = free_name("_text", names)
+    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias(own))
+    out = rows.drop(own).withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            s = shared.value.scores(batch.column("_text"))
+        for batch in slices(batches, own):
+            s = shared.value.scores(batch.column(own))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(s), pa.array((s >= threshold).astype(np.int32))], [*names, "score", "predicted"])
 
     return rows.mapInArrow(step, out.schema)
