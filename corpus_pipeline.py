@@ -23,9 +23,13 @@ ORACLE_SQL = None
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is und (no text or no letter). The filters learn from all documents of docs with a language."""
-    filters = language_id.learn(docs)
-    verdict = language_id.UNKNOWN
+    """Drops documents whose language is und (no text or no letter). The filters learn from all documents of docs with a language.
+
+    Where no document has one, nothing can be told apart: then those without a letter go, and all others stay.
+    """
+    filters, verdict = language_id.learn(docs), language_id.UNKNOWN
+    if not filters.names:
+        return docs.filter(F.coalesce("text", F.lit("")).rlike(r"\p{L}")).select(*COLUMNS)
     return language_id.tagged(docs, filters).filter(F.col("lang_pred") != verdict).select(*COLUMNS)
 
 
