@@ -56,3 +56,14 @@ def test_chunks_meet_in_every_fitting_pair(spark):
         for b in rows[150:300]:
             if a[4] != b[4] and min(a[1], b[1]) * 100 >= 75 * max(a[1], b[1]):
                 assert tuple(sorted((sides[a[3]], sides[b[3]]))) in tiles
+
+
+def test_extended_components_equal_components_of_all(spark):
+    from vigilspark.llm.components import components, extended
+
+    rng = np.random.default_rng(9)
+    one, two = ([(int(min(a, b)), int(max(a, b))) for a, b in rng.integers(0, 80, (40, 2)) if a != b] for _ in range(2))
+    links = lambda pairs: spark.createDataFrame(pairs, "x bigint, y bigint")
+    rows = lambda df: sorted((r.node, r.component) for r in df.collect())
+    assert rows(extended(components(links(one)), links(two))) == rows(components(links(one + two)))
+    assert rows(extended(components(links([])), links(two))) == rows(components(links(two)))

@@ -29,3 +29,16 @@ def components(links: DataFrame) -> DataFrame:
         if new.filter("old <> component").isEmpty():
             drop(both)
             return labels
+
+
+def extended(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of found's links and of more links: only the groups that these join take part in new rounds."""
+    label = lambda c: F.coalesce(c, F.col("_own"))
+    ends = links
+    for end in ("x", "y"):
+        known = found.select(F.col("node").alias(end), F.col("component").alias("_c"))
+        ends = ends.join(known, end, "left").withColumn("_own", F.col(end)).withColumn(f"c{end}", label(F.col("_c"))).drop("_c", "_own")
+    joined = components(ends.select(F.col("cx").alias("x"), F.col("cy").alias("y")))
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    old = found.join(moved, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    return written(old.union(joined.join(found, "node", "left_anti").select("node", "component")), "labels")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilspark.llm.common import drop, slices, texts_only, written
-from vigilspark.llm.components import components
+from vigilspark.llm.components import components, extended
 from vigilspark.llm.shingles import mix, sets
 
 PERCENT = 75
@@ -198,7 +198,7 @@ def star_rows(percent: int):
 def tile_rows(percent: int, most: int | None):
     """Over rows sorted by tile (s, i, j): pairs (x, y) of different groups whose sizes, places and bitmaps allow the similarity.
 
-    A tile with more than most such pairs a row tells only each row's likeliest partner, and its s once, with no pair.
+    A tile with more than most such pairs a row tells only the likeliest partner of each row outside its largest group, and its s once, with no pair.
     """
 
     def pairs(rows: list[tuple]) -> tuple[np.ndarray, bool]:
@@ -233,8 +233,12 @@ def tile_rows(percent: int, most: int | None):
         left, right, likely = map(np.concatenate, (left, right, likely))
         more = most is not None and len(left) > most * len(rows)
         if more:
+            # the rows of the tile's largest group need not tell theirs: what is near to them tells it
+            names, times = np.unique(group, return_counts=True)
+            rest = group != names[times.argmax()]
             rank = np.argsort(-likely, kind="stable")
-            rank = np.union1d(rank[np.unique(left[rank], return_index=True)[1]], rank[np.unique(right[rank], return_index=True)[1]])
+            one, two = rank[rest[left[rank]]], rank[rest[right[rank]]]
+            rank = np.union1d(one[np.unique(left[one], return_index=True)[1]], two[np.unique(right[two], return_index=True)[1]])
             left, right = left[rank], right[rank]
         return np.column_stack([np.minimum(node[left], node[right]), np.maximum(node[left], node[right])]), more
 
@@ -428,8 +432,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
         last = [tested]
         grown = not more.isEmpty()
         if grown:
-            links = links.union(more)
-            found = components(links)
+            found = extended(found, more)
         open_tiles = tested.filter("x IS NULL").select("s").distinct()
         if open_tiles.isEmpty():
             break
