@@ -65,3 +65,36 @@ def test_one_row_of_each_group(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     got = [(r.doc_id or 99, r.text) for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()]
     assert sorted(got) == sorted([(3, min(a, b)), (8, ""), (99, c), (99, d)])
+
+
+EDGES = [(1, "one two three four five six", "en"), (1, "one two three four five six", "en"), (None, "alpha beta gamma delta epsilon", None), (None, None, "en"), (2, "", "de"), (3, "12 34 !", None), (4, "a\nb\nc\nd", "de")]
+
+
+def edge_docs(spark, rows=EDGES, lang=True):
+    data = [(i, t, g if lang else None, "s", len(t or ""), "more") for i, t, g in rows]
+    return spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string, n_chars bigint, score string")
+
+
+def test_stages_on_odd_rows(spark):
+    """Null ids and texts, repeated rows, extra columns with names that the operators use."""
+    docs = edge_docs(spark)
+    first = corpus_pipeline.identified(spark, docs, SF)
+    assert first.columns == corpus_pipeline.COLUMNS and sorted(str(r.doc_id) for r in first.collect()) == ["1", "1", "4", "None"]
+    good = corpus_pipeline.good(spark, docs, SF)
+    assert good.columns == corpus_pipeline.COLUMNS and good.count() <= len(EDGES)
+    lines = corpus_pipeline.without_repeats(spark, docs, SF)
+    assert lines.columns == corpus_pipeline.COLUMNS and lines.count() == len(EDGES)
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()) == ["1", "2", "3", "4", "None", "None"]
+    packed = corpus_pipeline.packed(spark, docs, SF).collect()
+    assert sum(r.length for r in packed if r.start == 0) > 0 and len({(r.doc_id, r.start, r.offset, r.sequence_id) for r in packed}) == len(packed) == len(EDGES)
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = edge_docs(spark).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0
+
+
+def test_without_any_language(spark):
+    docs = edge_docs(spark, lang=False)
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.identified(spark, docs, SF).collect()) == ["1", "1", "4", "None"]
