@@ -350,3 +350,15 @@ def test_callbacks(spark, tmp_path):
     listed = spark.createDataFrame([("r", "s", str(k), k) for k in range(4)], "regulation string, source string, document_id string, pos int")
     done = select.process(listed, held, lambda df: df.withColumn("outcome", F.lit("ok")), ["regulation", "source"], "pos", 2).orderBy("pos").collect()
     assert [r.label for r in done] == ["executed", "skipped_known", "executed", "not_reached"] and done[0].stop_reason == "budget_reached"
+
+
+def test_few_files_in_a_folder(spark, tmp_path):
+    rows = spark.range(0, 4000, numPartitions=16).select(
+        F.lit("fda").alias("regulation"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"),
+        F.timestamp_seconds(F.col("id") % 2 * 86400).alias("ts"), F.col("id").alias("event_id"),
+    )
+    tables.append_events(rows, str(tmp_path / "events"))
+    folders = [p for p in (tmp_path / "events").glob("*/*/*") if p.is_dir()]
+    assert len(folders) == 6
+    assert all(len(list(p.glob("*.parquet"))) == 1 for p in folders)
+    assert spark.read.parquet(str(tmp_path / "events")).count() == 4000

@@ -90,23 +90,29 @@ def extra(field: str, kind: str):
     return F.try_variant_get("extras", f"$.{field}", kind)
 
 
+def by_folder(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of one folder together, so that a write leaves few files in it and not one for each task. Spark splits a hot folder."""
+    return rows.hint("rebalance", *keys)
+
+
 def write_state(state: DataFrame, root: str) -> None:
     """Replaces the current state of the namespaces in state and leaves the others."""
-    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("regulation", "source").parquet(root)
+    by_folder(state, "regulation", "source").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("regulation", "source").parquet(root)
 
 
 def append_events(events: DataFrame, root: str) -> None:
     """Adds events, by namespace and day."""
-    events.withColumn("day", F.to_date("ts")).write.mode("append").partitionBy("regulation", "source", "day").parquet(root)
+    dated = events.withColumn("day", F.to_date("ts"))
+    by_folder(dated, "regulation", "source", "day").write.mode("append").partitionBy("regulation", "source", "day").parquet(root)
 
 
 def write_log(log: DataFrame, root: str, session: str = "session_id") -> None:
-    log.write.mode("append").partitionBy(session).json(root)
+    by_folder(log, session).write.mode("append").partitionBy(session).json(root)
 
 
 def append_versions(archived: DataFrame, root: str) -> None:
     """Adds replaced versions: their archive path and, where the frame has them, their bytes."""
-    archived.write.mode("append").partitionBy("regulation", "source").parquet(root)
+    by_folder(archived, "regulation", "source").write.mode("append").partitionBy("regulation", "source").parquet(root)
 
 
 def write_estimates(estimates: DataFrame, root: str) -> None:
@@ -115,4 +121,4 @@ def write_estimates(estimates: DataFrame, root: str) -> None:
 
 
 def append_runs(runs: DataFrame, root: str) -> None:
-    runs.write.mode("append").partitionBy("regulation", "source").parquet(root)
+    by_folder(runs, "regulation", "source").write.mode("append").partitionBy("regulation", "source").parquet(root)
