@@ -153,9 +153,9 @@ def test_ranges_grow_and_split_hot_ids(spark):
     rows = [(i, h) for i in (1, 5, 9, fingerprints.NONE) for h in (-(1 << 62), -3, 0, 1 << 62)]
     df = spark.createDataFrame(rows, "doc_id bigint, h bigint")
     for cuts in ([], [5], [1, 5, 5, 5, 9], [5] * 3 + [fingerprints.NONE] * 4, list(range(0, 2000, 2))):
-        found = [r[0] for r in df.orderBy("doc_id", "h").select(fingerprints.range_of(cuts)).collect()]
+        found = [r[0] for r in fingerprints.with_range(df, cuts).orderBy("doc_id", "h").select("r").collect()]
         assert found == sorted(found)
-    assert len({r[0] for r in df.filter("doc_id = 5").select(fingerprints.range_of([1, 5, 5, 5, 9])).collect()}) == 3
+    assert len({r[0] for r in fingerprints.with_range(df.filter("doc_id = 5"), [1, 5, 5, 5, 9]).select("r").collect()}) == 3
 
 
 def test_repeated_and_null_ids_are_neighbours(spark):

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilspark.llm.common import slices, texts_only
@@ -23,6 +23,10 @@ BINS, BITS = 512, 4
 #: Ranges of ids that are dealt out, at most; one row for each comes to the driver.
 MAX_RANGES = 4096
 NONE = (1 << 63) - 1
+#: What is mixed into a value that another bin lends.
+OWN = mix(np.arange(BINS, dtype=np.uint64) + np.uint64(1 << 40))
+#: Lookups of one step in search of filled bins, about, and attempts a bin in it, at most.
+SOME, MAX_TRIES = 1 << 14, 256
 FIELDS = "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -40,7 +44,7 @@ def sketches(texts: pa.Array) -> np.ndarray:
 
     def copied(row: np.ndarray, at: np.ndarray, bin_: np.ndarray) -> np.ndarray:
         found = value[np.searchsorted(held, row * BINS + at)]
-        return (mix(found ^ mix(bin_.astype(np.uint64) + np.uint64(1 << 40))) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+        return (mix(found ^ OWN[bin_]) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 
     filled, out = filled.reshape(-1, BINS), out.reshape(-1, BINS)
     one = filled.sum(1) == 1
@@ -49,10 +53,12 @@ def sketches(texts: pa.Array) -> np.ndarray:
     row, bin_ = np.nonzero(~filled & (filled.sum(1) > 1)[:, None])
     attempt = 0
     while len(row):
-        at = (mix(bin_.astype(np.uint64) + np.uint64((attempt + 1) << 20)) % np.uint64(BINS)).astype(np.int64)
-        hit = filled[row, at]
-        out[row[hit], bin_[hit]] = copied(row[hit], at[hit], bin_[hit])
-        row, bin_, attempt = row[~hit], bin_[~hit], attempt + 1
+        tries = np.arange(attempt + 1, attempt + 1 + min(MAX_TRIES, max(1, SOME // len(row))), dtype=np.uint64)  # many at once for the last few
+        at = (mix(bin_.astype(np.uint64)[:, None] + (tries << np.uint64(20))) % np.uint64(BINS)).astype(np.int64)
+        good = filled[row[:, None], at]
+        hit, first = good.any(1), good.argmax(1)
+        out[row[hit], bin_[hit]] = copied(row[hit], at[hit, first[hit]], bin_[hit])
+        row, bin_, attempt = row[~hit], bin_[~hit], attempt + len(tries)
     return out
 
 
@@ -126,7 +132,7 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = texts_only(docs, id_col, text_col).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NONE)))
     n = min(MAX_RANGES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], F.lit(20 * n)).alias("q")).first()["q"] or []
-    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("r", range_of(sorted(map(int, cuts))))
+    rows = with_range(rows.withColumn("h", F.xxhash64("text")), sorted(map(int, cuts)))
     heads = sorted((r["r"], r["first"]["doc_id"], r["first"]["h"]) for r in rows.groupBy("r").agg(F.min(F.struct("doc_id", "h")).alias("first")).collect())  # one row for each range
     before = {(i, h): heads[k - 1][0] for k, (_, i, h) in enumerate(heads)}
     copies = F.array(F.struct(F.col("r").alias("r"), F.lit(0).alias("role")))
@@ -139,17 +145,21 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NONE)))
 
 
-def range_of(cuts: list[int]) -> Column:
-    """The number of the range of doc_id and h, growing with both. A cut that comes m > 1 times has m ranges of its own."""
+def with_range(rows: DataFrame, cuts: list[int]) -> DataFrame:
+    """rows and r, the number of the range of doc_id and h, growing with both. A cut that comes m > 1 times has m ranges of its own."""
     if not cuts:
-        return F.lit(0)
+        return rows.withColumn("r", F.lit(0))
     values, times = (a.tolist() for a in np.unique(np.array(cuts, np.int64), return_counts=True))
     own = [m if m > 1 else 0 for m in times]
     base = [1 + k + b for k, b in enumerate(np.cumsum([0, *own[:-1]]).tolist())]
     upto = lambda found: F.size(F.filter(found, lambda c: c <= F.col("doc_id")))
-    block = F.greatest(upto(F.lit(values[::64])), F.lit(1))
-    at = (block - 1) * 64 + upto(F.slice(F.lit(values), (block - 1) * 64 + 1, F.lit(64))) - 1  # place of the last cut up to the id, -1 if none
-    several = F.get(F.lit(own), at)
+    at, several = F.col("at"), F.col("several")
     part = F.least(F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * several), several - 1)
-    inner = F.when((F.col("doc_id") == F.get(F.lit(values), at)) & (several > 0), part).otherwise(several)
-    return F.when(at < 0, 0).otherwise(F.get(F.lit(base), at) + inner).cast("int")
+    inner = F.when((several > 0) & (F.col("doc_id") == F.get(F.lit(values), at)), part).otherwise(several)
+    return (  # in steps, so that no search is made twice for a row
+        rows.withColumn("block", 64 * F.greatest(upto(F.lit(values[::64])) - 1, F.lit(0)))
+        .withColumn("at", F.col("block") + upto(F.slice(F.lit(values), F.col("block") + 1, F.lit(64))) - 1)  # place of the last cut up to the id, -1 if none
+        .withColumn("several", F.get(F.lit(own), at))
+        .withColumn("r", F.when(at < 0, 0).otherwise(F.get(F.lit(base), at) + inner).cast("int"))
+        .drop("block", "at", "several")
+    )
