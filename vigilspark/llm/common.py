@@ -59,6 +59,12 @@ def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def partitions_for(df: DataFrame, each: int = 32 << 20) -> int:
+    """How many partitions a shuffle of df's rows takes: one for so many bytes of input by the plan's statistics, and one a core at least."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(size // each, 100_000))
+
+
 def texts_only(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """The columns that an operator needs, under its own names, so that other columns can't clash. Null text: empty."""
     return df.select(

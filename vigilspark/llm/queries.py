@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilspark.llm import bpe, exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, packing, quality, token_counts, url_filters
+from vigilspark.llm import bpe, conversations, exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, packing, quality, token_counts, url_filters
 from vigilspark.llm.common import read
 
 
@@ -73,5 +73,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, filters).select("doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard, op8_fingerprints, op9_quality, op10_language_id)}
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(read(spark, sf_dir, "conversations")), "copies")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard, op8_fingerprints, op9_quality, op10_language_id, op11_conversations)}
 SQL = {"op2_line_dedup": line_dedup.SQL, "op3_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL}
