@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilspark.llm import bpe, conversations, exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, packing, quality, token_counts, url_filters
+from vigilspark.llm import bpe, conversations, exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, packing, pii, quality, token_counts, url_filters
 from vigilspark.llm.common import read
 
 
@@ -77,5 +77,9 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(read(spark, sf_dir, "conversations")), "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard, op8_fingerprints, op9_quality, op10_language_id, op11_conversations)}
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard, op8_fingerprints, op9_quality, op10_language_id, op11_conversations, op12_pii)}
 SQL = {"op2_line_dedup": line_dedup.SQL, "op3_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL}
