@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilspark.llm import bpe, conversations, exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, packing, pii, quality, token_counts, url_filters
+from vigilspark.llm import bpe, conversations, exact_dedup, fingerprints, hard_negatives, jaccard_join, language_id, line_dedup, packing, pii, quality, token_counts, url_filters
 from vigilspark.llm.common import read
 
 
@@ -81,5 +81,11 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard, op8_fingerprints, op9_quality, op10_language_id, op11_conversations, op12_pii)}
-SQL = {"op2_line_dedup": line_dedup.SQL, "op3_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_line_dedup, op3_exact_dedup, op4_token_counts, op5_packing, op6_url_filters, op7_ngram_jaccard, op8_fingerprints, op9_quality, op10_language_id, op11_conversations, op12_pii, op13_hard_negatives)}
+SQL = {"op2_line_dedup": line_dedup.SQL, "op3_exact_dedup": exact_dedup.SQL, "op6_url_filters": url_filters.SQL, "op13_hard_negatives": hard_negatives.SQL}
