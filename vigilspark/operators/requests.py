@@ -45,41 +45,42 @@ def expected_wait(attempt: Column, retry_after: Column | None = None) -> Column:
     return F.when(asked.isNotNull(), F.least(F.lit(MAX_WAIT), asked)).otherwise(backoff)
 
 
-def _carried(df: DataFrame, by: list[str], bucket: str, last: dict[str, Column]) -> DataFrame:
-    """Adds to each row what the earlier buckets of its group leave: last's aggregates over each bucket, one row a bucket, of the bucket before (_prev)."""
-    each = df.groupBy(*by, bucket).agg(F.struct(*(c.alias(n) for n, c in last.items())).alias("_own"))
-    return each.withColumn("_prev", F.lag("_own").over(Window.partitionBy(*by).orderBy(bucket))).drop("_own")
+def spanned(df: DataFrame, by: list[str], span: Column) -> DataFrame:
+    """Adds _k, a row's group (g) and its span (s) as one key. It is a struct, in which nulls equal nulls, so no row is lost when spans meet again by it."""
+    return df.withColumn("_k", F.struct(F.struct(*(F.col(c) for c in by)).alias("g"), span.alias("s")))
 
 
 def gaps(log: DataFrame, by: list[str], name: str = "gap_s") -> DataFrame:
     """Adds the seconds since the row before of the same group.
 
     Rows meet by group and day, so a busy group is many tasks; a day's first row takes its predecessor from the
-    day before, of which one row is kept.
+    day before, of which one row is kept. A null in by is a group like any other. Rows without a time stay, have no
+    gap and are nobody's predecessor.
     """
-    days = log.withColumn("_day", F.to_date("ts"))
-    before = _carried(days, by, "_day", {"ts": F.max("ts")}).select(*by, "_day", F.col("_prev.ts").alias("_before"))
-    inner = F.lag("ts").over(Window.partitionBy(*by, "_day").orderBy("ts", "event_id"))
-    return days.withColumn("_lag", inner).join(before, [*by, "_day"]).withColumn(name, seconds_between(F.coalesce("_lag", "_before"), F.col("ts"))).drop("_day", "_lag", "_before")
+    days = spanned(log, by, F.to_date("ts"))
+    each = days.groupBy("_k").agg(F.max("ts").alias("_last"))
+    before = each.select("_k", F.lag("_last").over(Window.partitionBy("_k.g").orderBy("_k.s")).alias("_before"))
+    inner = F.lag("ts").over(Window.partitionBy("_k").orderBy("ts", "event_id"))
+    return days.withColumn("_lag", inner).join(before, "_k").withColumn(name, seconds_between(F.coalesce("_lag", "_before"), F.col("ts"))).drop("_k", "_lag", "_before")
 
 
 def slots(log: DataFrame, at: str, interval: float, by: str = "origin", bucket: float | None = None) -> DataFrame:
     """Adds slot: start_k = max(t_k, start_(k-1) + interval) per host, as the running max of t - k * interval, plus k * interval.
 
     Rows meet by host and a span of time (bucket, in units of at; 2000 intervals if not given); the counts and
-    maxima of a host's spans, one row each, carry on from one to the next.
+    maxima of a host's spans, one row each, carry on from one to the next. A null host is a host like any other;
+    rows without a time get no slot and take none.
     """
-    span = bucket or 2000 * interval
-    cut = log.withColumn("_b", F.floor(F.col(at) / span))
-    order = Window.partitionBy(by, "_b").orderBy(at, "event_id")
-    cut = cut.withColumn("_k", F.row_number().over(order).cast("bigint")).withColumn("_lead", F.col(at) - F.col("_k") * interval)
-    each = cut.groupBy(by, "_b").agg(F.count("*").alias("_n"), F.max("_lead").alias("_most"))
-    earlier = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    each = each.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumn("_reach", F.max(F.col("_most") - F.col("_base") * interval).over(earlier))
+    cut = spanned(log, [by], F.floor(F.col(at) / (bucket or 2000 * interval)))
+    order = Window.partitionBy("_k").orderBy(at, "event_id")
+    cut = cut.withColumn("_n", F.row_number().over(order).cast("bigint")).withColumn("_lead", F.col(at) - F.col("_n") * interval)
+    each = cut.groupBy("_k").agg(F.count(at).alias("_rows"), F.max("_lead").alias("_most"))
+    earlier = Window.partitionBy("_k.g").orderBy("_k.s").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("_base", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).withColumn("_reach", F.max(F.col("_most") - F.col("_base") * interval).over(earlier))
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    cut = cut.withColumn("_run", F.max("_lead").over(upto)).join(each.select(by, "_b", "_base", "_reach"), [by, "_b"])
-    slot = F.greatest(F.col("_run") - F.col("_base") * interval, F.col("_reach")) + (F.col("_base") + F.col("_k")) * interval
-    return cut.withColumn("slot", slot).drop("_b", "_k", "_lead", "_run", "_base", "_reach")
+    cut = cut.withColumn("_run", F.max("_lead").over(upto)).join(each.select("_k", "_base", "_reach"), "_k")
+    slot = F.greatest(F.col("_run") - F.col("_base") * interval, F.col("_reach")) + (F.col("_base") + F.col("_n")) * interval
+    return cut.withColumn("slot", F.when(F.col(at).isNotNull(), slot)).drop("_k", "_n", "_lead", "_run", "_base", "_reach")
 
 
 def last_policy(observations: DataFrame, mode: str = "store", bucket: Column | None = None) -> DataFrame:
@@ -89,7 +90,8 @@ def last_policy(observations: DataFrame, mode: str = "store", bucket: Column | N
     restrictions). A load with restrictions is remembered; one without keeps what is remembered but applies
     nothing now. absent applies nothing; under store it keeps what is remembered, under clear it forgets.
     blocked and disallow_all apply the remembered one. bucket: an expression that does not fall as ts grows;
-    with it rows meet by origin and bucket, and one row a bucket carries the memory on.
+    with it rows meet by origin and bucket, and one row a bucket carries the memory on. A null origin is an
+    origin like any other. An observation without a time is not remembered, and remembers nothing.
     """
     if mode not in ("store", "clear"):
         raise ValueError("mode is store or clear")
@@ -97,12 +99,14 @@ def last_policy(observations: DataFrame, mode: str = "store", bucket: Column | N
     told = F.when((F.col("state") == "loaded") & F.col("policy").isNotNull(), F.struct(F.col("policy").alias("p")))
     if mode == "clear":
         told = F.coalesce(told, F.when(F.col("state") == "absent", F.struct(F.lit(None).cast(kind).alias("p"))))
-    rows = observations.withColumn("_b", F.lit(0) if bucket is None else bucket).withColumn("_told", told)
-    order = Window.partitionBy("origin", "_b").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    timed = F.col("ts").isNotNull()
+    span = F.when(timed, F.lit(0) if bucket is None else bucket)
+    rows = spanned(observations, ["origin"], span).withColumn("_told", F.when(timed, told))
+    order = Window.partitionBy("_k").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_known", F.last("_told", ignorenulls=True).over(order))
-    each = rows.groupBy("origin", "_b").agg(F.max_by("_told", F.when(F.col("_told").isNotNull(), F.col("ts"))).alias("_last"))
-    earlier = Window.partitionBy("origin").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    each = each.withColumn("_before", F.last("_last", ignorenulls=True).over(earlier)).select("origin", "_b", "_before")
+    each = rows.groupBy("_k").agg(F.max_by("_told", F.when(F.col("_told").isNotNull(), F.col("ts"))).alias("_last"))
+    earlier = Window.partitionBy("_k.g").orderBy("_k.s").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.select("_k", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
     remembered = F.coalesce("_known", "_before")["p"]
     force = F.when(F.col("state") == "loaded", F.col("policy")).when(F.col("state").isin("blocked", "disallow_all"), remembered)
-    return rows.join(each, ["origin", "_b"]).withColumn("policy_in_force", force).drop("_b", "_told", "_known", "_before")
+    return rows.join(each, "_k").withColumn("policy_in_force", force).drop("_k", "_told", "_known", "_before")

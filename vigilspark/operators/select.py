@@ -89,63 +89,82 @@ def remaining(total: Column, known: Column) -> Column:
     return F.when(total.isNotNull() & known.isNotNull(), F.greatest(F.lit(0).cast("bigint"), total - known))
 
 
-def run_cut(candidates: DataFrame, run: list[str], order: str, budget: int | None) -> DataFrame:
+def group_key(*columns: str) -> Column:
+    """Columns as one key: a struct, in which nulls equal nulls."""
+    return F.struct(*(F.col(c) for c in columns))
+
+
+def run_cut(candidates: DataFrame, run: list[str], order: str, budget: int | None, minutes: float | None = None, began: str = "began", ended: str | None = None) -> DataFrame:
     """Labels ordered candidates of each run: executed, skipped_known or not_reached; adds the run's stop_reason.
 
-    candidates: known (boolean) and outcome (ok, error, hard_stop, bot_block). A run stops on the saved document
-    that fills the budget, on a stop outcome, or before the first unknown candidate when the budget is 0.
-    Only ok outcomes use budget. What ends a run is found as the least place of a stop and as the place of the
-    budget's last document; both leave one row a run (of a budget's candidates, at most the budget's first rows
-    leave a task), which is joined back, so no run has to fit in one task.
+    candidates: known (boolean) and outcome (ok, error, hard_stop, bot_block); with minutes also began (when each
+    one's turn comes) and, if named, ended (when it is saved). A run stops at the first of: a stop outcome; the saved
+    document that fills the budget; an unknown candidate whose turn comes when the run's first time is minutes
+    old; a document saved so late; the first unknown candidate, if the budget is 0. Only ok outcomes use budget. Each
+    candidate is of one kind of stop, of which the first of a run counts (of saved ones the last within the budget),
+    so at most that many rows of a kind leave a task; the least is joined back, and no run has to fit in one task.
+    A null in run is a run like any other. Times that are null are never late.
     """
-    tried = candidates.filter(~F.col("known"))
-    at, why = F.col(order).alias("at"), F.col("outcome").alias("why")
-    stops = tried.filter(F.col("outcome").isin("hard_stop", "bot_block")).select(*run, at, why)
-    if budget == 0:
-        stops = tried.select(*run, at, F.lit("budget_reached").alias("why"))
-    elif budget is not None:
-        place = F.row_number().over(Window.partitionBy(*run).orderBy(order))
-        saved = tried.filter(F.col("outcome") == "ok").select(*run, order, place.alias("_n")).filter(F.col("_n") <= budget)
-        stops = stops.unionByName(saved.filter(F.col("_n") == budget).select(*run, at, F.lit("budget_reached").alias("why")))
-    cut = stops.groupBy(*run).agg(F.min(F.struct("at", "why")).alias("cut"))
-    both = candidates.join(cut, run, "left")
-    end = F.col("cut.at")
-    beyond = F.col(order) >= end if budget == 0 else F.col(order) > end
-    label = F.when(end.isNotNull() & beyond, "not_reached").when(F.col("known"), "skipped_known").otherwise("executed")
-    return both.withColumn("label", label).withColumn("stop_reason", F.coalesce("cut.why", F.lit("completed"))).drop("cut")
-
-
-def process(candidates: DataFrame, state: DataFrame, fetch: Callable[[DataFrame], DataFrame], run: list[str], order: str, budget: int | None = None) -> DataFrame:
-    """A run over candidates with a callback: fetch adds outcome to those not held, and run_cut tells how far the run gets."""
+    rows = candidates.withColumn("_run", group_key(*run))
+    late = timely = F.lit(False)
+    if minutes is not None:
+        start = rows.groupBy("_run").agg(F.min(began).alias("_start"))
+        rows = rows.join(start, "_run")
+        late, timely = (F.coalesce(_old(F.col("_start"), F.col(c), minutes), F.lit(False)) if c else F.lit(False) for c in (began, ended))
+    saved = F.col("outcome") == "ok"
+    kind = F.when(F.lit(budget == 0), "none").when(late, "late").when(F.col("outcome").isin("hard_stop", "bot_block"), "stop").when(saved & timely, "slow").when(F.lit(budget is not None) & saved, "saved")
+    tried = rows.filter(~F.col("known")).select("_run", F.col(order).alias("at"), "outcome", kind.alias("kind")).filter("kind IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("_run", "kind").orderBy("at"))
+    tried = tried.withColumn("_n", place).filter(F.col("_n") <= max(budget or 1, 1))
+    tried = tried.filter(F.col("_n") == F.when(F.col("kind") == "saved", budget or 1).otherwise(1))
+    why = F.when(F.col("kind") == "stop", F.col("outcome")).otherwise("budget_reached")
+    cut = tried.groupBy("_run").agg(F.min(F.struct("at", (~F.col("kind").isin("none", "late")).alias("done"), why.alias("why"))).alias("cut"))
+    both = rows.join(cut, "_run", "left")
+    beyond = (F.col(order) > F.col("cut.at")) | ((F.col(order) == F.col("cut.at")) & ~F.col("cut.done"))
+    label = F.when(F.col("cut").isNotNull() & beyond, "not_reached").when(F.col("known"), "skipped_known").otherwise("executed")
+    return both.withColumn("label", label).withColumn("stop_reason", F.coalesce("cut.why", F.lit("completed"))).drop("cut", "_run", "_start")
+
+
+def process(
+    candidates: DataFrame, state: DataFrame, fetch: Callable[[DataFrame], DataFrame], run: list[str], order: str, budget: int | None = None,
+    minutes: float | None = None, began: str = "began", ended: str | None = None,
+) -> DataFrame:
+    """A run over candidates with a callback: fetch adds outcome (and times, with minutes) to those not held, and run_cut tells how far the run gets. Times are null for those held."""
     held = state.select(*KEY).distinct().withColumn("_held", F.lit(True))
     both = candidates.join(held, KEY, "left").withColumn("known", F.col("_held").isNotNull()).drop("_held")
     tried = both.filter(~F.col("known")).transform(fetch)
     kept = both.filter("known").withColumn("outcome", F.lit(None).cast("string"))
-    return run_cut(tried.unionByName(kept), run, order, budget)
+    return run_cut(tried.unionByName(kept, allowMissingColumns=True), run, order, budget, minutes, began, ended)
+
+
+def _old(start: Column, at: Column, minutes: float) -> Column:
+    return F.timestamp_diff("MICROSECOND", start, at) >= int(minutes * 60_000_000)
 
 
-def time_cut(df: DataFrame, run: list[str], order: str, ts: str, minutes: float) -> DataFrame:
-    """Adds reached: whether a row starts before the run's first row is minutes old."""
-    start = df.groupBy(*run).agg(F.min(ts).alias("_start"))
-    return df.join(start, run).withColumn("reached", F.timestamp_diff("MICROSECOND", F.col("_start"), F.col(ts)) < int(minutes * 60_000_000)).drop("_start")
+def time_cut(df: DataFrame, run: list[str], ts: str, minutes: float) -> DataFrame:
+    """Adds reached: whether a row starts before the run's first row is minutes old. Null for rows without a time; a null in run is a run like any other."""
+    keyed = df.withColumn("_run", group_key(*run))
+    start = keyed.groupBy("_run").agg(F.min(ts).alias("_start"))
+    return keyed.join(start, "_run").withColumn("reached", ~_old(F.col("_start"), F.col(ts), minutes)).drop("_run", "_start")
 
 
 def numbered(df: DataFrame, by: list[str], step: str, order: list[Column], name: str) -> DataFrame:
-    """Adds each row's number, from 0, within its group in the order of step (descending) and then order.
+    """Adds each row's number, from 0, within its group in the order of step (descending, nulls last) and then order.
 
     Rows are numbered within each value of step; the counts of these, one row each, give the numbers before it.
     """
-    steps = df.groupBy(*by, step).agg(F.count("*").alias("_rows"))
-    before = F.sum("_rows").over(Window.partitionBy(*by).orderBy(F.desc(step)).rowsBetween(Window.unboundedPreceding, -1))
-    steps = steps.select(*by, step, F.coalesce(before, F.lit(0)).alias("_before"))
-    inner = F.row_number().over(Window.partitionBy(*by, step).orderBy(*order)) - 1
-    return df.withColumn("_inner", inner).join(steps, [*by, step]).withColumn(name, F.col("_before") + F.col("_inner")).drop("_inner", "_before")
+    keyed = df.withColumn("_k", F.struct(group_key(*by).alias("g"), F.col(step).alias("s")))
+    before = F.sum("_rows").over(Window.partitionBy("_k.g").orderBy(F.desc("_k.s")).rowsBetween(Window.unboundedPreceding, -1))
+    steps = keyed.groupBy("_k").agg(F.count("*").alias("_rows")).select("_k", F.coalesce(before, F.lit(0)).alias("_before"))
+    inner = F.row_number().over(Window.partitionBy("_k").orderBy(*order)) - 1
+    return keyed.withColumn("_inner", inner).join(steps, "_k").withColumn(name, F.col("_before") + F.col("_inner")).drop("_k", "_inner", "_before")
 
 
 def until_empty(pages: DataFrame, by: list[str], page: str, rows: str) -> DataFrame:
-    """Pages before the first one without rows (an empty or missing page ends a listing)."""
-    first = pages.filter(F.coalesce(F.col(rows), F.lit(0)) == 0).groupBy(*by).agg(F.min(page).alias("_first"))
-    return pages.join(first, by, "left").filter(F.col("_first").isNull() | (F.col(page) < F.col("_first"))).drop("_first")
+    """Pages before the first one without rows (an empty or missing page ends a listing). A null in by is a listing like any other; of an ended one, a page without a number is left out."""
+    keyed = pages.withColumn("_k", group_key(*by))
+    first = keyed.filter(F.coalesce(F.col(rows), F.lit(0)) == 0).groupBy("_k").agg(F.min(page).alias("_first"))
+    return keyed.join(first, "_k", "left").filter(F.col("_first").isNull() | (F.col(page) < F.col("_first"))).drop("_k", "_first")
 
 
 def first_place_last_value(df: DataFrame, key: list[str], pos: str, values: list[str]) -> DataFrame:
@@ -221,15 +240,15 @@ def unnest_pages(pages: DataFrame, by: list[str], page: str, body: str, record:
     """The records of a paged listing: by, page, at (place in the page) and the record's fields.
 
     body: an envelope {"results": [...]}; the first page that is empty or missing (null, as after a 404) ends a
-    listing. record: the schema of one result. max_records: where each listing ends at the latest; pages, one row
-    each, are numbered for it, not records.
+    listing. record: the schema of one result. max_records: where each listing ends at the latest. Pages are read
+    twice: once for their sizes, one row a page, whose running sums tell each page's end and what it has left; and once
+    for the records. Numbers of pages are distinct in a listing; a page without one is left out.
     """
-    parsed = pages.withColumn("_r", F.from_json(body, f"results array<struct<{record}>>")["results"])
-    parsed = parsed.withColumn("_n", F.greatest(F.coalesce(F.size("_r"), F.lit(0)), F.lit(0)))
-    whole = until_empty(parsed, by, page, "_n")
-    if max_records is not None:
-        upto = F.sum("_n").over(Window.partitionBy(*by).orderBy(page).rowsBetween(Window.unboundedPreceding, -1))
-        left = F.lit(max_records) - F.coalesce(upto, F.lit(0))
-        sizes = whole.select(*by, page, "_n").withColumn("_left", left).filter("_left > 0").select(*by, page, "_left")
-        whole = whole.join(sizes, [*by, page]).withColumn("_r", F.slice("_r", 1, F.col("_left").cast("int")))
-    return whole.select(*by, page, F.posexplode("_r").alias("at", "r")).select(*by, page, "at", "r.*")
+    keyed = pages.filter(F.col(page).isNotNull()).withColumn("_k", group_key(*by, page)).withColumn("_r", F.from_json(body, f"results array<struct<{record}>>")["results"])
+    upto = Window.partitionBy(*by).orderBy(page).rowsBetween(Window.unboundedPreceding, 0)
+    sizes = keyed.select("_k", *by, page, F.greatest(F.coalesce(F.size("_r"), F.lit(0)), F.lit(0)).alias("_n"))
+    sizes = sizes.withColumn("_ended", F.max(F.col("_n") == 0).over(upto)).withColumn("_left", F.lit(max_records) - F.sum("_n").over(upto) + F.col("_n"))
+    kept = sizes.filter(~F.col("_ended")).filter(F.lit(True) if max_records is None else F.col("_left") > 0).select("_k", "_left")
+    whole = keyed.join(kept, "_k")
+    records = F.col("_r") if max_records is None else F.slice("_r", F.lit(1), F.col("_left").cast("int"))
+    return whole.select(*by, page, F.posexplode(records).alias("at", "r")).select(*by, page, "at", "r.*")

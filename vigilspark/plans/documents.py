@@ -22,6 +22,9 @@ _TITLE = {"A": "concat('Document ', doc_id)", "B": "concat('Document ', doc_id,
 _FILE = {"A": "CASE WHEN doc_id % 3 = 0 THEN concat(doc_id, '.txt') END", "B": "CASE WHEN doc_id % 2 = 0 THEN concat(doc_id, '-b.txt') END", "C": "CAST(NULL AS {s})"}
 
 
+# every fifth document's run is unknown; a turn comes every three seconds, and some have no time
+_RUN = "CASE WHEN doc_id % 5 <> 0 THEN concat(lang, ':', source) END"
+_BEGAN = "CASE WHEN doc_id % 41 <> 0 THEN {}'2024-02-10 00:00:00' + {} END"
 _OUTCOME = "CASE WHEN pos % 29 = 0 THEN 'hard_stop' WHEN pos % 11 = 0 THEN 'error' ELSE 'ok' END"
 
 
@@ -49,8 +52,8 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in order, with the outcome that fetching each would have."""
     return read(spark, sf_dir, "documents").select(
         F.col("lang").alias("regulation"), "source", F.col("doc_id").cast("string").alias("document_id"), F.col("doc_id").alias("pos"),
-        F.expr(_OUTCOME.replace("pos", "doc_id")).alias("outcome"),
-    )
+        F.expr(_OUTCOME.replace("pos", "doc_id")).alias("outcome"), F.expr(_RUN).alias("run"), F.expr(_BEGAN.format("TIMESTAMP_NTZ", "make_dt_interval(0, 0, 0, doc_id * 3)")).alias("began"),
+    )
 
 
 def _cte(name: str) -> str:
@@ -62,7 +65,7 @@ def _cte(name: str) -> str:
 
 
 A, B, C = map(_cte, "ABC")
-CAND = "cand AS (SELECT lang AS regulation, source, CAST(doc_id AS VARCHAR) AS document_id, doc_id AS pos, CASE WHEN doc_id % 29 = 0 THEN 'hard_stop' WHEN doc_id % 11 = 0 THEN 'error' ELSE 'ok' END AS outcome FROM documents)"
+CAND = "cand AS (SELECT lang AS regulation, source, CAST(doc_id AS VARCHAR) AS document_id, doc_id AS pos, CASE WHEN doc_id % 29 = 0 THEN 'hard_stop' WHEN doc_id % 11 = 0 THEN 'error' ELSE 'ok' END AS outcome, " + _RUN + " AS run, " + _BEGAN.format("TIMESTAMP", "to_seconds(doc_id * 3)") + " AS began FROM documents)"
 ON = "USING (regulation, source, document_id)"
 
 
@@ -170,16 +173,16 @@ def snk_04_archive_bytes(spark, sf):
     return back.select("archive_path", F.sha2("content", 256).alias("content_hash"), F.octet_length("content").cast("bigint").alias("size_bytes"))
 
 
-@query(f"WITH {CAND}, {A} SELECT cand.* FROM cand ANTI JOIN A {ON}")
+@query(f"WITH {CAND}, {A} SELECT cand.* EXCLUDE (run, began) FROM cand ANTI JOIN A {ON}")
 def join_01_not_held(spark, sf):
-    return select.missing(candidates(spark, sf), state(spark, sf))
+    return select.missing(candidates(spark, sf), state(spark, sf)).drop("run", "began")
 
 
 # times of the last check as ISO text: some missing, some malformed, some with only a time of the last scrape
 CHECKED = """chk AS (SELECT A.*, ts + INTERVAL (pos % 40) DAY + INTERVAL (pos % 5) HOUR AS t FROM A)"""
 
 
-@query(f"""WITH {CAND}, {A}, {CHECKED} SELECT cand.* FROM cand LEFT JOIN chk {ON} WHERE chk.pos IS NULL OR chk.pos % 17 IN (0, 2)
+@query(f"""WITH {CAND}, {A}, {CHECKED} SELECT cand.* EXCLUDE (run, began) FROM cand LEFT JOIN chk {ON} WHERE chk.pos IS NULL OR chk.pos % 17 IN (0, 2)
 OR floor(epoch_us(TIMESTAMP '2024-02-10 02:00:00' - CASE WHEN chk.pos % 17 = 1 THEN t - INTERVAL 3 DAY WHEN chk.pos % 17 = 3 THEN t + INTERVAL 5 HOUR ELSE t END) / 86400000000) >= 7""")
 def join_02_due(spark, sf):
     at = F.expr("ts + make_dt_interval(CAST(pos % 40 AS INT), CAST(pos % 5 AS INT))")
@@ -188,7 +191,7 @@ def join_02_due(spark, sf):
     checked = F.when(F.col("pos") % 17 < 2, None).when(F.col("pos") % 17 == 2, "soon").otherwise(F.concat(iso(at), zone))
     scraped = F.when(F.col("pos") % 17 == 1, F.concat(iso(at - F.expr("INTERVAL 3 DAYS")), F.lit("+00:00")))
     held = snapshot(spark, sf, "A").select(*KEY, checked.alias("last_checked_at"), scraped.alias("last_scraped_at"))
-    return select.due(candidates(spark, sf), held, F.expr("TIMESTAMP_NTZ'2024-02-10 02:00:00'"), 7)
+    return select.due(candidates(spark, sf), held, F.expr("TIMESTAMP_NTZ'2024-02-10 02:00:00'"), 7).drop("run", "began")
 
 
 @query(f"WITH {CAND}, {A} SELECT cand.regulation, cand.source, count(*) AS already_known FROM cand SEMI JOIN A {ON} GROUP BY ALL")
@@ -203,22 +206,26 @@ def agg_07_estimate(spark, sf):
     return found.withColumn("total_available", total).withColumn("remaining", select.remaining(F.col("total_available"), F.col("already_known")))
 
 
-def _cut_sql(budget: int | None) -> str:
+def _cut_sql(budget: int | None, run: str = "run", minutes: int | None = None) -> str:
     stop = "CASE WHEN NOT known AND outcome = 'hard_stop' THEN 'hard_stop' "
-    stop += "" if budget is None else f"WHEN NOT known AND outcome = 'ok' AND sum(CASE WHEN NOT known AND outcome = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY regulation, source ORDER BY pos) >= {budget} THEN 'budget_reached' "
+    stop += "" if budget is None else f"WHEN NOT known AND outcome = 'ok' AND sum(CASE WHEN NOT known AND outcome = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY {run} ORDER BY pos) >= {budget} THEN 'budget_reached' "
     beyond = "pos > cut_pos"
+    if minutes:
+        stop = stop.replace("CASE ", "CASE WHEN NOT known AND late THEN 'budget_reached' ", 1)
+        beyond = "(pos > cut_pos OR (pos = cut_pos AND late))"
+    late = f"coalesce(began - min(began) OVER (PARTITION BY {run}) >= INTERVAL {minutes or 0} MINUTE, false)"
     if budget == 0:
         stop, beyond = "CASE WHEN NOT known THEN 'budget_reached' ", "pos >= cut_pos"
     return f"""{CAND}, {A}, k AS (SELECT cand.*, A.pos IS NOT NULL AND cand.pos % 3 <> 0 AS known FROM cand LEFT JOIN A {ON}),
-s AS (SELECT *, {stop} END AS stop FROM k), cut AS (SELECT *, min(CASE WHEN stop IS NOT NULL THEN pos END) OVER (PARTITION BY regulation, source) AS cut_pos FROM s),
+s AS (SELECT *, {stop} END AS stop FROM (SELECT *, {late} AS late FROM k)), cut AS (SELECT *, min(CASE WHEN stop IS NOT NULL THEN pos END) OVER (PARTITION BY {run}) AS cut_pos FROM s),
 lab AS (SELECT cut.*, CASE WHEN cut_pos IS NOT NULL AND {beyond} THEN 'not_reached' WHEN known THEN 'skipped_known' ELSE 'executed' END AS label,
-coalesce(max(CASE WHEN pos = cut_pos THEN stop END) OVER (PARTITION BY regulation, source), 'completed') AS stop_reason FROM cut)"""
+coalesce(max(CASE WHEN pos = cut_pos THEN stop END) OVER (PARTITION BY {run}), 'completed') AS stop_reason FROM cut)"""
 
 
-def cut(spark, sf, budget):
+def cut(spark, sf, budget, run=("run",), **more):
     held = state(spark, sf).select(*KEY).withColumn("held", F.lit(True))
     marked = candidates(spark, sf).join(held, KEY, "left").withColumn("known", F.col("held").isNotNull() & (F.col("pos") % 3 != 0)).drop("held")
-    return select.run_cut(marked, ["regulation", "source"], "pos", budget)
+    return select.run_cut(marked, list(run), "pos", budget, **more)
 
 
 @query(f"WITH {_cut_sql(5)} SELECT regulation, source, document_id, label, stop_reason FROM lab")
@@ -236,12 +243,18 @@ def win_01_run_cut_unlimited(spark, sf):
     return cut(spark, sf, None).select(*KEY, "label", "stop_reason")
 
 
-@query(f"WITH {_cut_sql(5)} SELECT regulation, source, any_value(stop_reason) AS stop_reason, count(*) FILTER (WHERE label = 'skipped_known') AS skipped_already_known, count(*) FILTER (WHERE label = 'executed') AS executed FROM lab GROUP BY ALL")
+@query(f"WITH {_cut_sql(5, minutes=4)} SELECT regulation, source, document_id, label, stop_reason FROM lab")
+def win_02_both_budgets(spark, sf):
+    """A budget of documents and one of minutes: whichever ends a run first."""
+    return cut(spark, sf, 5, minutes=4).select(*KEY, "label", "stop_reason")
+
+
+@query(f"WITH {_cut_sql(5, 'regulation, source')} SELECT regulation, source, any_value(stop_reason) AS stop_reason, count(*) FILTER (WHERE label = 'skipped_known') AS skipped_already_known, count(*) FILTER (WHERE label = 'executed') AS executed FROM lab GROUP BY ALL")
 def agg_13_skip_counts(spark, sf):
-    return cut(spark, sf, 5).groupBy("regulation", "source").agg(F.first("stop_reason").alias("stop_reason"), F.count_if(F.col("label") == "skipped_known").alias("skipped_already_known"), F.count_if(F.col("label") == "executed").alias("executed"))
+    return cut(spark, sf, 5, ("regulation", "source")).groupBy("regulation", "source").agg(F.first("stop_reason").alias("stop_reason"), F.count_if(F.col("label") == "skipped_known").alias("skipped_already_known"), F.count_if(F.col("label") == "executed").alias("executed"))
 
 
-@query(f"""{'WITH ' + _cut_sql(5).replace('AND cand.pos % 3 <> 0 ', '')} SELECT regulation, source, document_id, label, stop_reason FROM lab""")
+@query(f"""{'WITH ' + _cut_sql(5, 'regulation, source').replace('AND cand.pos % 3 <> 0 ', '')} SELECT regulation, source, document_id, label, stop_reason FROM lab""")
 def udf_02_callback(spark, sf):
     """A run whose outcomes come from a callback over the candidates that are not held."""
     listed = candidates(spark, sf).drop("outcome")

@@ -9,8 +9,9 @@ from vigilspark.functions import columns as fn
 from vigilspark.operators import changes, select
 from vigilspark.plans import specs
 from vigilspark.plans.registry import query, read
+from vigilspark.sources import tables
 
-PAGE_ROWS, MAX_PAGES, MAX_RECORDS = 100, 25, 5000
+PAGE_ROWS, MAX_PAGES, MAX_RECORDS = 100, 25, 500
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,10 +36,10 @@ def paged(spark, sf) -> DataFrame:
     return rows.withColumn("page", F.floor(F.col("number") / PAGE_ROWS)).drop("number")
 
 
-def with_ends(pages: DataFrame) -> DataFrame:
-    """Adds last: the page at which a listing is empty."""
-    last = pages.groupBy("listing").agg(F.when(F.col("listing") % 2 == 0, F.floor((F.max("page") + 1) * 4 / 5)).alias("last"))
-    return pages.join(last, "listing")
+def ends(rows: DataFrame) -> DataFrame:
+    """listing and last: the page at which a listing of these records is empty; null where it has no such page."""
+    pages = F.ceil(F.count("*") / PAGE_ROWS)
+    return rows.groupBy("listing").agg(F.when(F.col("listing") % 2 == 0, F.floor(pages * 4 / 5)).alias("last"))
 
 
 @query(f"WITH {DEC} SELECT record_id, strftime(decision_date, '%Y-%m-%d') AS day FROM dec, (SELECT max(decision_date) AS today FROM dec) WHERE decision_date BETWEEN today - INTERVAL 30 DAY AND today")
@@ -216,7 +217,7 @@ def agg_08_preview(spark, sf):
 
 @query(f"WITH {NUMBERS} SELECT listing, CAST(page AS BIGINT) AS page, n AS rows FROM pn JOIN ends USING (listing) WHERE last IS NULL OR page < last")
 def win_03_until_empty(spark, sf):
-    counts = with_ends(paged(spark, sf).groupBy("listing", "page").agg(F.count("*").alias("n")))
+    counts = paged(spark, sf).groupBy("listing", "page").agg(F.count("*").alias("n")).join(ends(decisions(spark, sf)), "listing")
     rows = counts.select("listing", "page", F.when(F.col("page") == F.col("last"), 0).otherwise(F.col("n")).alias("rows"))
     return select.until_empty(rows, ["listing"], "page", "rows")
 
@@ -233,15 +234,17 @@ def win_08_pages_touched(spark, sf):
 
 
 def envelopes(spark, sf) -> DataFrame:
-    """Pages as JSON envelopes of at most 100 records; the page that ends a listing is empty, or missing in years that three divides."""
+    """A listing's pages, as stored: JSON envelopes of at most 100 records; the page that ends a listing is empty, or missing in years that three divides."""
     row = F.array_sort(F.collect_list(F.struct("at", "record_id", "priority")))
     rows = select.numbered(decisions(spark, sf), ["listing"], "decision_date", [F.col("record_id")], "number")
     rows = rows.withColumn("page", F.floor(F.col("number") / PAGE_ROWS)).withColumn("at", F.col("number") % PAGE_ROWS)
-    pages = with_ends(rows.groupBy("listing", "page").agg(row.alias("results")))
+    pages = rows.groupBy("listing", "page").agg(row.alias("results")).join(ends(decisions(spark, sf)), "listing")
     last = F.coalesce(F.col("page") == F.col("last"), F.lit(False))
     results = F.when(last, F.array()).otherwise(F.transform("results", lambda r: F.struct(r["record_id"].alias("record_id"), r["priority"].alias("priority"))))
     body = F.when(~(last & (F.col("listing") % 3 == 0)), F.to_json(F.struct(results.alias("results"))))
-    return pages.select("listing", "page", body.alias("body"))
+    root = tables.scratch(spark, "listing")
+    pages.select("listing", "page", body.alias("body")).write.parquet(root)
+    return spark.read.parquet(root)
 
 
 @query(f"WITH {NUMBERS} SELECT listing, record_id, priority FROM pg JOIN ends USING (listing) WHERE last IS NULL OR page < last")

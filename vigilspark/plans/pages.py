@@ -289,23 +289,28 @@ def ext_13_robots_state(spark, sf):
     return robots(spark, sf).select("page_id", "state")
 
 
-def _force(mode: str) -> str:
+# every 50th observation's origin and every 53rd one's time are unknown
+_ODD = "(SELECT * REPLACE (CASE WHEN page_id % 50 <> 0 THEN origin END AS origin), page_id % 53 = 0 AS timeless FROM st)"
+
+
+def _force(mode: str, rows: str = "(SELECT *, false AS timeless FROM st)") -> str:
     told = "CASE WHEN state = 'loaded' AND (min_interval IS NOT NULL OR zone IS NOT NULL) THEN page_id" + (" WHEN state = 'absent' THEN -1" if mode == "clear" else "") + " END"
-    return f"""t AS (SELECT *, last_value({told} IGNORE NULLS) OVER (PARTITION BY origin ORDER BY page_id ROWS UNBOUNDED PRECEDING) AS known FROM st),
-pf AS (SELECT *, CASE WHEN state = 'loaded' AND (min_interval IS NOT NULL OR zone IS NOT NULL) THEN page_id WHEN state IN ('blocked', 'disallow_all') AND known >= 0 THEN known END AS policy_of FROM t)"""
+    return f"""t AS (SELECT *, last_value({told} IGNORE NULLS) OVER (PARTITION BY origin, timeless ORDER BY page_id ROWS UNBOUNDED PRECEDING) AS known FROM {rows}),
+pf AS (SELECT *, CASE WHEN state = 'loaded' AND (min_interval IS NOT NULL OR zone IS NOT NULL) THEN page_id WHEN state IN ('blocked', 'disallow_all') AND NOT timeless AND known >= 0 THEN known END AS policy_of FROM t)"""
 
 
 def _in_force(spark, sf, mode):
     seen = robots(spark, sf).withColumn("policy", F.when(policy.restricts(F.col("policy")), F.col("page_id").cast("string")))
+    seen = seen.withColumns({"origin": F.when(F.col("page_id") % 50 != 0, F.col("origin")), "ts": F.when(F.col("page_id") % 53 != 0, F.col("ts"))})
     return requests.last_policy(seen, mode, F.floor(F.col("ts") / 50)).select("page_id", F.col("policy_in_force").cast("bigint").alias("policy_of"))
 
 
-@query(f"WITH {ROBOTS}, {_force('store')} SELECT page_id, policy_of FROM pf")
+@query(f"WITH {ROBOTS}, {_force('store', _ODD)} SELECT page_id, policy_of FROM pf")
 def win_15_last_policy_store(spark, sf):
     return _in_force(spark, sf, "store")
 
 
-@query(f"WITH {ROBOTS}, {_force('clear')} SELECT page_id, policy_of FROM pf")
+@query(f"WITH {ROBOTS}, {_force('clear', _ODD)} SELECT page_id, policy_of FROM pf")
 def win_15_last_policy_clear(spark, sf):
     return _in_force(spark, sf, "clear")
 
