@@ -47,9 +47,9 @@ def empty_state(captures: DataFrame) -> DataFrame:
     return captures.select(*KEY).limit(0).select(*KEY, *(F.lit(None).cast(t).alias(c) for c, t in STATE.items()))
 
 
-def _own(captures: DataFrame, name: str, kind: str, alias: str = "") -> Column:
+def _own(captures: DataFrame, name: str, kind: str) -> Column:
     """A column that captures may lack."""
-    return F.col(f"{alias}{name}") if name in captures.columns else F.lit(None).cast(kind)
+    return F.col(name) if name in captures.columns else F.lit(None).cast(kind)
 
 
 def classify(captures: DataFrame, state: DataFrame) -> DataFrame:
@@ -64,29 +64,48 @@ def no_metadata() -> Column:
 
 
 def merge(captures: DataFrame, state: DataFrame) -> DataFrame:
-    """The state after a batch of hashed captures, one per document. An unchanged capture touches only last_checked_at and a missing file name."""
-    old, new = state.alias("o"), captures.alias("n")
-    both = old.join(new, KEY, "full_outer")
-    seen = F.col("n.content_hash").isNotNull()
-    changed = seen & ~F.col("n.content_hash").eqNullSafe(F.col("o.current_hash"))
-    version = F.array(F.struct(F.col("n.ts").cast("timestamp_ntz").alias("ts"), F.col("n.content_hash").alias("hash"), F.col("n.size_bytes").alias("size_bytes")))
+    """The state after a batch of hashed captures. An unchanged capture touches only last_checked_at and a missing file name.
+
+    Several captures of one document count one after the other, by time and hash: each that differs from the one
+    before is a version, and the last of these is current. Only versions and one row a document are gathered. A
+    capture without content does not count. state has one row a document. Both sides are shuffled by KEY at most once; a side that lies in buckets of KEY is not.
+    """
+    taken = F.struct(
+        "ts", "content_hash", "size_bytes", "title", "url", "ext", "filename", _own(captures, "content_type", "string").alias("content_type"),
+        F.coalesce(_own(captures, "source_metadata", "map<string,string>"), no_metadata()).alias("source_metadata"),
+    )
+    before = F.lag("content_hash").over(Window.partitionBy(*KEY).orderBy("ts", "content_hash"))
+    by_time = lambda a, b: F.when(a["ts"] < b["ts"], -1).when(a["ts"] > b["ts"], 1).when(a["content_hash"] < b["content_hash"], -1).otherwise(1)
+    rows = captures.filter("content_hash IS NOT NULL").withColumn("_before", before).withColumn("_version", F.when(~F.col("_before").eqNullSafe(F.col("content_hash")), taken))
+    batch = rows.groupBy(*KEY).agg(
+        F.array_sort(F.collect_list("_version"), by_time).alias("_all"), F.min("ts").alias("_first"), F.max("ts").alias("_last"),
+        F.min_by("filename", F.when(F.col("filename").isNotNull(), F.struct("ts", "content_hash"))).alias("_named"),
+    )
+    both = state.alias("o").join(batch.alias("n"), KEY, "full_outer")
+    # the first of the batch is no version if it is what is held
+    same = F.get("_all", F.lit(0))["content_hash"].eqNullSafe(F.col("o.current_hash"))
+    both = both.withColumn("_new", F.when(same, F.slice("_all", F.lit(2), F.greatest(F.size("_all") - 1, F.lit(0)))).otherwise(F.coalesce("_all", F.array().cast(rows.select(F.array("_version")).schema[0].dataType))))
+    names = F.filter(F.transform("_new", lambda v: v["filename"]), lambda f: f.isNotNull())
+    v, changed, now = F.element_at("_new", F.when(F.size("_new") > 0, -1)), F.size("_new") > 0, F.col("_last").cast("timestamp_ntz")
     take = lambda a, b: F.when(changed, a).otherwise(b)
-    now = F.col("n.ts").cast("timestamp_ntz")
+    when = v["ts"].cast("timestamp_ntz")
+    versions = F.transform("_new", lambda x: F.struct(x["ts"].cast("timestamp_ntz").alias("ts"), x["content_hash"].alias("hash"), x["size_bytes"].alias("size_bytes")))
+    path = F.concat_ws("/", "regulation", "source", F.lit("documents"), "document_id", F.concat(F.lit("current."), v["ext"]))
     return both.select(
         *KEY,
-        take(F.col("n.title"), F.col("o.title")).alias("title"),
-        take(F.coalesce("n.filename", "o.original_filename"), F.coalesce("o.original_filename", "n.filename")).alias("original_filename"),
-        take(F.col("n.url"), F.col("o.canonical_url")).alias("canonical_url"),
-        F.coalesce(F.col("o.first_seen_at"), now).alias("first_seen_at"),
-        take(now, F.col("o.last_scraped_at")).alias("last_scraped_at"),
-        F.when(seen, now).otherwise(F.col("o.last_checked_at")).alias("last_checked_at"),
-        take(now, F.col("o.last_changed_at")).alias("last_changed_at"),
-        take(F.col("n.content_hash"), F.col("o.current_hash")).alias("current_hash"),
-        take(current_path(F.col("n.ext")), F.col("o.current_storage_path")).alias("current_storage_path"),
-        take(F.col("n.size_bytes"), F.col("o.size_bytes")).alias("size_bytes"),
-        take(_own(captures, "content_type", "string", "n."), F.col("o.content_type")).alias("content_type"),
-        take(F.coalesce(_own(captures, "source_metadata", "map<string,string>", "n."), no_metadata()), F.col("o.source_metadata")).alias("source_metadata"),
-        take(F.concat(F.coalesce("o.version_history", F.array().cast(f"array<{VERSION}>")), version), F.col("o.version_history")).alias("version_history"),
+        take(v["title"], F.col("o.title")).alias("title"),
+        F.coalesce(F.get(names, F.size(names) - 1), "o.original_filename", "_named").alias("original_filename"),
+        take(v["url"], F.col("o.canonical_url")).alias("canonical_url"),
+        F.coalesce(F.col("o.first_seen_at"), F.col("_first").cast("timestamp_ntz")).alias("first_seen_at"),
+        take(when, F.col("o.last_scraped_at")).alias("last_scraped_at"),
+        F.coalesce(now, F.col("o.last_checked_at")).alias("last_checked_at"),
+        take(when, F.col("o.last_changed_at")).alias("last_changed_at"),
+        take(v["content_hash"], F.col("o.current_hash")).alias("current_hash"),
+        take(path, F.col("o.current_storage_path")).alias("current_storage_path"),
+        take(v["size_bytes"], F.col("o.size_bytes")).alias("size_bytes"),
+        take(v["content_type"], F.col("o.content_type")).alias("content_type"),
+        take(v["source_metadata"], F.col("o.source_metadata")).alias("source_metadata"),
+        take(F.concat(F.coalesce("o.version_history", F.array().cast(f"array<{VERSION}>")), versions), F.col("o.version_history")).alias("version_history"),
     )
 
 

@@ -172,6 +172,11 @@ def first_place_last_value(df: DataFrame, key: list[str], pos: str, values: list
     return df.groupBy(*key).agg(F.min(pos).alias(pos), F.max_by(F.struct(*values), F.col(pos)).alias("_v")).select(*key, pos, *(F.col(f"_v.{v}").alias(v) for v in values))
 
 
+def first_of_key(df: DataFrame, key: list[str], pos: str, values: list[str]) -> DataFrame:
+    """One row per key: its first row by position."""
+    return df.groupBy(*key).agg(F.min(pos).alias(pos), F.min_by(F.struct(*values), F.col(pos)).alias("_v")).select(*key, pos, *(F.col(f"_v.{v}").alias(v) for v in values))
+
+
 def latest(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("_n = 1").drop("_n")
 

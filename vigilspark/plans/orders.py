@@ -146,9 +146,10 @@ _CLEARANCE = """c AS (SELECT o_orderkey AS pos, CASE WHEN o_orderkey % 13 <> 0 T
 o_orderstatus <> 'O' AS s FROM orders), r AS (SELECT *, coalesce(k, d) AS id FROM c)"""
 
 
-@query(f"""WITH {_CLEARANCE} SELECT pos * 2 AS pos, id || '/metadata' AS document_id, d AS title, 'json' AS ext, NULL AS reason FROM r
+@query(f"""WITH {_CLEARANCE}, a AS (SELECT pos * 2 AS pos, id || '/metadata' AS document_id, d AS title, 'json' AS ext, NULL AS reason FROM r
 UNION ALL SELECT pos * 2 + 1, id || '/summary', '510(k) Summary — ' || d, 'pdf', NULL FROM r WHERE s AND k IS NOT NULL
-UNION ALL SELECT pos * 2 + 1, id || '/summary', '510(k) Summary — not applicable (' || id || ')', 'json', 'statement_or_summary != ''Summary''' FROM r WHERE NOT s""")
+UNION ALL SELECT pos * 2 + 1, id || '/summary', '510(k) Summary — not applicable (' || id || ')', 'json', 'statement_or_summary != ''Summary''' FROM r WHERE NOT s)
+SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY pos) = 1""")
 def udf_01_source_chain(spark, sf):
     """A source's whole chain, from records to candidates."""
     none = F.lit(None).cast("string")

@@ -29,15 +29,20 @@ FIELDS = ["regulation", "source", "document_id", "pos", "title", "url", "ext", "
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """read: from the source's raw frame to rows of document_id, pos, title, url, ext, content_type, source_metadata, content."""
+    """read: from the source's raw frame to rows of document_id, pos, title, url, ext, content_type, source_metadata, content.
+
+    keep: whose values an id has that comes twice. A source that works through its records one by one saves the
+    first and skips the others as held; one that first lists all its links under their ids has the last.
+    """
 
     regulation: str
     name: str
     read: Callable[[DataFrame], DataFrame]
+    keep: str = "first"
 
     def candidates(self, raw: DataFrame) -> DataFrame:
-        """Candidates in order of pos; of an id that comes twice, the first place and the last values. Rows without an id are left out."""
-        rows = self.read(raw).filter("document_id IS NOT NULL AND document_id <> ''")
+        """Candidates in order of pos, one row an id: at its first place, with the values of its first or last row (keep). Rows without an id are left out."""
+        rows = once(self.read(raw).filter("document_id IS NOT NULL AND document_id <> ''"), self.keep)
         return rows.select(F.lit(self.regulation).alias("regulation"), F.lit(self.name).alias("source"), *FIELDS[2:])
 
 
@@ -49,11 +54,11 @@ def register(spec: SourceSpec) -> SourceSpec:
     return spec
 
 
-def source(regulation: str, name: str):
+def source(regulation: str, name: str, keep: str = "first"):
     """Registers a function as a source's chain."""
 
     def add(read: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-        register(SourceSpec(regulation, name, read))
+        register(SourceSpec(regulation, name, read, keep))
         return read
 
     return add
@@ -77,8 +82,9 @@ def rows_of(df: DataFrame, document_id: Column, title: Column, url: Column, ext:
     )
 
 
-def once(rows: DataFrame) -> DataFrame:
-    return select.first_place_last_value(rows, ["document_id"], "pos", [c for c in FIELDS[2:] if c not in ("document_id", "pos")])
+def once(rows: DataFrame, keep: str) -> DataFrame:
+    values = [c for c in FIELDS[2:] if c not in ("document_id", "pos")]
+    return (select.first_of_key if keep == "first" else select.first_place_last_value)(rows, ["document_id"], "pos", values)
 
 
 def inline(df: DataFrame) -> Column:
@@ -140,7 +146,7 @@ _act("mdr", "32017R0745", "Regulation (EU) 2017/745 (MDR) — consolidated text"
 _act("ivdr", "32017R0746", "Regulation (EU) 2017/746 (IVDR) — consolidated text")
 
 
-@source("fda", "guidance")
+@source("fda", "guidance", keep="last")
 def _fda_guidance(raw: DataFrame) -> DataFrame:
     """raw: the dataset's records, with pos. Records of medical devices whose title is a link with a text."""
     kept = select.contains(raw, "field_regulated_product_field", "Medical Devices").withColumn("_a", extract.anchor(F.col("title"))).filter("_a.href <> '' AND _a.text <> ''")
@@ -151,7 +157,7 @@ def _fda_guidance(raw: DataFrame) -> DataFrame:
         docket_number=F.col("_docket"), open_for_comment=fn.blank_to_null(F.trim(F.col("`open-comment`"))),
     )
     href = F.col("_a.href")
-    return once(rows_of(kept, fn.last_segment(href), F.col("_a.text"), fn.absolute_url(href, F.lit(FDA)), "html", "text/html", meta, pos=F.col("pos")))
+    return rows_of(kept, fn.last_segment(href), F.col("_a.text"), fn.absolute_url(href, F.lit(FDA)), "html", "text/html", meta, pos=F.col("pos"))
 
 
 def _fanned(records: DataFrame, number: Column, second: str, title: Column, url: Column, meta: Column, file: Column, file_title: Column, file_meta: Column, missing: Column, missing_title: Column, missing_url: Column, reason: str) -> DataFrame:
@@ -258,13 +264,13 @@ def _letters(raw: DataFrame) -> DataFrame:
     return rows_of(rows, F.col("document_id"), F.col("title"), fn.absolute_url(F.col("href"), F.lit(FDA)), "html", "text/html", meta, pos=pos)
 
 
-@source("eu", "mdcg_guidance")
+@source("eu", "mdcg_guidance", keep="last")
 def _mdcg(raw: DataFrame) -> DataFrame:
     """raw: page_id and html of the listing."""
     rows = extract.classed_rows(extract.read_tables(raw), EU).withColumn("document_id", fn.uuid_or_hash(F.col("url"))).withColumn("ext", fn.extension(F.col("url")))
     title = fn.first_of(F.col("title"), F.col("reference"), F.col("document_id"))
     pos = F.col("table_no").cast("bigint") * 1_000_000 + F.col("row_no")
-    return once(rows_of(rows, F.col("document_id"), title, F.col("url"), F.col("ext"), fn.content_type(F.col("ext")), plucked("reference", "category", "publication"), pos=pos))
+    return rows_of(rows, F.col("document_id"), title, F.col("url"), F.col("ext"), fn.content_type(F.col("ext")), plucked("reference", "category", "publication"), pos=pos)
 
 
 #: Metadata keys of a licence.
@@ -281,7 +287,7 @@ def _mdall(raw: DataFrame) -> DataFrame:
     return rows_of(raw, number, F.col("licence_name"), url, "json", "application/json", plucked(*LICENCE), inline(raw), F.col("pos"))
 
 
-@source("ca", "recalls")
+@source("ca", "recalls", keep="last")
 def _ca_recalls(raw: DataFrame) -> DataFrame:
     """raw: records of the dataset, with pos; those of medical devices with an id."""
     kept = raw.filter((F.col("Organization") == "Medical devices") & F.col("NID").isNotNull())
@@ -290,15 +296,15 @@ def _ca_recalls(raw: DataFrame) -> DataFrame:
         last_updated=F.col("`Last updated`"), archived=F.col("Archived"),
     )
     url = fn.first_of(F.col("URL"), last=RECALL_DATA)
-    return once(rows_of(kept, F.col("NID").cast("string"), F.col("Title"), url, "json", "application/json", meta, inline(kept), F.col("pos")))
+    return rows_of(kept, F.col("NID").cast("string"), F.col("Title"), url, "json", "application/json", meta, inline(kept), F.col("pos"))
 
 
-@source("ca", "guidance")
+@source("ca", "guidance", keep="last")
 def _ca_guidance(raw: DataFrame) -> DataFrame:
     """raw: page_id and html of the listing. Links of the main region that lead to a document, not to a whole site."""
     links = extract.region_links(raw, attribute=("property", "mainContentOfPage")).filter("href <> '' AND text <> ''")
     rows = links.withColumn("url", fn.absolute_url(F.col("href"), F.lit(CANADA))).filter(~select.bare_root(F.col("url")))
-    return once(rows_of(rows, fn.slug_or_hash(F.col("url")), F.col("text"), F.col("url"), "html", "text/html", metadata(link_text=F.col("text")), pos=F.col("pos")))
+    return rows_of(rows, fn.slug_or_hash(F.col("url")), F.col("text"), F.col("url"), "html", "text/html", metadata(link_text=F.col("text")), pos=F.col("pos"))
 
 
 def file_errors(records: DataFrame, number: Column, second: str, wanted: Column | None = None) -> DataFrame:

@@ -65,6 +65,27 @@ def src_05_lenient(spark, sf):
     return both.groupBy("run_id", "event", "corrupt").agg(F.count("*").alias("records"))
 
 
+_BROKEN = "CASE event_id % 40 WHEN 0 THEN 'unparsable' WHEN 1 THEN 'undecodable' END"
+
+
+@query(f"""WITH {EVT}, k AS (SELECT *, {_BROKEN} AS reason FROM evt) SELECT reason, CASE WHEN reason IS NULL THEN run_id END AS run_id, CASE WHEN reason IS NULL AND event_id % 40 = 2 THEN 'soon' END AS mistyped,
+count(*) AS records, count(CASE WHEN reason IS NULL AND event_id % 40 > 2 THEN 1 END) AS statuses FROM k GROUP BY ALL
+UNION ALL SELECT 'empty', NULL, NULL, 1, 0""")
+def src_05_bytes(spark, sf):
+    """Files of records of which some are cut off, some are no UTF-8, and some have a field of another type; and a file of no bytes."""
+    root, rows = tables.scratch(spark, "bytes"), events.fetch_events(spark, sf).withColumn("k", F.col("event_id") % 40)
+    status = F.when(F.col("k") == 2, F.lit('"soon"')).otherwise(F.lit("200"))
+    line = F.concat(F.lit('{"run_id":"'), "run_id", F.lit('","http_status":'), status, F.lit("}"))
+    broken = F.when(F.col("k") == 0, F.substring(line, 1, 12).cast("binary")).when(F.col("k") == 1, F.concat(F.unhex(F.lit("C328")), line.cast("binary"))).otherwise(line.cast("binary"))
+    rows.select(broken.cast("string").alias("value")).write.text(root)
+    rows.select("run_id").filter("false").write.mode("append").text(root)
+    read = tables.read_json(spark, root, tables.EVENT, "*.txt", multiline=False)
+    good, bad = tables.lenient(read, mistyped=True)
+    none = F.lit(None).cast("string")
+    told = good.select(none.alias("reason"), "run_id", F.col("mistyped")["http_status"].alias("mistyped"), F.col("http_status")).unionByName(bad.select("reason", none.alias("run_id"), none.alias("mistyped"), F.lit(None).cast("int").alias("http_status")))
+    return told.groupBy("reason", "run_id", "mistyped").agg(F.count("*").alias("records"), F.count("http_status").alias("statuses"))
+
+
 @query("SELECT lang AS regulation, CAST(sum(strlen(text) + 1) AS BIGINT) AS size_bytes, true AS whole FROM documents GROUP BY lang")
 def src_06_raw_bytes(spark, sf):
     """The texts written as raw files, by language, and read back as bytes with path and size."""
@@ -155,6 +176,22 @@ def str_01_ingest(spark, sf):
     return streaming.run_to_end(stream, out, checkpoint).select("event_id", "run_id", "event")  # a second run adds nothing
 
 
+@query(f"WITH {EVT} SELECT run_id, event, event_id % 50 = 0 AS corrupt, count(*) AS records FROM (SELECT CASE WHEN event_id % 50 <> 0 THEN run_id END AS run_id, CASE WHEN event_id % 50 <> 0 THEN event END AS event, event_id FROM evt) GROUP BY ALL")
+def str_01_event_files(spark, sf):
+    """The dated tree of event files, of which every 50th record is cut off, as a stream: it comes in two parts, and a third call finds nothing new."""
+    root, good, bad, checkpoint = (tables.scratch(spark, f"event-files-{n}") for n in ("in", "good", "bad", "checkpoint"))
+    rows = events.fetch_events(spark, sf).withColumn("day", F.to_date("ts"))
+    line = F.to_json(F.struct("run_id", "event", "document_id", "error"))
+    lines = rows.select("event_id", "day", F.when(F.col("event_id") % 50 == 0, F.substring(line, 1, 12)).otherwise(line).alias("value"))
+    for part in (0, 1, None):
+        if part is not None:
+            lines.filter(F.col("event_id") % 2 == part).select("day", "value").write.mode("append").partitionBy("day").text(root)
+        read = streaming.ingest_json(spark, root, tables.EVENT, good, bad, checkpoint, "*.txt", multiline=False, files_per_batch=100)
+    none = F.lit(None).cast("string")
+    both = read[0].select("run_id", "event", F.lit(False).alias("corrupt")).unionByName(read[1].select(none.alias("run_id"), none.alias("event"), F.lit(True).alias("corrupt")))
+    return both.groupBy("run_id", "event", "corrupt").agg(F.count("*").alias("records"))
+
+
 @query(f"WITH {EVT} SELECT run_id, event, count(*) AS n FROM evt GROUP BY ALL")
 def str_02_live_counters(spark, sf):
     """Events arrive in two parts; the counts go on behind each."""
@@ -179,15 +216,26 @@ def udf_03_event_callback(spark, sf):
 def str_03_streaming_changes(spark, sf):
     """Snapshots A, B and C arrive one after the other; the stream goes on to its end behind each."""
     root, out, checkpoint = tables.scratch(spark, "captures"), tables.scratch(spark, "changes"), tables.scratch(spark, "changes-checkpoint")
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", streaming.ROCKSDB)
-    try:
+    with streaming.rocksdb(spark):
         for name in "ABC":
             rows = _timed(documents.snapshot(spark, sf, name)).select(*KEY, "ts", "content_hash")
             rows.write.mode("append").parquet(root)
             told = streaming.run_to_end(streaming.changes(streaming.source(spark, root, rows.schema)), out, checkpoint)
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return told.select(*KEY, F.date_format("ts", "yyyy-MM-dd").alias("day"), "event")
+
+
+@query(f"WITH {A}, {B}, {C}, {ALL} SELECT regulation, source, document_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN b IS NULL THEN 'new' WHEN b = content_hash THEN 'unchanged' ELSE 'updated' END AS event FROM (SELECT *, lag(content_hash) OVER (PARTITION BY regulation, source, document_id ORDER BY ts) AS b FROM al) WHERE ts > TIMESTAMP '{documents.TIMES['A']}'")
+def str_03_from_held_state(spark, sf):
+    """A stream that takes over from the state after A. Half of B comes later than half of C, and is judged before it all the same; a capture of a later day closes the rest."""
+    root, out, checkpoint = tables.scratch(spark, "late-captures"), tables.scratch(spark, "late-changes"), tables.scratch(spark, "late-checkpoint")
+    held = documents.state(spark, sf).select(*KEY, "current_hash")
+    b, c = (_timed(documents.snapshot(spark, sf, n)) for n in "BC")
+    odd = lambda df, k: df.filter(F.col("pos") % 2 == k).select(*KEY, "ts", "content_hash")
+    end = spark.range(1).select(*(F.lit("end").alias(k) for k in KEY), F.lit("2024-06-01").cast("timestamp").alias("ts"), F.lit("").alias("content_hash"))
+    with streaming.rocksdb(spark):
+        for rows in (odd(b, 0).unionByName(odd(c, 1)), odd(b, 1).unionByName(odd(c, 0)), end):
+            rows.write.mode("append").parquet(root)
+            told = streaming.run_to_end(streaming.changes(streaming.source(spark, root, rows.schema), held, "30 days"), out, checkpoint)
     return told.select(*KEY, F.date_format("ts", "yyyy-MM-dd").alias("day"), "event")
 
 

@@ -38,17 +38,45 @@ def manifest(root: str, kind: str = "") -> str:
     return f"{root.rstrip('/')}/*/*/_manifest/{kind}".rstrip("/")
 
 
-def read_json(spark: SparkSession, root: str, schema: str, glob: str = "*.json", multiline: bool = True) -> DataFrame:
-    """A tree of JSON files: one record a file, or one a line. Records that do not parse keep their text in _corrupt."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=multiline)
+def judged(texts: DataFrame, schema: str) -> DataFrame:
+    """Records of texts (value, path): the schema's fields, mistyped, path, reason and _corrupt.
+
+    reason: null for a record, else why the text is none: empty, undecodable (no UTF-8; the text is then kept as
+    base64), or unparsable. A field of another type than the schema's does not spoil its record: it is null there,
+    and mistyped has its text.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return files.select(F.from_json("value", f"{schema}, {CORRUPT} string", options).alias("r"), F.col("_metadata.file_path").alias("path")).select("r.*", "path")
+    raw = F.col("value")
+    rows = texts.withColumn("_ok", F.is_valid_utf8(raw)).withColumn("_v", F.when(F.col("_ok"), F.try_parse_json(raw)))
+    reason = F.when(F.trim(F.coalesce(raw, F.lit(""))) == "", "empty").when(~F.col("_ok"), "undecodable").when(F.col("_v").isNull() | ~F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")), "unparsable")
+    rows = rows.withColumn("reason", reason).withColumn("r", F.from_json(F.when(F.col("reason").isNull(), raw), f"{schema}, {CORRUPT} string", options))
+    fields = [f.name for f in rows.schema["r"].dataType.fields if f.name != CORRUPT]
+    odd = lambda n: F.when(F.col(f"r.{n}").isNull(), F.get_json_object("value", f"$.{n}"))
+    pairs = F.filter(F.array(*(F.struct(F.lit(n).alias("key"), odd(n).alias("value")) for n in fields)), lambda p: p["value"].isNotNull())
+    mistyped = F.when(F.col(f"r.{CORRUPT}").isNotNull(), F.map_from_entries(pairs))
+    kept = F.when(F.col("reason") == "undecodable", F.base64(raw.cast("binary"))).when(F.col("reason").isNotNull(), raw)
+    return rows.select(*(F.col(f"r.{n}") for n in fields), mistyped.alias("mistyped"), "path", "reason", kept.alias(CORRUPT))
+
+
+def empty_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """path of each file without bytes. Spark's scans pass over these, so they are what the listing has and no scan gives; only paths, which the driver lists for a scan anyway, come to it."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    place = F.regexp_replace(F.coalesce(F.try_url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "path"), "^file:/+", "file:/")
+    names = spark.createDataFrame([(f,) for f in listed.inputFiles()], "path string")
+    return names.withColumn("_p", place).join(listed.select(place.alias("_p")), "_p", "left_anti").select("path")
+
+
+def read_json(spark: SparkSession, root: str, schema: str, glob: str = "*.json", multiline: bool = True) -> DataFrame:
+    """A tree of JSON files: one record a file, or one a line (blank ones do not count), judged. A file without bytes is an empty text."""
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=multiline).select("value", F.col("_metadata.file_path").alias("path"))
+    texts = texts if multiline else texts.filter(F.trim("value") != "")
+    return judged(texts.unionByName(empty_files(spark, root, glob).select(F.lit("").alias("value"), "path")), schema)
 
 
-def lenient(read: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the corrupt files with their paths."""
-    bad = F.col(CORRUPT).isNotNull()
-    return read.filter(~bad).drop(CORRUPT), read.filter(bad).select("path", CORRUPT)
+def lenient(read: DataFrame, mistyped: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Good rows (with mistyped, if asked for), and what is none, with its path and reason."""
+    good = read.filter("reason IS NULL").drop("reason", CORRUPT)
+    return good if mistyped else good.drop("mistyped"), read.filter("reason IS NOT NULL").select("path", "reason", CORRUPT)
 
 
 def read_events(spark: SparkSession, root: str, multiline: bool = True) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vigilspark.operators.changes import KEY
+from vigilspark.sources import tables
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -30,7 +32,7 @@ def run_to_end(stream: DataFrame, out: str, checkpoint: str, mode: str = "append
         query = writer.format("parquet").option("path", out).outputMode("append").start()
         query.awaitTermination()
     else:
-        on_batch(stream, lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{out}/batch={n}"), checkpoint, mode)
+        on_batch(stream, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), checkpoint, mode)
     return stream.sparkSession.read.parquet(out)
 
 
@@ -40,6 +42,37 @@ def on_batch(stream: DataFrame, callback: Callable[[DataFrame, int], None], chec
     writer.foreachBatch(callback).start().awaitTermination()
 
 
+def json_files(spark: SparkSession, root: str, glob: str = "*.json", files_per_batch: int | None = None) -> DataFrame:
+    """New files below root, in folders of any depth, each once: path, content."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).load(root).select("path", "content")
+
+
+def ingest_json(
+    spark: SparkSession, root: str, schema: str, good: str, bad: str, checkpoint: str, glob: str = "*.json", multiline: bool = True, files_per_batch: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Every new file's records to a table at good, and what is no record to one at bad, with path and reason, to the end of what is there now.
+
+    One record a file, or one a line. Both tables are written under the batch's number, so a batch that comes again
+    after a failure replaces itself: nothing is there twice, and nothing is lost between the two. Files without
+    bytes, which no stream gives, are listed anew by each call, in a part of bad of their own.
+    """
+
+    def both(df: DataFrame, n: int) -> None:
+        text = F.col("content").cast("string")
+        value = text if multiline else F.explode(F.filter(F.split(text, "\\r?\\n"), lambda x: F.trim(x) != ""))
+        read = tables.judged(df.select("path", value.alias("value")), schema).persist()  # two writes, one reading
+        for rows, out in zip(tables.lenient(read), (good, bad), strict=True):
+            rows.write.mode("overwrite").parquet(f"{out}/batch={n}")
+        read.unpersist()
+
+    on_batch(json_files(spark, root, glob, files_per_batch), both, checkpoint)
+    empty = tables.empty_files(spark, root, glob).select(F.lit("").alias("value"), "path")
+    tables.lenient(tables.judged(empty, schema))[1].write.mode("overwrite").parquet(f"{bad}/batch=-1")
+    return tuple(spark.read.parquet(out).drop("batch") for out in (good, bad))
+
+
 def live_counters(events: DataFrame) -> DataFrame:
     """Running counts per run and event (update mode)."""
     return events.groupBy("run_id", "event").agg(F.count("*").alias("n"))
@@ -62,26 +95,80 @@ def corrections(records: DataFrame, keys: list[str], lateness: str = "30 days")
     return records.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(keys)
 
 
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """The state store that keyed state with timers and initial state needs, for the streams started within."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class _Changes(StatefulProcessor):
-    """Keeps each document's current hash and tells what each capture does to it."""
+    """Keeps each document's current hash and tells what each capture does to it: at once, or once the watermark has passed its time."""
+
+    def __init__(self, waits: bool) -> None:
+        self.waits = waits
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.current = handle.getValueState("current", "hash string")
+        if self.waits:
+            self.pending = handle.getListState("pending", "us bigint, hash string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values("ts", kind="stable")
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        for digest in initialState["current_hash"]:
+            self.current.update((digest,))
+
+    def _judged(self, key, captures: list[tuple[int, str]]) -> Iterator[pd.DataFrame]:
         held = self.current.get()[0] if self.current.exists() else None
         out = []
-        for ts, digest in zip(frame["ts"], frame["content_hash"], strict=True):
-            out.append((*key, ts, digest, "new" if held is None else "unchanged" if held == digest else "updated"))
+        for us, digest in sorted(captures):
+            out.append((*key, us, digest, "new" if held is None else "unchanged" if held == digest else "updated"))
             held = digest
         self.current.update((held,))
-        yield pd.DataFrame(out, columns=[*KEY, "ts", "content_hash", "event"])
+        yield pd.DataFrame(out, columns=[*KEY, "us", "content_hash", "event"])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        captures = [(int(us), digest) for frame in rows for us, digest in zip(frame["us"], frame["content_hash"], strict=True)]
+        if not self.waits:
+            yield from self._judged(key, captures)
+            return
+        self.pending.appendList(captures)
+        for at in {us // 1000 + 1 for us, _ in captures}:
+            self.handle.registerTimer(at)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        until = expiredTimerInfo.getExpiryTimeInMs()
+        captures = [(us, digest) for us, digest in self.pending.get()]
+        due = [c for c in captures if c[0] // 1000 + 1 <= until]
+        later = [c for c in captures if c[0] // 1000 + 1 > until]
+        if later:
+            self.pending.put(later)
+        else:
+            self.pending.clear()
+        if due:
+            yield from self._judged(key, due)
 
     def close(self) -> None:
         pass
 
 
-def changes(captures: DataFrame) -> DataFrame:
-    """Streaming change detection, keyed by document: the event of each capture, in order of time within a batch."""
-    return captures.groupBy(*KEY).transformWithStateInPandas(_Changes(), "regulation string, source string, document_id string, ts timestamp, content_hash string, event string", "append", "none")
+def changes(captures: DataFrame, held: DataFrame | None = None, lateness: str | None = None) -> DataFrame:
+    """Streaming change detection, keyed by document: the event of each capture.
+
+    held: a state that the stream takes over from (KEY, current_hash), read once when its checkpoint is new. Without
+    lateness captures are judged as they come, in order of time within a batch. With it a capture waits until the
+    watermark, so much behind the latest time seen, has passed its time; so one that comes later than captures of
+    later times is still judged in its place. One that comes behind the watermark is left out.
+    """
+    timed = captures.filter("content_hash IS NOT NULL").withColumn("us", F.unix_micros("ts"))
+    if lateness is not None:
+        timed = timed.withWatermark("ts", lateness)
+    first = held.select(*KEY, "current_hash").groupBy(*KEY) if held is not None else None
+    schema = "regulation string, source string, document_id string, us bigint, content_hash string, event string"
+    told = timed.groupBy(*KEY).transformWithStateInPandas(_Changes(lateness is not None), schema, "append", "none" if lateness is None else "eventTime", first)
+    return told.select(*KEY, F.timestamp_micros("us").alias("ts"), "content_hash", "event")
