@@ -92,7 +92,8 @@ def test_a_return_to_an_old_hash_is_a_version(spark):
 
 
 def test_canonical_json_ignores_column_order(spark):
-    a = spark.createDataFrame([(1, None, "x")], "b int, a string, c string").select(changes.canonical(["c", "a", "b"])).first()[0]
+    rows = spark.createDataFrame([(1, None, "x")], "b int, a string, c string")
+    a = rows.select(changes.canonical(rows, ["c", "a", "b"])).first()[0]
     assert a == '{"a":null,"b":1,"c":"x"}'
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 KEY = ["regulation", "source", "document_id"]
 VERSION = "struct<ts:timestamp_ntz,hash:string,size_bytes:bigint>"
@@ -161,14 +162,28 @@ def error_events(failed: DataFrame, run_id: Column) -> DataFrame:
     )
 
 
-def canonical(columns: list[str]) -> Column:
-    """JSON of columns in name order, nulls included, so that the order of keys never looks like a change. Maps among them should come sorted (sorted_map)."""
-    return F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
+def ordered(value: Column, kind: DataType) -> Column:
+    """A value with its fields and keys in order of name, at every level: structs, arrays and maps. VARIANT objects have theirs in order by themselves."""
+    if isinstance(kind, StructType):
+        fields = F.struct(*(ordered(value.getField(f.name), f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)))
+        return F.when(value.isNotNull(), fields)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: ordered(x, kind.elementType)) if _nested(kind.elementType) else value
+    if isinstance(kind, MapType):
+        keys = F.array_sort(F.map_keys(value))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: ordered(F.element_at(value, k), kind.valueType)))
+    return value
 
 
-def sorted_map(column: Column) -> Column:
-    """A map with its keys in order."""
-    return F.map_from_entries(F.array_sort(F.map_entries(column)))
+def _nested(kind: DataType) -> bool:
+    return isinstance(kind, StructType | ArrayType | MapType)
+
+
+def canonical(rows: DataFrame, columns: list[str] | None = None) -> Column:
+    """JSON of columns (all, if not given), nulls included, with fields and keys in order at every level, so that their order never looks like a change."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    told = F.struct(*(ordered(F.col(f"`{c}`"), kinds[c]).alias(c) for c in sorted(columns or kinds)))
+    return F.to_json(told, {"ignoreNullFields": "false"})
 
 
 def settled_miss(row_ok: Column, content: Column) -> Column:

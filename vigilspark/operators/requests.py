@@ -29,11 +29,33 @@ def outcomes(log: DataFrame, accuracy: int = 10_000) -> DataFrame:
 
 
 def retry_chains(log: DataFrame) -> DataFrame:
-    """Adds chain (per URL, from 1) and attempt: a request goes on with a chain when the one before it could be tried again."""
-    order = Window.partitionBy("url").orderBy("ts", "event_id")
-    start = F.when(F.lag("status").over(order).isin(*RETRYABLE), 0).otherwise(1)
-    chained = log.withColumn("_start", start).withColumn("chain", F.sum("_start").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_start")
-    return chained.withColumn("attempt", F.row_number().over(Window.partitionBy("url", "chain").orderBy("ts", "event_id")))
+    """Adds chain (per URL, from 1) and attempt: a request goes on with a chain when the one before it could be tried again.
+
+    Rows meet by URL and day, so a busy URL is many tasks. Of each day one row tells how many chains start in it
+    behind its first request, how long the last of them is, and whether that can go on; running sums over these
+    rows tell each day which chain it goes on with, and how many attempts that has had. A null URL is a URL like any
+    other; rows without a time come first.
+    """
+    rows = spanned(log, ["url"], F.to_date("ts"))
+    order = Window.partitionBy("_k").orderBy("ts", "event_id")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    again = F.coalesce(F.col("status").isin(*RETRYABLE), F.lit(False))
+    rows = rows.withColumn("_again", again).withColumn("_n", F.row_number().over(order))
+    rows = rows.withColumn("_start", F.when((F.col("_n") > 1) & ~F.lag("_again").over(order), F.col("_n")))
+    rows = rows.withColumn("_local", F.count("_start").over(upto)).withColumn("_from", F.max("_start").over(upto))
+    own = rows.groupBy("_k").agg(F.max("_n").alias("_rows"), F.count("_start").alias("_starts"), F.max("_start").alias("_last"), F.max_by("_again", "_n").alias("_open"))
+    by = Window.partitionBy("_k.g").orderBy("_k.s")
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    own = own.withColumn("_goes_on", F.coalesce(F.lag("_open").over(by), F.lit(False)))
+    first = (~F.col("_goes_on")).cast("int")
+    own = own.withColumn("_chains", F.coalesce(F.sum(F.col("_starts") + first).over(before), F.lit(0)) + first)
+    # attempts of the open chain at a day's end: of its own last chain, or, if none starts in it, with those of the days before
+    own = own.withColumn("_group", F.sum(((F.col("_starts") > 0) | ~F.col("_goes_on")).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    grown = F.sum(F.col("_rows") - F.coalesce(F.col("_last") - 1, F.lit(0))).over(Window.partitionBy("_k.g", "_group").orderBy("_k.s").rowsBetween(Window.unboundedPreceding, 0))
+    own = own.withColumn("_tail", grown).withColumn("_had", F.when(F.col("_goes_on"), F.lag("_tail").over(by)).otherwise(0))
+    both = rows.join(own.select("_k", "_chains", "_had"), "_k")
+    attempt = F.when(F.col("_from").isNull(), F.col("_had") + F.col("_n")).otherwise(F.col("_n") - F.col("_from") + 1)
+    return both.withColumn("chain", F.col("_chains") + F.col("_local")).withColumn("attempt", attempt.cast("int")).drop("_k", "_again", "_n", "_start", "_local", "_from", "_chains", "_had")
 
 
 def expected_wait(attempt: Column, retry_after: Column | None = None) -> Column:

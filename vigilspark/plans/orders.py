@@ -274,7 +274,20 @@ def cdc_08_settled_miss(spark, sf):
 
 @query("""SELECT p_partkey, sha256('{"p_brand":"' || p_brand || '","p_name":"' || p_name || '","p_type":"' || p_type || '"}') AS content_hash FROM part""")
 def cdc_07_canonical(spark, sf):
-    return read(spark, sf, "part").select("p_partkey", F.sha2(changes.canonical(["p_type", "p_name", "p_brand"]), 256).alias("content_hash"))
+    part = read(spark, sf, "part")
+    return part.select("p_partkey", F.sha2(changes.canonical(part, ["p_type", "p_name", "p_brand"]), 256).alias("content_hash"))
+
+
+@query("""SELECT p_partkey, sha256('{"codes":{"10":"' || p_brand || '","9":"' || p_type || '"},"openfda":{"brand":"' || p_brand || '","size":{"max":' || p_size || ',"min":1}},"parts":[{"a":"' || p_name || '","b":null},{"a":"' || p_type || '","b":null}],"raw":{"name":"' || p_name || '","zone":' || p_size || '}}') AS content_hash FROM part""")
+def cdc_07_nested(spark, sf):
+    """Records with structs, arrays, maps and a VARIANT, whose fields and keys come in no order."""
+    size = F.struct(F.lit(1).alias("min"), F.col("p_size").alias("max"))
+    entry = lambda c: F.struct(F.lit(None).cast("string").alias("b"), F.col(c).alias("a"))
+    part = read(spark, sf, "part").select(
+        "p_partkey", F.struct(size.alias("size"), F.col("p_brand").alias("brand")).alias("openfda"), F.array(entry("p_name"), entry("p_type")).alias("parts"),
+        F.create_map(F.lit("9"), F.col("p_type"), F.lit("10"), F.col("p_brand")).alias("codes"), F.parse_json(F.format_string('{"zone": %d, "name": "%s"}', "p_size", "p_name")).alias("raw"),
+    )
+    return part.select("p_partkey", F.sha2(changes.canonical(part, ["openfda", "parts", "codes", "raw"]), 256).alias("content_hash"))
 
 
 REGISTRY = "old AS (SELECT s_suppkey AS source, s_name AS label, CAST(s_nationkey AS BIGINT) AS lookback FROM supplier WHERE s_suppkey % 5 <> 0), new AS (SELECT s_suppkey AS source, s_name AS label, CAST(CASE WHEN s_suppkey % 4 = 0 THEN s_nationkey + 1 ELSE s_nationkey END AS BIGINT) AS lookback FROM supplier WHERE s_suppkey % 3 <> 0)"

@@ -89,7 +89,7 @@ def once(rows: DataFrame, keep: str) -> DataFrame:
 
 def inline(df: DataFrame) -> Column:
     """A record's own JSON as content."""
-    return changes.canonical([c for c in df.columns if c != "pos"])
+    return changes.canonical(df, [c for c in df.columns if c != "pos"])
 
 
 def text(column: str) -> Column:

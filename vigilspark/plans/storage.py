@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vigilspark.operators import changes
@@ -133,6 +135,19 @@ def snk_01_current_state(spark, sf):
     return spark.read.parquet(root).select(*KEY, "current_hash")
 
 
+@query(f"""WITH {A}, {B} SELECT regulation, source, document_id, CASE WHEN B.content_hash IS NOT NULL THEN B.content_hash ELSE A.content_hash END AS current_hash,
+CAST(CASE WHEN A.ts IS NOT NULL AND B.content_hash IS NOT NULL AND A.content_hash <> B.content_hash THEN 2 ELSE 1 END AS BIGINT) AS versions FROM A FULL OUTER JOIN B {ON}""")
+def cdc_03_bucketed_state(spark, sf):
+    """The state after A lies in buckets of its key; B is merged into it, and the result written back in the same buckets."""
+    names, roots = [f"vigil_state_{uuid.uuid4().hex}" for _ in "AB"], [tables.scratch(spark, f"state-buckets-{n}") for n in "ab"]
+    held = tables.write_buckets(documents.state(spark, sf), names[0], roots[0], 8, *KEY)
+    merged = changes.merge(tables.in_buckets(documents.snapshot(spark, sf, "B"), 8, *KEY), held)
+    tables.write_buckets(merged, names[1], roots[1], 8, *KEY)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")  # of the catalogue; the files stay
+    return spark.read.parquet(roots[1]).select(*KEY, "current_hash", changes.version_count(F.col("version_history")).alias("versions"))
+
+
 @query(f"WITH {EVT} SELECT source, strftime(ts, '%Y-%m-%d') AS day, event, count(*) AS events FROM evt GROUP BY ALL")
 def snk_02_event_sink(spark, sf):
     root, rows = tables.scratch(spark, "events"), events.fetch_events(spark, sf)

@@ -47,8 +47,12 @@ def judged(texts: DataFrame, schema: str) -> DataFrame:
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     raw = F.col("value")
-    rows = texts.withColumn("_ok", F.is_valid_utf8(raw)).withColumn("_v", F.when(F.col("_ok"), F.try_parse_json(raw)))
-    reason = F.when(F.trim(F.coalesce(raw, F.lit(""))) == "", "empty").when(~F.col("_ok"), "undecodable").when(F.col("_v").isNull() | ~F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")), "unparsable")
+    bare = F.trim(F.coalesce(raw, F.lit("")), F.lit(" \t\r\n"))
+    # the parser passes over what follows a value, so the text is the one element of a list
+    listed = F.when(F.col("_ok") & bare.endswith("}"), F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))))
+    rows = texts.withColumn("_ok", F.is_valid_utf8(raw)).withColumn("_l", listed)
+    rows = rows.withColumn("_v", F.when(F.try_variant_get("_l", "$[1]", "variant").isNull(), F.try_variant_get("_l", "$[0]", "variant")))
+    reason = F.when(bare == "", "empty").when(~F.col("_ok"), "undecodable").when(F.col("_v").isNull() | ~F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")), "unparsable")
     rows = rows.withColumn("reason", reason).withColumn("r", F.from_json(F.when(F.col("reason").isNull(), raw), f"{schema}, {CORRUPT} string", options))
     fields = [f.name for f in rows.schema["r"].dataType.fields if f.name != CORRUPT]
     odd = lambda n: F.when(F.col(f"r.{n}").isNull(), F.get_json_object("value", f"$.{n}"))
@@ -150,3 +154,18 @@ def write_estimates(estimates: DataFrame, root: str) -> None:
 
 def append_runs(runs: DataFrame, root: str) -> None:
     by_folder(runs, "regulation", "source").write.mode("append").partitionBy("regulation", "source").parquet(root)
+
+
+def write_buckets(state: DataFrame, name: str, root: str, buckets: int, *key: str) -> DataFrame:
+    """A state as a table of the catalogue in buckets of its key, below root; replaces one of that name.
+
+    What is merged with it by the key moves, in as many partitions (in_buckets), and the state does not; nor does the result
+    when it is written back in as many buckets, to another root. Take the number so that a bucket of the state fits a task.
+    """
+    state.write.mode("overwrite").option("path", root).bucketBy(buckets, *key).sortBy(*key).saveAsTable(name)
+    return state.sparkSession.table(name)
+
+
+def in_buckets(batch: DataFrame, buckets: int, *key: str) -> DataFrame:
+    """A batch in the partitions of a state's buckets."""
+    return batch.repartition(buckets, *key)
