@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilspark.llm.common import bucketed, lists, slices, texts_only, trim
@@ -209,20 +209,15 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         return pa.Table.from_batches(out)
 
     table = bucketed(rows.mapInArrow(deal, f"block bigint, share int, words binary, doc_ids array<{kind}>, sizes binary, positions binary"), "blocks", "block", shares)
-    words = table.filter("words IS NOT NULL").select("block", "share", "words", "sizes").repartition("share").sortWithinPartitions("share")
+    words = table.filter("words IS NOT NULL").select("block", "share", "words", "sizes").repartitionById(shares, "share").sortWithinPartitions("share")
     ids = words.mapInArrow(encode_words, "block bigint, share int, sizes binary, ids binary")
     documents = table.filter("positions IS NOT NULL").select("block", "doc_ids", "sizes", "positions")
     return documents.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(reassemble, f"doc_id {kind}, ids array<int>")
 
 
-def token_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """The token-byte table: id, bytes; one row for each entry of the vocabulary."""
-    return spark.createDataFrame([(i, bytearray(b)) for b, i in ranks(path).items()], "id int, bytes binary")
-
-
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
-    """Adds decoded binary: the bytes of a row's ids, joined from the broadcast token-byte table. Null ids: null; unknown ids are an error."""
-    table = {r["id"]: bytes(r["bytes"]) for r in token_bytes(encoded.sparkSession, path).collect()}
+    """Adds decoded binary: the bytes of a row's ids, by a lookup in the token-byte table, which the vocabulary bounds and which is broadcast. Null ids: null; unknown ids are an error."""
+    table = {i: b for b, i in ranks(path).items()}
     whole = [table.get(i, b"") for i in range(max(table) + 1)]
     size = np.array(list(map(len, whole)), np.int64)
     shared = encoded.sparkSession.sparkContext.broadcast((np.cumsum(size) - size, size, np.frombuffer(b"".join(whole), np.uint8)))

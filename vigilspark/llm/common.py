@@ -56,7 +56,9 @@ def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     name = f"{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
     df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(name)
-    return df.sparkSession.table(name)
+    out = df.sparkSession.table(name)
+    df.sparkSession.sql(f"DROP TABLE `{name}`")  # the frame knows files and buckets by now, and the catalogue keeps nothing
+    return out
 
 
 def partitions_for(df: DataFrame, each: int = 32 << 20) -> int:

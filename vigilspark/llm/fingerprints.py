@@ -94,10 +94,10 @@ def edited(text: str, after: str) -> str:
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over rows sorted by range, role, id: each row of role 0 with the row behind it."""
-    held = None  # range, role, id, text, sketch of the last row
+    held = None  # range, role, id, text, sketch of the last row, and whether its id is null
     for batch in slices(batches, most=1 << 20):
         own = sketches(batch.column("text"))
-        rows = [*([held] if held else []), *zip(batch.column("r").to_pylist(), batch.column("role").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), own, strict=True)]
+        rows = [*([held] if held else []), *zip(batch.column("r").to_pylist(), batch.column("role").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), own, batch.column("none").to_pylist(), strict=True)]
         pairs = [(a, b) for a, b in zip(rows, rows[1:], strict=False) if a[0] == b[0] and a[1] == 0]
         held = rows[-1]
         if not pairs:
@@ -106,7 +106,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = sketches(pa.array(texts, pa.string()))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([a[2] for a, _ in pairs], pa.int64()),
+                pa.array([None if a[5] else a[2] for a, _ in pairs], pa.int64()),
                 pa.array([len(a[3]) for a, _ in pairs], pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
                 pa.array([packed(a[4]) for a, _ in pairs]),
@@ -129,7 +129,7 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more than a range's rows has several, by the hash of the text. One shuffle brings a range's texts together in
     order, with the first text of the next range behind them.
     """
-    rows = texts_only(docs, id_col, text_col).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NONE)))
+    rows = texts_only(docs, id_col, text_col).withColumn("none", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NONE)))
     n = min(MAX_RANGES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], F.lit(20 * n)).alias("q")).first()["q"] or []
     rows = with_range(rows.withColumn("h", F.xxhash64("text")), sorted(map(int, cuts)))
@@ -140,9 +140,8 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         ahead = docs.sparkSession.createDataFrame([(i, h, r) for (i, h), r in before.items()], "doc_id bigint, h bigint, ahead int")
         rows = rows.join(F.broadcast(ahead), ["doc_id", "h"], "left")
         copies = F.when(F.col("ahead").isNull(), copies).otherwise(F.concat(copies, F.array(F.struct(F.col("ahead").alias("r"), F.lit(1).alias("role")))))
-    dealt = rows.select("doc_id", "text", "h", F.inline(copies)).repartition("r").sortWithinPartitions("r", "role", "doc_id", "h")
-    out = dealt.mapInArrow(_pairs, f"doc_id bigint, {FIELDS}")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NONE)))
+    dealt = rows.select("doc_id", "text", "h", "none", F.inline(copies)).repartition("r").sortWithinPartitions("r", "role", "doc_id", "h", "none")
+    return dealt.mapInArrow(_pairs, f"doc_id bigint, {FIELDS}")
 
 
 def with_range(rows: DataFrame, cuts: list[int]) -> DataFrame:

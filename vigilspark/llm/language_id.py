@@ -97,7 +97,7 @@ class Filters:
 
 
 def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", learn_docs: int = LEARN_DOCS, kept: int = KEPT) -> Filters:
-    """Filters from the rows of docs with a language, of which a hash of the id picks about learn_docs for each.
+    """Filters from the rows of docs with a language, of which a hash of the id (of the text, where the id is null) picks about learn_docs for each.
 
     Counting the languages reads all rows; each language's share then picks its rows where they are read.
     """
@@ -107,7 +107,7 @@ def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not shares:
         return Filters({})
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text"))), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rate = F.create_map(*(x for name, n in shares.items() for x in (F.lit(name), F.lit(min(1.0, learn_docs / n)))))
     picked = rows.filter(draw < F.element_at(rate, F.col("lang"))).select("lang", "text")
 

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilspark.llm.common import slices, texts_only, written
-from vigilspark.llm.pretokens import PART_SLICE, PartCache, spread
-from vigilspark.llm.token_counts import byte_letters
+from vigilspark.llm.pretokens import PART_SLICE, PartCache, WholeTexts, spread
+from vigilspark.llm.token_counts import byte_letters, departures
 
 LENGTH, END_ID = 1024, 0
 
@@ -32,8 +32,8 @@ def encoder(path: str) -> tuple[Callable, type]:
     """From texts to their ids' bytes as the tokenizers library encodes them, and the type of an id.
 
     Where the file is a byte-level BPE whose merges come in the order of their ids, tiktoken, which takes ids
-    as ranks, gives the same ids in less time; texts with a special token's string, and other files, go to the
-    library itself.
+    as ranks, gives the same ids in less time; texts with a special token's string go to the library itself, and so
+    do the texts of other files, whole.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
@@ -62,9 +62,8 @@ def id_ranks(path: str) -> tuple[dict[bytes, int], list[str]] | None:
     """Token bytes to ids, and the special tokens, if ids can serve as ranks."""
     with open(path, encoding="utf-8") as f:
         file = json.load(f)
-    model, before = file["model"], file.get("pre_tokenizer") or {}
-    plain = model.get("type") == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not file.get("normalizer") and not model.get("dropout") and not model.get("ignore_merges")
-    if not plain or any(not t["special"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in file["added_tokens"]):
+    model = file["model"]
+    if departures(file):
         return None
     special = [t["content"] for t in file["added_tokens"]]
     made = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
@@ -81,13 +80,13 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts, dtype = encoder(path)
-        known = PartCache(encode_texts)
+        known = PartCache(encode_texts) if id_ranks(path) else WholeTexts(encode_texts)
         part, before, width = TaskContext.get().partitionId(), 0, dtype().itemsize
         for batch in slices(batches, most=PART_SLICE):
-            parts, _, coded, of = known.texts(batch.column("text"))
+            of_text, coded, of = known.encoded(batch.column("text"))
             size = np.fromiter(map(len, coded), np.int64, len(coded)) // width
             flat, first = np.frombuffer(b"".join(coded), dtype), np.cumsum(size) - size
-            tokens = np.concatenate([[0], np.cumsum(size[of])])[np.concatenate([[0], np.cumsum(parts.of_text)])]  # before each text
+            tokens = np.concatenate([[0], np.cumsum(size[of])])[np.concatenate([[0], np.cumsum(of_text)])]  # before each text
             n = np.diff(tokens) + 1
             out = np.full(int(n.sum()), end_id, dtype)
             out[spread(np.cumsum(n) - n, n - 1)] = flat[spread(first[of], size[of])]

@@ -129,3 +129,18 @@ class PartCache:
                     fresh.append(name)
         known.update(zip(fresh, self.encode(fresh), strict=True))
         return parts, names, [known[name] for name in names], of
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, list, np.ndarray]:
+        """How many parts each text has, what the different parts encode to, and the number of each part among them."""
+        parts, _, coded, of = self.texts(texts)
+        return parts.of_text, coded, of
+
+
+class WholeTexts:
+    """Each text as one part, for encoders that may not see it cut."""
+
+    def __init__(self, encode: Callable[[list[str]], Sequence]):
+        self.encode = encode
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, list, np.ndarray]:
+        return np.ones(len(texts), np.int64), list(self.encode(texts.to_pylist())), np.arange(len(texts))

@@ -184,14 +184,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A model from the labelled rows of docs.
 
     labels: id and label 0 or 1 (others are left out; of an id labelled twice, the larger label). At most
-    learn_rows of them are learned from, the first by a hash of the id, so what comes to the driver is bounded:
-    their features, the sample's frequent tokens and these tokens' vectors. With no labels, or only one kind,
+    learn_rows of them are learned from, the first by a hash of the id; of several rows of docs with one id, the least
+    text. So what comes to the driver is bounded: their features, the sample's frequent tokens and these tokens' vectors. With no labels, or only one kind,
     the model's score is that share of ones (0.5 without labels).
     """
     spark = docs.sparkSession
     known = labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IN (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(learn_rows)
-    sample = texts_only(docs, id_col, text_col).join(F.broadcast(known), "doc_id").select("text", "y")
+    sample = texts_only(docs, id_col, text_col).join(F.broadcast(known), "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).select("text", "y")
     sample = sample.persist()
     try:
         top = sample.mapInArrow(_top_rows, "w bigint, k bigint").groupBy("w").agg(F.sum("k").alias("k")).filter("k > 2").orderBy(F.desc("k"), "w").limit(CONTEXT_WORDS).toArrow()

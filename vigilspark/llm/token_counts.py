@@ -40,14 +40,31 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def departures(file: dict) -> list[str]:
+    """In what a tokenizers file is no plain byte-level BPE that cuts texts by the public pattern and has only special added tokens."""
+    model, before = file["model"], file.get("pre_tokenizer") or {}
+    found = {
+        "another model": model.get("type") != "BPE",
+        "another pre-tokenizer": before.get("type") != "ByteLevel" or not before.get("use_regex", True),
+        "a prefix space": bool(before.get("add_prefix_space")),
+        "a normalizer": bool(file.get("normalizer")),
+        "dropout": bool(model.get("dropout")),
+        "ignored merges": bool(model.get("ignore_merges")),
+        "added tokens that are not special or take in blanks": any(not t["special"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in file["added_tokens"]),
+    }
+    return [name for name, holds in found.items() if holds]
+
+
 class PrefixCounter:
-    """Prefix token counts for a tokenizers file with a byte-level BPE."""
+    """Prefix token counts for a tokenizers file with a byte-level BPE. A file of another kind is an error, as its counts would not be the library's."""
 
     def __init__(self, path: str):
         import regex
 
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
+        if found := departures(file):
+            raise ValueError(f"prefix counts do not hold for a file with {', '.join(found)}")
         letters = byte_letters()
         as_bytes = lambda s: bytes(map(letters.__getitem__, s))
         merges = [m.split(" ") if isinstance(m, str) else m for m in file["model"]["merges"]]

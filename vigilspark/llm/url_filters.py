@@ -1,13 +1,14 @@
 """URL allow and block lists by longest match.
 
 The rules form a trie: first the host's labels from the right, then the path's segments. A rule's last
-path segment may be the start of a longer one, so it hangs on its parent segment as a partial. The trie
-is broadcast when the rules number at most MAX_BROADCAST_RULES; longer lists take the shuffle join on
+path segment may be the start of a longer one, so it hangs on its parent segment as a partial: a segment is
+looked up by its starts of the lengths that occur there, longest first. The trie is broadcast when the rules number at most MAX_BROADCAST_RULES; longer lists take the shuffle join on
 every (host suffix, path prefix) that some rule's shape allows.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -27,8 +28,13 @@ def add_rule(trie: dict, host: str, path: str, verdict: str) -> None:
     *segments, last = path.split("/")
     for segment in segments:
         node = node.setdefault("segments", {}).setdefault(segment, {})
-    node.setdefault("partials", []).append((last, host + path, verdict))
-    node["partials"].sort(key=lambda x: -len(x[0]))
+    partials = node.setdefault("partials", {})
+    if last not in partials:  # of a rule given twice, the first stands
+        partials[last] = (host + path, verdict)
+        lengths = node.setdefault("lengths", [])
+        at = bisect.bisect_left(lengths, len(last))
+        if lengths[at : at + 1] != [len(last)]:
+            lengths.insert(at, len(last))
 
 
 def longest(trie: dict, host: str, path: str) -> tuple[str, str] | None:
@@ -44,8 +50,11 @@ def longest(trie: dict, host: str, path: str) -> tuple[str, str] | None:
     best = None
     for depth, node in enumerate(nodes):
         for k, segment in enumerate(segments):
-            for last, rule, verdict in node.get("partials", ()):
-                if segment.startswith(last):
+            lengths = node.get("lengths", ())
+            for size in reversed(lengths[: bisect.bisect_right(lengths, len(segment))]):
+                found = node["partials"].get(segment[:size])
+                if found:
+                    rule, verdict = found
                     best = max(best or (-1, -1, -1), (len(rule), depth, k, rule, verdict))
                     break
             node = node.get("segments", {}).get(segment)
