@@ -7,13 +7,11 @@ of near duplicates one document stays; the rest is packed into sequences.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilspark.llm import jaccard_join, language_id, line_dedup, packing, quality
-from vigilspark.llm.common import read, shared_dir, written
+from vigilspark.llm.common import drop, read, written
 from vigilspark.llm.queries import tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -77,12 +75,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each one's result is written to the shared folder and read again."""
+    """All stages over documents; each one's result is written to the shared folder and read again. Once the next one's is written it is removed; what the last reads stays."""
     docs = read(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = f"{shared_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+            docs = written(docs, f"stage-{name}")
+            if k:
+                drop(before)
     return docs
