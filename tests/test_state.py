@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import os
 import random
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
+from urllib.robotparser import RobotFileParser
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vigilspark.operators import changes, requests, select
+from vigilspark.operators import changes, extract, requests, select
 from vigilspark.operators.changes import KEY
 from vigilspark.plans import specs
 from vigilspark.sources import tables
@@ -212,3 +214,41 @@ def test_late_captures_are_judged_in_their_place(spark, tmp_path):
     got = sorted((r.document_id, (r.ts - DAY).days, r.event) for r in told.collect())
     # b's capture of the first day comes behind the watermark and is left out
     assert got == [("a", 1, "unchanged"), ("a", 3, "updated"), ("a", 5, "unchanged"), ("b", 4, "unchanged"), ("c", 2, "new"), ("c", 5, "unchanged"), ("z", 20, "new")]
+
+
+def test_old_files(spark, tmp_path):
+    for name, days in (("new.log", 1), ("edge.log", 13.99), ("old.log", 14.01), ("older.log", 90), ("old.txt", 90)):
+        (tmp_path / "s").mkdir(exist_ok=True)
+        (tmp_path / "s" / name).write_text("x")
+        at = (DAY - timedelta(days=days)).replace(tzinfo=UTC).timestamp()
+        os.utime(tmp_path / "s" / name, (at, at))
+    now = F.lit(DAY.replace(tzinfo=UTC)).cast("timestamp")
+    found = lambda days: sorted(r.path.split("/")[-1] for r in tables.expired_files(spark, str(tmp_path), now, days).collect())
+    assert found(14) == ["old.log", "older.log"] and found(0) == found(-3) == [] and found(60) == ["older.log"]
+
+
+def test_edits_pass_once_and_late_ones_are_told(spark, tmp_path):
+    batches = [[("a", 0, "1"), ("a", 1, "1"), ("a", 2, "2"), ("b", 2, "1")], [("a", 3, "2"), ("a", 1, "3"), ("b", 9, "1")], [("b", 1, "7"), ("a", 30, "3"), ("b", 8, "1")]]
+    with streaming.rocksdb(spark):
+        for rows in batches:
+            df = spark.createDataFrame([(i, h, DAY + timedelta(days=d)) for i, d, h in rows], "id string, content_hash string, ts timestamp")
+            df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            told = streaming.run_to_end(streaming.edits(streaming.source(spark, str(tmp_path / "in"), df.schema), "5 days", 6), str(tmp_path / "out"), str(tmp_path / "check"))
+    got = sorted((r.id, (r.ts - DAY).days, r.content_hash, r.outcome) for r in told.collect())
+    assert got == [("a", 0, "1", "passed"), ("a", 1, "3", "passed"), ("a", 2, "2", "passed"), ("a", 3, "2", "passed"), ("a", 30, "3", "passed"), ("b", 1, "7", "late"), ("b", 2, "1", "passed"), ("b", 9, "1", "passed")]
+
+
+def test_long_robots_files_equal_the_standard_parser(spark):
+    rnd = random.Random(6)
+    piece = lambda: "".join(rnd.choice(["/a", "/b", "/c%20d", "/é", "/e?f=1", "x", "/"]) for _ in range(rnd.randint(1, 5)))
+    bodies = [["User-agent: *", *(f"{rnd.choice(['Allow', 'Disallow'])}: {rnd.choice([piece(), '/' + piece(), '', '*', f'/n/{k}'][:3 if k else 5])}" for k in range(n, 0, -1))] for n in (3, 300, 10_000)]
+    parsers = []
+    for body in bodies:
+        parsers.append(RobotFileParser())
+        parsers[-1].parse(body)
+    urls = [(k, f"https://h{k}.org", f"https://h{k}.org/{piece()}") for k in range(3) for _ in range(60)] + [(9, "https://none.org", "https://none.org/a")]
+    rows = spark.createDataFrame(urls, "k int, origin string, url string")
+    files = spark.createDataFrame([(f"https://h{k}.org", "\n".join(b)) for k, b in enumerate(bodies)] + [("https://copy.org", "\n".join(bodies[1]))], "origin string, body string")
+    for short in (0, 64, 1 << 30):
+        got = extract.allowed_paths(rows, files, "vigilspark", short).collect()
+        assert len(got) == len(urls) and all(r.allowed == (r.k == 9 or parsers[r.k].can_fetch("vigilspark", r.url)) for r in got), short

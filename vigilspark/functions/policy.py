@@ -112,11 +112,14 @@ def rule_path(url: Column) -> Column:
     return F.coalesce(F.nullif(coded, F.lit("")), F.lit("/"))
 
 
+def first_fit(rules: Column, path: Column) -> Column:
+    """What the first rule that fits a path says; null without one."""
+    return F.get(F.filter(rules, lambda r: (r["path"] == "*") | F.startswith(path, r["path"])), F.lit(0))["allow"]
+
+
 def allowed(rules: Column, url: Column) -> Column:
     """Whether the first rule that fits a URL allows it; without one it is allowed."""
-    path = rule_path(url)
-    first = F.get(F.filter(rules, lambda r: (r["path"] == "*") | F.startswith(path, r["path"])), F.lit(0))
-    return F.coalesce(first["allow"], F.lit(True))
+    return F.coalesce(first_fit(rules, rule_path(url)), F.lit(True))
 
 
 def restricts(p: Column) -> Column:

@@ -1,7 +1,8 @@
 """Rows and links from pages, and classes of responses.
 
-Links and tables need an HTML parser: a generator over Arrow batches runs it where the page is read, so there is
-no shuffle and one page at a time is in memory. Classes and rules are built-in expressions.
+Links and tables need an HTML parser: a generator over pandas batches runs it where the page is read, so there is no
+shuffle; what a batch's pages hold is in memory. Classes are built-in expressions. Path rules are, too: those of
+short files as arrays, those of long ones as an index by prefix.
 """
 
 from __future__ import annotations
@@ -10,8 +11,10 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from vigilspark.functions import policy
 from vigilspark.operators.requests import RETRYABLE
@@ -102,7 +105,7 @@ def region_links(pages: DataFrame, html: str = "html", tag: str | None = "articl
             yield pd.DataFrame(out, columns=[*names, "region_missing", "pos", "href", "text"]).astype({"pos": "Int32"})
 
     kept = ", ".join(f"`{n}` {kinds[n]}" for n in names)
-    return pages.select(*names, html).mapInPandas(rows, f"{kept}, region_missing boolean, pos int, href string, text string")
+    return pages.select(*(F.col(f"`{c}`") for c in (*names, html))).mapInPandas(rows, f"{kept}, region_missing boolean, pos int, href string, text string")
 
 
 def anchor(snippet: Column) -> Column:
@@ -268,7 +271,27 @@ def read_tables(pages: DataFrame, id_col: str = "page_id", html: str = "html") -
             out = [(i, *row) for i, text in zip(frame[id_col], frame[html], strict=True) for row in table_rows(text)]
             yield pd.DataFrame(out, columns=[id_col, "table_no", "row_no", "body", "category", "classes", "cells"]).astype({"body": "Int32"})
 
-    return pages.select(id_col, html).mapInPandas(rows, f"{id_col} {kind}, {CELLS}")
+    return pages.select(F.col(f"`{id_col}`"), F.col(f"`{html}`")).mapInPandas(rows, f"`{id_col}` {kind}, {CELLS}")
+
+
+class HtmlRows:
+    """table_rows as a table function: html_rows(html) has a row for each table row of a page."""
+
+    @staticmethod
+    def analyze(html: AnalyzeArgument) -> AnalyzeResult:
+        text, number = StringType(), IntegerType()
+        cell = StructType([StructField(c, text) for c in ("text", "spaced", "header", "href", "link")])
+        plain = {"table_no": number, "row_no": number, "body": number, "category": text, "classes": text}
+        return AnalyzeResult(StructType([*(StructField(c, t) for c, t in plain.items()), StructField("cells", ArrayType(cell))]))
+
+    def eval(self, html: str | None):
+        for *plain, cells in table_rows(html or ""):
+            yield *plain, [(c["text"], c["spaced"], c["header"], c["href"], c["link"]) for c in cells]
+
+
+def register_functions(spark: SparkSession) -> None:
+    """Makes html_rows known to SQL: SELECT ... FROM pages, LATERAL html_rows(pages.html)."""
+    spark.udtf.register("html_rows", F.udtf(HtmlRows))
 
 
 def _cell(k: int, field: str = "text") -> Column:
@@ -323,16 +346,44 @@ def fetch_decisions(candidates: DataFrame, robots: DataFrame, now: Column, agent
     read = robots.withColumn("_r", policy.robots(F.when(F.col("state") == "loaded", F.col("body")), agent))
     own, held = (F.struct(*(F.col(f"{c}.{f}").alias(f) for f in fields)) for c in ("_r", "policy_in_force"))
     force = F.when(F.col("state") == "loaded", own).when(F.col("state").isin("blocked", "disallow_all"), held)
-    known = read.select("origin", F.col("state").alias("_state"), force.alias("_policy"), F.col("_r.rules").alias("_rules"))
-    both = candidates.join(known, "origin", "left")
-    barred = (F.col("_state") == "disallow_all") | ((F.col("_state") == "loaded") & ~policy.allowed(F.col("_rules"), F.col("url")))
+    known = read.select("origin", F.col("state").alias("_state"), force.alias("_policy"))
+    both = allowed_paths(candidates, robots.filter("state = 'loaded'"), agent, name="_allowed").join(known, "origin", "left")
+    barred = (F.col("_state") == "disallow_all") | ~F.col("_allowed")
     closed = F.col("_policy").isNotNull() & ~policy.open_now(F.col("_policy"), now)
     decision = F.when(barred, "disallowed").when(closed, "outside_hours").otherwise("allowed")
     out = both.withColumn("decision", decision).withColumn("min_interval", F.col("_policy.min_interval"))
-    return out.withColumn("opens_at", F.when(closed, policy.next_open(F.col("_policy"), now))).drop("_state", "_policy", "_rules")
+    return out.withColumn("opens_at", F.when(closed, policy.next_open(F.col("_policy"), now))).drop("_state", "_policy", "_allowed")
 
 
-def allowed_paths(candidates: DataFrame, robots: DataFrame, agent: str = policy.AGENT) -> DataFrame:
-    """Adds allowed to candidates by their origin's robots file (origin, body, one row each) alone. Without a file everything is allowed."""
-    known = robots.select("origin", policy.robots(F.col("body"), agent)["rules"].alias("_rules"))
-    return candidates.join(known, "origin", "left").withColumn("allowed", policy.allowed(F.col("_rules"), F.col("url"))).drop("_rules")
+#: Up to so many rules a file are tried one by one on each URL; those of longer files are looked up.
+SHORT = 64
+
+
+def rule_index(files: DataFrame) -> DataFrame:
+    """The rules of each file (file, rules) by their path: file, path, at (its first place), allow."""
+    rules = files.select("file", F.posexplode("rules").alias("at", "r"))
+    return rules.groupBy("file", F.col("r.path").alias("path")).agg(F.min("at").alias("at"), F.min_by("r.allow", "at").alias("allow"))
+
+
+def allowed_paths(candidates: DataFrame, robots: DataFrame, agent: str = policy.AGENT, short: int = SHORT, name: str = "allowed") -> DataFrame:
+    """Adds allowed to candidates by their origin's robots file (origin, body, one row each) alone. Without a file everything is allowed.
+
+    The first rule of a file that fits decides. Each different file is parsed once. A file of at most short rules goes
+    with its origin, and its rules are tried on each URL. A longer file is an index: a URL's path looks up its own starts
+    of the lengths that the file's rules have, and the hit with the least place decides; what meets the index are the
+    different paths, and the work for one does not grow with the number of rules.
+    """
+    bodies = robots.filter("body IS NOT NULL").withColumn("file", F.sha2(F.col("body").cast("binary"), 256))
+    files = bodies.groupBy("file").agg(F.first("body").alias("body")).select("file", policy.robots(F.col("body"), agent)["rules"].alias("rules"))
+    index = rule_index(files.filter(F.size("rules") > short))
+    lengths = index.groupBy("file").agg(F.collect_set(F.length("path")).alias("_lengths"))
+    tried = files.select("file", F.when(F.size("rules") <= short, F.col("rules")).alias("_rules")).join(lengths, "file", "left")
+    known = bodies.select("origin", "file").join(tried, "file").withColumnRenamed("file", "_file")
+    both = candidates.join(known, "origin", "left").withColumn("_path", policy.rule_path(F.col("url")))
+    asked = both.filter("_lengths IS NOT NULL").select(F.col("_file").alias("file"), "_path", "_lengths").distinct()
+    starts = F.transform(F.filter("_lengths", lambda n: n <= F.length("_path")), lambda n: F.substring(F.col("_path"), F.lit(1), n))
+    probes = asked.select("file", "_path", F.explode(F.array_distinct(F.concat(F.array(F.lit("*")), starts))).alias("path"))
+    hits = probes.join(index, ["file", "path"]).groupBy(F.col("file").alias("_file"), "_path").agg(F.min_by("allow", "at").alias("_hit"))
+    out = both.join(hits, ["_file", "_path"], "left")
+    told = F.when(F.col("_rules").isNotNull(), policy.first_fit(F.col("_rules"), F.col("_path"))).otherwise(F.col("_hit"))
+    return out.withColumn(name, F.coalesce(told, F.lit(True))).drop("_file", "_rules", "_lengths", "_path", "_hit")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigilspark.functions import columns as fn
 from vigilspark.operators import requests, runs, select
 from vigilspark.plans.registry import query, read
+from vigilspark.sources import tables
 
 _KIND = "CASE event_type WHEN 'signup' THEN 'new' WHEN 'click' THEN 'updated' WHEN 'view' THEN 'unchanged' WHEN 'error' THEN 'error' ELSE 'skipped_disallowed' END"
 
@@ -254,13 +255,15 @@ def win_14_silence(spark, sf):
     return requests.gaps(spotty_log(spark, sf), ["origin"]).filter(F.col("gap_s") > 5).select("event_id", "origin", F.round("gap_s", 3).alias("silence_s"))
 
 
-@query(f"WITH {LOG}, f AS (SELECT origin, strftime(ts, '%Y-%m-%d') AS day, count(*) AS rows FROM log GROUP BY ALL) SELECT origin, day, rows, CAST(day AS DATE) < (SELECT max(CAST(day AS DATE)) FROM f) - 14 AS expired FROM f")
+@query(f"""WITH {LOG}, f AS (SELECT origin, strftime(ts, '%Y-%m-%d') AS day, count(*) AS rows, max(ts) AS modified, CAST(substr(origin, 2) AS INT) * 2 AS days FROM log GROUP BY ALL)
+SELECT origin, day, rows, days > 0 AND modified < (SELECT max(ts) FROM log) - INTERVAL (days) DAY AS expired FROM f""")
 def flt_09_retention(spark, sf):
-    from pyspark.sql import Window
-
-    days = request_log(spark, sf).groupBy("origin", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("rows"))
-    last = days.agg(F.max("day").alias("last"))
-    return days.crossJoin(F.broadcast(last)).select("origin", "day", "rows", (F.datediff(F.to_date("last"), F.to_date("day")) > 14).alias("expired"))  # one row on the other side
+    """Session logs by host and day, each host with days of its own for which they are kept; the first host keeps them for ever."""
+    log = request_log(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    files = log.groupBy("origin", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("rows"), F.max("ts").alias("modified"))
+    now = files.agg(F.max("modified").alias("now"))
+    days = F.substring("origin", 2, 9).cast("int") * 2
+    return files.crossJoin(F.broadcast(now)).select("origin", "day", "rows", tables.expired(F.col("modified"), F.col("now"), days).alias("expired"))  # one row on the other side
 
 
 @query("SELECT event_id, concat_ws('-', 'fda', 's' || (user_id % 20), strftime(ts, '%Y%m%dT%H%M%SZ'), substr(sha1(concat_ws('|', 'fda', 's' || (user_id % 20), strftime(ts, '%Y%m%dT%H%M%SZ'))), 1, 8)) AS run_id, 'fda' AS regulation, 's' || (user_id % 20) AS source, strftime(ts, '%Y%m%dT%H%M%SZ') AS stamp FROM events")

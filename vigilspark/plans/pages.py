@@ -256,6 +256,14 @@ def udf_04_tables(spark, sf):
     return extract.read_tables(made).select("page_id", "table_no", "row_no", "body", "category", "classes", last["href"].alias("href"), last["text"].alias("text"))
 
 
+@query(f"""WITH {NAV} SELECT page_id, 0 AS table_no, pos AS row_no, 'List' AS category, href, text FROM lk WHERE href <> ''""")
+def udf_04_sql_tables(spark, sf):
+    """The same from SQL, by the table function."""
+    extract.register_functions(spark)
+    made = listing(spark, sf, cells("x", anchor_of()), "<h2>List</h2><table class='ecl-table'><tbody>", "</tbody></table>")
+    return spark.sql("SELECT page_id, table_no, row_no, category, cells[1].href AS href, cells[1].text AS text FROM {made}, LATERAL html_rows({made}.html) WHERE cells[1].href <> ''", made=made)
+
+
 # robots observations: one per page, on the page's origin, at a minute of its own. Files have a group for another agent, comments, and rules of their own
 _STATUS = "CASE page_id % 7 WHEN 0 THEN 404 WHEN 1 THEN 503 WHEN 2 THEN 401 ELSE 200 END"
 _BODY = """concat(CASE WHEN page_id % 2 = 0 THEN concat('User-agent: other', chr(10), 'Crawl-delay: 99', chr(10), 'Disallow: /', chr(10), chr(10)) ELSE '' END,
@@ -374,6 +382,16 @@ def ext_12_allowed_paths(spark, sf):
     return extract.allowed_paths(fetchable(spark, sf), files).select("page_id", "allowed")
 
 
+@query(f"WITH {CANDIDATES} SELECT page_id, NOT barred AND NOT (page_id % 3 = 2 AND starts_with('/pub', '/p' || CASE WHEN last % 2 = 0 THEN 'u' ELSE 'x' END)) AS allowed FROM ru")
+def ext_12_long_files(spark, sf):
+    """Files of some hundred rules, of which only the first and the last fit anything."""
+    files = robots(spark, sf).groupBy("origin").agg(F.max_by(F.struct("body", "page_id"), "page_id").alias("l"))
+    many = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(300)), lambda k: F.concat(F.lit("Disallow: /none/"), k.cast("string"), F.lit("/"))), chr(10))
+    last = F.when(F.col("l.page_id") % 2 == 0, "Disallow: /pu").otherwise("Disallow: /px")
+    files = files.select("origin", F.concat_ws(chr(10), "l.body", many, last).alias("body"))
+    return extract.allowed_paths(fetchable(spark, sf), files).select("page_id", "allowed")
+
+
 @query(f"""WITH {ROBOTS}, {_force('store')}, {CANDIDATES}, pol AS (SELECT page_id AS of, min_interval, start_min, end_min, zone FROM rb),
 j AS (SELECT ru.page_id, ru.barred, pf.state, pol.*, ((TIMESTAMP '{NOW}') AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS loc
 FROM ru JOIN pf ON pf.page_id = ru.last LEFT JOIN pol ON pol.of = pf.policy_of),

@@ -13,7 +13,7 @@ from vigilspark.plans.documents import A, ALL, B, C, ON
 from vigilspark.plans.events import BAD, CUTS, EST, EVT, LOG, RUNS
 from vigilspark.plans.orders import DEC, decisions
 from vigilspark.plans.registry import query
-from vigilspark.sources import tables
+from vigilspark.sources import arrays, tables
 from vigilspark.streaming import operators as streaming
 
 
@@ -99,12 +99,12 @@ def src_06_raw_bytes(spark, sf):
 
 @query("SELECT p_partkey AS product_code, p_name AS device_name, p_retailprice AS price FROM part")
 def src_08_bulk_arrays(spark, sf):
-    """The catalogue as JSON arrays, one for each brand, in files of their own, and read back as rows."""
+    """The catalogue as JSON arrays of at most 2000 records, in files of their own by brand, read back as rows by as many tasks as there are ranges."""
     root = tables.scratch(spark, "arrays")
     row = F.struct(F.col("p_partkey").alias("product_code"), F.col("p_name").alias("device_name"), F.col("p_retailprice").alias("price"))
-    arrays = documents.read(spark, sf, "part").groupBy("p_brand").agg(F.to_json(F.collect_list(row)).alias("value"))
-    arrays.repartition("p_brand").write.partitionBy("p_brand").text(root)
-    return tables.read_array(spark, f"{root}/*/*.txt", "product_code bigint, device_name string, price double")
+    blocks = documents.read(spark, sf, "part").groupBy("p_brand", F.floor(F.col("p_partkey") / 2000).alias("block")).agg(F.to_json(F.collect_list(row)).alias("value"))
+    tables.by_folder(blocks, "p_brand", "block").write.partitionBy("p_brand", "block").text(root)
+    return arrays.read_array(spark, f"{root}/*/*/*.txt", "product_code bigint, device_name string, price double")
 
 
 @query(f"WITH {LOG} SELECT 'session-' || (event_id % 4) AS session_id, count(*) AS lines, count(DISTINCT url) AS urls FROM log GROUP BY ALL")
@@ -261,6 +261,28 @@ def str_04_late_corrections(spark, sf):
     return streaming.run_to_end(streaming.corrections(stream, ["applicant", "priority"]), out, checkpoint).select("applicant", "priority")
 
 
+# decisions over 200 days come in four batches of fifty; every tenth comes a batch later, every twenty-third two
+_EDITS = "record_id * 7919 % 200"
+_BATCH = f"({_EDITS}) // 50 + CASE WHEN record_id % 23 = 0 THEN 2 WHEN record_id % 10 = 0 THEN 1 ELSE 0 END"
+
+
+@query(f"""WITH {DEC}, e AS (SELECT CAST(applicant AS VARCHAR) AS id, priority AS content_hash, ({_EDITS}) * 86400000000 + record_id AS us, {_BATCH} AS batch FROM dec),
+w AS (SELECT batch, max(max(us)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) // 1000 - 30::BIGINT * 86400000 AS mark FROM e GROUP BY batch),
+k AS (SELECT e.*, coalesce(us // 1000 < mark, false) AS late FROM e JOIN w USING (batch)),
+p AS (SELECT *, lag(content_hash) OVER o AS b, max(us) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM k WHERE NOT late WINDOW o AS (PARTITION BY id ORDER BY batch, us))
+SELECT id, us, content_hash, 'passed' AS outcome FROM p WHERE b IS DISTINCT FROM content_hash OR us >= m + 40::BIGINT * 86400000000 UNION ALL SELECT id, us, content_hash, 'late' FROM k WHERE late""")
+def str_04_edits(spark, sf):
+    """A record passes when it is new, changed, or was last seen 40 days before; what comes 30 days late or more is told apart."""
+    root, out, checkpoint = tables.scratch(spark, "edits"), tables.scratch(spark, "edits-out"), tables.scratch(spark, "edits-checkpoint")
+    day = F.expr(_EDITS)
+    rows = decisions(spark, sf).select(F.col("applicant").cast("string").alias("id"), F.col("priority").alias("content_hash"), F.timestamp_micros(day * 86_400_000_000 + F.col("record_id")).alias("ts"), F.expr(_BATCH.replace("//", "DIV")).alias("batch"))
+    with streaming.rocksdb(spark):
+        for k in range(6):
+            rows.filter(F.col("batch") == k).drop("batch").coalesce(1).write.mode("append").parquet(root)
+            told = streaming.run_to_end(streaming.edits(streaming.source(spark, root, rows.drop("batch").schema), "30 days", 40), out, checkpoint)
+    return told.select("id", F.unix_micros("ts").alias("us"), "content_hash", "outcome")
+
+
 @query(f"WITH {EVT} SELECT strftime(ts, '%Y-%m-%d') AS day, event, count(*) AS n FROM evt WHERE CAST(ts AS DATE) < (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) FROM evt) GROUP BY ALL")
 def str_05_daily(spark, sf):
     """Days that the watermark has passed; files are in order of time, so none comes late."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT = "run_id string, regulation string, source string, document_id string, event string, ts timestamp, url string, http_status int, content_hash string, storage_path string, error string"
@@ -169,3 +169,15 @@ def write_buckets(state: DataFrame, name: str, root: str, buckets: int, *key: st
 def in_buckets(batch: DataFrame, buckets: int, *key: str) -> DataFrame:
     """A batch in the partitions of a state's buckets."""
     return batch.repartition(buckets, *key)
+
+
+def expired(then: Column, now: Column, days: Column | int) -> Column:
+    """Whether a file of that time is older than the days for which files are kept. None or fewer days: files are kept for ever; so is a file without a time."""
+    days = F.lit(days) if isinstance(days, int) else days
+    return F.coalesce((days > 0) & (F.unix_micros(then) < F.unix_micros(now) - days.cast("bigint") * 86_400_000_000), F.lit(False))
+
+
+def expired_files(spark: SparkSession, root: str, now: Column, days: int, glob: str = "*.log") -> DataFrame:
+    """path and modified of the files below root that are to be removed. Only the listing is read, no file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    return files.filter(expired(F.col("modificationTime"), now, days)).select("path", F.col("modificationTime").alias("modified"))

@@ -172,3 +172,52 @@ def changes(captures: DataFrame, held: DataFrame | None = None, lateness: str |
     schema = "regulation string, source string, document_id string, us bigint, content_hash string, event string"
     told = timed.groupBy(*KEY).transformWithStateInPandas(_Changes(lateness is not None), schema, "append", "none" if lateness is None else "eventTime", first)
     return told.select(*KEY, F.timestamp_micros("us").alias("ts"), "content_hash", "event")
+
+
+class _Edits(StatefulProcessor):
+    """Keeps each record's last hash and time for a while; tells new content, and what comes too late."""
+
+    def __init__(self, hold_ms: int) -> None:
+        self.hold = hold_ms * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "hash string, us bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        late_before = timerValues.getCurrentWatermarkInMs()
+        held = self.last.get() if self.last.exists() else None
+        out, before = [], held
+        for us, digest in sorted((int(us), digest) for frame in rows for us, digest in zip(frame["us"], frame["content_hash"], strict=True)):
+            if us // 1000 < late_before:
+                out.append((*key, us, digest, "late"))
+                continue
+            if held is None or us >= held[1] + self.hold or held[0] != digest:
+                out.append((*key, us, digest, "passed"))
+            held = (digest, us if held is None else max(us, held[1]))
+        if held != before:
+            self.last.update(held)
+            self.handle.registerTimer((held[1] + self.hold) // 1000 + 1)
+        if out:
+            yield pd.DataFrame(out, columns=["id", "us", "content_hash", "outcome"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.last.exists() and (self.last.get()[1] + self.hold) // 1000 + 1 <= expiredTimerInfo.getExpiryTimeInMs():
+            self.last.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def edits(records: DataFrame, lateness: str = "30 days", hold_days: int = 30) -> DataFrame:
+    """Records (id, content_hash, ts) whose content is new: passed; and those that come behind the watermark: late (they change nothing).
+
+    Within a batch a record's rows count by time. One passes if nothing is held of its id, if the hash is another one than the
+    last, or if the last is hold_days old by the rows' times. What is held of an id goes once the watermark has passed
+    that, so state does not grow with all ids ever seen. Repeats give no row.
+    """
+    # the processor itself tells late rows, so the column that has the watermark does not reach it
+    timed = records.withWatermark("ts", lateness).select(F.col("id").cast("string").alias("id"), "content_hash", F.unix_micros("ts").alias("us"))
+    told = timed.groupBy("id").transformWithStateInPandas(_Edits(hold_days * 86_400_000), "id string, us bigint, content_hash string, outcome string", "append", "eventTime")
+    return told.select("id", F.timestamp_micros("us").alias("ts"), "content_hash", "outcome")
