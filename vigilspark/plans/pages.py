@@ -141,9 +141,18 @@ def ext_06_latest_version(spark, sf):
     return extract.consolidated(acts, anchors)
 
 
-@query("SELECT page_id, CASE WHEN contains(s, '.') THEN s END AS filename FROM (SELECT page_id, regexp_extract(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1), '([^/]*)$', 1) AS s FROM pages)")
+# every fourth URL has parameters behind a segment, some of them with a dot
+_WITH_PARAMS = "CASE page_id % 4 WHEN 0 THEN concat(regexp_replace(url, '[?#].*$', ''), ';v=1.', page_id, '?q') WHEN 1 THEN concat(regexp_replace(url, '[?#].*$', ''), ';a=b/c', page_id, '.x;y.z') ELSE url END"
+PARAMS = f"pu AS (SELECT page_id, {_WITH_PARAMS} AS url FROM pages), pp AS (SELECT page_id, url, regexp_replace(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1), ';[^/]*$', '') AS path FROM pu)"
+
+
+def with_params(spark, sf) -> DataFrame:
+    return pages(spark, sf).withColumn("url", F.expr(_WITH_PARAMS))
+
+
+@query(f"WITH {PARAMS} SELECT page_id, CASE WHEN contains(s, '.') THEN s END AS filename FROM (SELECT page_id, regexp_extract(path, '([^/]*)$', 1) AS s FROM pp)")
 def fn_03_url_filename(spark, sf):
-    return pages(spark, sf).select("page_id", fn.url_filename(F.col("url")).alias("filename"))
+    return with_params(spark, sf).select("page_id", fn.url_filename(F.col("url")).alias("filename"))
 
 
 _HEADER = "CASE page_id % 5 WHEN 0 THEN concat('attachment; filename=\"page ', page_id, '.pdf\"') WHEN 1 THEN concat('attachment; filename=plain', page_id, '.doc; x=1') WHEN 2 THEN concat('attachment; filename=\"old.pdf\"; filename*=UTF-8''''caf%C3%A9%20', page_id, '.pdf') WHEN 3 THEN concat('inline; FILENAME*=iso-8859-1\\'en\\'r%E9sum%E9-', page_id, '.pdf;x=\"a;b\"') END"
@@ -163,10 +172,10 @@ def fn_05_fn_06_absolute_url(spark, sf):
 _UUID = "'0a1b2c3d-0000-4000-8000-' || lpad(CAST(page_id AS {0}), 12, '0')"
 
 
-@query(f"SELECT page_id, CASE WHEN page_id % 3 = 0 THEN {_UUID.format('VARCHAR')} ELSE sha1(url)[1:16] END AS by_uuid, coalesce(CASE WHEN regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) = '' THEN nullif(regexp_extract(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1), '([^/]*)/*$', 1), '') END, sha1(url)[1:16]) AS by_slug FROM pages")
+@query(f"WITH {PARAMS} SELECT page_id, CASE WHEN page_id % 3 = 0 THEN {_UUID.format('VARCHAR')} ELSE sha1(url)[1:16] END AS by_uuid, coalesce(CASE WHEN regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) = '' THEN nullif(regexp_extract(path, '([^/]*)/*$', 1), '') END, sha1(url)[1:16]) AS by_slug FROM pp")
 def fn_07_fn_08_document_ids(spark, sf):
     with_uuid = F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit("/document/download/"), F.expr(_UUID.format("STRING").replace("||", ",").join(("concat(", ")"))), F.lit("_en?x")))
-    return pages(spark, sf).select("page_id", fn.uuid_or_hash(F.coalesce(with_uuid, "url")).alias("by_uuid"), fn.slug_or_hash(F.col("url")).alias("by_slug"))
+    return with_params(spark, sf).select("page_id", fn.uuid_or_hash(F.coalesce(with_uuid, "url")).alias("by_uuid"), fn.slug_or_hash(F.col("url")).alias("by_slug"))
 
 
 _TYPES = "CASE e WHEN 'pdf' THEN 'application/pdf' WHEN 'docx' THEN 'application/vnd.openxmlformats-officedocument.wordprocessingml.document' ELSE 'text/html' END"
