@@ -65,3 +65,9 @@ def test_snapshots_keep_their_partitions(spark, monkeypatch):
     monkeypatch.setattr(storage.streaming, "source", lambda spark, root, *a: roots.add(root) or source(spark, root, *a))
     assert QUERIES["str_03_streaming_changes"](spark, SF).count() > 0
     assert len(spark.read.parquet(roots.pop()).inputFiles()) == 9
+
+
+@pytest.mark.parametrize("name,most", [("src_07_unnest_pages", 2), ("src_07_max_records", 2), ("join_05_source_summary", 6), ("win_01_run_cut", 4)])
+def test_scans(spark, name, most):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= most

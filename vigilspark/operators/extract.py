@@ -40,6 +40,10 @@ CELLS = (
 )
 
 
+class _Over(Exception):
+    """The region is over; nothing behind it counts."""
+
+
 class _Links(HTMLParser):
     """Anchors with a target inside the first element that has an attribute's value (or is of a tag); all of the page's without either."""
 
@@ -73,7 +77,7 @@ class _Links(HTMLParser):
         if self.inside and tag == self.name:
             self.depth -= 1
             if not self.depth:
-                self.inside, self.open = False, None
+                raise _Over
 
     def handle_data(self, data):
         if self.open is not None and data.strip():
@@ -83,8 +87,11 @@ class _Links(HTMLParser):
 def page_links(html: str | None, tag: str | None = None, attribute: tuple[str, str] | None = None) -> list[tuple[str, str]] | None:
     """Target and text (nodes stripped, joined by nothing) of each anchor of the region; None without the region."""
     parser = _Links(tag, attribute)
-    parser.feed(html or "")
-    parser.close()
+    try:
+        parser.feed(html or "")
+        parser.close()
+    except _Over:
+        pass
     return [(href, "".join(nodes)) for href, nodes in parser.found] if parser.seen else None
 
 

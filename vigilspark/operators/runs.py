@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilspark.operators.changes import no_metadata, version_count
@@ -15,10 +15,11 @@ CRASHED = "__run__"
 ERROR_PART = 1000
 
 
-def counters(events: DataFrame, key: list[str] = RUN) -> DataFrame:
+def counters(events: DataFrame, key: list[str] = RUN, *more: Column) -> DataFrame:
     """Per run: checked, new, updated, unchanged, errors, started and finished time, status.
 
     Status: failed if the run itself crashed (an error on CRASHED), else partial_failure if anything failed, else success.
+    more: other aggregates of the same pass.
     """
     kind = F.col("event")
     out = events.groupBy(*key).agg(
@@ -27,7 +28,7 @@ def counters(events: DataFrame, key: list[str] = RUN) -> DataFrame:
         F.count_if(kind.isin(*ERRORS)).alias("errors"),
         F.min("ts").alias("started_at"),
         F.max("ts").alias("finished_at"),
-        F.count_if((kind == "error") & (F.col("document_id") == CRASHED)).alias("_crashes"),
+        F.count_if((kind == "error") & (F.col("document_id") == CRASHED)).alias("_crashes"), *more,
     )
     status = F.when(F.col("_crashes") > 0, "failed").when(F.col("errors") > 0, "partial_failure").otherwise("success")
     return out.withColumn("status", status).drop("_crashes")
@@ -36,16 +37,19 @@ def counters(events: DataFrame, key: list[str] = RUN) -> DataFrame:
 def summaries(events: DataFrame, cuts: DataFrame | None = None, key: list[str] = RUN) -> DataFrame:
     """Run summaries: counters, error_details (the first ERROR_PART; error_list has all), skipped_already_known and stop_reason.
 
-    cuts: candidates with run_cut's label and stop_reason, and the key. A crashed run's stop_reason is hard_stop.
+    cuts: candidates with run_cut's label and stop_reason, and the key. Where these are the events themselves, with
+    their columns, one pass counts both. A crashed run's stop_reason is hard_stop.
     """
     first = error_list(events, key).filter("part = 0").drop("part")
-    out = counters(events, key).join(first, key, "left")
     zero, whole = F.lit(0).cast("bigint"), F.lit("completed")
+    told = (F.count_if(F.col("label") == "skipped_known").alias("_skipped"), F.first("stop_reason").alias("_reason"))
     if cuts is None:
-        out = out.withColumns({"skipped_already_known": zero, "_reason": whole})
+        out = counters(events, key).withColumns({"_skipped": zero, "_reason": whole})
+    elif set(events.columns) <= set(cuts.columns):
+        out = counters(cuts, key, *told)
     else:
-        told = cuts.groupBy(*key).agg(F.count_if(F.col("label") == "skipped_known").alias("_skipped"), F.first("stop_reason").alias("_reason"))
-        out = out.join(told, key, "left").withColumn("skipped_already_known", F.coalesce("_skipped", zero)).drop("_skipped")
+        out = counters(events, key).join(cuts.groupBy(*key).agg(*told), key, "left")
+    out = out.join(first, key, "left").withColumn("skipped_already_known", F.coalesce("_skipped", zero)).drop("_skipped")
     reason = F.when(F.col("status") == "failed", "hard_stop").otherwise(F.coalesce("_reason", whole))
     none = F.array().cast("array<struct<document_id:string,error:string>>")
     return out.withColumns({"stop_reason": reason, "error_details": F.coalesce("error_details", none)}).drop("_reason")
@@ -89,9 +93,9 @@ COUNTS = ("last_checked", "last_new", "last_updated", "last_unchanged", "last_sk
 
 
 def source_summary(registry: DataFrame, documents: DataFrame, runs: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Every source of the registry with its documents, latest run and estimate; untouched ones show zero."""
+    """Every source of the registry with its documents (a row each, or counted as documents), latest run and estimate; untouched ones show zero."""
     key = ["regulation", "source"]
-    counts = documents.groupBy(*key).agg(F.count("*").alias("documents"))
+    counts = documents if "documents" in documents.columns else documents.groupBy(*key).agg(F.count("*").alias("documents"))
     last = latest_run(runs, list(LAST.values())).select(*key, *(F.col(old).alias(new) for new, old in LAST.items()))
     told = estimates.select(*key, "total_available", "already_known", "remaining", F.col("note").alias("estimate_note"), F.col("computed_at").alias("estimate_computed_at"))
     zero = F.lit(0).cast("bigint")

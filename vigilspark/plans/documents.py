@@ -284,9 +284,8 @@ def fn_01_slug(spark, sf):
 
 @query(f"WITH {B}, n AS (SELECT *, row_number() OVER (PARTITION BY regulation, source ORDER BY pos) AS seq FROM B) SELECT document_id, concat_ws('/', regulation, source, 'documents', document_id, 'current.' || ext) AS current_path, concat_ws('/', regulation, source, 'documents', document_id, 'versions', strftime(ts, '%Y%m%dT%H%M%S+0000') || '__' || content_hash[1:8] || '.' || ext) AS version_path, concat_ws('/', regulation, source, '_manifest/events', strftime(ts, '%Y/%m/%d'), concat_ws('__', source || '-b', lpad(CAST(seq AS VARCHAR), 5, '0'), document_id, 'new') || '.json') AS event_path FROM n")
 def fn_14_paths(spark, sf):
-    from pyspark.sql import Window
-
-    rows = snapshot(spark, sf, "B").withColumn("seq", F.row_number().over(Window.partitionBy("regulation", "source").orderBy("pos")))
+    rows = snapshot(spark, sf, "B").withColumn("_back", -F.floor(F.col("pos") / 1000))
+    rows = select.numbered(rows, ["regulation", "source"], "_back", [F.col("pos")], "seq").withColumn("seq", F.col("seq") + 1)
     return rows.select("document_id", changes.current_path(F.col("ext")).alias("current_path"), changes.version_path(F.col("ts"), F.col("content_hash"), F.col("ext")).alias("version_path"), changes.event_path(F.col("ts"), F.concat("source", F.lit("-b")), F.col("seq"), F.lit("new")).alias("event_path"))
 
 

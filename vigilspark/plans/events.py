@@ -115,12 +115,21 @@ def run_summaries(spark, sf):
     """Run summaries with what their candidates tell."""
     events = fetch_events(spark, sf)
     outcome = F.when(F.col("event_id") % 13 == 0, "hard_stop").when(F.col("event").isin(*runs.ERRORS), "error").otherwise("ok")
-    candidates = events.select(*runs.RUN, "event_id", (F.col("event_id") % 4 == 0).alias("known"), outcome.alias("outcome"))
+    candidates = events.withColumns({"known": F.col("event_id") % 4 == 0, "outcome": outcome})
     return runs.summaries(events, select.run_cut(candidates, ["run_id"], "event_id", None))
 
 
-def estimates(events):
-    out = events.filter("source <> 's7'").groupBy("regulation", "source").agg(F.count_distinct("document_id").alias("total_available"), F.count_distinct(F.when(F.col("event") == "new", F.col("document_id"))).alias("already_known"))
+def counted(events):
+    """Documents of each source: held, told of, and new, in one pass."""
+    of = lambda condition: F.count_distinct(F.when(condition, F.col("document_id")))
+    kind = F.col("event")
+    return events.groupBy("regulation", "source").agg(
+        of(kind.isin("new", "updated", "unchanged")).alias("documents"), F.count_distinct("document_id").alias("total_available"), of(kind == "new").alias("already_known")
+    )
+
+
+def estimates(events, counts=None):
+    out = (counted(events) if counts is None else counts).filter("source <> 's7'").drop("documents")
     noted = F.concat(F.lit("of "), "source").alias("note"), F.lit("2024-02-01T00:00:00+00:00").alias("computed_at")
     return out.withColumn("remaining", select.remaining(F.col("total_available"), F.col("already_known"))).select("*", *noted)
 
@@ -137,7 +146,8 @@ FROM reg LEFT JOIN (SELECT regulation, source, count(*) AS n FROM docs GROUP BY
 
 def summary(spark, sf):
     events = fetch_events(spark, sf)
-    out = runs.source_summary(_registry(spark, sf), held(events), run_summaries(spark, sf), estimates(events))
+    counts = counted(events)
+    out = runs.source_summary(_registry(spark, sf), counts.select("regulation", "source", "documents"), run_summaries(spark, sf), estimates(events, counts))
     return out.withColumns({c: stamp(c) for c in ("last_started_at", "last_finished_at")})
 
 

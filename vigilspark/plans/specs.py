@@ -24,6 +24,10 @@ FDA, OPEN_FDA, FILES = "https://www.fda.gov", "https://api.fda.gov/device", "htt
 EU, CANADA, LICENCES = "https://health.ec.europa.eu", "https://www.canada.ca", "https://health-products.canada.ca/api/medical-devices/licence/"
 RECALL_DATA = "https://recalls-rappels.canada.ca/sites/default/files/opendata-donneesouvertes/HCRSAMOpenData.json"
 HDE_LISTING = f"{FDA}/medical-devices/hde-approvals/listing-cdrh-humanitarian-device-exemptions"
+#: Titles, reasons and errors as they are stored.
+CLEARANCE_FILE, CLEARANCE_NONE, CLEARANCE_REASON = "510(k) Summary — ", "510(k) Summary — not applicable (", "statement_or_summary != 'Summary'"
+PMA_FILE, HDE_FILE, HDE_NONE, HDE_REASON = "PMA Approval Order — ", "HDE Approval Order — ", "HDE Approval Order — not applicable (", "no detail page listed"
+NO_PLACE = "cannot derive PDF path from "
 FIELDS = ["regulation", "source", "document_id", "pos", "title", "url", "ext", "content_type", "source_metadata", "content"]
 
 
@@ -186,8 +190,8 @@ def _clearances(raw: DataFrame) -> DataFrame:
     url = F.concat(F.lit(f"{OPEN_FDA}/510k.json?search=k_number:"), k)
     return _fanned(
         raw, k, "summary", F.col("device_name"), url, meta,
-        fn.pdf_url(FILES, k), F.concat(F.lit("510(k) Summary — "), F.coalesce("device_name", k)), metadata(k_number=k),
-        ~_no(F.col("statement_or_summary") == "Summary"), F.concat(F.lit("510(k) Summary — not applicable ("), k, F.lit(")")), url, "statement_or_summary != 'Summary'",
+        fn.pdf_url(FILES, k), F.concat(F.lit(CLEARANCE_FILE), F.coalesce("device_name", k)), metadata(k_number=k),
+        ~_no(F.col("statement_or_summary") == "Summary"), F.concat(F.lit(CLEARANCE_NONE), k, F.lit(")")), url, CLEARANCE_REASON,
     )
 
 
@@ -202,7 +206,7 @@ def _pma(raw: DataFrame) -> DataFrame:
     url = F.concat(F.lit(f"{OPEN_FDA}/pma.json?search=pma_number:"), F.coalesce("pma_number", F.lit("None")))
     return _fanned(
         raw, d, "order", fn.first_of(F.col("trade_name"), F.col("generic_name")), url, meta,
-        fn.pdf_url(FILES, number, F.concat(d, F.lit("A"))), F.concat(F.lit("PMA Approval Order — "), F.coalesce("trade_name", d)),
+        fn.pdf_url(FILES, number, F.concat(d, F.lit("A"))), F.concat(F.lit(PMA_FILE), F.coalesce("trade_name", d)),
         metadata(pma_number=number, supplement_number=F.col("supplement_number")), F.lit(False), F.lit(""), F.lit(""), "",
     )
 
@@ -214,8 +218,8 @@ def _hde(raw: DataFrame) -> DataFrame:
     number = F.col("hde_number")
     return _fanned(
         rows, number, "order", F.col("device_name"), F.lit(HDE_LISTING), plucked("hde_number", "approval_date", "company"),
-        fn.pdf_url(FILES, number, F.concat(number, F.lit("A"))), F.concat(F.lit("HDE Approval Order — "), "device_name"), plucked("hde_number"),
-        ~F.col("has_detail_page"), F.concat(F.lit("HDE Approval Order — not applicable ("), number, F.lit(")")), F.lit(HDE_LISTING), "no detail page listed",
+        fn.pdf_url(FILES, number, F.concat(number, F.lit("A"))), F.concat(F.lit(HDE_FILE), "device_name"), plucked("hde_number"),
+        ~F.col("has_detail_page"), F.concat(F.lit(HDE_NONE), number, F.lit(")")), F.lit(HDE_LISTING), HDE_REASON,
     )
 
 
@@ -311,7 +315,7 @@ def file_errors(records: DataFrame, number: Column, second: str, wanted: Column
     """Records whose number tells no place of a file: document_id and error."""
     bad = ~_no(F.substring(number, 2, 2).rlike("^[0-9]{2}$"))
     kept = records.filter(bad if wanted is None else bad & wanted)
-    return kept.select(F.concat_ws("/", number, F.lit(second)).alias("document_id"), F.concat(F.lit("cannot derive PDF path from "), number).alias("error"))
+    return kept.select(F.concat_ws("/", number, F.lit(second)).alias("document_id"), F.concat(F.lit(NO_PLACE), number).alias("error"))
 
 
 SETTINGS = {"enabled": "boolean", "rps": "double", "max_new": "int", "recheck_after_days": "int", "lookback_days": "int", "time_budget_minutes": "int"}
