@@ -55,7 +55,7 @@ def test_run(spark, kept):
 
 
 def test_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 
