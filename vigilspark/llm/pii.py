@@ -120,11 +120,17 @@ _OPEN, _CLOSE, _GAP = r"[(\[{<]", r"[)\]}>]", r"[ \t]{0,3}"
 _LABEL = "[A-Za-z0-9-]{1,63}"
 _BOX_DOT = rf"{_GAP}{_OPEN}{_GAP}(?:{DOT_WORDS}|\.){_GAP}{_CLOSE}{_GAP}"
 _BARE_DOT = rf"[ \t]{{1,3}}(?:{DOT_WORDS})[ \t]{{1,3}}"
+_WORD_LABEL = "[A-Za-z0-9]{1,63}"
+_JOINED_DOT = rf"[_-](?:{DOT_WORDS})[_-]"
+# a name that no plain word is: it has a letter, and a digit or a sign
+_LOCAL_NAME = r"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9._+-]{0,63}[0-9._+])(?=[0-9._+-]{0,63}[A-Za-z])[A-Za-z0-9][A-Za-z0-9._+-]{1,63}"
+_BARE_AT = re.compile(rf"{_LOCAL_NAME}(?P<sign>[ \t](?:{AT_WORDS})[ \t])(?={_LABEL}(?:\.{_LABEL}){{1,4}}(?![A-Za-z0-9-]))", re.I)
 _SIGNS = re.compile(
     rf"(?P<at>{_GAP}{_OPEN}{_GAP}(?:{AT_WORDS}|@){_GAP}{_CLOSE}{_GAP}"
     rf"|[ \t]{{1,3}}(?:{AT_WORDS})[ \t]{{1,3}}(?={_LABEL}(?:\.{_LABEL}){{0,4}}(?:{_BOX_DOT}|{_BARE_DOT})[A-Za-z0-9])"
+    rf"|(?<=[A-Za-z0-9])[_-](?:{AT_WORDS})[_-](?={_WORD_LABEL}{_JOINED_DOT}[A-Za-z0-9])"
     r"|(?<=[A-Za-z0-9])[ \t]@[ \t]?(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@[ \t](?=[A-Za-z0-9]))"
-    rf"|(?P<dot>(?<=[A-Za-z0-9])(?:{_BOX_DOT}|{_BARE_DOT}|[ \t]\.[ \t])(?=[A-Za-z0-9]))",
+    rf"|(?P<dot>(?<=[A-Za-z0-9])(?:{_BOX_DOT}|{_BARE_DOT}|{_JOINED_DOT}|[ \t]\.[ \t])(?=[A-Za-z0-9]))",
     re.I,
 )
 
@@ -175,8 +181,14 @@ def signs(text: str) -> Iterator[tuple[int, int, str]]:
         yield *m.span(), "@" if m["at"] else "."
 
 
+def bare_at(text: str) -> Iterator[tuple[int, int, str]]:
+    """A bare at between what looks like an account's name and a domain that is written out."""
+    for m in _BARE_AT.finditer(text):
+        yield *m.span("sign"), "@"
+
+
 #: The transducers in order. Those on ASCII texts that have nothing to change give their input back.
-TRANSDUCERS = (look_alikes, digit_letters, spelled_digits, signs)
+TRANSDUCERS = (look_alikes, digit_letters, spelled_digits, signs, bare_at)
 
 
 def normalised(text: str) -> tuple[str, list[Tape]]:
