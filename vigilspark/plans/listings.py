@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigilspark.plans import specs
+from vigilspark.plans import pages, specs
+from vigilspark.plans.pages import NAV
 from vigilspark.plans.registry import query, read
 
 _FIRST = "QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY pos) = 1"
@@ -102,3 +103,38 @@ def spec_fda_guidance(spark, sf):
     rows = specs.SPECS["fda:guidance"].candidates(_raw(spark, sf, "orders", _GUIDANCE))
     m = F.col("source_metadata")
     return rows.select("document_id", "pos", "title", "url", m["issuing_office"].alias("office"), m["docket_number"].alias("docket"), m["open_for_comment"].alias("open"))
+
+
+_HDE = "https://www.fda.gov/medical-devices/hde-approvals/listing-cdrh-humanitarian-device-exemptions"
+
+
+@query(f"""WITH {NAV}, h AS (SELECT page_id * 1000000000 + pos AS pos, {pages._NUMBER} AS n, 'Dev ice ' || text AS name, pos % 3 <> 2 AND href <> '' AS linked, CASE WHEN pos % 3 = 2 THEN {pages._NUMBER} ELSE '1999' END AS day FROM lk WHERE pos % 5 <> 4),
+a AS (SELECT n || '/metadata' AS document_id, pos * 2 AS pos, name AS title, '{_HDE}' AS url, 'json' AS ext, day, NULL AS reason FROM h
+UNION ALL SELECT n || '/order', pos * 2 + 1, CASE WHEN linked THEN 'HDE Approval Order — ' || name ELSE 'HDE Approval Order — not applicable (' || n || ')' END,
+CASE WHEN linked THEN 'https://www.accessdata.fda.gov/cdrh_docs/pdf' || n[2:3] || '/' || n || 'A.pdf' ELSE '{_HDE}' END, CASE WHEN linked THEN 'pdf' ELSE 'json' END, NULL, CASE WHEN NOT linked THEN 'no detail page listed' END FROM h)
+SELECT * FROM a {_FIRST}""")
+def spec_fda_hde(spark, sf):
+    """Approvals of all pages: the record, and the order or the note that there is none."""
+    rows = specs.SPECS["fda:hde"].candidates(pages.approvals_listing(spark, sf))
+    m = F.col("source_metadata")
+    return rows.select("document_id", "pos", "title", "url", "ext", m["approval_date"].alias("day"), m["reason"].alias("reason"))
+
+
+@query(f"""WITH {NAV}, r AS (SELECT page_id * 1000000000 + pos + 1 AS pos, CASE WHEN starts_with(href, 'http') THEN href ELSE 'https://health.ec.europa.eu' || href END AS url, CASE WHEN pos % 2 = 0 THEN 'R' || pos END AS reference, text FROM lk WHERE href <> ''),
+k AS (SELECT *, sha1(url)[1:16] AS document_id, lower(regexp_extract(url, '\\.([A-Za-z0-9]+)$', 1)) AS e FROM r), l AS (SELECT document_id, min(pos) AS pos, max(pos) AS last FROM k GROUP BY document_id)
+SELECT document_id, l.pos, coalesce(nullif(text, ''), reference, document_id) AS title, url, CASE WHEN e IN ('pdf', 'doc', 'docx', 'xlsx') THEN e ELSE 'html' END AS ext, reference, 'TopicA' AS category FROM l JOIN k USING (document_id) WHERE k.pos = last""")
+def spec_eu_mdcg_guidance(spark, sf):
+    """Classed tables of all pages, under a hash of each row's link."""
+    rows = specs.SPECS["eu:mdcg_guidance"].candidates(pages.classed_listing(spark, sf))
+    m = F.col("source_metadata")
+    return rows.select("document_id", "pos", "title", "url", "ext", m["reference"].alias("reference"), m["category"].alias("category"))
+
+
+@query(f"""WITH {NAV}, r AS (SELECT page_id, 0 AS pos, '/in/' || page_id || '?a=1&b=2' AS href, 'Tom &J' || page_id AS text FROM pages WHERE page_id % 5 <> 4 UNION ALL SELECT page_id, pos + 1, href, text FROM lk WHERE page_id % 5 <> 4),
+u AS (SELECT page_id * 1000000000 + pos AS pos, text, CASE WHEN starts_with(href, 'http') THEN href ELSE 'https://www.canada.ca' || href END AS url FROM r WHERE href <> '' AND text <> ''),
+p AS (SELECT *, regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(.*)$', 1) AS path, regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) AS q FROM u),
+k AS (SELECT *, coalesce(CASE WHEN q = '' THEN nullif(regexp_extract(regexp_replace(path, ';[^/]*$', ''), '([^/]*)/*$', 1), '') END, sha1(url)[1:16]) AS document_id FROM p WHERE NOT (path IN ('', '/') AND q = '')),
+l AS (SELECT document_id, min(pos) AS pos, max(pos) AS last FROM k GROUP BY document_id) SELECT document_id, l.pos, text AS title, url FROM l JOIN k USING (document_id) WHERE k.pos = last""")
+def spec_ca_guidance(spark, sf):
+    """Links of the main regions of all pages, under the last segment of their path or a hash."""
+    return specs.SPECS["ca:guidance"].candidates(pages.main_pages(spark, sf)).select("document_id", "pos", "title", "url")

@@ -43,8 +43,11 @@ _MAIN = """concat('<ul><a href="/noise">n</a></ul><main role="main" ', CASE WHEN
 UNION ALL SELECT page_id, false, pos + 1, href, text FROM lk WHERE page_id % 5 <> 4
 UNION ALL SELECT page_id, true, NULL, NULL, NULL FROM pages WHERE page_id % 5 = 4""")
 def ext_04_main_region(spark, sf):
-    listing = pages(spark, sf).select("page_id", F.expr(_MAIN.replace("''/in/", r"\'/in/").replace("b=2''>", r"b=2\'>")).alias("html"))
-    return extract.region_links(listing, attribute=("property", "mainContentOfPage"))
+    return extract.region_links(main_pages(spark, sf), attribute=("property", "mainContentOfPage"))
+
+
+def main_pages(spark, sf) -> DataFrame:
+    return pages(spark, sf).select("page_id", F.expr(_MAIN.replace("''/in/", r"\'/in/").replace("b=2''>", r"b=2\'>")).alias("html"))
 
 
 _SNIPPET = """concat('<p><a name="', page_id, '">no target</a> <a class=k href="/p/', page_id, '?x&amp;y">Firm <i> ', page_id, '</i> &amp; Co </a><a href="/other">o</a>')"""
@@ -237,24 +240,32 @@ _NUMBER = "'H' || lpad(CAST((page_id * 10 + pos) % 1000000 AS VARCHAR), 6, '0')"
 @query(f"""WITH {NAV} SELECT page_id, {_NUMBER} AS number, CASE WHEN pos % 3 = 2 THEN {_NUMBER} ELSE '1999' END AS approval_date, 'Dev ice ' || text AS device_name, 'Co' AS company,
 'D' || pos AS description, pos % 3 <> 2 AND href <> '' AS has_detail_page FROM lk WHERE pos % 5 <> 4""")
 def ext_02_approvals(spark, sf):
+    return extract.approvals(extract.read_tables(approvals_listing(spark, sf))).drop("row_no")
+
+
+def approvals_listing(spark, sf) -> DataFrame:
     """Approvals: the number with its link, or, in withdrawn rows, in both first cells without one; rows of four cells are none."""
     number = F.concat(F.lit("H"), F.lpad(((F.col("page_id") * 10 + F.col("pos")) % 1000000).cast("string"), 6, "0"))
     linked = anchor_of(number)
     old, short = F.col("pos") % 3 == 2, F.col("pos") % 5 == 4
     whole = cells(F.when(old, number).otherwise("1999"), F.when(old, number).otherwise(linked), F.concat(F.lit("Dev <i>ice</i> "), "text"), "Co", F.concat(F.lit("D"), F.col("pos")))
     row = F.when(short, cells("1999", linked, "x", "y")).otherwise(whole)
-    return extract.approvals(extract.read_tables(listing(spark, sf, row, "<table>", "</table>"))).drop("row_no")
+    return listing(spark, sf, row, "<table>", "</table>")
 
 
 @query(f"""WITH {NAV} SELECT page_id, 0 AS table_no, pos + 1 AS row_no, CASE WHEN starts_with(href, 'http') THEN href ELSE 'https://base.example.gov' || href END AS url,
 CASE WHEN pos % 2 = 0 THEN 'R' || pos END AS reference, text AS title, NULL AS publication, 'TopicA' AS category FROM lk WHERE href <> ''""")
 def ext_03_classed_rows(spark, sf):
+    return extract.classed_rows(extract.read_tables(classed_listing(spark, sf)), BASE)
+
+
+def classed_listing(spark, sf) -> DataFrame:
     """Rows of classed tables by header attribute, under the heading before them."""
     cell = lambda header, value: F.concat(F.lit(f"<td data-ecl-table-header=' {header} '>"), value, F.lit("</td>"))
     reference = F.when(F.col("pos") % 2 == 0, F.concat(F.lit("R"), F.col("pos"))).otherwise("")
     row = F.concat(F.lit("<tr>"), cell("Reference", reference), cell("Title", anchor_of()), F.lit("</tr>"))
     head, tail = "<h2>Topic <b>A</b></h2><table class='x ecl-table'><tr><th>h</th></tr>", "</table><h3>B</h3><table class='other'><tr></tr><tr><td><a href='/no'>n</a></td></tr></table>"
-    return extract.classed_rows(extract.read_tables(listing(spark, sf, row, head, tail)), BASE)
+    return listing(spark, sf, row, head, tail)
 
 
 @query(f"""WITH {NAV} SELECT page_id, 0 AS table_no, pos AS row_no, 0 AS body, 'List' AS category, 'ecl-table' AS classes, href, text FROM lk""")

@@ -86,6 +86,11 @@ def rows_of(df: DataFrame, document_id: Column, title: Column, url: Column, ext:
     )
 
 
+def placed(page: str, row: Column) -> Column:
+    """A row's place in a listing of one or several pages."""
+    return F.col(page).cast("bigint") * 1_000_000_000 + row
+
+
 def once(rows: DataFrame, keep: str) -> DataFrame:
     values = [c for c in FIELDS[2:] if c not in ("document_id", "pos")]
     return (select.first_of_key if keep == "first" else select.first_place_last_value)(rows, ["document_id"], "pos", values)
@@ -213,8 +218,8 @@ def _pma(raw: DataFrame) -> DataFrame:
 
 @source("fda", "hde")
 def _hde(raw: DataFrame) -> DataFrame:
-    """raw: page_id and html of the listing."""
-    rows = extract.approvals(extract.read_tables(raw)).withColumnsRenamed({"number": "hde_number", "row_no": "pos"}).drop("page_id")
+    """raw: page_id (a number) and html of the listing's pages."""
+    rows = extract.approvals(extract.read_tables(raw)).withColumnRenamed("number", "hde_number").withColumn("pos", placed("page_id", F.col("row_no"))).drop("page_id", "row_no")
     number = F.col("hde_number")
     return _fanned(
         rows, number, "order", F.col("device_name"), F.lit(HDE_LISTING), plucked("hde_number", "approval_date", "company"),
@@ -270,10 +275,10 @@ def _letters(raw: DataFrame) -> DataFrame:
 
 @source("eu", "mdcg_guidance", keep="last")
 def _mdcg(raw: DataFrame) -> DataFrame:
-    """raw: page_id and html of the listing."""
+    """raw: page_id (a number) and html of the listing's pages."""
     rows = extract.classed_rows(extract.read_tables(raw), EU).withColumn("document_id", fn.uuid_or_hash(F.col("url"))).withColumn("ext", fn.extension(F.col("url")))
     title = fn.first_of(F.col("title"), F.col("reference"), F.col("document_id"))
-    pos = F.col("table_no").cast("bigint") * 1_000_000 + F.col("row_no")
+    pos = placed("page_id", F.col("table_no").cast("bigint") * 1_000_000 + F.col("row_no"))
     return rows_of(rows, F.col("document_id"), title, F.col("url"), F.col("ext"), fn.content_type(F.col("ext")), plucked("reference", "category", "publication"), pos=pos)
 
 
@@ -305,10 +310,10 @@ def _ca_recalls(raw: DataFrame) -> DataFrame:
 
 @source("ca", "guidance", keep="last")
 def _ca_guidance(raw: DataFrame) -> DataFrame:
-    """raw: page_id and html of the listing. Links of the main region that lead to a document, not to a whole site."""
+    """raw: page_id (a number) and html of the listing's pages. Links of the main region that lead to a document, not to a whole site."""
     links = extract.region_links(raw, attribute=("property", "mainContentOfPage")).filter("href <> '' AND text <> ''")
     rows = links.withColumn("url", fn.absolute_url(F.col("href"), F.lit(CANADA))).filter(~select.bare_root(F.col("url")))
-    return rows_of(rows, fn.slug_or_hash(F.col("url")), F.col("text"), F.col("url"), "html", "text/html", metadata(link_text=F.col("text")), pos=F.col("pos"))
+    return rows_of(rows, fn.slug_or_hash(F.col("url")), F.col("text"), F.col("url"), "html", "text/html", metadata(link_text=F.col("text")), pos=placed("page_id", F.col("pos")))
 
 
 def file_errors(records: DataFrame, number: Column, second: str, wanted: Column | None = None) -> DataFrame:
