@@ -63,10 +63,13 @@ def judged(texts: DataFrame, schema: str) -> DataFrame:
 
 
 def empty_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """path of each file without bytes. Spark's scans pass over these, so they are what the listing has and no scan gives; only paths, which the driver lists for a scan anyway, come to it."""
+    """path of each file without bytes. Spark's scans pass over these, so they are what the listing, which the driver makes for a scan anyway, has and no scan gives. Only where the two differ in number are paths compared."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
     place = F.regexp_replace(F.coalesce(F.try_url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "path"), "^file:/+", "file:/")
-    names = spark.createDataFrame([(f,) for f in listed.inputFiles()], "path string")
+    files = listed._jdf.inputFiles()  # a list in the JVM
+    if len(files) == listed.count():
+        return listed.filter("false").select("path")
+    names = spark.createDataFrame([(f,) for f in files], "path string")
     return names.withColumn("_p", place).join(listed.select(place.alias("_p")), "_p", "left_anti").select("path")
 
 

@@ -54,7 +54,7 @@ def ingest_json(
 ) -> tuple[DataFrame, DataFrame]:
     """Every new file's records to a table at good, and what is no record to one at bad, with path and reason, to the end of what is there now.
 
-    One record a file, or one a line. Both tables are written under the batch's number, so a batch that comes again
+    One record a file, or one a line; a file is read as one value. Both tables are written under the batch's number, so a batch that comes again
     after a failure replaces itself: nothing is there twice, and nothing is lost between the two. Files without
     bytes, which no stream gives, are listed anew by each call, in a part of bad of their own.
     """
