@@ -138,3 +138,16 @@ l AS (SELECT document_id, min(pos) AS pos, max(pos) AS last FROM k GROUP BY docu
 def spec_ca_guidance(spark, sf):
     """Links of the main regions of all pages, under the last segment of their path or a hash."""
     return specs.SPECS["ca:guidance"].candidates(pages.main_pages(spark, sf)).select("document_id", "pos", "title", "url")
+
+
+@query(f"""WITH v AS (SELECT '02017R074' || CASE WHEN page_id % 4 = 3 THEN '6' ELSE '5' END || '-2' || {pages._VERSION.format('VARCHAR')} AS v FROM pages), l AS (SELECT v[9:10] AS act, max(v) AS v FROM v GROUP BY 1)
+SELECT 'eu' AS regulation, CASE act WHEN '45' THEN 'mdr' ELSE 'ivdr' END AS document_id, 0::BIGINT AS pos, CASE act WHEN '45' THEN 'Regulation (EU) 2017/745 (MDR) — consolidated text' ELSE 'Regulation (EU) 2017/746 (IVDR) — consolidated text' END AS title,
+'https://eur-lex.europa.eu/legal-content/EN/TXT/?uri=CELEX:' || v AS url, 'eur_lex' AS source, v AS consolidated FROM l""")
+def spec_eu_acts(spark, sf):
+    """Both acts, whose newest version some page of all links to."""
+    act = F.when(F.col("page_id") % 4 == 3, "6").otherwise("5")
+    link = F.concat(F.lit("<p><a href='/legal-content/EN/ALL/?uri=CELEX:02017R074"), act, F.lit("-2"), F.expr(pages._VERSION.format("STRING")), F.lit("&x'>version</a></p>"))
+    made = pages.pages(spark, sf).select("page_id", F.concat(link, "html").alias("html"))
+    both = specs.SPECS["eu:mdr"].candidates(made).unionByName(specs.SPECS["eu:ivdr"].candidates(made))
+    m = F.col("source_metadata")
+    return both.select("regulation", "document_id", "pos", "title", "url", m["source"].alias("source"), m["consolidated_celex"].alias("consolidated"))
