@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -71,3 +73,19 @@ def test_snapshots_keep_their_partitions(spark, monkeypatch):
 def test_scans(spark, name, most):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") <= most
+
+
+def test_entry_goes_on_without_what_only_the_operators_of_llm_need():
+    code = "import sys; sys.modules['zstandard'] = None; import warnings; warnings.simplefilter('ignore'); import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op1_') for n in e.queries()))"
+    told = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.abspath(__spark_entry__.__file__)), capture_output=True, text=True, timeout=120)
+    assert told.stdout.split() == [str(len(OWN)), "False"], told.stderr
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from vigilspark.sources import tables
+
+    context = SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda name: None), getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.scratch(SimpleNamespace(sparkContext=context), "x")
