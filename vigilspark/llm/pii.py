@@ -122,9 +122,9 @@ _BOX_DOT = rf"{_GAP}{_OPEN}{_GAP}(?:{DOT_WORDS}|\.){_GAP}{_CLOSE}{_GAP}"
 _BARE_DOT = rf"[ \t]{{1,3}}(?:{DOT_WORDS})[ \t]{{1,3}}"
 _WORD_LABEL = "[A-Za-z0-9]{1,63}"
 _JOINED_DOT = rf"[_-](?:{DOT_WORDS})[_-]"
-# a name that no plain word is: it has a letter, and a digit or a sign
-_LOCAL_NAME = r"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9._+-]{0,63}[0-9._+])(?=[0-9._+-]{0,63}[A-Za-z])[A-Za-z0-9][A-Za-z0-9._+-]{1,63}"
-_BARE_AT = re.compile(rf"{_LOCAL_NAME}(?P<sign>[ \t](?:{AT_WORDS})[ \t])(?={_LABEL}(?:\.{_LABEL}){{1,4}}(?![A-Za-z0-9-]))", re.I)
+_BARE_AT = re.compile(rf"[ \t](?:{AT_WORDS})[ \t](?={_LABEL}(?:\.{_LABEL}){{1,4}}(?![A-Za-z0-9-]))", re.I)
+# without one of these no sign is disguised
+_HINT = re.compile(rf"[(\[{{<@]|[ \t_-](?:{DOT_WORDS}|\.)[ \t_-]", re.I)
 _SIGNS = re.compile(
     rf"(?P<at>{_GAP}{_OPEN}{_GAP}(?:{AT_WORDS}|@){_GAP}{_CLOSE}{_GAP}"
     rf"|[ \t]{{1,3}}(?:{AT_WORDS})[ \t]{{1,3}}(?={_LABEL}(?:\.{_LABEL}){{0,4}}(?:{_BOX_DOT}|{_BARE_DOT})[A-Za-z0-9])"
@@ -177,14 +177,21 @@ def spelled_digits(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def signs(text: str) -> Iterator[tuple[int, int, str]]:
+    if not _HINT.search(text):
+        return
     for m in _SIGNS.finditer(text):
         yield *m.span(), "@" if m["at"] else "."
 
 
 def bare_at(text: str) -> Iterator[tuple[int, int, str]]:
-    """A bare at between what looks like an account's name and a domain that is written out."""
+    """A bare at between what looks like an account's name (it has a letter, and a digit or a sign) and a domain that is written out."""
     for m in _BARE_AT.finditer(text):
-        yield *m.span("sign"), "@"
+        start = end = m.start()
+        while start and end - start < 65 and text[start - 1] in _LOCAL:
+            start -= 1
+        name = text[start:end]
+        if 1 < len(name) < 65 and name[0].isalnum() and any(c.isalpha() for c in name) and any(not c.isalpha() and c not in "-%" for c in name):
+            yield *m.span(), "@"
 
 
 #: The transducers in order. Those on ASCII texts that have nothing to change give their input back.
