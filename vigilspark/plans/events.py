@@ -172,7 +172,7 @@ def prj_03_run_report(spark, sf):
     """Runs under their names on the wire, live."""
     iso = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'") for c in ("started_at", "finished_at")}
     told = runs.run_report(run_summaries(spark, sf).withColumns(iso), live=True)
-    return told.withColumn("details", F.size("errorDetails").cast("bigint")).drop("errorDetails")
+    return runs.detail_counts(told, "errorDetails", "errorPart")
 
 
 @query(f"""WITH {EVT}, {EST} SELECT regulation, source, '2024-02-01T00:00:00+00:00' AS computedAt, total_available AS totalAvailable, already_known AS alreadyKnown,
