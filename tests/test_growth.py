@@ -29,7 +29,7 @@ def against_sql(spark, name, sf):
     return sorted(map(str, QUERIES[name](spark, sf).select(columns).toPandas().itertuples(index=False, name=None))), sorted(map(str, found.df().itertuples(index=False, name=None)))
 
 
-@pytest.mark.parametrize("name", ["prj_03_run_report", "snk_06_run_summaries"])
+@pytest.mark.parametrize("name", ["prj_03_run_report", "snk_06_run_summaries", "src_03_run_summaries"])
 def test_runs_of_more_errors_than_an_array_holds(spark, monkeypatch, name):
     whole = runs.error_list
     monkeypatch.setattr(runs, "ERROR_PART", 3)

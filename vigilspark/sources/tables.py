@@ -12,7 +12,7 @@ EVENT = "run_id string, regulation string, source string, document_id string, ev
 DOCUMENT = "regulation string, source string, document_id string, title string, original_filename string, canonical_url string, first_seen_at string, last_scraped_at string, last_checked_at string, last_changed_at string, current_hash string, current_storage_path string, content_type string, size_bytes bigint, version_history array<struct<ts:string,hash:string,size_bytes:bigint>>, source_metadata map<string,string>"
 RUN = (
     "run_id string, regulation string, source string, started_at string, finished_at string, status string, checked bigint, new bigint, updated bigint, "
-    "unchanged bigint, errors bigint, error_details array<struct<document_id:string,error:string>>, skipped_already_known bigint, stop_reason string"
+    "unchanged bigint, errors bigint, part int, error_details array<struct<document_id:string,error:string>>, skipped_already_known bigint, stop_reason string"
 )
 ESTIMATE = (
     "regulation string, source string, computed_at string, total_available bigint, already_known bigint, remaining bigint, note string, "
