@@ -125,6 +125,11 @@ def extra(field: str, kind: str):
     return F.try_variant_get("extras", f"$.{field}", kind)
 
 
+def write_lines(lines: DataFrame, root: str) -> None:
+    """Lines of text, in a folder below root. A task without rows leaves no file in it, while one that writes to root itself may leave a file without bytes, which readers tell as an empty record."""
+    lines.select("value", F.lit("lines").alias("kind")).write.partitionBy("kind").text(root)
+
+
 def by_folder(rows: DataFrame, *keys: str) -> DataFrame:
     """Rows of one folder together, so that a write leaves few files in it and not one for each task. Spark splits a hot folder."""
     return rows.hint("rebalance", *keys)
