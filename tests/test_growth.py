@@ -61,3 +61,12 @@ def test_tasks_without_rows_leave_no_empty_file(spark, tmp_path, name):
         for n, v in before.items():
             spark.conf.set(n, v)
     assert got == want
+
+
+def test_a_capped_listing_marks_what_is_beyond(spark):
+    body = lambda *ids: '{"results": [' + ",".join(f'{{"id": {i}}}' for i in ids) + "]}"
+    pages = [("a", 0, body(1, 2)), ("a", 1, body(3, 4)), ("a", 2, body(5)), ("a", 3, body()), ("a", 4, body(9)), ("b", 0, body(6))]
+    df = spark.createDataFrame(pages, "listing string, page int, body string")
+    got = {r.id: r.within for r in select.unnest_pages(df, ["listing"], "page", "body", "id:int", 3, mark="within").collect()}
+    assert got == {1: True, 2: True, 3: True, 4: False, 5: False, 6: True}
+    assert "WHERE last IS NULL OR page < last" in SQL["src_07_max_records"]

@@ -241,11 +241,12 @@ def requests_per_source(items: DataFrame, registry: DataFrame, request: str = "r
     return out.select("regulation", "source", F.when(F.col("enabled"), wide).otherwise(F.coalesce("_named", zero)).alias("requests")).filter("requests > 0")
 
 
-def unnest_pages(pages: DataFrame, by: list[str], page: str, body: str, record: str, max_records: int | None = None) -> DataFrame:
+def unnest_pages(pages: DataFrame, by: list[str], page: str, body: str, record: str, max_records: int | None = None, mark: str | None = None) -> DataFrame:
     """The records of a paged listing: by, page, at (place in the page) and the record's fields.
 
     body: an envelope {"results": [...]}; the first page that is empty or missing (null, as after a 404) ends a
-    listing. record: the schema of one result. max_records: where each listing ends at the latest. Pages are read
+    listing. record: the schema of one result. max_records: where each listing ends at the latest, or, with mark, up to
+    where that column is true; then no record is left out. Pages are read
     twice: once for their sizes, one row a page, whose running sums tell each page's end and what it has left; and once
     for the records. Numbers of pages are distinct in a listing; a page without one is left out.
     """
@@ -253,7 +254,9 @@ def unnest_pages(pages: DataFrame, by: list[str], page: str, body: str, record:
     upto = Window.partitionBy(*by).orderBy(page).rowsBetween(Window.unboundedPreceding, 0)
     sizes = keyed.select("_k", *by, page, F.greatest(F.coalesce(F.size("_r"), F.lit(0)), F.lit(0)).alias("_n"))
     sizes = sizes.withColumn("_ended", F.max(F.col("_n") == 0).over(upto)).withColumn("_left", F.lit(max_records) - F.sum("_n").over(upto) + F.col("_n"))
-    kept = sizes.filter(~F.col("_ended")).filter(F.lit(True) if max_records is None else F.col("_left") > 0).select("_k", "_left")
+    cut = max_records is not None and mark is None
+    kept = sizes.filter(~F.col("_ended")).filter(F.col("_left") > 0 if cut else F.lit(True)).select("_k", "_left")
     whole = keyed.join(kept, "_k")
-    records = F.col("_r") if max_records is None else F.slice("_r", F.lit(1), F.col("_left").cast("int"))
-    return whole.select(*by, page, F.posexplode(records).alias("at", "r")).select(*by, page, "at", "r.*")
+    records = F.slice("_r", F.lit(1), F.col("_left").cast("int")) if cut else F.col("_r")
+    within = [] if mark is None else [F.coalesce(F.col("at") < F.col("_left"), F.lit(True)).alias(mark)]
+    return whole.select(*by, page, "_left", F.posexplode(records).alias("at", "r")).select(*by, page, "at", "r.*", *within)

@@ -11,7 +11,7 @@ from vigilspark.plans import specs
 from vigilspark.plans.registry import query, read
 from vigilspark.sources import tables
 
-PAGE_ROWS, MAX_PAGES, MAX_RECORDS = 100, 25, 500
+PAGE_ROWS, MAX_PAGES, MAX_RECORDS = 100, 25, 5000
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,11 +255,11 @@ def src_07_unnest_pages(spark, sf):
 
 
 @query(f"""WITH {NUMBERS}, k AS (SELECT *, row_number() OVER (PARTITION BY listing ORDER BY decision_date DESC, record_id) AS n FROM pg)
-SELECT listing, record_id FROM k JOIN ends USING (listing) WHERE (last IS NULL OR page < last) AND n <= {MAX_RECORDS}""")
+SELECT listing, record_id, n <= {MAX_RECORDS} AS within FROM k JOIN ends USING (listing) WHERE last IS NULL OR page < last""")
 def src_07_max_records(spark, sf):
-    """As a listing's reader asks for it: at most so many records of each listing (the cap is the feature)."""
-    found = select.unnest_pages(envelopes(spark, sf), ["listing"], "page", "body", "record_id:bigint,priority:string", MAX_RECORDS)
-    return found.select("listing", "record_id")
+    """Every record of each listing, and whether it is within what a reader of at most so many records gets."""
+    found = select.unnest_pages(envelopes(spark, sf), ["listing"], "page", "body", "record_id:bigint,priority:string", MAX_RECORDS, mark="within")
+    return found.select("listing", "record_id", "within")
 
 
 @query(f"""WITH {DEC} SELECT record_id, k_number || '/summary' AS document_id, sha256('{changes.SENTINEL}') AS content_hash, 'not applicable (' || k_number || ')' AS title,
