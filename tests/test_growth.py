@@ -82,3 +82,18 @@ def test_cut_titles_equal_the_sql(spark, tmp_path):
     duckdb.connect().execute(f"COPY (SELECT 1::BIGINT AS page_id, 'https://a.org/' AS url, '<title>A &amp;&amp; b&amp</title>' AS html) TO '{tmp_path}/pages.parquet'")
     got, want = against_sql(spark, "fn_13_titles", str(tmp_path))
     assert got == want
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_documents_of_one_bucket_are_judged_apart(spark, tmp_path, buckets):
+    root, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "regulation string, source string, document_id string, ts timestamp, content_hash string"
+    held = spark.createDataFrame([("r", None, "a", "1"), ("r", "s", "b", "1")], "regulation string, source string, document_id string, current_hash string")
+    batches = [[(None, "a", 1, "1"), ("s", "b", 5, "2"), ("s", "a", 5, "1")], [(None, "a", 3, "2"), ("s", "b", 4, "1"), ("s", "a", 2, "1")], [("s", "z", 40, "0")]]
+    with streaming.rocksdb(spark):
+        for rows in batches:
+            df = spark.createDataFrame([("r", s, i, DAY + timedelta(days=d), h) for s, i, d, h in rows], schema)
+            df.coalesce(1).write.mode("append").parquet(root)
+            told = streaming.run_to_end(streaming.changes(streaming.source(spark, root, df.schema), held, "5 days", buckets), out, check)
+    got = sorted((str(r.source), r.document_id, (r.ts - DAY).days, r.event) for r in told.collect())
+    assert got == [("None", "a", 1, "unchanged"), ("None", "a", 3, "updated"), ("s", "a", 2, "new"), ("s", "a", 5, "unchanged"), ("s", "b", 4, "unchanged"), ("s", "b", 5, "updated")]

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -107,57 +108,97 @@ def rocksdb(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+#: Keyed state lies in so many buckets of ids: each batch then has a few calls to the state store for each bucket it
+#: touches, and none for each id. A bucket's state is read and written as one text, so take a number by which it holds
+#: some thousands of ids at most; it must stay the same as long as a checkpoint is used.
+BUCKETS = 4096
+
+
+def bucket(key: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("_bucket")
+
+
+class _Held:
+    """A bucket's rows as one JSON value of the state store."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str) -> None:
+        self.value = handle.getValueState(name, "rows string")
+
+    def get(self) -> list:
+        return json.loads(self.value.get()[0]) if self.value.exists() else []
+
+    def put(self, rows: list) -> None:
+        if rows:
+            self.value.update((json.dumps(rows, separators=(",", ":")),))
+        else:
+            self.value.clear()
+
+
 class _Changes(StatefulProcessor):
-    """Keeps each document's current hash and tells what each capture does to it: at once, or once the watermark has passed its time."""
+    """Keeps the current hash of each document of a bucket and tells what each capture does to it: at once, or once the watermark has passed its time."""
 
     def __init__(self, waits: bool) -> None:
         self.waits = waits
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.current = handle.getValueState("current", "hash string")
+        self.current = _Held(handle, "current")
         if self.waits:
-            self.pending = handle.getListState("pending", "us bigint, hash string")
+            self.pending = _Held(handle, "pending")
+
+    def _hashes(self) -> dict:
+        return {tuple(key): digest for *key, digest in self.current.get()}
+
+    def _keep(self, held: dict) -> None:
+        self.current.put([(*key, digest) for key, digest in held.items()])
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        for digest in initialState["current_hash"]:
-            self.current.update((digest,))
-
-    def _judged(self, key, captures: list[tuple[int, str]]) -> Iterator[pd.DataFrame]:
-        held = self.current.get()[0] if self.current.exists() else None
-        out = []
-        for us, digest in sorted(captures):
-            out.append((*key, us, digest, "new" if held is None else "unchanged" if held == digest else "updated"))
-            held = digest
-        self.current.update((held,))
+        held = self._hashes()  # a bucket's rows may come in several parts
+        for *document, digest in initialState[[*KEY, "current_hash"]].itertuples(index=False, name=None):
+            held[tuple(document)] = digest
+        self._keep(held)
+
+    def _judged(self, captures: list) -> Iterator[pd.DataFrame]:
+        held, out = self._hashes(), []
+        for *document, us, digest in sorted(captures, key=lambda c: c[-2:]):
+            before = held.get(tuple(document))
+            out.append((*document, us, digest, "new" if before is None else "unchanged" if before == digest else "updated"))
+            held[tuple(document)] = digest
+        self._keep(held)
         yield pd.DataFrame(out, columns=[*KEY, "us", "content_hash", "event"])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        captures = [(int(us), digest) for frame in rows for us, digest in zip(frame["us"], frame["content_hash"], strict=True)]
+        captures = [c for frame in rows for c in zip(*(frame[n].tolist() for n in (*KEY, "us", "content_hash")), strict=True)]
         if not self.waits:
-            yield from self._judged(key, captures)
+            yield from self._judged(captures)
             return
-        self.pending.appendList(captures)
-        for at in {us // 1000 + 1 for us, _ in captures}:
-            self.handle.registerTimer(at)
+        waiting = self.pending.get()
+        self.pending.put(waiting + captures)
+        first = self._due(captures)
+        if not waiting or first < self._due(waiting):
+            self.handle.registerTimer(first)
+
+    @staticmethod
+    def _due(captures: list) -> int:
+        """When the watermark has passed the first of them."""
+        return min(c[-2] for c in captures) // 1000 + 1
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        until = expiredTimerInfo.getExpiryTimeInMs()
-        captures = [(us, digest) for us, digest in self.pending.get()]
-        due = [c for c in captures if c[0] // 1000 + 1 <= until]
-        later = [c for c in captures if c[0] // 1000 + 1 > until]
-        if later:
-            self.pending.put(later)
-        else:
-            self.pending.clear()
+        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        captures = self.pending.get()
+        due = [c for c in captures if c[-2] // 1000 + 1 <= until]
         if due:
-            yield from self._judged(key, due)
+            later = [c for c in captures if c[-2] // 1000 + 1 > until]
+            self.pending.put(later)
+            if later:  # the bucket's only timer is the one of its first capture
+                self.handle.registerTimer(self._due(later))
+            yield from self._judged(due)
 
     def close(self) -> None:
         pass
 
 
-def changes(captures: DataFrame, held: DataFrame | None = None, lateness: str | None = None) -> DataFrame:
+def changes(captures: DataFrame, held: DataFrame | None = None, lateness: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Streaming change detection, keyed by document: the event of each capture.
 
     held: a state that the stream takes over from (KEY, current_hash), read once when its checkpoint is new. Without
@@ -168,9 +209,10 @@ def changes(captures: DataFrame, held: DataFrame | None = None, lateness: str |
     timed = captures.filter("content_hash IS NOT NULL").withColumn("us", F.unix_micros("ts"))
     if lateness is not None:
         timed = timed.withWatermark("ts", lateness)
-    first = held.select(*KEY, "current_hash").groupBy(*KEY) if held is not None else None
+    of = bucket(KEY, buckets)
+    first = held.select(*KEY, "current_hash", of).groupBy("_bucket") if held is not None else None
     schema = "regulation string, source string, document_id string, us bigint, content_hash string, event string"
-    told = timed.groupBy(*KEY).transformWithStateInPandas(_Changes(lateness is not None), schema, "append", "none" if lateness is None else "eventTime", first)
+    told = timed.select("*", of).groupBy("_bucket").transformWithStateInPandas(_Changes(lateness is not None), schema, "append", "none" if lateness is None else "eventTime", first)
     return told.select(*KEY, F.timestamp_micros("us").alias("ts"), "content_hash", "event")
 
 
