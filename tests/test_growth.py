@@ -97,3 +97,14 @@ def test_documents_of_one_bucket_are_judged_apart(spark, tmp_path, buckets):
             told = streaming.run_to_end(streaming.changes(streaming.source(spark, root, df.schema), held, "5 days", buckets), out, check)
     got = sorted((str(r.source), r.document_id, (r.ts - DAY).days, r.event) for r in told.collect())
     assert got == [("None", "a", 1, "unchanged"), ("None", "a", 3, "updated"), ("s", "a", 2, "new"), ("s", "a", 5, "unchanged"), ("s", "b", 4, "unchanged"), ("s", "b", 5, "updated")]
+
+
+def test_records_of_one_bucket_are_held_apart(spark, tmp_path):
+    batches = [[("a", 0, "1"), ("b", 2, "1"), ("c", 2, "1")], [("a", 3, "2"), ("b", 9, "1")], [("c", 1, "7"), ("c", 30, "1"), ("a", 8, "2")]]
+    with streaming.rocksdb(spark):
+        for rows in batches:
+            df = spark.createDataFrame([(i, h, DAY + timedelta(days=d)) for i, d, h in rows], "id string, content_hash string, ts timestamp")
+            df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            told = streaming.run_to_end(streaming.edits(streaming.source(spark, str(tmp_path / "in"), df.schema), "5 days", 6, 1), str(tmp_path / "out"), str(tmp_path / "check"))
+    got = sorted((r.id, (r.ts - DAY).days, r.content_hash, r.outcome) for r in told.collect())
+    assert got == [("a", 0, "1", "passed"), ("a", 3, "2", "passed"), ("b", 2, "1", "passed"), ("b", 9, "1", "passed"), ("c", 1, "7", "late"), ("c", 2, "1", "passed"), ("c", 30, "1", "passed")]

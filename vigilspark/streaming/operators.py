@@ -217,42 +217,58 @@ def changes(captures: DataFrame, held: DataFrame | None = None, lateness: str |
 
 
 class _Edits(StatefulProcessor):
-    """Keeps each record's last hash and time for a while; tells new content, and what comes too late."""
+    """Keeps the last hash and time of each record of a bucket for a while; tells new content, and what comes too late."""
 
     def __init__(self, hold_ms: int) -> None:
         self.hold = hold_ms * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "hash string, us bigint")
+        self.last = _Held(handle, "last")
+
+    def _gone(self, us: int) -> int:
+        """When what is held since then goes."""
+        return (us + self.hold) // 1000 + 1
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         late_before = timerValues.getCurrentWatermarkInMs()
-        held = self.last.get() if self.last.exists() else None
-        out, before = [], held
-        for us, digest in sorted((int(us), digest) for frame in rows for us, digest in zip(frame["us"], frame["content_hash"], strict=True)):
+        kept = self.last.get()
+        held, out = {i: (digest, us) for i, digest, us in kept}, []
+        first = min((us for *_, us in kept), default=None)
+        changed = False
+        records = [r for frame in rows for r in zip(frame["us"].tolist(), frame["content_hash"].tolist(), frame["id"].tolist(), strict=True)]
+        for us, digest, i in sorted(records, key=lambda r: (r[0], r[1] or "")):
             if us // 1000 < late_before:
-                out.append((*key, us, digest, "late"))
+                out.append((i, us, digest, "late"))
                 continue
-            if held is None or us >= held[1] + self.hold or held[0] != digest:
-                out.append((*key, us, digest, "passed"))
-            held = (digest, us if held is None else max(us, held[1]))
-        if held != before:
-            self.last.update(held)
-            self.handle.registerTimer((held[1] + self.hold) // 1000 + 1)
+            last = held.get(i)
+            if last is None or us >= last[1] + self.hold or last[0] != digest:
+                out.append((i, us, digest, "passed"))
+            held[i] = (digest, us if last is None else max(us, last[1]))
+            changed = True
+        if changed:
+            self.last.put([(i, *last) for i, last in held.items()])
+            oldest = min(us for _, us in held.values())
+            if oldest != first:
+                self.handle.registerTimer(self._gone(oldest))
         if out:
             yield pd.DataFrame(out, columns=["id", "us", "content_hash", "outcome"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last.exists() and (self.last.get()[1] + self.hold) // 1000 + 1 <= expiredTimerInfo.getExpiryTimeInMs():
-            self.last.clear()
+        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        kept = self.last.get()
+        left = [r for r in kept if self._gone(r[-1]) > until]
+        if len(left) < len(kept):
+            self.last.put(left)
+            if left:
+                self.handle.registerTimer(self._gone(min(r[-1] for r in left)))
         yield from ()
 
     def close(self) -> None:
         pass
 
 
-def edits(records: DataFrame, lateness: str = "30 days", hold_days: int = 30) -> DataFrame:
+def edits(records: DataFrame, lateness: str = "30 days", hold_days: int = 30, buckets: int = BUCKETS) -> DataFrame:
     """Records (id, content_hash, ts) whose content is new: passed; and those that come behind the watermark: late (they change nothing).
 
     Within a batch a record's rows count by time. One passes if nothing is held of its id, if the hash is another one than the
@@ -261,5 +277,5 @@ def edits(records: DataFrame, lateness: str = "30 days", hold_days: int = 30) ->
     """
     # the processor itself tells late rows, so the column that has the watermark does not reach it
     timed = records.withWatermark("ts", lateness).select(F.col("id").cast("string").alias("id"), "content_hash", F.unix_micros("ts").alias("us"))
-    told = timed.groupBy("id").transformWithStateInPandas(_Edits(hold_days * 86_400_000), "id string, us bigint, content_hash string, outcome string", "append", "eventTime")
+    told = timed.select("*", bucket(["id"], buckets)).groupBy("_bucket").transformWithStateInPandas(_Edits(hold_days * 86_400_000), "id string, us bigint, content_hash string, outcome string", "append", "eventTime")
     return told.select("id", F.timestamp_micros("us").alias("ts"), "content_hash", "outcome")
