@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from vigilspark.functions import columns as fn
-from vigilspark.operators import runs, select
+from vigilspark.operators import extract, runs, select
 from vigilspark.streaming import operators as streaming
 
 QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
@@ -108,3 +108,11 @@ def test_records_of_one_bucket_are_held_apart(spark, tmp_path):
             told = streaming.run_to_end(streaming.edits(streaming.source(spark, str(tmp_path / "in"), df.schema), "5 days", 6, 1), str(tmp_path / "out"), str(tmp_path / "check"))
     got = sorted((r.id, (r.ts - DAY).days, r.content_hash, r.outcome) for r in told.collect())
     assert got == [("a", 0, "1", "passed"), ("a", 3, "2", "passed"), ("b", 2, "1", "passed"), ("b", 9, "1", "passed"), ("c", 1, "7", "late"), ("c", 2, "1", "passed"), ("c", 30, "1", "passed")]
+
+
+def test_a_batch_of_pages_gives_its_rows_by_pieces():
+    taken = []
+    rows = ((taken.append(k) or k, None) for k in range(3 * extract.PIECE))
+    frames = extract.pieces(rows, ["k", "pos"], {"pos": "Int32"})
+    assert len(next(frames)) == extract.PIECE == len(taken)
+    assert [len(f) for f in frames] == [extract.PIECE] * 2

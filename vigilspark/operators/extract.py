@@ -1,7 +1,7 @@
 """Rows and links from pages, and classes of responses.
 
 Links and tables need an HTML parser: a generator over pandas batches runs it where the page is read, so there is no
-shuffle; what a batch's pages hold is in memory. Classes are built-in expressions. Path rules are, too: those of
+shuffle; a batch's pages are in memory, and what they hold by pieces. Classes are built-in expressions. Path rules are, too: those of
 short files as arrays, those of long ones as an index by prefix.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,6 +85,16 @@ class _Links(HTMLParser):
             self.open[1].append(data.strip())
 
 
+#: So many rows of a page batch's links or tables are in Python at once.
+PIECE = 2048
+
+
+def pieces(rows: Iterator[tuple], columns: list[str], kinds: dict[str, str]) -> Iterator[pd.DataFrame]:
+    """Rows as frames of at most PIECE rows."""
+    while out := list(islice(rows, PIECE)):
+        yield pd.DataFrame(out, columns=columns).astype(kinds)
+
+
 def page_links(html: str | None, tag: str | None = None, attribute: tuple[str, str] | None = None) -> list[tuple[str, str]] | None:
     """Target and text (nodes stripped, joined by nothing) of each anchor of the region; None without the region."""
     parser = _Links(tag, attribute)
@@ -105,11 +116,12 @@ def region_links(pages: DataFrame, html: str = "html", tag: str | None = "articl
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
-            for kept, text in zip(frame[names].itertuples(index=False, name=None), frame[html], strict=True):
-                found = page_links(text, None if attribute else tag, attribute)
-                out += [(*kept, False, k, *link) for k, link in enumerate(found or [])] or [(*kept, found is None, None, None, None)]
-            yield pd.DataFrame(out, columns=[*names, "region_missing", "pos", "href", "text"]).astype({"pos": "Int32"})
+            yield from pieces(links(frame), [*names, "region_missing", "pos", "href", "text"], {"pos": "Int32"})
+
+    def links(frame: pd.DataFrame) -> Iterator[tuple]:
+        for kept, text in zip(frame[names].itertuples(index=False, name=None), frame[html], strict=True):
+            found = page_links(text, None if attribute else tag, attribute)
+            yield from [(*kept, False, k, *link) for k, link in enumerate(found or [])] or [(*kept, found is None, None, None, None)]
 
     kept = ", ".join(f"`{n}` {kinds[n]}" for n in names)
     return pages.select(*(F.col(f"`{c}`") for c in (*names, html))).mapInPandas(rows, f"{kept}, region_missing boolean, pos int, href string, text string")
@@ -275,8 +287,8 @@ def read_tables(pages: DataFrame, id_col: str = "page_id", html: str = "html") -
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = [(i, *row) for i, text in zip(frame[id_col], frame[html], strict=True) for row in table_rows(text)]
-            yield pd.DataFrame(out, columns=[id_col, "table_no", "row_no", "body", "category", "classes", "cells"]).astype({"body": "Int32"})
+            out = ((i, *row) for i, text in zip(frame[id_col], frame[html], strict=True) for row in table_rows(text))
+            yield from pieces(out, [id_col, "table_no", "row_no", "body", "category", "classes", "cells"], {"body": "Int32"})
 
     return pages.select(F.col(f"`{id_col}`"), F.col(f"`{html}`")).mapInPandas(rows, f"`{id_col}` {kind}, {CELLS}")
 
