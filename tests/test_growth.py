@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from vigilspark.functions import columns as fn
 from vigilspark.operators import extract, runs, select
+from vigilspark.plans import specs
 from vigilspark.streaming import operators as streaming
 
 QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
@@ -116,3 +117,10 @@ def test_a_batch_of_pages_gives_its_rows_by_pieces():
     frames = extract.pieces(rows, ["k", "pos"], {"pos": "Int32"})
     assert len(next(frames)) == extract.PIECE == len(taken)
     assert [len(f) for f in frames] == [extract.PIECE] * 2
+
+
+def test_rows_are_dealt_out_before_one_row_an_id(spark):
+    raw = spark.range(50).selectExpr("id AS pos", *(f"'x' AS {c}" for c in specs.LICENCE if c != "original_licence_no"), "CAST(id / 3 AS INT) AS original_licence_no")
+    rows = specs.SPECS["ca:mdall"].candidates(raw)
+    assert "RepartitionByExpression" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((int(r.document_id), r.pos) for r in rows.collect()) == [(k, 3 * k) for k in range(17)]

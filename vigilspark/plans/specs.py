@@ -92,7 +92,9 @@ def placed(page: str, row: Column) -> Column:
 
 
 def once(rows: DataFrame, keep: str) -> DataFrame:
+    """One row an id. A compact file of many records, or pages of many rows, may be one task, which would sort all its wide rows by id: they are dealt out first, by id and place, so that a frequent id is many tasks' work."""
     values = [c for c in FIELDS[2:] if c not in ("document_id", "pos")]
+    rows = rows.repartition("document_id", "pos")
     return (select.first_of_key if keep == "first" else select.first_place_last_value)(rows, ["document_id"], "pos", values)
 
 
